@@ -276,7 +276,7 @@ def moving_mean(
 def running_mean(df: DataFrame, order: str, value: str) -> DataFrame:
     """Mean of all values up to and including each order value."""
     summed = cumulate(df, order, {"s": F.sum(value), "n": F.count(value)})
-    total = F.coalesce(F.col("s"), F.lit(0.0)) + F.col("before_s")
+    total = F.coalesce(F.col("s"), F.lit(0)) + F.col("before_s")
     seen = F.col("n") + F.col("before_n")
     return summed.select(order, seen.alias("seen"), F.try_divide(total, seen).alias("running_mean"))
 
