@@ -2,36 +2,38 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import attach_group_stats
 from .ordered import cumulate, quantiles
 
 
 def histogram(df: DataFrame, value: str, bins: int, low: float | None = None, high: float | None = None) -> DataFrame:
     """Equal-width bins, the last one closed: (bin, low, high, n, density). Empty bins are kept."""
     v = F.col(value).cast("double")
-    ends = df.agg(
-        F.struct(
-            (F.lit(float(low)) if low is not None else F.min(v)).alias("lo"),
-            (F.lit(float(high)) if high is not None else F.max(v)).alias("hi"),
-        )
-    ).scalar()
-    placed = df.where(F.col(value).isNotNull()).select(v.alias("v"), ends.alias("e"))
-    width = (F.col("e.hi") - F.col("e.lo")) / F.lit(float(bins))
-    inside = placed.where((F.col("v") >= F.col("e.lo")) & (F.col("v") <= F.col("e.hi")))
-    number = F.least(F.floor((F.col("v") - F.col("e.lo")) / width), F.lit(bins - 1)).cast("int")
-    counts = inside.groupBy(F.coalesce(number, F.lit(0)).alias("bin")).agg(F.count("*").alias("n"))
-    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), ends.alias("e"))
-    total = inside.agg(F.count("*")).scalar()
+    if low is None or high is None:
+        found = df.agg(F.min(v), F.max(v)).first()
+        low, high = (found[0] if low is None else low), (found[1] if high is None else high)
+    if low is None or high is None:
+        raise ValueError("no values to bin")
+    low, high = float(low), float(high)
+    if low == high:
+        low, high = low - 0.5, high + 0.5  # one value: a unit range around it
+    width = (high - low) / bins
+    number = F.least(F.floor((v - low) / width), F.lit(bins - 1)).cast("int")
+    counts = df.where((v >= low) & (v <= high)).groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     full = every.join(counts, "bin", "left").fillna(0, ["n"])
+    total = F.sum("n").over(Window.partitionBy())  # over the bins
     return full.select(
         "bin",
-        (F.col("e.lo") + F.col("bin") * width).alias("low"),
-        (F.col("e.lo") + (F.col("bin") + 1) * width).alias("high"),
+        (F.lit(low) + F.col("bin") * width).alias("low"),
+        (F.lit(low) + (F.col("bin") + 1) * width).alias("high"),
         "n",
         F.try_divide(F.col("n"), total * width).alias("density"),
     )
@@ -44,31 +46,25 @@ def density_curve(df: DataFrame, value: str, points: int = 200, per_bandwidth: i
     bins and not the rows; `per_bandwidth=None` counts distinct values instead (exact).
     """
     v = F.col(value).cast("double")
-    facts = df.agg(
-        F.struct(
-            F.count(value).cast("double").alias("n"),
-            (F.stddev_samp(v) * F.pow(F.count(value).cast("double"), F.lit(-0.2))).alias("h"),
-            F.min(v).alias("lo"),
-            F.max(v).alias("hi"),
-        )
-    ).scalar()
-    rows = df.where(F.col(value).isNotNull()).select(v.alias("v"), facts.alias("f"))
+    n, s, low, high = df.agg(F.count(v), F.stddev_samp(v), F.min(v), F.max(v)).first()
+    if n < 2 or not s:
+        raise ValueError("a density needs at least two different values")
+    h = s * n**-0.2
     if per_bandwidth is None:
-        centre = F.col("v")
+        centre = v
     else:
-        width = F.col("f.h") / F.lit(float(per_bandwidth))
-        centre = (F.floor((F.col("v") - F.col("f.lo")) / width) + 0.5) * width + F.col("f.lo")
-    binned = rows.groupBy(centre.alias("c")).agg(F.count("*").alias("m"))
-    step = (F.col("f.hi") - F.col("f.lo")) / F.lit(float(points - 1))
-    spread = binned.withColumn("f", facts).select(
-        "c", "m", "f", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    )
-    x = F.col("f.lo") + F.col("point") * step
-    z = (x - F.col("c")) / F.col("f.h")
-    kernel = F.col("m") * F.exp(-0.5 * z * z) / (F.col("f.n") * F.col("f.h") * F.sqrt(2.0 * F.pi()))
-    return spread.select("point", x.alias("x"), kernel.alias("k")).groupBy("point").agg(
-        F.max("x").alias("x"), F.sum("k").alias("density")
+        width = h / per_bandwidth
+        centre = (F.floor((v - low) / width) + 0.5) * width + low
+    binned = df.where(v.isNotNull()).groupBy(centre.alias("c")).agg(F.count("*").alias("m"))
+    step = (high - low) / (points - 1)
+    spread = binned.select("c", "m", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    x = F.lit(low) + F.col("point") * step
+    z = (x - F.col("c")) / h
+    kernel = F.col("m") * F.exp(-0.5 * z * z)
+    summed = spread.select("point", x.alias("x"), kernel.alias("k")).groupBy("point").agg(
+        F.max("x").alias("x"), F.sum("k").alias("k")
     )
+    return summed.select("point", "x", (F.col("k") / (n * h * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def ecdf(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -95,12 +91,13 @@ def box_summary(df: DataFrame, value: str, by: Sequence[str] = (), whisker: floa
 def _inside_fences(df: DataFrame, value: str, q: DataFrame, by: Sequence[str]) -> DataFrame:
     v = F.col(value).cast("double")
     if by:
-        # pre-aggregated, so the lookup of fences never meets a hot group of raw rows
-        rows = df.where(F.col(value).isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count("*").alias("__m"))
-        fenced = rows.join(q, list(by), "inner")
+        # counted per value and spread over the group's values: no task holds a big group
+        rows = df.where(v.isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count("*").alias("__m"))
+        fenced = attach_group_stats(rows, by, q, "n", spread=["__v"])
     else:
-        rows = df.where(F.col(value).isNotNull()).select(v.alias("__v"), F.lit(1).alias("__m"))
-        fenced = rows.withColumn("__q", q.agg(F.first(F.struct(*q.columns))).scalar()).select("__v", "__m", "__q.*")
+        limits = q.first().asDict()  # one row of limits
+        rows = df.where(v.isNotNull()).select(v.alias("__v"), F.lit(1).alias("__m"))
+        fenced = rows.select("*", *[F.lit(x).alias(c) for c, x in limits.items()])
     ok = (F.col("__v") >= F.col("low_fence")) & (F.col("__v") <= F.col("high_fence"))
     keep = ["n", *QUARTILES, "low_fence", "high_fence"]
     return fenced.groupBy(*by).agg(
@@ -117,15 +114,12 @@ TUKEY_FENCE_SIGMAS = 2.6979592
 
 def outlier_flags(df: DataFrame, value: str, whisker: float = 1.5, sigmas: float = 3.0) -> DataFrame:
     """Each row with flags: outside the quartile fences, beyond k deviations."""
-    q = quantiles(df, value, QUARTILES)
-    q = q.select(F.struct("q1", "q3").alias("q")).scalar()
-    m = df.agg(F.struct(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))).scalar()
-    looked = df.withColumn("__q", q).withColumn("__m", m)
-    reach = whisker * (F.col("__q.q3") - F.col("__q.q1"))
+    q = quantiles(df, value, QUARTILES).first()  # one row of limits
+    mean, std = df.agg(F.avg(value), F.stddev_samp(value)).first()
+    reach = whisker * (q["q3"] - q["q1"])
     v = F.col(value)
-    fenced = (v < F.col("__q.q1") - reach) | (v > F.col("__q.q3") + reach)
-    far = F.abs(v - F.col("__m.mean")) > sigmas * F.col("__m.std")
-    return looked.withColumn("outside_fences", fenced).withColumn("beyond_sigmas", far).drop("__q", "__m")
+    fenced = (v < q["q1"] - reach) | (v > q["q3"] + reach)
+    return df.withColumn("outside_fences", fenced).withColumn("beyond_sigmas", F.abs(v - mean) > sigmas * std)
 
 
 def hexbin(df: DataFrame, x: str, y: str, grid: int = 28) -> DataFrame:
@@ -134,14 +128,11 @@ def hexbin(df: DataFrame, x: str, y: str, grid: int = 28) -> DataFrame:
     Two rectangular lattices offset by half a cell; a point belongs to the nearer centre.
     """
     rows_y = int(grid / 3**0.5)
-    ends = df.agg(
-        F.struct(
-            F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")
-        )
-    ).scalar()
-    pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y, ends.alias("e"))
-    ix = (F.col(x) - F.col("e.x0")) / (F.col("e.x1") - F.col("e.x0")) * F.lit(float(grid))
-    iy = (F.col(y) - F.col("e.y0")) / (F.col("e.y1") - F.col("e.y0")) * F.lit(float(rows_y))
+    both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    x0, x1, y0, y1 = both.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    pts = both.select(x, y)
+    ix = (F.col(x) - x0) / F.lit(float(x1 - x0)) * F.lit(float(grid))
+    iy = (F.col(y) - y0) / F.lit(float(y1 - y0)) * F.lit(float(rows_y))
     scaled = pts.select(ix.alias("ix"), iy.alias("iy"))
     near = scaled.select(
         "ix",

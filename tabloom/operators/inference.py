@@ -97,16 +97,19 @@ def screen_features(df: DataFrame, features: Sequence[str], target: str, alpha:
     return tested.join(adjust_p(tested, "feature", "p", alpha).drop("p"), "feature")
 
 
-def ks_two_sample(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
+def ks_two_sample(
+    df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ()
+) -> DataFrame:
     """Largest distance between two empirical distributions, with its asymptotic p."""
     counted = cumulate(
         df.where(first | second),
         value,
         {"n1": F.count_if(first), "n2": F.count_if(second)},
+        by,
     )
     f1 = (F.col("before_n1") + F.col("n1")) / F.col("total_n1")
     f2 = (F.col("before_n2") + F.col("n2")) / F.col("total_n2")
-    d = counted.agg(
+    d = counted.groupBy(*by).agg(
         F.max("total_n1").alias("n1"), F.max("total_n2").alias("n2"), F.max(F.abs(f1 - f2)).alias("ks")
     )
     return d.withColumn("p", smirnov(F.col("ks"), F.col("n1").cast("double"), F.col("n2").cast("double")))
@@ -115,60 +118,71 @@ def ks_two_sample(df: DataFrame, value: str, first: Column, second: Column) -> D
 FLOOR = 1e-6  # fixed value: least share of a bin, and how far the end bins are widened
 
 
-def base_edges(df: DataFrame, value: str, bins: int = 10) -> DataFrame:
-    """One row with the array of bin edges: quantiles of the base, the ends widened."""
-    q = exact_quantiles(df, value, {f"e{i}": i / bins for i in range(bins + 1)})
+def base_edges(df: DataFrame, value: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
+    """Array of bin edges (by, edges): quantiles of the base, the ends widened."""
+    q = exact_quantiles(df, value, {f"e{i}": i / bins for i in range(bins + 1)}, by)
     ends = [F.col(f"e{i}") for i in range(bins + 1)]
     ends[0], ends[-1] = ends[0] - FLOOR, ends[-1] + FLOOR
-    return q.select(F.array(*ends).alias("edges"))
+    return q.select(*by, F.array(*ends).alias("edges"))
 
 
-def bin_number(value: Column, edges: Column, bins: int) -> Column:
+def bin_number(value: Column, edges: Sequence[Column], bins: int) -> Column:
     """0-based bin, the last edge <= value; NULL outside. Equal edges leave a bin empty."""
-    at_or_above = F.lit(0)
-    for i in range(bins):
-        at_or_above = at_or_above + (value >= F.try_element_at(edges, F.lit(i + 1))).cast("int")
-    inside = (value >= F.try_element_at(edges, F.lit(1))) & (value <= F.try_element_at(edges, F.lit(bins + 1)))
-    return F.when(inside, at_or_above - 1)
+    number = F.lit(-1)
+    for edge in edges[:bins]:
+        number = number + (value >= edge).cast("int")
+    return F.when((value >= edges[0]) & (value <= edges[bins]), number)
 
 
 def psi_from_counts(counts: DataFrame, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Stability index from (by, bin, base, new); rows without a bin stay in the totals."""
-    cells = [
-        (F.sum(F.when(F.col("bin") == i, F.col("base"))), F.sum(F.when(F.col("bin") == i, F.col("new"))))
-        for i in range(bins)
-    ]
     total = F.lit(0.0)
-    for base, new in cells:
-        b = F.greatest(F.coalesce(base, F.lit(0)) / F.sum("base"), F.lit(FLOOR))
-        n = F.greatest(F.coalesce(new, F.lit(0)) / F.sum("new"), F.lit(FLOOR))
+    for i in range(bins):
+        here = F.col("bin") == i
+        b = F.coalesce(F.sum(F.when(here, F.col("base"))), F.lit(0)) / F.sum("base")
+        n = F.coalesce(F.sum(F.when(here, F.col("new"))), F.lit(0)) / F.sum("new")
+        b, n = F.greatest(b, F.lit(FLOOR)), F.greatest(n, F.lit(FLOOR))
         total = total + (n - b) * F.log(n / b)
     return counts.groupBy(*by).agg(F.sum("base").alias("n_base"), F.sum("new").alias("n_new"), total.alias("psi"))
 
 
 def stability_index(df: DataFrame, value: str, base: Column, new: Column, bins: int = 10) -> DataFrame:
     """Population stability index of a new segment against a base segment."""
-    edges = base_edges(df.where(base), value, bins).scalar()
-    placed = df.where(base | new).withColumn("__e", edges)
-    placed = placed.withColumn("bin", bin_number(F.col(value), F.col("__e"), bins))
-    counts = placed.groupBy("bin").agg(F.count_if(base).alias("base"), F.count_if(new).alias("new"))
+    edges = base_edges(df.where(base), value, bins).first()[0]  # bins + 1 numbers
+    number = bin_number(F.col(value), [F.lit(e) for e in edges], bins)
+    counts = (
+        df.where(base | new)
+        .groupBy(number.alias("bin"))
+        .agg(F.count_if(base).alias("base"), F.count_if(new).alias("new"))
+    )
     return psi_from_counts(counts, bins)
 
 
 def drift_report(df: DataFrame, columns: Sequence[str], base: Column, new: Column, bins: int = 10) -> DataFrame:
-    """Means, KS and stability index of two segments, one row per column."""
-    out = None
-    for column in columns:
-        ks = ks_two_sample(df, column, base, new).select(F.struct("ks", "p").alias("k")).scalar()
-        psi = stability_index(df, column, base, new, bins).select("psi").scalar()
-        row = df.agg(
-            F.lit(column).alias("column_name"),
-            F.avg(F.when(base, F.col(column))).alias("base_mean"),
-            F.avg(F.when(new, F.col(column))).alias("new_mean"),
-        ).select("*", ks.alias("__k"), psi.alias("psi"))
-        row = row.select("column_name", "base_mean", "new_mean", F.col("__k.ks"), F.col("__k.p"), "psi")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Means, KS and stability index of two segments, one row per column.
+
+    The columns are stacked into one long table, so each step is one job for all of them.
+    """
+    kind = F.when(base, "base").when(new, "new")
+    long = df.select(kind.alias("__kind"), *[F.col(c).cast("double").alias(c) for c in columns])
+    long = long.where("__kind is not null").unpivot("__kind", list(columns), "column_name", "__x")
+    is_base, is_new = F.col("__kind") == "base", F.col("__kind") == "new"
+    means = long.groupBy("column_name").agg(
+        F.avg(F.when(is_base, F.col("__x"))).alias("base_mean"),
+        F.avg(F.when(is_new, F.col("__x"))).alias("new_mean"),
+    )
+    ks = ks_two_sample(long, "__x", is_base, is_new, ["column_name"]).select("column_name", "ks", "p")
+    found = base_edges(long.where(is_base), "__x", bins, ["column_name"]).collect()  # one row per column
+    number = None
+    for row in found:
+        here = F.col("column_name") == row["column_name"]
+        placed = bin_number(F.col("__x"), [F.lit(e) for e in row["edges"]], bins)
+        number = F.when(here, placed) if number is None else number.when(here, placed)
+    counts = long.groupBy("column_name", number.alias("bin")).agg(
+        F.count_if(is_base).alias("base"), F.count_if(is_new).alias("new")
+    )
+    psi = psi_from_counts(counts, bins, ["column_name"]).select("column_name", "psi")
+    return means.join(ks, "column_name").join(psi, "column_name")
 
 
 def tail_share(df: DataFrame, condition: Column, expected: float) -> DataFrame:

@@ -3,7 +3,8 @@
 A window without a partition key would pull the whole table into one task, and a
 window per group would pull a big group into one. Here the value range is cut into
 buckets, windows run inside (group, bucket), and the small table of bucket totals
-supplies what lies before each bucket.
+supplies what lies before each bucket. A table counted as small enough for one task
+takes the plain window or Spark's own percentile instead.
 """
 
 from __future__ import annotations
@@ -17,18 +18,24 @@ from pyspark.sql import functions as F
 from .joins import join_null_safe
 
 MAX_BUCKETS = 2000
+SMALL_ROWS = 200_000  # up to this many rows one task may sort
 
 
 def bucket_count(df: DataFrame) -> int:
     return max(2, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def cut_points(df: DataFrame, column: str, buckets: int) -> list[float]:
+def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
     """Approximate quantiles of a column: at most `buckets - 1` numbers on the driver.
 
     They steer balance only; the results below are exact for any cuts. Repeats are kept:
-    a repeated cut marks a value that fills a bucket alone.
+    a repeated cut marks a value that fills a bucket alone. Without a bucket number, a
+    table of at most SMALL_ROWS rows gets no cuts.
     """
+    if buckets is None:
+        if df.count() <= SMALL_ROWS:
+            return []
+        buckets = bucket_count(df)
     probs = [i / buckets for i in range(1, buckets)]
     found = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
     return sorted(found.approxQuantile("v", probs, 1.0 / (4 * buckets)))
@@ -40,8 +47,8 @@ def put_in_buckets(df: DataFrame, column: str, cuts: Sequence[float], name: str)
     cast = df.withColumn("__v", F.col(column).cast("double"))
     if len(splits) < 3:
         return cast.withColumn(name, F.lit(0)).drop("__v")
-    placed = Bucketizer(splits=splits, inputCol="__v", outputCol="__b", handleInvalid="keep")
-    return placed.transform(cast).withColumn(name, F.col("__b").cast("int")).drop("__v", "__b")
+    placed = Bucketizer(splits=splits, inputCol="__v", outputCol="__raw_bucket", handleInvalid="keep")
+    return placed.transform(cast).withColumn(name, F.col("__raw_bucket").cast("int")).drop("__v", "__raw_bucket")
 
 
 def _numeric_order(df: DataFrame, column: str) -> Column:
@@ -72,8 +79,18 @@ def cumulate(
     by = list(by)
     known = df.where(F.col(value).isNotNull())
     order = _numeric_order(df, value).alias("__o")
-    cuts = cut_points(known.select(order), "__o", buckets or bucket_count(df))
+    cuts = cut_points(known.select(order), "__o", buckets)
     summed = known.groupBy(*by, value).agg(*[w.alias(name) for name, w in weights.items()])
+    if not cuts:
+        before = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy(*by)
+        return summed.select(
+            *by,
+            value,
+            *weights,
+            *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"before_{w}") for w in weights],
+            *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
+        )
     summed = summed.select("*", order)
     placed = put_in_buckets(summed, "__o", cuts, "__bucket")
     inside = (
@@ -117,9 +134,18 @@ def exact_quantiles(
     """Quantiles with linear interpolation, per group, exact at any size.
 
     Built on `cumulate`: the value that covers a rank is picked from the counted
-    distinct values, so no task sees a whole group. Returns (by, n, one column per prob).
+    distinct values, so no task sees a whole group. Spark's percentile, which keeps a
+    group's distinct values in one task's memory, serves tables of at most SMALL_ROWS
+    rows. Returns (by, n, one column per prob).
     """
-    counted = cumulate(df, value, by=by, buckets=buckets)
+    if buckets is None and df.count() <= SMALL_ROWS:
+        v = F.col(value).cast("double")
+        found = df.where(v.isNotNull()).groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile(v, F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"),
+        )
+        return found.select(*by, "n", *[F.col("__q")[i].alias(k) for i, k in enumerate(probs)])
+    counted = cumulate(df, value, by=by, buckets=buckets or bucket_count(df))
 
     def covering(rank: Column) -> Column:
         hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
@@ -176,9 +202,12 @@ def row_positions(
     the table is spread over many tasks.
     """
     by = list(by)
-    buckets = buckets or bucket_count(df)
     keyed = df.withColumn("__o", _numeric_order(df, order)).withColumn("__t", _numeric_order(df, tie))
     cuts = cut_points(keyed, "__o", buckets)
+    if not cuts:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(order, tie))
+        return df.withColumn(name, place)
+    buckets = buckets or bucket_count(df)
     hot = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
     placed = put_in_buckets(keyed, "__o", cuts, "__bucket")
     if hot:

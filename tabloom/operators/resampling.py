@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, poisson_one_weight
 from .joins import join_null_safe
-from .ordered import exact_quantiles
-from .sampling import hash_cutoffs
+from .sampling import digits_for, hash_cutoffs
 
 Statistic = Callable[[Column, Column], Column]
 
@@ -58,8 +57,12 @@ def bootstrap_interval(
     """Percentile bootstrap interval (replicates, low, high)."""
     tail = (1 - level) / 2
     estimates = bootstrap_replicates(df, key, value, replicates, salt, statistic)
-    q = exact_quantiles(estimates, "estimate", {"low": tail, "high": 1 - tail}, buckets=2)
-    return q.withColumnRenamed("n", "replicates")
+    # one row per replicate, so Spark's own percentile is safe
+    return estimates.agg(
+        F.count("*").alias("replicates"),
+        F.percentile("estimate", F.lit(tail)).alias("low"),
+        F.percentile("estimate", F.lit(1 - tail)).alias("high"),
+    )
 
 
 def permutation_test(
@@ -93,7 +96,7 @@ def permutation_test(
         *keys, "__x", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
     )
     salted = F.concat_ws("-", F.lit(salt), "replicate")
-    cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"])
+    cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"], digits=digits_for(rows.count()))
     arms = join_null_safe(copies, F.broadcast(cuts), ["replicate"])  # one row per replicate
     flag = (digest(keys, salted) <= F.col("cutoff")).cast("int")
     gaps = arms.select("replicate", "__x", flag.alias("__f")).groupBy("replicate").agg(gap(F.col("__f")).alias("gap"))

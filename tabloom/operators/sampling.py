@@ -2,11 +2,13 @@
 
 The hash order of a group is spread evenly, so its first hex digits are ready-made
 buckets: ranks and cut-offs come from counts per bucket, and no task sorts a whole group.
+Tables counted as small enough for one task are ranked by a plain window.
 `key` must name a row.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,13 +16,16 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, uniform
 from .joins import attach_group_stats, join_null_safe
+from .ordered import SMALL_ROWS
 
-HEX_DIGITS = 3  # 4096 buckets per group
+def digits_for(rows: int, per_bucket: int = 4096) -> int:
+    """Hex digits that leave about `per_bucket` rows in a bucket of a group of known size."""
+    return max(1, min(5, math.ceil(math.log(max(rows / per_bucket, 1.0), 16))))
 
 
-def _hashed(df: DataFrame, key, salt) -> DataFrame:
+def _hashed(df: DataFrame, key, salt, digits: int) -> DataFrame:
     hashed = df.withColumn("__h", digest(key, salt))
-    return hashed.withColumn("__p", F.substr("__h", F.lit(1), F.lit(HEX_DIGITS)))
+    return hashed.withColumn("__p", F.substr("__h", F.lit(1), F.lit(digits)))
 
 
 def _bucket_offsets(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -35,12 +40,25 @@ def _bucket_offsets(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def _chosen_digits(df: DataFrame, digits: int | None) -> int:
+    """0 for a small table (no buckets), else enough digits for the table's size."""
+    if digits is not None:
+        return digits
+    rows = df.count()
+    return 0 if rows <= SMALL_ROWS else digits_for(rows)
+
+
 def rank_by_hash(
-    df: DataFrame, key, salt, name: str = "rank", by: Sequence[str] = ()
+    df: DataFrame, key, salt, name: str = "rank", by: Sequence[str] = (), digits: int | None = None
 ) -> DataFrame:
     """Every row's 1-based place in the hash order of its group: a reproducible shuffle."""
     by = list(by)
-    hashed = _hashed(df, key, salt)
+    digits = _chosen_digits(df, digits)
+    if digits == 0:
+        hashed = df.withColumn("__h", digest(key, salt))
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
+        return hashed.select(*df.columns, place.cast("long").alias(name))
+    hashed = _hashed(df, key, salt, digits)
     offsets = _bucket_offsets(hashed, by).select(*by, "__p", "__before")
     inside = Window.partitionBy(*by, "__p").orderBy("__h")
     ranked = hashed.withColumn("__in", F.row_number().over(inside))
@@ -49,15 +67,34 @@ def rank_by_hash(
 
 
 def hash_cutoffs(
-    df: DataFrame, key, salt, size: Column, sizes: DataFrame | None = None, by: Sequence[str] = ()
+    df: DataFrame,
+    key,
+    salt,
+    size: Column,
+    sizes: DataFrame | None = None,
+    by: Sequence[str] = (),
+    digits: int | None = None,
 ) -> DataFrame:
     """Per group, the digest at which exactly `size` rows lie at or below it.
 
     `size` may use columns of `sizes` (one row per group). Only the one bucket that
-    holds the cut-off is ranked, a 4096th of the group. Groups of size 0 have no row.
+    holds the cut-off is ranked, a small part of the group. Groups of size 0 have no row.
     """
     by = list(by)
-    hashed = _hashed(df, key, salt).select(*by, "__h", "__p")
+    digits = _chosen_digits(df, digits)
+    if digits == 0:
+        group = Window.partitionBy(*by)
+        ranked = df.select(*by, digest(key, salt).alias("__h")).select(
+            *by,
+            "__h",
+            F.row_number().over(group.orderBy("__h")).alias("__r"),
+            F.count(F.lit(1)).over(group).alias("__total"),
+        )
+        if sizes is not None:
+            ranked = join_null_safe(ranked, sizes, by)
+        cut = ranked.where(F.col("__r") == F.least(size.cast("long"), F.col("__total")))
+        return cut.select(*by, F.col("__h").alias("cutoff"))
+    hashed = _hashed(df, key, salt, digits).select(*by, "__h", "__p")
     counted = _bucket_offsets(hashed, by)
     if sizes is not None:
         counted = join_null_safe(counted, sizes, by)

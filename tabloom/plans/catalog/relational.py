@@ -555,7 +555,7 @@ def g1(t: Tables):
     from ...operators.ordered import cumulate
 
     rows = t.lineitem.withColumnRenamed("l_extendedprice", "v")
-    out = cumulate(rows, "v", {"n": F.count("*"), "q": F.sum("l_quantity")})
+    out = cumulate(rows, "v", {"n": F.count("*"), "q": F.sum("l_quantity")}, buckets=16)
     return out.select("v", "n", F.round(F.col("q") + F.col("before_q"), 2).alias("upto_q"), "before_n")
 
 
@@ -566,7 +566,7 @@ def g1(t: Tables):
 def g1b(t: Tables):
     from ...operators.ordered import row_positions
 
-    return row_positions(t.events, "value", "event_id", by=["event_type"]).select("event_id", "position")
+    return row_positions(t.events, "value", "event_id", by=["event_type"], buckets=16).select("event_id", "position")
 
 
 # ---- sorts, samples, sets --------------------------------------------------------------------------

@@ -1,0 +1,406 @@
+"""Distribution tables, estimates, tests, fairness and drift."""
+
+from pyspark.sql import functions as F
+
+from ...functions.hashing import uniform
+from ...operators import distributions as dist
+from ...operators import fairness, inference, resampling
+from ..registry import Tables, md5_sql, query, uniform_sql
+
+# ---- distributions -----------------------------------------------------------------------
+
+
+@query(
+    "d1_histogram",
+    """WITH e AS (SELECT min(value) AS lo, max(value) AS hi, (max(value) - min(value)) / 24.0 AS w FROM events),
+       b AS (SELECT CAST(least(floor((value - lo) / w), 23) AS INTEGER) AS bin, count(*) AS n FROM events, e GROUP BY 1)
+       SELECT r.bin, round(lo + r.bin * w, 6) AS low, round(lo + (r.bin + 1) * w, 6) AS high, coalesce(n, 0) AS n,
+              round(coalesce(n, 0) / ((SELECT count(*) FROM events) * w), 8) AS density
+       FROM (SELECT CAST(unnest(range(24)) AS INTEGER) AS bin) r CROSS JOIN e LEFT JOIN b ON b.bin = r.bin""",
+)
+def d1(t: Tables):
+    out = dist.histogram(t.events, "value", 24)
+    return out.select("bin", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "n",
+                      F.round("density", 8).alias("density"))
+
+
+@query(
+    "d2_density_curve",
+    """WITH f AS (SELECT count(*)::DOUBLE AS n, stddev_samp(l_extendedprice) * pow(count(*)::DOUBLE, -0.2) AS h,
+              min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
+       b AS (SELECT (floor((l_extendedprice - lo) / (h / 10.0)) + 0.5) * (h / 10.0) + lo AS c, count(*) AS m
+             FROM lineitem, f GROUP BY c),
+       g AS (SELECT i AS point, lo + i * ((hi - lo) / 199.0) AS x FROM f, (SELECT unnest(range(200)) AS i))
+       SELECT CAST(point AS INTEGER) AS point, round(x, 4) AS x,
+              round(sum(m * exp(-0.5 * pow((x - c) / h, 2))) / (n * h * sqrt(2 * pi())) * 1000000, 6) AS density_e6
+       FROM g, b, f GROUP BY point, x, n, h""",
+)
+def d2(t: Tables):
+    out = dist.density_curve(t.lineitem, "l_extendedprice", 200)
+    return out.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
+
+
+@query(
+    "d3_ecdf",
+    """SELECT DISTINCT event_type, value, round(cume_dist() OVER (PARTITION BY event_type ORDER BY value), 8) AS share
+       FROM events""",
+)
+def d3(t: Tables):
+    out = dist.ecdf(t.events, "value", by=["event_type"])
+    return out.select("event_type", "value", F.round("share", 8).alias("share"))
+
+
+@query(
+    "d4_box_summary",
+    """WITH q AS (SELECT event_type, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+                  quantile_cont(value, 0.75) AS q3 FROM events GROUP BY event_type),
+       f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+       SELECT event_type, max(n) AS n, round(max(q1), 6) AS q1, round(max(median), 6) AS median, round(max(q3), 6) AS q3,
+              round(max(lo), 6) AS low_fence, round(max(hi), 6) AS high_fence,
+              min(value) FILTER (WHERE value BETWEEN lo AND hi) AS low_whisker,
+              max(value) FILTER (WHERE value BETWEEN lo AND hi) AS high_whisker,
+              count(*) FILTER (WHERE value NOT BETWEEN lo AND hi) AS outliers
+       FROM events JOIN f USING (event_type) GROUP BY event_type""",
+)
+def d4(t: Tables):
+    out = dist.box_summary(t.events, "value", ["event_type"])
+    return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3", "low_fence", "high_fence")})
+
+
+@query(
+    "d5_hexagonal_bins",
+    """WITH e AS (SELECT min(o_orderkey) AS x0, max(o_orderkey) AS x1, min(o_totalprice) AS y0, max(o_totalprice) AS y1 FROM orders),
+       s AS (SELECT (o_orderkey - x0) / (x1 - x0)::DOUBLE * 28.0 AS ix, (o_totalprice - y0) / (y1 - y0) * 16.0 AS iy FROM orders, e),
+       c AS (SELECT floor(ix + 0.5) AS i1, floor(iy + 0.5) AS j1, floor(ix) AS i2, floor(iy) AS j2, ix, iy FROM s),
+       d AS (SELECT *, pow(ix - i1, 2) + 3 * pow(iy - j1, 2) < pow(ix - i2 - 0.5, 2) + 3 * pow(iy - j2 - 0.5, 2) AS a FROM c)
+       SELECT CASE WHEN a THEN 1 ELSE 2 END AS lattice, CAST(CASE WHEN a THEN i1 ELSE i2 END AS BIGINT) AS i,
+              CAST(CASE WHEN a THEN j1 ELSE j2 END AS BIGINT) AS j, count(*) AS n FROM d GROUP BY ALL""",
+)
+def d5(t: Tables):
+    return dist.hexbin(t.orders, "o_orderkey", "o_totalprice", 28)
+
+
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "d6_correlation_matrix",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for a in MEASURES for b in MEASURES
+    ),
+)
+def d6(t: Tables):
+    return dist.correlation_matrix(t.lineitem, MEASURES).withColumn("r", F.round("r", 6))
+
+
+@query(
+    "d7_correlation_with_target",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS feature, count(*) AS n, round(corr({a}, l_extendedprice), 6) AS r FROM lineitem"
+        for a in ("l_quantity", "l_discount", "l_tax")
+    ),
+)
+def d7(t: Tables):
+    out = dist.correlation_with(t.lineitem, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    return out.withColumn("r", F.round("r", 6))
+
+
+@query(
+    "d8_line_per_group",
+    """SELECT l_returnflag, count(*) AS n, round(avg(l_quantity), 6) AS x_mean, round(avg(l_extendedprice), 4) AS y_mean,
+              round(stddev_samp(l_quantity), 6) AS x_std, round(stddev_samp(l_extendedprice), 4) AS y_std,
+              round(corr(l_quantity, l_extendedprice), 6) AS r, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+              round(regr_intercept(l_extendedprice, l_quantity), 3) AS intercept FROM lineitem GROUP BY l_returnflag""",
+)
+def d8(t: Tables):
+    out = dist.line_by_group(t.lineitem, ["l_returnflag"], "l_quantity", "l_extendedprice")
+    digits = {"x_mean": 6, "y_mean": 4, "x_std": 6, "y_std": 4, "r": 6, "slope": 4, "intercept": 3}
+    return out.withColumns({c: F.round(c, k) for c, k in digits.items()})
+
+
+@query(
+    "d9_outlier_flags",
+    """WITH q AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3, avg(value) AS m,
+                  stddev_samp(value) AS s FROM events)
+       SELECT event_type, sum(CASE WHEN value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1) THEN 1 ELSE 0 END)::BIGINT
+              AS fenced, sum(CASE WHEN abs(value - m) > 3 * s THEN 1 ELSE 0 END)::BIGINT AS far FROM events, q GROUP BY event_type""",
+)
+def d9(t: Tables):
+    rows = dist.outlier_flags(t.events.select("event_type", "value"), "value")
+    return rows.groupBy("event_type").agg(
+        F.count_if("outside_fences").alias("fenced"), F.count_if("beyond_sigmas").alias("far")
+    )
+
+
+# ---- estimates and tests ---------------------------------------------------------------------
+
+
+@query(
+    "t1_skewness_of_batch_means",
+    """WITH m AS (SELECT avg(value) AS m FROM events GROUP BY event_id // 30)
+       SELECT count(*) AS batches, round(skewness(m) * (count(*) - 2) / sqrt(count(*) * (count(*) - 1.0)), 6) AS skewness FROM m""",
+)
+def t1(t: Tables):
+    out = inference.skewness_of_batch_means(t.events, "value", F.floor(F.col("event_id") / 30))
+    return out.withColumn("skewness", F.round("skewness", 6))
+
+
+@query(
+    "t2_interval_of_the_mean",
+    """SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean,
+              round(avg(value) - 1.96 * stddev_samp(value) / sqrt(count(*)), 6) AS low,
+              round(avg(value) + 1.96 * stddev_samp(value) / sqrt(count(*)), 6) AS high FROM events GROUP BY event_type""",
+)
+def t2(t: Tables):
+    out = inference.mean_interval(t.events, "value", ["event_type"])
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "low", "high")})
+
+
+REPLICATES = 200
+
+
+def _poisson_sql(u: str) -> str:
+    import math
+
+    total, terms = 0.0, []
+    for k in range(12):
+        total += math.exp(-1.0) / math.factorial(k)
+        terms.append(f"CASE WHEN {u} >= {total!r}::DOUBLE THEN 1 ELSE 0 END")
+    return " + ".join(terms)
+
+
+@query(
+    "t3_bootstrap_interval",
+    f"""WITH w AS (SELECT value, b * 4 + p AS r, CAST('0x' || substr(md5(concat_ws('-', CAST(event_id AS VARCHAR), 'boot',
+              CAST(b AS VARCHAR))), CAST(1 + 8 * p AS INTEGER), 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u
+              FROM events, (SELECT unnest(range({REPLICATES // 4})) AS b), (SELECT unnest(range(4)) AS p)),
+        x AS (SELECT r, value, {_poisson_sql('u')} AS k FROM w),
+        e AS (SELECT r, sum(k * value) / sum(k) AS m FROM x GROUP BY r)
+        SELECT count(*) AS replicates, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM e""",
+)
+def t3(t: Tables):
+    out = resampling.bootstrap_interval(t.events, "event_id", "value", REPLICATES, "boot")
+    return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
+
+
+WELCH_SQL = """WITH f AS (SELECT count(*) FILTER (WHERE event_type = 'click')::DOUBLE AS n1,
+    avg(value) FILTER (WHERE event_type = 'click') AS m1, var_samp(value) FILTER (WHERE event_type = 'click') AS v1,
+    count(*) FILTER (WHERE event_type = 'view')::DOUBLE AS n2, avg(value) FILTER (WHERE event_type = 'view') AS m2,
+    var_samp(value) FILTER (WHERE event_type = 'view') AS v2 FROM events)"""
+
+
+@query(
+    "t4_welch_test",
+    WELCH_SQL
+    + """ SELECT n1::BIGINT AS n1, n2::BIGINT AS n2, round(m1, 6) AS mean1, round(m2, 6) AS mean2,
+              round((m1 - m2) / sqrt(v1 / n1 + v2 / n2), 6) AS t,
+              round(pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)), 4) AS df FROM f""",
+)
+def t4(t: Tables):
+    out = inference.welch(t.events, "value", F.col("event_type") == "click", F.col("event_type") == "view")
+    digits = {"mean1": 6, "mean2": 6, "t": 6, "df": 4}
+    return out.select("n1", "n2", *[F.round(c, k).alias(c) for c, k in digits.items()])
+
+
+@query("t4b_welch_p_value")
+def t4b(t: Tables):
+    return inference.welch(t.events, "value", F.col("event_type") == "click", F.col("event_type") == "view").select("t", "df", "p")
+
+
+@query(
+    "t5_cohen_d",
+    WELCH_SQL + """ SELECT round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)), 6) AS cohen_d FROM f""",
+)
+def t5(t: Tables):
+    out = inference.welch(t.events, "value", F.col("event_type") == "click", F.col("event_type") == "view")
+    return out.select(F.round("cohen_d", 6).alias("cohen_d"))
+
+
+@query(
+    "t6_permutation_test",
+    f"""WITH a AS (SELECT event_id, value AS x, (event_type = 'click')::INTEGER AS f FROM events
+                   WHERE event_type IN ('click', 'view')),
+        o AS (SELECT sum(f) AS n1, sum(x * f) / sum(f) - sum(x * (1 - f)) / sum(1 - f) AS seen FROM a),
+        p AS (SELECT r, x, row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('-', CAST(event_id AS VARCHAR), 'perm',
+              CAST(r AS VARCHAR)))) AS k FROM a, (SELECT unnest(range(1, {REPLICATES + 1})) AS r)),
+        g AS (SELECT r, avg(x) FILTER (WHERE k <= n1) - avg(x) FILTER (WHERE k > n1) AS gap FROM p, o GROUP BY r),
+        c AS (SELECT count(*) AS replicates, count(*) FILTER (WHERE gap <= seen + 1e-14 * abs(seen)) AS lower,
+              count(*) FILTER (WHERE gap >= seen - 1e-14 * abs(seen)) AS upper FROM g, o)
+        SELECT round(seen, 6) AS observed, replicates, lower, upper,
+               round(least(1.0, 2 * (least(lower, upper) + 1) / (replicates + 1)::DOUBLE), 6) AS p FROM c, o""",
+)
+def t6(t: Tables):
+    two = t.events.where(F.col("event_type").isin("click", "view"))
+    out = resampling.permutation_test(two, "event_id", "value", F.col("event_type") == "click", REPLICATES, "perm")
+    return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
+
+
+def _tests(t: Tables):
+    """One p-like number per customer: the hash uniform, squeezed for every tenth one."""
+    u = uniform("c_custkey", "pv")
+    squeezed = F.when(F.col("c_custkey") % 10 == 0, u / 10000).otherwise(u)
+    return t.customer.select("c_custkey", squeezed.alias("p"))
+
+
+@query(
+    "t7_multiple_testing",
+    f"""WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN {uniform_sql('pv', 'c_custkey')} / 10000
+              ELSE {uniform_sql('pv', 'c_custkey')} END AS p FROM customer),
+        r AS (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p, c_custkey) AS k FROM t),
+        a AS (SELECT c_custkey, p, m, least(1.0, min(p * m / k) OVER (ORDER BY p DESC, c_custkey DESC)) AS adj FROM r)
+        SELECT c_custkey, round(p, 8) AS p, round(adj, 8) AS p_adjusted, adj < 0.05 AS bh_significant,
+               p < 0.05 / m AS bonferroni_significant FROM a""",
+)
+def t7(t: Tables):
+    out = inference.adjust_p(_tests(t), "c_custkey", "p")
+    return out.withColumns({"p": F.round("p", 8), "p_adjusted": F.round("p_adjusted", 8)})
+
+
+@query(
+    "t8_feature_screen",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS feature, count(*) AS n, round(corr({a}, l_extendedprice), 6) AS r FROM lineitem"
+        for a in ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+    ),
+)
+def t8(t: Tables):
+    out = inference.screen_features(t.lineitem, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_extendedprice")
+    return out.select("feature", "n", F.round("r", 6).alias("r"))
+
+
+@query("t8b_feature_screen_p_values")
+def t8b(t: Tables):
+    return inference.screen_features(t.lineitem, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_extendedprice")
+
+
+KS_SQL = """WITH v AS (SELECT l_extendedprice AS v, count(*) FILTER (WHERE l_returnflag = 'A') AS c1,
+    count(*) FILTER (WHERE l_returnflag = 'R') AS c2 FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY v),
+    w AS (SELECT sum(c1) OVER (ORDER BY v) / (SELECT sum(c1) FROM v)::DOUBLE AS f1,
+    sum(c2) OVER (ORDER BY v) / (SELECT sum(c2) FROM v)::DOUBLE AS f2 FROM v)"""
+
+
+@query(
+    "t9_kolmogorov_smirnov",
+    KS_SQL + """ SELECT (SELECT sum(c1)::BIGINT FROM v) AS n1, (SELECT sum(c2)::BIGINT FROM v) AS n2,
+                 round(max(abs(f1 - f2)), 8) AS ks FROM w""",
+)
+def t9(t: Tables):
+    out = inference.ks_two_sample(t.lineitem, "l_extendedprice", F.col("l_returnflag") == "A", F.col("l_returnflag") == "R")
+    return out.select("n1", "n2", F.round("ks", 8).alias("ks"))
+
+
+@query("t9b_kolmogorov_smirnov_p_value")
+def t9b(t: Tables):
+    return inference.ks_two_sample(t.lineitem, "l_extendedprice", F.col("l_returnflag") == "A", F.col("l_returnflag") == "R")
+
+
+def _psi_sql(table: str, value: str, base: str, new: str, bins: int = 10) -> str:
+    edges = ", ".join(f"quantile_cont({value}, {i / bins})" for i in range(bins + 1))
+    return f"""SELECT sum((n - b) * ln(n / b)) FROM (
+        SELECT i, greatest(coalesce(max(cb), 0) / max(tb)::DOUBLE, 1e-6) AS b, greatest(coalesce(max(cn), 0) / max(tn)::DOUBLE, 1e-6) AS n
+        FROM (SELECT unnest(range({bins})) AS i), (SELECT count(*) FILTER (WHERE {base}) AS tb, count(*) FILTER (WHERE {new}) AS tn FROM {table})
+        LEFT JOIN (SELECT bin, count(*) FILTER (WHERE isb) AS cb, count(*) FILTER (WHERE isn) AS cn FROM (
+            SELECT {base} AS isb, {new} AS isn, CASE WHEN v >= e[1] - 1e-6 AND v <= e[{bins + 1}] + 1e-6 THEN
+              {" + ".join(["CAST(v >= e[1] - 1e-6 AS INTEGER)"] + [f"CAST(v >= e[{i + 1}] AS INTEGER)" for i in range(1, bins)])} - 1 END AS bin
+            FROM (SELECT *, {value} AS v FROM {table} WHERE {base} OR {new}), (SELECT [{edges}] AS e FROM {table} WHERE {base}))
+          GROUP BY bin) ON bin = i GROUP BY i)"""
+
+
+@query(
+    "t10_stability_index",
+    f"""SELECT (SELECT count(*) FROM events WHERE event_type = 'click') AS n_base,
+               (SELECT count(*) FROM events WHERE event_type = 'view') AS n_new,
+               round(({_psi_sql('events', 'value', "event_type = 'click'", "event_type = 'view'")}), 6) AS psi""",
+)
+def t10(t: Tables):
+    out = inference.stability_index(t.events, "value", F.col("event_type") == "click", F.col("event_type") == "view")
+    return out.withColumn("psi", F.round("psi", 6))
+
+
+@query(
+    "t11_entropy_of_keys",
+    """WITH k AS (SELECT count(*) AS k FROM customer GROUP BY c_nationkey, c_mktsegment), n AS (SELECT sum(k)::DOUBLE AS n FROM k)
+       SELECT max(n)::BIGINT AS n, round(-sum(k / n * log2(k / n)), 6) AS entropy_bits,
+              round(100.0 * sum(CASE WHEN k = 1 THEN 1 ELSE 0 END) / max(n), 6) AS unique_percent, min(k) AS min_k,
+              round(log2(max(n)), 6) AS ceiling_bits FROM k, n""",
+)
+def t11(t: Tables):
+    out = inference.entropy_bits(t.customer, ["c_nationkey", "c_mktsegment"])
+    return out.withColumns({c: F.round(c, 6) for c in ("entropy_bits", "unique_percent", "ceiling_bits")})
+
+
+@query(
+    "t12_tail_share",
+    """WITH m AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events)
+       SELECT count(*) AS rows, round(avg(CASE WHEN (value - m) / s > 1.96 THEN 1.0 ELSE 0.0 END), 6) AS observed,
+              CAST(0.025 AS DOUBLE) AS expected FROM events, m""",
+)
+def t12(t: Tables):
+    m = t.events.agg(F.struct(F.avg("value").alias("m"), F.stddev_samp("value").alias("s"))).scalar()
+    z = t.events.withColumn("f", m).withColumn("z", (F.col("value") - F.col("f.m")) / F.col("f.s"))
+    return inference.tail_share(z, F.col("z") > 1.96, 0.025).withColumn("observed", F.round("observed", 6))
+
+
+# ---- fairness and drift ----------------------------------------------------------------------------
+
+
+def scored(t: Tables):
+    """Documents with a label and a score: the share of characters that aren't letters."""
+    letters = F.char_length(F.regexp_replace("text", r"[^A-Za-z]", ""))
+    score = F.round(1.0 - letters / F.char_length("text"), 6)
+    return t.documents.select("doc_id", "lang", score.alias("score")).join(t.labels, "doc_id")
+
+
+SCORED_SQL = """scored AS (SELECT doc_id, lang, quality, toxic,
+    round(1.0 - length(regexp_replace(text, '[^A-Za-z]', '', 'g'))::DOUBLE / length(text), 6) AS score
+    FROM documents JOIN labels USING (doc_id))"""
+
+AUDIT_SQL = """count(*) AS rows, round(avg(c), 6) AS selection_rate,
+    round(coalesce(avg(c) FILTER (WHERE quality = 1), 0), 6) AS tpr, round(coalesce(avg(c) FILTER (WHERE quality = 0), 0), 6) AS fpr,
+    round(avg(quality), 6) AS base_rate"""
+
+
+def _rounded_audit(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("selection_rate", "tpr", "fpr", "base_rate")})
+
+
+@query(
+    "e1_group_audit",
+    f"""WITH {SCORED_SQL} SELECT lang, {AUDIT_SQL} FROM (SELECT *, CASE WHEN score <= 0.25 THEN 1.0 ELSE 0.0 END AS c
+        FROM scored) GROUP BY lang""",
+)
+def e1(t: Tables):
+    return _rounded_audit(fairness.audit(scored(t), "lang", "quality", F.col("score") <= 0.25))
+
+
+@query(
+    "e2_equal_opportunity",
+    f"""WITH {SCORED_SQL}, s AS (SELECT *, -score AS s FROM scored),
+        h AS (SELECT lang, quantile_cont(s, 0.57) AS th FROM s WHERE quality = 1 GROUP BY lang)
+        SELECT lang, round(max(th), 6) AS threshold, {AUDIT_SQL} FROM (SELECT s.*, th, CASE WHEN s >= th THEN 1.0 ELSE 0.0 END AS c
+        FROM s LEFT JOIN h USING (lang)) GROUP BY lang""",
+)
+def e2(t: Tables):
+    df = scored(t).withColumn("s", -F.col("score"))
+    out = fairness.equal_opportunity(df, "lang", "quality", "s", 0.43, ["doc_id"])
+    return _rounded_audit(out).withColumn("threshold", F.round("threshold", 6))
+
+
+def _drift_row(column: str) -> str:
+    base, new = "l_returnflag = 'A'", "l_returnflag = 'N' AND l_quantity > 10"
+    return f"""SELECT '{column}' AS column_name, round((SELECT avg({column}) FROM lineitem WHERE {base}), 4) AS base_mean,
+      round((SELECT avg({column}) FROM lineitem WHERE {new}), 4) AS new_mean,
+      round((WITH v AS (SELECT {column} AS v, count(*) FILTER (WHERE {base}) AS c1, count(*) FILTER (WHERE {new}) AS c2
+         FROM lineitem WHERE ({base}) OR ({new}) GROUP BY v),
+         w AS (SELECT sum(c1) OVER (ORDER BY v) / (SELECT sum(c1) FROM v)::DOUBLE - sum(c2) OVER (ORDER BY v) /
+         (SELECT sum(c2) FROM v)::DOUBLE AS d FROM v) SELECT max(abs(d)) FROM w), 6) AS ks,
+      round(({_psi_sql('lineitem', column, base, f'({new})')}), 6) AS psi"""
+
+
+@query("e3_drift_report", " UNION ALL ".join(_drift_row(c) for c in ("l_quantity", "l_extendedprice")))
+def e3(t: Tables):
+    base = F.col("l_returnflag") == "A"
+    new = (F.col("l_returnflag") == "N") & (F.col("l_quantity") > 10)
+    out = inference.drift_report(t.lineitem, ["l_quantity", "l_extendedprice"], base, new)
+    digits = {"base_mean": 4, "new_mean": 4, "ks": 6, "psi": 6}
+    return out.select("column_name", *[F.round(c, k).alias(c) for c, k in digits.items()])
