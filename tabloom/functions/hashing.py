@@ -60,13 +60,17 @@ def laplace(u: Column, scale: Column | float) -> Column:
     return -F.lit(scale) * F.signum(centred) * F.log(1.0 - 2.0 * F.abs(centred))
 
 
-def weighted_index(u: Column, weights: Sequence[float]) -> Column:
-    """Index drawn with the given weights: how many cumulative shares are <= u."""
-    total, running, index = float(sum(weights)), 0.0, F.lit(0)
+def cumulative_shares(weights: Sequence[float]) -> list[float]:
+    total, running, out = float(sum(weights)), 0.0, []
     for w in weights[:-1]:
         running += w / total
-        index = index + (u >= F.lit(running)).cast("int")
-    return index
+        out.append(running)
+    return out
+
+
+def drawn_index(u: Column, shares: Column) -> Column:
+    """0-based index drawn by cumulative shares: how many of them are <= u."""
+    return F.size(F.filter(shares, lambda s: s <= u))
 
 
 # Cumulative distribution of a Poisson(1) count, from its definition.

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.hashing import laplace, open_uniform, uniform
 from ..functions.scalars import floor_bin
@@ -60,14 +61,16 @@ def l_diversity(df: DataFrame, keys: Sequence[str], sensitive: str, minimum: int
     )
 
 
-@F.pandas_udf("double")
-def _secure_uniform(ids: pd.Series) -> pd.Series:
-    import secrets
+def secure_uniform(column: Column) -> Column:
+    """Uniform on (0,1) from the operating system's secure source, one draw per row."""
 
-    return pd.Series([(secrets.randbits(53) + 0.5) / 2.0**53 for _ in range(len(ids))])
+    # defined here, so that it travels to the executors by value
+    def draw(ids: pd.Series) -> pd.Series:
+        import secrets
 
+        return pd.Series([(secrets.randbits(53) + 0.5) / 2.0**53 for _ in range(len(ids))])
 
-_secure_uniform = _secure_uniform.asNondeterministic()
+    return F.pandas_udf(draw, DoubleType()).asNondeterministic()(column.cast("double"))
 
 
 def noisy_counts(
@@ -86,7 +89,7 @@ def noisy_counts(
     """
     totals = df.groupBy(*by).agg(F.sum(amount).alias("true"))
     if test_salt is None:
-        u = _secure_uniform(F.col("true").cast("double"))
+        u = secure_uniform(F.col("true"))
     else:
         u = open_uniform(list(by), test_salt)
     return totals.withColumn("noisy", F.col("true") + laplace(u, sensitivity / epsilon))
@@ -101,7 +104,7 @@ def geometric_counts(df: DataFrame, by: Sequence[str], epsilon: float, test_salt
         if test_salt is not None:
             u = open_uniform(list(by), test_salt + part)
         else:
-            u = _secure_uniform((F.col("true") + len(part)).cast("double"))
+            u = secure_uniform(F.col("true") + len(part))
         return F.floor(F.log(u) / F.lit(math.log(alpha)))
 
     return totals.withColumn("noisy", F.col("true") + draw("a") - draw("bb"))

@@ -1,0 +1,188 @@
+"""Listener profiles: a synthetic person table made in parallel from a catalogue.
+
+Every value of a profile is drawn from hashes of its id, so any executor can make any
+row. Genre traits and artist pools come from the catalogue table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import hashing as h
+from ..functions.scalars import birth_date, clip_int, first_item, logistic, set_fingerprint
+from .sampling import rank_by_hash
+
+# Countries with their share of users.
+COUNTRY_WEIGHTS = {
+    "España": 0.06, "México": 0.09, "Argentina": 0.05, "Colombia": 0.05, "Chile": 0.03,
+    "Estados Unidos": 0.10, "Brasil": 0.08, "Reino Unido": 0.06, "Francia": 0.05, "Alemania": 0.06,
+    "Italia": 0.04, "Japón": 0.05, "Corea del Sur": 0.03, "India": 0.05, "Nigeria": 0.03,
+    "Suecia": 0.02, "Canadá": 0.03, "Australia": 0.02, "Países Bajos": 0.03, "Portugal": 0.02,
+}
+
+# The genres each country prefers.
+COUNTRY_GENRES = {
+    "España": ["spanish", "reggaeton", "pop", "salsa"],
+    "México": ["latino", "reggaeton", "salsa", "latin"],
+    "Argentina": ["tango", "latin", "rock", "reggaeton"],
+    "Colombia": ["reggaeton", "salsa", "latino", "dancehall"],
+    "Chile": ["latin", "reggaeton", "indie", "pop"],
+    "Estados Unidos": ["hip-hop", "pop", "country", "r-n-b"],
+    "Brasil": ["brazil", "samba", "mpb", "sertanejo"],
+    "Reino Unido": ["british", "rock", "indie", "punk"],
+    "Francia": ["french", "house", "electronic", "disco"],
+    "Alemania": ["german", "techno", "minimal-techno", "trance"],
+    "Italia": ["opera", "pop", "classical", "disco"],
+    "Japón": ["j-pop", "j-rock", "anime", "j-idol"],
+    "Corea del Sur": ["k-pop", "pop", "r-n-b", "dance"],
+    "India": ["indian", "world-music", "pop", "romance"],
+    "Nigeria": ["afrobeat", "dancehall", "reggae", "world-music"],
+    "Suecia": ["swedish", "synth-pop", "edm", "house"],
+    "Canadá": ["pop", "rock", "hip-hop", "country"],
+    "Australia": ["rock", "alt-rock", "indie", "pop"],
+    "Países Bajos": ["trance", "hardstyle", "house", "techno"],
+    "Portugal": ["pop", "world-music", "rock", "romance"],
+}
+
+# Shape of the draws, and the weights of the premium score.
+FAVOURITE_BOOST = 12.0
+ZIPF_EXPONENT, ZIPF_CAP = 2.2, 5000
+PREMIUM = {"base": -2.75, "minutes": 0.95, "energy": 0.55, "age": 0.45, "artists": 0.30, "female": 0.15}
+REFERENCE_DATE = "2026-01-01"
+
+
+def genre_traits(catalogue: DataFrame) -> DataFrame:
+    """Mean and sample deviation of the traits, and the number of rows, per genre."""
+    return catalogue.groupBy("track_genre").agg(
+        F.count("*").alias("pool_rows"),
+        F.avg("energy").alias("e_mean"),
+        F.stddev_samp("energy").alias("e_std"),
+        F.avg("valence").alias("v_mean"),
+        F.stddev_samp("valence").alias("v_std"),
+    )
+
+
+def _shares(weights: Sequence[float]) -> Column:
+    return F.array(*[F.lit(x) for x in h.cumulative_shares(weights)]).cast("array<double>")
+
+
+def _pick(u: Column, names: Sequence[str], shares: Column) -> Column:
+    return F.try_element_at(F.array(*[F.lit(n) for n in names]), h.drawn_index(u, shares) + 1)
+
+
+def _taste_shares(genres: Sequence[str], tastes: Mapping[str, Sequence[str]]) -> Column:
+    """Country -> cumulative genre shares: weight 1, or 1 + boost where the country prefers it."""
+    pairs = []
+    for name, liked in tastes.items():
+        pairs += [F.lit(name), _shares([1.0 + FAVOURITE_BOOST * list(liked).count(g) for g in genres])]
+    return F.create_map(*pairs)
+
+
+def _zipf(u: Column) -> Column:
+    """Zipf draw by its inverse distribution: the Pareto tail, cut at the cap.
+
+    Below ten the exact cumulative shares are compared; above, the tail's integral.
+    """
+    a = ZIPF_EXPONENT
+    zeta = sum(k**-a for k in range(1, 200_000)) + 200_000 ** (1 - a) / (a - 1)
+    out, below = F.lit(1), 0.0
+    for k in range(1, 10):
+        below += k**-a / zeta
+        out = F.when(u >= below, k + 1).otherwise(out)
+    # P(X > x) is near (x + 1/2)^(1-a) / ((a - 1) zeta)
+    tail = F.floor(F.pow((1.0 - u) * ((a - 1) * zeta), F.lit(1 / (1 - a))) + 0.5)
+    return F.least(F.when(u >= below, F.greatest(tail, F.lit(10))).otherwise(out), F.lit(ZIPF_CAP)).cast("int")
+
+
+def generate_profiles(
+    ids: DataFrame,
+    catalogue: DataFrame,
+    salt: str = "42",
+    weights: Mapping[str, float] = COUNTRY_WEIGHTS,
+    tastes: Mapping[str, Sequence[str]] = COUNTRY_GENRES,
+) -> DataFrame:
+    """One profile per row of `ids` (a column `id`), from (track_genre, artists, energy, valence)."""
+    traits = genre_traits(catalogue)
+    genres = [r[0] for r in traits.select("track_genre").orderBy("track_genre").collect()]  # the label set
+    places = {c: 10000 + 500 * i for i, c in enumerate(weights)}
+
+    # all draws first, each hashed once; later columns refer to them by name
+    draws = ("country", "sex", "post", "genre", "follows", "day", "premium")
+    people = ids.select(
+        "id",
+        *[h.uniform("id", f"{salt}-{d}").alias(f"u_{d}") for d in draws],
+        h.erlang("id", f"{salt}-age", 7, 6.0).alias("g_age"),
+        h.erlang("id", f"{salt}-minutes", 2, 45.0).alias("g_minutes"),
+        h.erlang("id", f"{salt}-artists", 4, 10.0).alias("g_artists"),
+        h.normal("id", f"{salt}-energy").alias("z_energy"),
+        h.normal("id", f"{salt}-valence").alias("z_valence"),
+    )
+    people = people.withColumn("pais", _pick(F.col("u_country"), list(weights), _shares(list(weights.values()))))
+    first_post = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
+    taste = F.try_element_at(_taste_shares(genres, tastes), F.col("pais"))
+    people = people.select(
+        "*",
+        F.when(F.col("u_sex") < 0.5, "M").otherwise("F").alias("sexo"),
+        (F.try_element_at(first_post, F.col("pais")) + F.floor(F.col("u_post") * 6)).cast("long").alias("cp"),
+        clip_int(F.col("g_age"), 0, 99).alias("edad"),
+        _pick(F.col("u_genre"), genres, taste).alias("genero_top"),
+        F.least(F.greatest("g_minutes", F.lit(0.0)), F.lit(600.0)).alias("__minutes"),
+        clip_int(F.col("g_artists"), 3, 300).alias("n_artistas"),
+        _zipf(F.col("u_follows")).alias("sigue_a"),
+    )
+    # one row per genre: the label set was listed above, so this table is as small
+    looked = people.join(F.broadcast(traits), people["genero_top"] == traits["track_genre"], "left").drop("track_genre")
+
+    def trait(mean: str, std: str, name: str) -> Column:
+        drawn = F.col(mean) + 0.5 * F.coalesce(std, F.lit(0.0)) * F.col(name)
+        return F.least(F.greatest(drawn, F.lit(0.0)), F.lit(1.0))
+
+    looked = looked.withColumns({"__e": trait("e_mean", "e_std", "z_energy"), "__v": trait("v_mean", "v_std", "z_valence")})
+    z = (
+        F.lit(PREMIUM["base"])
+        + PREMIUM["minutes"] * (F.col("__minutes") - 90) / 60
+        + PREMIUM["energy"] * (F.col("__e") - 0.5)
+        + PREMIUM["age"] * (F.col("edad") - 35) / 20
+        + PREMIUM["artists"] * (F.col("n_artistas") - 40) / 40
+        + PREMIUM["female"] * (F.col("sexo") == "F").cast("int")
+    )
+    days = F.col("edad") * 365 + F.floor(F.col("u_day") * 365)
+    rows = looked.select(
+        "id",
+        birth_date(REFERENCE_DATE, days).alias("fecha_nac"),
+        "edad", "sexo", "pais", "cp", "genero_top",
+        F.bround("__e", 3).alias("energia_media"),
+        F.bround("__v", 3).alias("valence_media"),
+        F.col("__minutes").cast("int").alias("minutos_dia"),
+        "n_artistas", "sigue_a",
+        (F.col("u_premium") < logistic(z)).cast("int").alias("premium"),
+        "pool_rows",
+    )
+    prints = listening_fingerprints(rows, catalogue, salt)
+    full = rows.join(prints, "id", "left")
+    return full.select(
+        "id", "fecha_nac", "edad", "sexo", "pais", "cp", "genero_top", "energia_media", "valence_media",
+        "minutos_dia", "n_artistas", "sigue_a", "huella_top50", "premium",
+    )
+
+
+def listening_fingerprints(people: DataFrame, catalogue: DataFrame, salt: str) -> DataFrame:
+    """Fingerprint of 5 to 50 artists drawn, with replacement, from the person's genre.
+
+    The pool is the genre's rows numbered by hash; a draw is a join on (genre, number), which
+    is spread evenly over the pool. A person's set has at most 50 names.
+    """
+    pool = catalogue.withColumn("artist", first_item("artists", ";"))
+    pool = rank_by_hash(pool, ["track_id", "track_genre"], f"{salt}-pool", "__n", by=["track_genre"])
+    pool = pool.select(F.col("track_genre").alias("genero_top"), (F.col("__n") - 1).alias("__i"), "artist")
+    many = F.least(F.greatest("n_artistas", F.lit(5)), F.lit(50))
+    draws = people.select(
+        "id", "genero_top", "pool_rows", F.explode(F.sequence(F.lit(1), many)).alias("__draw")
+    )
+    place = F.floor(h.uniform(["id", "__draw"], f"{salt}-top") * F.col("pool_rows")).cast("long")
+    taken = draws.withColumn("__i", place).join(pool, ["genero_top", "__i"])
+    sets = taken.groupBy("id").agg(F.collect_set("artist").alias("top"))
+    return sets.select("id", set_fingerprint("top").alias("huella_top50"))

@@ -1,0 +1,83 @@
+"""Streaming forms, run over the whole tables with availableNow and compared with batch results."""
+
+from pyspark.sql import functions as F
+
+from ...operators.quality import Contract, Rule
+from ...session import scratch_path
+from ...streaming import runs
+from ..registry import Tables, query
+
+
+def event_files(t: Tables) -> str:
+    """The events out of order: shuffled by hash into several files."""
+    path = scratch_path(t.spark, "event-files")
+    t.events.repartition(6, F.md5(F.col("event_id").cast("string"))).write.parquet(path)
+    return path
+
+
+def stream(t: Tables):
+    return runs.open_stream(t.spark, event_files(t), t.events.schema, files_per_batch=2)
+
+
+
+
+@query(
+    "r1_tumbling_windows",
+    """SELECT date_trunc('day', ts) AS start, date_trunc('day', ts) + INTERVAL 1 DAY AS "end", count(*) AS n,
+              round(avg(value), 6) AS mean FROM events GROUP BY ALL""",
+)
+def r1(t: Tables):
+    out = runs.windowed_run(stream(t), "ts", "40 days", "1 day", n=F.count("*"), mean=F.round(F.avg("value"), 6))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query(
+    "r1b_sliding_windows",
+    """SELECT s AS start, s + INTERVAL 7 DAY AS "end", count(*) AS n, round(avg(value), 6) AS mean FROM
+       (SELECT value, date_trunc('day', ts) - to_days(CAST(unnest(range(7)) AS INTEGER)) AS s FROM events) GROUP BY s""",
+)
+def r1b(t: Tables):
+    out = runs.windowed_run(stream(t), "ts", "40 days", "7 days", "1 day", n=F.count("*"), mean=F.round(F.avg("value"), 6))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query(
+    "r2_contract_per_micro_batch",
+    """SELECT CASE WHEN value > 60 AND event_type NOT IN ('click', 'view', 'error') THEN 2
+                   WHEN value > 60 OR event_type NOT IN ('click', 'view', 'error') THEN 1 ELSE 0 END AS reasons,
+              count(*) AS n FROM events GROUP BY reasons""",
+)
+def r2(t: Tables):
+    contract = Contract([Rule("value", high=60), Rule("event_type", allowed=["click", "view", "error"])])
+    good, bad = runs.contract_run(stream(t), contract)
+    kinds = bad.select(F.size("reasons").alias("reasons")).unionByName(good.select(F.lit(0).alias("reasons")))
+    return kinds.groupBy("reasons").agg(F.count("*").alias("n"))
+
+
+@query("r3_streaming_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
+def r3(t: Tables):
+    return runs.dedupe_run(stream(t), ["user_id", "event_type"], "ts", "40 days").select("user_id", "event_type")
+
+
+def _window_psi_sql() -> str:
+    edges = ", ".join(f"quantile_cont(value, {i / 10})" for i in range(11))
+    number = " + ".join(["CAST(value >= e[1] - 1e-6 AS INTEGER)"] + [f"CAST(value >= e[{i + 1}] AS INTEGER)" for i in range(1, 10)])
+    return f"""WITH e AS (SELECT [{edges}] AS e FROM events WHERE event_type = 'click'),
+      b AS (SELECT date_trunc('day', ts) AS d, event_type, CASE WHEN value >= e[1] - 1e-6 AND value <= e[11] + 1e-6
+            THEN {number} - 1 END AS bin FROM events, e),
+      base AS (SELECT bin, count(*) AS c, sum(count(*)) OVER () AS tot FROM b WHERE event_type = 'click' GROUP BY bin),
+      days AS (SELECT d, count(*) AS tot FROM b GROUP BY d),
+      new AS (SELECT d, bin, count(*) AS c FROM b GROUP BY d, bin)
+      SELECT days.d AS start, days.d + INTERVAL 1 DAY AS "end", max(days.tot) AS n_new, round(sum((n - s) * ln(n / s)), 6) AS psi
+      FROM (SELECT days.d AS d, i, greatest(coalesce(new.c, 0) / days.tot::DOUBLE, 1e-6) AS n,
+              greatest(coalesce(base.c, 0) / (SELECT max(tot) FROM base)::DOUBLE, 1e-6) AS s
+            FROM days, (SELECT unnest(range(10)) AS i) LEFT JOIN base ON base.bin = i LEFT JOIN new ON new.d = days.d AND new.bin = i) x
+      JOIN days ON days.d = x.d GROUP BY days.d"""
+
+
+@query("r4_windowed_stability_index", _window_psi_sql())
+def r4(t: Tables):
+    base = t.events.where(F.col("event_type") == "click")
+    out = runs.drift_run(stream(t), base, "value", "ts", "40 days", "1 day")
+    out = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+    return out.withColumn("psi", F.round("psi", 6))
