@@ -1,0 +1,552 @@
+"""Splits, models, scores and model inspection."""
+
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ...functions.hashing import uniform
+from ...models import explain, learners, linear, metrics, prepare, validate
+from ...operators import fairness, privacy, sampling
+from ...session import written
+from ..registry import Tables, md5_sql, query, uniform_sql
+from .privacy import profiles
+from .statistics import SCORED_SQL, scored
+
+# ---- splits -----------------------------------------------------------------------------------------
+
+
+def _sizes_sql(share: str, name: str) -> str:
+    """Rows per stratum by largest remainder."""
+    return f"""{name} AS (SELECT s, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, s) <= target - sum(base) OVER ()
+        THEN 1 ELSE 0 END AS size FROM (SELECT s, floor(n * {share})::BIGINT AS base, round(n * {share} - floor(n * {share}), 9)
+        AS rest, ceil(round(sum(n) OVER () * {share}, 9))::BIGINT AS target FROM c))"""
+
+
+def _strata_sql(salt: str) -> str:
+    return f"""r AS (SELECT o_orderkey, o_orderstatus AS s, row_number() OVER (PARTITION BY o_orderstatus ORDER BY
+        {md5_sql(salt, 'o_orderkey')}) AS k FROM orders), c AS (SELECT s, count(*) AS n FROM r GROUP BY s)"""
+
+
+@query(
+    "m1_train_test_split",
+    f"""SELECT o_orderkey, row_number() OVER (ORDER BY {md5_sql('2026', 'o_orderkey')}) <=
+        (SELECT ceil(round(count(*) * 0.2, 9)) FROM orders) AS is_test FROM orders""",
+)
+def m1(t: Tables):
+    return sampling.split_train_test(t.orders, "o_orderkey", 0.2, "2026").select("o_orderkey", "is_test")
+
+
+@query(
+    "m1b_stratified_split",
+    f"""WITH {_strata_sql('2026')}, {_sizes_sql('0.2::DOUBLE', 'z')}
+        SELECT o_orderkey, s AS o_orderstatus, k <= size AS is_test FROM r JOIN z USING (s)""",
+)
+def m1b(t: Tables):
+    out = sampling.split_train_test(t.orders, "o_orderkey", 0.2, "2026", ["o_orderstatus"])
+    return out.select("o_orderkey", "o_orderstatus", "is_test")
+
+
+@query(
+    "m2_exact_count_split",
+    f"""WITH {_strata_sql('42')}, t AS (SELECT sum(n) AS n FROM c),
+        {_sizes_sql("((SELECT n // 10 FROM t) / (SELECT n FROM t)::DOUBLE)", 'a')},
+        {_sizes_sql("((SELECT n // 10 + n // 3 FROM t) / (SELECT n FROM t)::DOUBLE)", 'b')}
+        SELECT o_orderkey, CASE WHEN k <= a.size THEN 'train' WHEN k <= b.size THEN 'test' ELSE 'rest' END AS part
+        FROM r JOIN a USING (s) JOIN b USING (s)""",
+)
+def m2(t: Tables):
+    n = t.orders.count()
+    out = sampling.split_counts(t.orders, "o_orderkey", n // 10, n // 3, "42", ["o_orderstatus"])
+    return out.select("o_orderkey", "part")
+
+
+@query(
+    "m3_stratified_folds",
+    f"""WITH {_strata_sql('folds')} SELECT o_orderkey, CAST((k - 1) % 5 AS INTEGER) AS fold FROM r""",
+)
+def m3(t: Tables):
+    return sampling.assign_folds(t.orders, "o_orderkey", 5, "folds", ["o_orderstatus"]).select("o_orderkey", "fold")
+
+
+# ---- data the models learn from ---------------------------------------------------------------------
+
+# character classes whose share of the whole text is a feature
+CHARACTERS = {
+    "f_a": "aA", "f_e": "eE", "f_i": "iI", "f_o": "oO", "f_u": "uU", "f_grave": "éèêçàÉÈÊÇÀ", "f_umlaut": "äöüßÄÖÜ",
+    "f_acute": "ñáíóúÑÁÍÓÚ", "f_th": "hHtT", "f_kw": "kKwW",
+}
+
+
+def text_features(t: Tables) -> DataFrame:
+    """Ten character shares per document, over whole texts."""
+    size = F.char_length("text")
+    shares = [
+        F.coalesce(F.try_divide(size - F.char_length(F.translate("text", chars, "")), size), F.lit(0.0)).alias(name)
+        for name, chars in CHARACTERS.items()
+    ]
+    return t.documents.select("doc_id", "lang", "source", *shares)
+
+
+def language_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Documents with their language as class number: (train, test), written once and read by every pass."""
+    df = text_features(t)
+    df = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(df).transform(df)
+    split = written(sampling.split_train_test(df, "doc_id", 0.2, "2026", ["lang"]), "features")
+    return split.where(~F.col("is_test")), split.where("is_test")
+
+
+NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LABELS = list(CHARACTERS)
+
+
+def revenue_rows(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Line items with their net price in thousands as target: (train, test)."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 1000
+    df = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *NUMBERS,
+                           "l_returnflag", "l_linestatus", net.alias("net"))
+    marked = written(
+        df.withColumn("is_test", uniform(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "2026") < 0.2), "lines"
+    )
+    return marked.where(~F.col("is_test")), marked.where("is_test")
+
+
+def _classified(model, test: DataFrame) -> DataFrame:
+    return metrics.classification_scores(model.transform(test), "label", "prediction")
+
+
+# ---- cross-validation and search ----------------------------------------------------------------------
+
+
+@query("m4_cross_validated_score")
+def m4(t: Tables):
+    train, _ = revenue_rows(t)
+    folded = train.withColumn(
+        "fold", F.floor(uniform(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "cv") * 5).cast("int")
+    )
+    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS), learners.linear("net")])
+    mean, std = validate.cross_validate(learner, written(folded, "folds"), "fold", 5, RegressionEvaluator(labelCol="net", metricName="mae"))
+    return train.agg(F.count("*").alias("rows"), F.lit(mean).alias("mae"), F.lit(std).alias("std"))
+
+
+@query("m5_grid_search")
+def m5(t: Tables):
+    train, test = language_rows(t)
+    folded = written(sampling.assign_folds(train.drop("is_test"), "doc_id", 3, "grid", ["lang"]), "folds")
+    forest = learners.forest_classifier("label", trees=10, depth=5)
+    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), forest])
+    grid = {forest.featureSubsetStrategy: ["0.3", "0.6"], forest.minInstancesPerNode: [1, 5]}
+    fitted = validate.search(learner, folded, grid, "fold", 3, metrics.MacroF1())
+    table = validate.search_table(fitted, train)
+    return table.withColumn("test_f1", _classified(fitted.bestModel, test).select("macro_f1").scalar())
+
+
+# ---- preparation ---------------------------------------------------------------------------------------
+
+
+@query(
+    "m6_population_scaler",
+    f"""WITH p AS (SELECT *, {uniform_sql('2026', 'p_partkey')} < 0.3 AS is_test FROM part),
+        f AS (SELECT avg(p_size) AS a, stddev_pop(p_size) AS b, avg(p_retailprice) AS c, stddev_pop(p_retailprice) AS d
+              FROM p WHERE NOT is_test)
+        SELECT p_partkey, round((p_size - a) / b, 6) AS z_p_size, round((p_retailprice - c) / d, 6) AS z_p_retailprice
+        FROM p, f WHERE is_test""",
+)
+def m6(t: Tables):
+    marked = t.part.withColumn("is_test", uniform("p_partkey", "2026") < 0.3)
+    _, test = prepare.scale_numbers(marked.where(~F.col("is_test")), marked.where("is_test"), ["p_size", "p_retailprice"])
+    return test.select("p_partkey", *[F.round(c, 6).alias(c) for c in ("z_p_size", "z_p_retailprice")])
+
+
+@query(
+    "m7_one_hot_unknown_is_zero",
+    """SELECT p_type, count(*) AS n, CASE WHEN p_type <> 'PROMO' THEN 1 ELSE 0 END AS ones FROM part GROUP BY p_type""",
+)
+def m7(t: Tables):
+    coded = prepare.columns_to_features(categories=["p_type"]).fit(t.part.where("p_type <> 'PROMO'")).transform(t.part)
+    ones = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return coded.groupBy("p_type").agg(F.count("*").alias("n"), F.max(ones).cast("int").alias("ones"))
+
+
+@query("m8_preprocessing_with_names")
+def m8(t: Tables):
+    ready = prepare.columns_to_features(["p_size", "p_retailprice"], ["p_type", "p_brand"]).fit(t.part).transform(t.part)
+    values = ready.select(F.posexplode(vector_to_array("features")).alias("place", "value"))
+    names = t.spark.createDataFrame(list(enumerate(prepare.feature_names(ready))), "place int, feature string")
+    sums = values.groupBy("place").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    return names.join(sums, "place")
+
+
+@query("m9_preprocessing_and_model")
+def m9(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[
+        prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]),
+        learners.forest_regressor("net", trees=5, depth=6),
+    ])
+    return validate.evaluate(learner, train, test, "net")
+
+
+# ---- linear models ----------------------------------------------------------------------------------------
+
+
+@query(
+    "m10_least_squares_line",
+    """SELECT round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept,
+              round(regr_slope(l_extendedprice, l_quantity), 4) AS slope FROM lineitem""",
+)
+def m10(t: Tables):
+    model = linear.least_squares(t.lineitem, ["l_quantity"], "l_extendedprice")
+    terms = model.table(t.lineitem)
+    return terms.agg(
+        F.round(F.max(F.when(F.col("term") == "(intercept)", F.col("coefficient"))), 4).alias("intercept"),
+        F.round(F.max(F.when(F.col("term") == "l_quantity", F.col("coefficient"))), 4).alias("slope"),
+    )
+
+
+@query("m10b_least_squares_many_features")
+def m10b(t: Tables):
+    train, test = revenue_rows(t)
+    model = linear.least_squares(train, NUMBERS, "net")
+    return metrics.regression_scores(model.transform(test), "net", "prediction")
+
+
+@query("m11_gradient_descent_curve")
+def m11(t: Tables):
+    train, _ = revenue_rows(t)
+    return linear.gradient_descent(train, NUMBERS, "net")[1]
+
+
+@query("m12_polynomial_degrees")
+def m12(t: Tables):
+    train, test = revenue_rows(t)
+    rows = {
+        f"degree {d}": validate.evaluate(Pipeline(stages=[prepare.polynomial(NUMBERS, d), learners.linear("net")]), train, test, "net")
+        for d in (1, 2, 3)
+    }
+    return validate.ladder(rows)
+
+
+@query("m13_ridge")
+def m13(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS, scaled=False), learners.ridge(train, "net", 10.0)])
+    return validate.evaluate(learner, train, test, "net")
+
+
+@query("m14_lasso")
+def m14(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS), learners.lasso("net", 0.8)])
+    return validate.evaluate(learner, train, test, "net")
+
+
+@query("m15_logistic_multinomial")
+def m15(t: Tables):
+    train, test = language_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.logistic(train, "label", max_iter=100)])
+    return _classified(learner.fit(train), test)
+
+
+# ---- trees and nets -----------------------------------------------------------------------------------------
+
+
+@query("m16_decision_tree")
+def m16(t: Tables):
+    train, test = revenue_rows(t)
+    ready = prepare.columns_to_features(NUMBERS, scaled=False)
+    rows = {
+        f"depth {d}": validate.evaluate(Pipeline(stages=[ready, learners.tree_regressor("net", d)]), train, test, "net")
+        for d in (5, 10)
+    }
+    return validate.ladder(rows)
+
+
+@query("m17_random_forest_classifier")
+def m17(t: Tables):
+    train, test = language_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", trees=30, depth=8)])
+    return _classified(learner.fit(train), test)
+
+
+@query("m17b_random_forest_regressor")
+def m17b(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[
+        prepare.columns_to_features(NUMBERS, scaled=False), learners.forest_regressor("net", trees=10, min_leaf=5, depth=8)
+    ])
+    return validate.evaluate(learner, train, test, "net")
+
+
+@query("m18_boosting_many_classes")
+def m18(t: Tables):
+    train, test = language_rows(t)
+    learner = Pipeline(stages=[
+        prepare.columns_to_features(LABELS), learners.boosting_classifier("label", 4, rounds=5, depth=3, min_leaf=2)
+    ])
+    return _classified(learner.fit(train), test)
+
+
+@query("m18b_boosting_regression")
+def m18b(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS, scaled=False), learners.boosting_regressor("net", rounds=10)])
+    return validate.evaluate(learner, train, test, "net")
+
+
+@query("m19_boosting_on_categories")
+def m19(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[
+        prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"], scaled=False, one_hot=False),
+        learners.boosting_regressor("net", rounds=5, maxBins=32),
+    ])
+    return validate.evaluate(learner, train, test, "net")
+
+
+@query("m20_feed_forward_net_curve")
+def m20(t: Tables):
+    train, test = language_rows(t)
+    ready = prepare.columns_to_features(LABELS).fit(train)
+    curve = learners.perceptron_curve(ready.transform(train), "label", [len(LABELS), 32, 16, 4], (10, 20, 40))
+    scored_test = ready.transform(test)
+    return validate.ladder({f"{upto} iterations": _classified(m, scored_test) for upto, m in curve})
+
+
+# ---- baselines -------------------------------------------------------------------------------------------------
+
+
+@query(
+    "m21_mean_baseline",
+    f"""WITH o AS (SELECT *, {uniform_sql('2026', 'o_orderkey')} < 0.2 AS is_test FROM orders)
+        SELECT count(*) AS rows, round(avg(abs(o_totalprice - m)), 4) AS mae,
+               round(1 - avg(pow(o_totalprice - m, 2)) / var_pop(o_totalprice), 8) + 0.0 AS r2
+        FROM o, (SELECT avg(o_totalprice) AS m FROM o WHERE NOT is_test) WHERE is_test""",
+)
+def m21(t: Tables):
+    marked = t.orders.withColumn("is_test", uniform("o_orderkey", "2026") < 0.2)
+    out = validate.evaluate(validate.MeanBaseline("o_totalprice"), marked.where(~F.col("is_test")), marked.where("is_test"), "o_totalprice")
+    return out.select("rows", F.round("mae", 4).alias("mae"), (F.round("r2", 8) + 0.0).alias("r2"))
+
+
+@query(
+    "m22_majority_baseline",
+    f"""WITH o AS (SELECT *, {uniform_sql('2026', 'o_orderkey')} < 0.2 AS is_test FROM orders),
+        w AS (SELECT o_orderstatus AS s FROM o WHERE NOT is_test GROUP BY s ORDER BY count(*) DESC, s LIMIT 1)
+        SELECT count(*) AS rows, max(s) AS guess, round(avg(CASE WHEN o_orderstatus = s THEN 1.0 ELSE 0.0 END), 8) AS accuracy
+        FROM o, w WHERE is_test""",
+)
+def m22(t: Tables):
+    marked = t.orders.withColumn("is_test", uniform("o_orderkey", "2026") < 0.2)
+    model = validate.MajorityBaseline("o_orderstatus").fit(marked.where(~F.col("is_test")))
+    scored_test = model.transform(marked.where("is_test"))
+    accuracy = metrics.classification_scores(scored_test, "o_orderstatus", "prediction").select("rows", "accuracy")
+    return accuracy.select("rows", F.lit(model.label).alias("guess"), F.round("accuracy", 8).alias("accuracy"))
+
+
+@query(
+    "m23_group_mean_baseline",
+    f"""WITH l AS (SELECT *, {uniform_sql('2026', 'o_orderkey')} < 0.5 AS is_test FROM orders),
+        g AS (SELECT o_custkey, avg(o_totalprice) AS m FROM l WHERE NOT is_test GROUP BY o_custkey),
+        p AS (SELECT o_totalprice AS y, coalesce(m, (SELECT avg(o_totalprice) FROM l WHERE NOT is_test)) AS q
+              FROM l LEFT JOIN g USING (o_custkey) WHERE is_test)
+        SELECT count(*) AS rows, round(avg(abs(y - q)), 4) AS mae, round(1 - avg(pow(y - q, 2)) / var_pop(y), 8) AS r2 FROM p""",
+)
+def m23(t: Tables):
+    marked = t.orders.withColumn("is_test", uniform("o_orderkey", "2026") < 0.5)
+    learner = validate.GroupMeanBaseline("o_totalprice", ["o_custkey"])
+    out = validate.evaluate(learner, marked.where(~F.col("is_test")), marked.where("is_test"), "o_totalprice")
+    return out.select("rows", F.round("mae", 4).alias("mae"), F.round("r2", 8).alias("r2"))
+
+
+# ---- scores ------------------------------------------------------------------------------------------------------
+
+
+@query(
+    "m24_regression_scores",
+    """SELECT count(*) AS rows, round(avg(abs(l_extendedprice - l_quantity * 2000)), 4) AS mae,
+              round(1 - avg(pow(l_extendedprice - l_quantity * 2000, 2)) / var_pop(l_extendedprice), 8) AS r2 FROM lineitem""",
+)
+def m24(t: Tables):
+    out = metrics.regression_scores(t.lineitem.withColumn("guess", F.col("l_quantity") * 2000), "l_extendedprice", "guess")
+    return out.select("rows", F.round("mae", 4).alias("mae"), F.round("r2", 8).alias("r2"))
+
+
+GUESS_SQL = """p AS (SELECT o_orderstatus AS t, CASE WHEN o_totalprice > 300000 THEN 'F' WHEN o_totalprice > 150000 THEN 'O'
+               ELSE 'P' END AS g FROM orders),
+    r AS (SELECT label, count(*) FILTER (WHERE t = label AND g = label)::DOUBLE AS hit, count(*) FILTER (WHERE g = label) AS guessed,
+          count(*) FILTER (WHERE t = label) AS support FROM p, (VALUES ('F'), ('O'), ('P')) AS v(label) GROUP BY label)"""
+
+
+def guessed(t: Tables) -> DataFrame:
+    price = F.col("o_totalprice")
+    return t.orders.select("o_orderstatus", F.when(price > 300000, "F").when(price > 150000, "O").otherwise("P").alias("guess"))
+
+
+@query(
+    "m25_accuracy_and_macro_f1",
+    f"""WITH {GUESS_SQL} SELECT sum(support)::BIGINT AS rows, round(sum(hit) / sum(support), 8) AS accuracy,
+        round(avg(2 * hit / (guessed + support)), 8) AS macro_f1 FROM r""",
+)
+def m25(t: Tables):
+    out = metrics.classification_scores(guessed(t), "o_orderstatus", "guess")
+    return out.withColumns({c: F.round(c, 8) for c in ("accuracy", "macro_f1")})
+
+
+@query(
+    "m26_report_per_class",
+    f"""WITH {GUESS_SQL} SELECT label, round(hit / guessed, 8) AS precision, round(hit / support, 8) AS recall,
+        round(2 * hit / (guessed + support), 8) AS f1, support FROM r""",
+)
+def m26(t: Tables):
+    out = metrics.class_report(guessed(t), "o_orderstatus", "guess")
+    return out.withColumns({c: F.round(c, 8) for c in ("precision", "recall", "f1")})
+
+
+@query(
+    "m27_confusion_matrix",
+    f"""WITH {GUESS_SQL}, l AS (SELECT * FROM (VALUES (0, 'P'), (1, 'O'), (2, 'F'), (3, 'X')) AS v(i, x))
+        SELECT a.i AS truth_rank, b.i AS guess_rank, a.x AS truth, b.x AS guess, count(p.t) AS n,
+               round(coalesce(count(p.t) / nullif((SELECT count(*) FROM p WHERE t = a.x), 0)::DOUBLE, 0), 8) AS share
+        FROM l a CROSS JOIN l b LEFT JOIN p ON p.t = a.x AND p.g = b.x GROUP BY a.i, b.i, a.x, b.x""",
+)
+def m27(t: Tables):
+    return metrics.confusion(guessed(t), "o_orderstatus", "guess", ["P", "O", "F", "X"]).withColumn("share", F.round("share", 8))
+
+
+# ---- inspection ------------------------------------------------------------------------------------------------
+
+
+@query("m28_permutation_importance")
+def m28(t: Tables):
+    train, test = language_rows(t)
+    model = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", trees=10, depth=6)]).fit(train)
+    return explain.permutation_importance(model, test, "doc_id", LABELS, explain.wrong("label"), repeats=10)
+
+
+@query("m29_impurity_importance")
+def m29(t: Tables):
+    train, _ = revenue_rows(t)
+    ready = prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]).fit(train).transform(train)
+    model = learners.forest_regressor("net", trees=5, depth=6).fit(ready)
+    entries = explain.impurity_importance(model, ready)
+    sums = explain.importance_by_source(entries)
+    return sums.orderBy(F.desc("importance")).limit(6)
+
+
+@query("m30_partial_dependence")
+def m30(t: Tables):
+    train, test = revenue_rows(t)
+    model = Pipeline(stages=[prepare.columns_to_features(NUMBERS, scaled=False), learners.tree_regressor("net", 6)]).fit(train)
+    return explain.partial_dependence(model, test, "l_extendedprice")
+
+
+@query(
+    "m31_area_under_curve",
+    f"""WITH {SCORED_SQL}, r AS (SELECT 1 - quality AS y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0
+        AS k FROM scored)
+        SELECT round((sum(k) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)), 8)::DOUBLE AS auc FROM r""",
+)
+def m31(t: Tables):
+    df = scored(t).withColumn("junk", 1 - F.col("quality"))
+    return metrics.auc(df, "junk", "score", buckets=8).withColumn("auc", F.round("auc", 8))
+
+
+@query(
+    "m31b_roc_curve",
+    f"""WITH {SCORED_SQL}, c AS (SELECT score, count(*) FILTER (WHERE quality = 0) AS p, count(*) FILTER (WHERE quality = 1) AS n
+        FROM scored GROUP BY score)
+        SELECT score AS threshold, round(sum(n) OVER w / (SELECT sum(n) FROM c)::DOUBLE, 8) AS fpr,
+               round(sum(p) OVER w / (SELECT sum(p) FROM c)::DOUBLE, 8) AS tpr FROM c WINDOW w AS (ORDER BY score DESC)""",
+)
+def m31b(t: Tables):
+    df = scored(t).withColumn("junk", 1 - F.col("quality"))
+    return metrics.roc_curve(df, "junk", "score").withColumns({c: F.round(c, 8) for c in ("fpr", "tpr")})
+
+
+@query("m32_model_ladder")
+def m32(t: Tables):
+    train, test = language_rows(t)
+    ready = prepare.columns_to_features(LABELS)
+    rows = {
+        "majority": _classified(validate.MajorityBaseline("label").fit(train), test),
+        "logistic": _classified(Pipeline(stages=[ready, learners.logistic(train, "label", max_iter=50)]).fit(train), test),
+        "tree": _classified(Pipeline(stages=[ready, learners.tree_classifier("label", 5)]).fit(train), test),
+        "forest": _classified(Pipeline(stages=[ready, learners.forest_classifier("label", trees=20, depth=6)]).fit(train), test),
+    }
+    return validate.ladder(rows)
+
+
+@query(
+    "m33_threshold_at_base_rate",
+    f"""WITH {SCORED_SQL}, r AS (SELECT score, row_number() OVER (ORDER BY score) - 1 AS k FROM scored),
+        p AS (SELECT (1 - avg(1.0 - quality)) * (count(*) - 1) AS place FROM scored)
+        SELECT round(max(score) FILTER (WHERE k = floor(place)) + (max(score) FILTER (WHERE k = ceil(place)) -
+               max(score) FILTER (WHERE k = floor(place))) * (max(place) - floor(max(place))), 6) AS threshold FROM r, p""",
+)
+def m33(t: Tables):
+    df = scored(t).withColumn("junk", 1 - F.col("quality"))
+    return fairness.base_rate_threshold(df, "score", "junk").select(F.round("threshold", 6).alias("threshold"))
+
+
+# ---- privacy audits that need models ------------------------------------------------------------------------------
+
+PEOPLE_NUMBERS = ["edad", "cp", "energia_media", "minutos_dia", "is_f"]
+
+
+def people_rows(t: Tables) -> DataFrame:
+    return written(profiles(t).withColumn("is_f", (F.col("sexo") == "F").cast("int")), "people")
+
+
+def _chance(model, df: DataFrame) -> DataFrame:
+    p = vector_to_array("probability")
+    return model.transform(df).withColumn("p_one", p[1]).withColumn("p_true", F.when(F.col("premium") == 1, p[1]).otherwise(p[0]))
+
+
+@query("v8_membership_audit")
+def v8(t: Tables):
+    df = people_rows(t)
+    n = df.count()
+    parts = written(sampling.split_counts(df, "id", n // 5, n // 2, "42", ["premium"]), "parts")
+    train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
+    ready = prepare.columns_to_features(PEOPLE_NUMBERS, scaled=False)
+    settings = {
+        "overfitted": learners.boosting_classifier("premium", 2, rounds=10, rate=0.3, depth=10, min_leaf=1),
+        "regularised": learners.boosting_classifier("premium", 2, rounds=5, depth=2, min_leaf=20),
+    }
+    rows = {}
+    for name, learner in settings.items():
+        both = _chance(Pipeline(stages=[ready, learner]).fit(train), train.unionByName(test))
+        both = both.withColumn("member", (F.col("part") == "train").cast("int"))
+        hit = (F.col("prediction") == F.col("premium")).cast("double")
+        gap = both.agg((F.avg(F.when(F.col("member") == 1, hit)) - F.avg(F.when(F.col("member") == 0, hit))).alias("gap"))
+        rows[name] = gap.withColumn("attack_auc", metrics.auc(both, "member", "p_true").scalar())
+    return validate.ladder(rows)
+
+
+@query("v10_synthetic_utility")
+def v10(t: Tables):
+    df = people_rows(t)
+    parts = sampling.split_train_test(df, "id", 0.3, "2026")
+    train, test = parts.where(~F.col("is_test")), parts.where("is_test")
+    made = privacy.synthesise_independent(df, "id", [[c] for c in [*PEOPLE_NUMBERS, "premium"]], "syn")
+    learner = Pipeline(stages=[
+        prepare.columns_to_features(PEOPLE_NUMBERS, scaled=False), learners.boosting_classifier("premium", 2, rounds=10, depth=3)
+    ])
+    rows = {}
+    for name, source in {"real": train, "synthetic": written(made, "synthetic")}.items():
+        rows[name] = metrics.auc(_chance(learner.fit(source), test), "premium", "p_one")
+    return validate.ladder(rows)
+
+
+@query("x3_duck_typed_learners")
+def x3(t: Tables):
+    train, test = revenue_rows(t)
+    rows = {
+        "mean": validate.evaluate(validate.MeanBaseline("net"), train, test, "net"),
+        "group mean": validate.evaluate(validate.GroupMeanBaseline("net", ["l_quantity"]), train, test, "net"),
+        "least squares": metrics.regression_scores(linear.least_squares(train, NUMBERS, "net").transform(test), "net", "prediction"),
+    }
+    return validate.ladder(rows)
