@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.tails import smirnov, t_two_sided
 from .distributions import correlation_with
-from .ordered import cumulate, exact_quantiles
+from .joins import attach_group_stats
+from .ordered import cumulate, cut_points, exact_quantiles, put_in_buckets
 
 Z95 = 1.96  # fixed value: the two-sided 95 % point used by the interval
 
@@ -57,20 +58,20 @@ def welch(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame
     return tested.withColumn("p", t_two_sided(F.col("t"), F.col("df")))
 
 
-def adjust_p(df: DataFrame, test: str, p: str, alpha: float = 0.05) -> DataFrame:
+def adjust_p(
+    df: DataFrame, test: str, p: str, alpha: float = 0.05, buckets: int | None = None
+) -> DataFrame:
     """Benjamini-Hochberg adjusted p and the Bonferroni verdict for a table of tests.
 
     Works on distinct p-values: adj(p) = min over q >= p of q * m / #(p <= q), whose
     running minimum is taken inside buckets plus the minimum of the buckets after.
     """
-    from .ordered import bucket_count, cut_points, put_in_buckets
-
-    counted = cumulate(df.select(test, p), p)
+    cuts = cut_points(df.select(p), p, buckets)
+    counted = cumulate(df.select(test, p), p, buckets=buckets)
     raw = counted.select(
-        p, F.col("total_n").alias("m"),
+        p, "n", F.col("total_n").alias("m"),
         (F.col(p) * F.col("total_n") / (F.col("before_n") + F.col("n"))).alias("raw"),
     )
-    cuts = cut_points(df.select(p), p, bucket_count(df))
     placed = put_in_buckets(raw, p, cuts, "__b")
     later_in = Window.partitionBy("__b").orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
     least = placed.groupBy("__b").agg(F.min("raw").alias("low"))
@@ -78,8 +79,8 @@ def adjust_p(df: DataFrame, test: str, p: str, alpha: float = 0.05) -> DataFrame
     bounds = F.broadcast(least.select("__b", F.min("low").over(after).alias("low_after")))
     table = placed.withColumn("low_in", F.min("raw").over(later_in)).join(bounds, "__b")
     adjusted = F.least(F.lit(1.0), F.col("low_in"), F.col("low_after"))
-    table = table.select(p, "m", adjusted.alias("p_adjusted"))
-    out = df.select(test, p).join(table, p)
+    table = table.select(p, "n", "m", adjusted.alias("p_adjusted"))
+    out = attach_group_stats(df.select(test, p), [p], table, "n", spread=[test])
     return out.select(
         test,
         p,

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .joins import join_null_safe
 
 MAX_BUCKETS = 2000
-SMALL_ROWS = 200_000  # up to this many rows one task may sort
+SMALL_ROWS = 1_000_000  # up to this many rows one task may sort
+BIG_ROWS = 100_000_000  # beyond this many rows a full shuffle costs more than reading again
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -44,11 +45,11 @@ def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[f
 def put_in_buckets(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
     """Number of the left-closed bucket [cut, next cut) that holds the value."""
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    cast = df.withColumn("__v", F.col(column).cast("double"))
+    cast = df.withColumn("__number", F.col(column).cast("double"))
     if len(splits) < 3:
-        return cast.withColumn(name, F.lit(0)).drop("__v")
-    placed = Bucketizer(splits=splits, inputCol="__v", outputCol="__raw_bucket", handleInvalid="keep")
-    return placed.transform(cast).withColumn(name, F.col("__raw_bucket").cast("int")).drop("__v", "__raw_bucket")
+        return cast.withColumn(name, F.lit(0)).drop("__number")
+    placed = Bucketizer(splits=splits, inputCol="__number", outputCol="__raw_bucket", handleInvalid="keep")
+    return placed.transform(cast).withColumn(name, F.col("__raw_bucket").cast("int")).drop("__number", "__raw_bucket")
 
 
 def _numeric_order(df: DataFrame, column: str) -> Column:
@@ -124,48 +125,134 @@ def cumulate(
     )
 
 
+def _place(p: float, n: Column) -> Column:
+    """0-based place of a quantile among n ordered values."""
+    return F.lit(float(p)) * (n - 1)
+
+
+def _blend(name: str, p: float, n: Column) -> Column:
+    lo, hi, place = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), _place(p, n)
+    return (lo + (hi - lo) * (place - F.floor(place))).alias(name)
+
+
+def _quantiles_by_rank(df: DataFrame, value: str, probs: Mapping[str, float], by: list[str], buckets: int) -> DataFrame:
+    """All distinct values counted and ranked: one shuffle of the distinct values."""
+    counted = cumulate(df, value, by=by, buckets=buckets)
+
+    def covering(rank: Column) -> Column:
+        hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
+        return F.max(F.when(hit, F.col(value).cast("double")))
+
+    picks = [F.max("total_n").alias("__n")]
+    for name, p in probs.items():
+        place = _place(p, F.col("total_n"))
+        picks += [covering(F.floor(place)).alias(f"__lo_{name}"), covering(F.ceil(place)).alias(f"__hi_{name}")]
+    found = counted.groupBy(*by).agg(*picks)
+    n = F.col("__n")
+    return found.select(*by, n.alias("n"), *[_blend(k, p, n) for k, p in probs.items()])
+
+
+def _quantiles_by_bracket(
+    df: DataFrame, value: str, probs: Mapping[str, float], by: list[str], accuracy: int, buckets: int
+) -> DataFrame | None:
+    """Sketch first, then rank only the rows near each quantile.
+
+    Spark's bounded-error sketch gives a bracket around every quantile. Rows below a
+    bracket are only counted; the few rows inside are ranked. Every rank is checked to
+    fall in its bracket. None if one doesn't, or if there are too many groups to hold
+    their brackets in a broadcast.
+    """
+    spark, margin = df.sparkSession, 2.0 / accuracy
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
+    ends = [max(p - margin, 0.0) for p in probs.values()] + [min(p + margin, 1.0) for p in probs.values()]
+    sketch = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("__v", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("__e"),
+    )
+    brackets = sketch.limit(MAX_GROUPS + 1).collect()  # a bounded number of small rows
+    if len(brackets) > MAX_GROUPS:
+        return None
+    table = F.broadcast(spark.createDataFrame(brackets, sketch.schema))
+    if by:
+        looked = join_null_safe(rows, table, by)
+    else:
+        n, e = brackets[0] if brackets else (0, None)
+        if not n:
+            return None
+        looked = rows.select("*", F.lit(n).alias("__n"), F.array(*[F.lit(x) for x in e]).alias("__e"))
+    k = len(probs)
+    low, high = [F.col("__e")[i] for i in range(k)], [F.col("__e")[k + i] for i in range(k)]
+    below = looked.groupBy(*by).agg(
+        F.array(*[F.count_if(F.col("__v") < lo) for lo in low]).alias("__below"), F.max("__n").alias("__n")
+    )
+    near = F.array(*[
+        F.when((F.col("__v") >= lo) & (F.col("__v") <= hi), F.lit(i)) for i, (lo, hi) in enumerate(zip(low, high, strict=True))
+    ])
+    inside = looked.select(*by, "__v", F.explode(F.array_compact(near)).alias("__q"))
+    ranked = cumulate(inside, "__v", by=[*by, "__q"], buckets=buckets)
+    if by:
+        ranked = join_null_safe(ranked, F.broadcast(below), by)  # as many rows as brackets
+    else:
+        counts = below.first()
+        ranked = ranked.select(
+            "*", F.array(*[F.lit(c) for c in counts["__below"]]).alias("__below"), F.lit(n).alias("__n")
+        )
+    before = F.col("before_n") + F.element_at("__below", F.col("__q") + 1)
+
+    def covering(i: int, rank: Column) -> Column:
+        hit = (F.col("__q") == i) & (before <= rank) & (rank < before + F.col("n"))
+        return F.max(F.when(hit, F.col("__v")))
+
+    picks = [F.max("__n").alias("__n")]
+    for i, (name, p) in enumerate(probs.items()):
+        place = _place(p, F.col("__n"))
+        picks += [covering(i, F.floor(place)).alias(f"__lo_{name}"), covering(i, F.ceil(place)).alias(f"__hi_{name}")]
+    n_col = F.col("__n")
+    found = ranked.groupBy(*by).agg(*picks)
+    found = found.select(*by, n_col.alias("n"), *[_blend(name, p, n_col) for name, p in probs.items()])
+    result = found.collect()  # at most MAX_GROUPS rows
+    if len(result) < len(brackets) or any(r[name] is None for r in result for name in probs):
+        return None
+    return spark.createDataFrame(result, found.schema)
+
+
+MAX_GROUPS = 1000  # groups whose brackets are broadcast
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probs: Mapping[str, float],
     by: Sequence[str] = (),
     buckets: int | None = None,
+    method: str = "auto",
+    accuracy: int = 1000,
 ) -> DataFrame:
     """Quantiles with linear interpolation, per group, exact at any size.
 
-    Built on `cumulate`: the value that covers a rank is picked from the counted
-    distinct values, so no task sees a whole group. Spark's percentile, which keeps a
-    group's distinct values in one task's memory, serves tables of at most SMALL_ROWS
-    rows. Returns (by, n, one column per prob).
+    'auto' counts the rows. Up to SMALL_ROWS it takes Spark's percentile, which keeps a
+    group's distinct values in one task's memory; up to BIG_ROWS it ranks all values;
+    beyond, it reads the rows more often but shuffles only those in a bracket around each
+    quantile, and falls back to ranks where brackets can't be held or miss.
+    Returns (by, n, one column per prob).
     """
-    if buckets is None and df.count() <= SMALL_ROWS:
+    by = list(by)
+    if method == "auto":
+        rows = df.count() if buckets is None else SMALL_ROWS + 1
+        method = "percentile" if rows <= SMALL_ROWS else "ranks" if rows <= BIG_ROWS else "brackets"
+    if method == "percentile":
         v = F.col(value).cast("double")
         found = df.where(v.isNotNull()).groupBy(*by).agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile(v, F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"),
         )
         return found.select(*by, "n", *[F.col("__q")[i].alias(k) for i, k in enumerate(probs)])
-    counted = cumulate(df, value, by=by, buckets=buckets or bucket_count(df))
-
-    def covering(rank: Column) -> Column:
-        hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
-
-    picks = [F.max("total_n").alias("__n")]
-    for name, p in probs.items():
-        place = F.lit(float(p)) * (F.col("total_n") - 1)
-        picks += [
-            covering(F.floor(place)).alias(f"__lo_{name}"),
-            covering(F.ceil(place)).alias(f"__hi_{name}"),
-        ]
-    found = counted.groupBy(*by).agg(*picks)
-
-    def blend(name: str, p: float) -> Column:
-        place = F.lit(float(p)) * (F.col("__n") - 1)
-        lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        return (lo + (hi - lo) * (place - F.floor(place))).alias(name)
-
-    return found.select(*by, F.col("__n").alias("n"), *[blend(k, p) for k, p in probs.items()])
+    buckets = buckets or bucket_count(df)
+    if method == "brackets":
+        found = _quantiles_by_bracket(df, value, probs, by, accuracy, buckets)
+        if found is not None:
+            return found
+    return _quantiles_by_rank(df, value, probs, by, buckets)
 
 
 def quantiles(

@@ -96,7 +96,7 @@ def permutation_test(
         *keys, "__x", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
     )
     salted = F.concat_ws("-", F.lit(salt), "replicate")
-    cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"], digits=digits_for(rows.count()))
+    cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"], digits=digits_for(rows.count())).drop("rows")
     arms = join_null_safe(copies, F.broadcast(cuts), ["replicate"])  # one row per replicate
     flag = (digest(keys, salted) <= F.col("cutoff")).cast("int")
     gaps = arms.select("replicate", "__x", flag.alias("__f")).groupBy("replicate").agg(gap(F.col("__f")).alias("gap"))

@@ -75,7 +75,7 @@ def hash_cutoffs(
     by: Sequence[str] = (),
     digits: int | None = None,
 ) -> DataFrame:
-    """Per group, the digest at which exactly `size` rows lie at or below it.
+    """Per group (by, cutoff, rows): the digest at which exactly `size` rows lie at or below it.
 
     `size` may use columns of `sizes` (one row per group). Only the one bucket that
     holds the cut-off is ranked, a small part of the group. Groups of size 0 have no row.
@@ -93,42 +93,43 @@ def hash_cutoffs(
         if sizes is not None:
             ranked = join_null_safe(ranked, sizes, by)
         cut = ranked.where(F.col("__r") == F.least(size.cast("long"), F.col("__total")))
-        return cut.select(*by, F.col("__h").alias("cutoff"))
+        return cut.select(*by, F.col("__h").alias("cutoff"), F.col("__total").alias("rows"))
     hashed = _hashed(df, key, salt, digits).select(*by, "__h", "__p")
     counted = _bucket_offsets(hashed, by)
     if sizes is not None:
         counted = join_null_safe(counted, sizes, by)
     wanted = F.least(size.cast("long"), F.col("__total"))
     edge = counted.where((F.col("__before") < wanted) & (wanted <= F.col("__before") + F.col("__n")))
-    edge = edge.select(*by, "__p", (wanted - F.col("__before")).alias("__take"))
+    edge = edge.select(*by, "__p", (wanted - F.col("__before")).alias("__take"), "__total")
     rows = join_null_safe(hashed, edge, [*by, "__p"])
     place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
     cut = rows.withColumn("__r", place).where("__r = __take")
-    return cut.select(*by, F.col("__h").alias("cutoff"))
+    return cut.select(*by, F.col("__h").alias("cutoff"), F.col("__total").alias("rows"))
 
 
-def sample_exact(df: DataFrame, key, n: int, salt: str) -> DataFrame:
+def sample_exact(df: DataFrame, key, n: int, salt: str, digits: int | None = None) -> DataFrame:
     """Exactly n rows without replacement (all of them if there are fewer)."""
-    cutoff = hash_cutoffs(df, key, salt, F.lit(n))
+    cutoff = hash_cutoffs(df, key, salt, F.lit(n), digits=digits).select("cutoff")
     return df.where(digest(key, salt) <= cutoff.scalar())
 
 
-def sample_per_group(df: DataFrame, key, n: int, salt: str, by: Sequence[str]) -> DataFrame:
-    """Exactly n rows of each group.
+def sample_per_group(
+    df: DataFrame, key, n: int, salt: str, by: Sequence[str], digits: int | None = None
+) -> DataFrame:
+    """Exactly n rows of each group (all rows of a smaller group).
 
-    Up to Spark's group-limit threshold a ranked filter is best: each task keeps n rows
-    per group before the shuffle. Beyond it, cut-offs turn the sample into a filter.
+    A cut-off per group turns the sample into a filter; a small table is ranked instead.
     """
     by = list(by)
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    hashed = df.withColumn("__h", digest(key, salt))
-    if n <= limit:
+    digits = _chosen_digits(df, digits)
+    if digits == 0:
         place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
-        return hashed.withColumn("__r", place).where(F.col("__r") <= n).drop("__h", "__r")
-    cuts = hash_cutoffs(df, key, salt, F.lit(n), by=by)
-    return (
-        join_null_safe(hashed, cuts, by).where("__h <= cutoff").drop("__h", "cutoff")
-    )
+        ranked = df.withColumn("__h", digest(key, salt)).withColumn("__r", place)
+        return ranked.where(F.col("__r") <= n).drop("__h", "__r")
+    cuts = hash_cutoffs(df, key, salt, F.lit(n), by=by, digits=digits)
+    cuts = cuts.withColumnsRenamed({"cutoff": "__cutoff", "rows": "__rows"})
+    marked = attach_group_stats(df, by, cuts, "__rows", spread=_names(key) or None)
+    return marked.where(digest(key, salt) <= F.col("__cutoff")).drop("__cutoff", "__rows")
 
 
 def sample_share(df: DataFrame, key, share: float, salt: str) -> DataFrame:
@@ -146,7 +147,7 @@ def resample(
     numbered = rank_by_hash(df, key, salt + "-index", "__i").select(
         (F.col("__i") - 1).alias("__i"), *columns
     )
-    total = numbered.agg(F.count("*").alias("n")).scalar()
+    total = df.agg(F.count("*").alias("n")).scalar()
     draws = rank_by_hash(df.select(*_names(key)), key, salt + "-draw", draw_id).select(
         (F.col(draw_id) - 1).alias(draw_id)
     )
@@ -179,7 +180,7 @@ def stratum_sizes(df: DataFrame, share: float, by: Sequence[str]) -> DataFrame:
 
 
 def split_train_test(
-    df: DataFrame, key, test_share: float, salt: str, stratify: Sequence[str] = ()
+    df: DataFrame, key, test_share: float, salt: str, stratify: Sequence[str] = (), digits: int | None = None
 ) -> DataFrame:
     """Mark each row in `is_test`; the test part has exactly ceil(share * n) rows.
 
@@ -187,18 +188,19 @@ def split_train_test(
     """
     if not stratify:
         total = F.ceil(F.round(F.col("__total") * F.lit(test_share), 9))
-        cut = hash_cutoffs(df, key, salt, total)
+        cut = hash_cutoffs(df, key, salt, total, digits=digits).select("cutoff")
         return df.withColumn("is_test", F.coalesce(digest(key, salt) <= cut.scalar(), F.lit(False)))
     sizes = stratum_sizes(df, test_share, stratify)
-    return _split_by_sizes(df, key, salt, stratify, sizes, "test_rows", "is_test")
+    return _split_by_sizes(df, key, salt, stratify, sizes, "test_rows", "is_test", digits)
 
 
-def _split_by_sizes(df, key, salt, by, sizes, column, mark) -> DataFrame:
-    cuts = hash_cutoffs(df, key, salt, F.col(column), sizes.select(*by, column), by)
-    stats = join_null_safe(sizes.select(*by, "rows"), cuts, by, "left").select(*by, "rows", "cutoff")
-    marked = attach_group_stats(df, by, stats, "rows", spread=_names(key) or None)
-    inside = F.coalesce(digest(key, salt) <= F.col("cutoff"), F.lit(False))
-    return marked.withColumn(mark, inside).drop("rows", "cutoff")
+def _split_by_sizes(df, key, salt, by, sizes, column, mark, digits=None) -> DataFrame:
+    # a stratum of size 0 has no cut-off, and its rows are looked up in vain
+    cuts = hash_cutoffs(df, key, salt, F.col(column), sizes.select(*by, column), by, digits)
+    cuts = cuts.withColumnsRenamed({"cutoff": "__cutoff", "rows": "__rows"})
+    marked = attach_group_stats(df, by, cuts, "__rows", spread=_names(key) or None)
+    inside = F.coalesce(digest(key, salt) <= F.col("__cutoff"), F.lit(False))
+    return marked.withColumn(mark, inside).drop("__rows", "__cutoff")
 
 
 def split_counts(

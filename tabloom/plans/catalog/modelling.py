@@ -1,5 +1,6 @@
 """Splits, models, scores and model inspection."""
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer
@@ -426,6 +427,28 @@ def m28(t: Tables):
     return explain.permutation_importance(model, test, "doc_id", LABELS, explain.wrong("label"), repeats=10)
 
 
+# a fixed linear rule stands in for a fitted model, so that the shuffles themselves can be checked
+RULE = linear.LinearModel(["p_size", "p_partkey"], 890.0, np.array([0.5, 0.1]))
+
+
+@query(
+    "m28b_permutation_importance_of_a_rule",
+    f"""WITH c AS (SELECT part.*, r FROM part, (SELECT unnest(range(1, 11)) AS r)),
+        a AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('-', CAST(p_partkey AS VARCHAR), 'own', CAST(r AS VARCHAR)))) AS place FROM c),
+        b AS (SELECT r, p_size AS d_size, p_partkey AS d_key, row_number() OVER (PARTITION BY r ORDER BY
+              md5(concat_ws('-', CAST(p_partkey AS VARCHAR), 'perm', CAST(r AS VARCHAR)))) AS place FROM c),
+        l AS (SELECT f, r, avg(abs(p_retailprice - (890 + 0.5 * CASE WHEN f = 'p_size' THEN d_size ELSE p_size END
+              + 0.1 * CASE WHEN f = 'p_partkey' THEN d_key ELSE p_partkey END))) AS loss
+              FROM a JOIN b USING (r, place), (VALUES ('p_size'), ('p_partkey')) AS v(f) GROUP BY f, r),
+        z AS (SELECT avg(abs(p_retailprice - (890 + 0.5 * p_size + 0.1 * p_partkey))) AS base FROM part)
+        SELECT f AS feature, round(avg(loss - base), 6) AS importance, round(stddev_pop(loss - base), 6) AS std FROM l, z GROUP BY f""",
+)
+def m28b(t: Tables):
+    loss = explain.absolute_error("p_retailprice")
+    out = explain.permutation_importance(RULE, t.part, "p_partkey", ["p_size", "p_partkey"], loss, 10, "perm")
+    return out.withColumns({c: F.round(c, 6) for c in ("importance", "std")})
+
+
 @query("m29_impurity_importance")
 def m29(t: Tables):
     train, _ = revenue_rows(t)
@@ -443,6 +466,18 @@ def m30(t: Tables):
     return explain.partial_dependence(model, test, "l_extendedprice")
 
 
+@query(
+    "m30b_partial_dependence_of_a_rule",
+    """WITH g AS (SELECT DISTINCT unnest([quantile_cont(p_size, 0.05), quantile_cont(p_size, 0.275), quantile_cont(p_size, 0.5),
+                  quantile_cont(p_size, 0.725), quantile_cont(p_size, 0.95)]) AS value FROM part)
+       SELECT round(value, 6) AS value, count(*) AS rows, round(avg(890 + 0.5 * value + 0.1 * p_partkey), 6) AS mean_prediction
+       FROM part, g GROUP BY value""",
+)
+def m30b(t: Tables):
+    out = explain.partial_dependence(RULE, t.part, "p_size", points=5)
+    return out.select(F.round("value", 6).alias("value"), "rows", F.round("mean_prediction", 6).alias("mean_prediction"))
+
+
 @query(
     "m31_area_under_curve",
     f"""WITH {SCORED_SQL}, r AS (SELECT 1 - quality AS y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0

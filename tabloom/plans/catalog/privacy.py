@@ -190,3 +190,30 @@ def profiles(t: Tables):
 @query("v11_generated_profiles")
 def v11(t: Tables):
     return profiles(t)
+
+
+def _erlang_sql(name: str, shape: int, scale: float) -> str:
+    logs = " + ".join(f"ln({open_uniform_sql(f'42-{name}{i}', 'c_custkey')})" for i in range(shape))
+    return f"(-{scale} * ({logs}))"
+
+
+def _country_sql() -> str:
+    from ...functions.hashing import cumulative_shares
+    from ...operators.profiles import COUNTRY_WEIGHTS
+
+    shares = cumulative_shares(list(COUNTRY_WEIGHTS.values()))
+    whens = " ".join(
+        f"WHEN {uniform_sql('42-country', 'c_custkey')} < {s!r}::DOUBLE THEN '{n}'" for n, s in zip(COUNTRY_WEIGHTS, shares)
+    )
+    return f"CASE {whens} ELSE '{list(COUNTRY_WEIGHTS)[-1]}' END"
+
+
+@query(
+    "v11b_generated_person_columns",
+    f"""SELECT c_custkey AS id, {_country_sql()} AS pais, CASE WHEN {uniform_sql('42-sex', 'c_custkey')} < 0.5 THEN 'M' ELSE 'F' END
+        AS sexo, CAST(trunc(least(greatest({_erlang_sql('age', 7, 6.0)}, 0), 99)) AS INTEGER) AS edad,
+        CAST(trunc(least(greatest({_erlang_sql('minutes', 2, 45.0)}, 0), 600)) AS INTEGER) AS minutos_dia,
+        CAST(trunc(least(greatest({_erlang_sql('artists', 4, 10.0)}, 3), 300)) AS INTEGER) AS n_artistas FROM customer""",
+)
+def v11b(t: Tables):
+    return profiles(t).select("id", "pais", "sexo", "edad", "minutos_dia", "n_artistas")

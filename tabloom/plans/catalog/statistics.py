@@ -202,9 +202,27 @@ def t4(t: Tables):
     return out.select("n1", "n2", *[F.round(c, k).alias(c) for c, k in digits.items()])
 
 
-@query("t4b_welch_p_value")
+def _t_tail_sql(t: str, df: str) -> str:
+    """Two-sided p of Student's t by Simpson's rule over 400 steps."""
+
+    def integral(low: str) -> str:
+        h = f"((least(pi() / 2, 40 / sqrt({df})) - {low}) / 400.0)"
+        weight = "CASE WHEN i IN (0, 400) THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END"
+        return f"(SELECT sum(CAST({weight} AS DOUBLE) * pow(cos({low} + i * {h}), {df} - 1)) * {h} / 3 FROM (SELECT unnest(range(401)) AS i))"
+
+    return f"{integral(f'atan(abs({t}) / sqrt({df}))')} / {integral('0.0')}"
+
+
+@query(
+    "t4b_welch_p_value",
+    WELCH_SQL
+    + f""", w AS (SELECT (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t, pow(v1 / n1 + v2 / n2, 2) /
+          (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS df FROM f)
+          SELECT round({_t_tail_sql('t', 'df')}, 8) AS p FROM w""",
+)
 def t4b(t: Tables):
-    return inference.welch(t.events, "value", F.col("event_type") == "click", F.col("event_type") == "view").select("t", "df", "p")
+    out = inference.welch(t.events, "value", F.col("event_type") == "click", F.col("event_type") == "view")
+    return out.select(F.round("p", 8).alias("p"))
 
 
 @query(
@@ -268,9 +286,24 @@ def t8(t: Tables):
     return out.select("feature", "n", F.round("r", 6).alias("r"))
 
 
-@query("t8b_feature_screen_p_values")
+@query(
+    "t8b_feature_screen_p_values",
+    "WITH r AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS feature, count(*)::DOUBLE AS n, corr({a}, l_extendedprice) AS r FROM lineitem"
+        for a in ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+    )
+    + f"""), s AS (SELECT feature, r * sqrt((n - 2) / (1 - r * r)) AS t, n - 2 AS df FROM r),
+        p AS (SELECT feature, {_t_tail_sql('t', 'df')} AS p FROM s)
+        SELECT feature, round(p, 8) AS p, round(least(1.0, min(p * 4 / k) OVER (ORDER BY p DESC)), 8) AS p_adjusted,
+               p < 0.05 / 4 AS bonferroni_significant
+        FROM (SELECT *, row_number() OVER (ORDER BY p) AS k FROM p)""",
+)
 def t8b(t: Tables):
-    return inference.screen_features(t.lineitem, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_extendedprice")
+    out = inference.screen_features(t.lineitem, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_extendedprice")
+    return out.select(
+        "feature", F.round("p", 8).alias("p"), F.round("p_adjusted", 8).alias("p_adjusted"), "bonferroni_significant"
+    )
 
 
 KS_SQL = """WITH v AS (SELECT l_extendedprice AS v, count(*) FILTER (WHERE l_returnflag = 'A') AS c1,
@@ -289,9 +322,17 @@ def t9(t: Tables):
     return out.select("n1", "n2", F.round("ks", 8).alias("ks"))
 
 
-@query("t9b_kolmogorov_smirnov_p_value")
+@query(
+    "t9b_kolmogorov_smirnov_p_value",
+    KS_SQL
+    + """, c AS (SELECT sum(c1)::DOUBLE AS n1, sum(c2)::DOUBLE AS n2, (SELECT max(abs(f1 - f2)) FROM w) AS d FROM v),
+         l AS (SELECT (sqrt(n1 * n2 / (n1 + n2)) + 0.12 + 0.11 / sqrt(n1 * n2 / (n1 + n2))) * d AS lam FROM c)
+         SELECT round(least(greatest(2 * (SELECT sum(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2 * k * k * lam * lam))
+                FROM (SELECT unnest(range(1, 101)) AS k)), 0), 1), 8) AS p FROM l""",
+)
 def t9b(t: Tables):
-    return inference.ks_two_sample(t.lineitem, "l_extendedprice", F.col("l_returnflag") == "A", F.col("l_returnflag") == "R")
+    out = inference.ks_two_sample(t.lineitem, "l_extendedprice", F.col("l_returnflag") == "A", F.col("l_returnflag") == "R")
+    return out.select(F.round("p", 8).alias("p"))
 
 
 def _psi_sql(table: str, value: str, base: str, new: str, bins: int = 10) -> str:
