@@ -67,14 +67,23 @@ def summarise(df: DataFrame, value: str, method: str = "mean", decimals: int = 2
 
 # The characters that separate words (Unicode white space and separators).
 BLANKS = (
-    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
 
+def words_of(text: Column | str) -> Column:
+    """Blank-separated words of a whole text; neighbouring blanks leave empty words to drop.
+
+    Every blank becomes a space first, because a one-character split needs no pattern matching.
+    """
+    c = F.col(text) if isinstance(text, str) else text
+    return F.split(F.translate(c, BLANKS, " " * len(BLANKS)), " ")
+
+
 def word_counts(df: DataFrame, text: str) -> DataFrame:
     """How often each blank-separated word occurs in the whole texts."""
-    words = df.select(F.explode(F.split(F.col(text), BLANKS)).alias("word")).where("word <> ''")
+    words = df.select(F.explode(words_of(text)).alias("word")).where("word <> ''")
     return words.groupBy("word").agg(F.count("*").alias("n"))
 
 
@@ -146,10 +155,11 @@ def summary(df: DataFrame, value: str) -> DataFrame:
         F.stddev_samp(value).alias("std_sample"),
         F.stddev_pop(value).alias("std_population"),
     )
-    q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q = q.select(F.struct("median", (F.col("q3") - F.col("q1")).alias("iqr")).alias("q"))
-    return plain.withColumn("__q", q.scalar()).select(
-        "n", "mean", F.col("__q.median"), "std_sample", "std_population", F.col("__q.iqr")
+    q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).first()  # one row of numbers
+    median, iqr = (q["median"], q["q3"] - q["q1"]) if q and q["n"] else (None, None)
+    return plain.select(
+        "n", "mean", F.lit(median).cast("double").alias("median"), "std_sample", "std_population",
+        F.lit(iqr).cast("double").alias("iqr"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, poisson_one_weight
 from .joins import join_null_safe
+from .ordered import SMALL_ROWS
 from .sampling import digits_for, hash_cutoffs
 
 Statistic = Callable[[Column, Column], Column]
@@ -19,6 +20,13 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
 
 
+def _spread_small(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Rows are about to be multiplied: a small table, often one file split, is first spread over all cores."""
+    if rows > SMALL_ROWS:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def bootstrap_replicates(
     df: DataFrame, key, value: str, replicates: int, salt: str, statistic: Statistic = weighted_mean
 ) -> DataFrame:
@@ -27,11 +35,11 @@ def bootstrap_replicates(
     Four replicates read their weight off one digest. Rows are combined per replicate
     in each task, so the shuffle carries one row per task and replicate.
     """
-    rows = df.where(F.col(value).isNotNull()).select(
-        F.col(value).alias("__x"),
-        F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))).alias("__block"),
-        *[k for k in ([key] if isinstance(key, str) else key)],
-    )
+    keys = [key] if isinstance(key, str) else list(key)
+    known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__x"))
+    known = _spread_small(known, keys, known.count())
+    blocks = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))).alias("__block")
+    rows = known.select("__x", blocks, *keys)
     hexed = rows.select("__x", "__block", digest(key, F.concat_ws("-", F.lit(salt), "__block")).alias("__h"))
     four = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("__part")
     spread = hexed.select("__x", "__block", "__h", four)
@@ -88,6 +96,8 @@ def permutation_test(
     def gap(flag: Column) -> Column:
         return statistic(F.col("__x"), flag) - statistic(F.col("__x"), 1 - flag)
 
+    total = rows.count()
+    rows = _spread_small(rows, keys, total)
     facts = rows.agg(
         F.sum("__first").alias("n1"), F.count("*").alias("n"), gap(F.col("__first")).alias("observed")
     )
@@ -96,7 +106,7 @@ def permutation_test(
         *keys, "__x", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
     )
     salted = F.concat_ws("-", F.lit(salt), "replicate")
-    cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"], digits=digits_for(rows.count())).drop("rows")
+    cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"], digits=digits_for(total)).drop("rows")
     arms = join_null_safe(copies, F.broadcast(cuts), ["replicate"])  # one row per replicate
     flag = (digest(keys, salted) <= F.col("cutoff")).cast("int")
     gaps = arms.select("replicate", "__x", flag.alias("__f")).groupBy("replicate").agg(gap(F.col("__f")).alias("gap"))

@@ -478,6 +478,11 @@ def m30b(t: Tables):
     return out.select(F.round("value", 6).alias("value"), "rows", F.round("mean_prediction", 6).alias("mean_prediction"))
 
 
+def junk_scores(t: Tables) -> DataFrame:
+    """Scores worked out from whole texts, written once because the rank steps read them several times."""
+    return written(scored(t).withColumn("junk", 1 - F.col("quality")), "scores")
+
+
 @query(
     "m31_area_under_curve",
     f"""WITH {SCORED_SQL}, r AS (SELECT 1 - quality AS y, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0
@@ -485,7 +490,7 @@ def m30b(t: Tables):
         SELECT round((sum(k) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)), 8)::DOUBLE AS auc FROM r""",
 )
 def m31(t: Tables):
-    df = scored(t).withColumn("junk", 1 - F.col("quality"))
+    df = junk_scores(t)
     return metrics.auc(df, "junk", "score", buckets=8).withColumn("auc", F.round("auc", 8))
 
 
@@ -497,7 +502,7 @@ def m31(t: Tables):
                round(sum(p) OVER w / (SELECT sum(p) FROM c)::DOUBLE, 8) AS tpr FROM c WINDOW w AS (ORDER BY score DESC)""",
 )
 def m31b(t: Tables):
-    df = scored(t).withColumn("junk", 1 - F.col("quality"))
+    df = junk_scores(t)
     return metrics.roc_curve(df, "junk", "score").withColumns({c: F.round(c, 8) for c in ("fpr", "tpr")})
 
 
@@ -522,7 +527,7 @@ def m32(t: Tables):
                max(score) FILTER (WHERE k = floor(place))) * (max(place) - floor(max(place))), 6) AS threshold FROM r, p""",
 )
 def m33(t: Tables):
-    df = scored(t).withColumn("junk", 1 - F.col("quality"))
+    df = junk_scores(t)
     return fairness.base_rate_threshold(df, "score", "junk").select(F.round("threshold", 6).alias("threshold"))
 
 

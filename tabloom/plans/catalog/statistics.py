@@ -1,10 +1,13 @@
 """Distribution tables, estimates, tests, fairness and drift."""
 
+import string
+
 from pyspark.sql import functions as F
 
 from ...functions.hashing import uniform
 from ...operators import distributions as dist
 from ...operators import fairness, inference, resampling
+from ...session import written
 from ..registry import Tables, md5_sql, query, uniform_sql
 
 # ---- distributions -----------------------------------------------------------------------
@@ -387,7 +390,8 @@ def t12(t: Tables):
 
 def scored(t: Tables):
     """Documents with a label and a score: the share of characters that aren't letters."""
-    letters = F.char_length(F.regexp_replace("text", r"[^A-Za-z]", ""))
+    others = F.char_length(F.translate("text", string.ascii_letters, ""))
+    letters = F.char_length("text") - others
     score = F.round(1.0 - letters / F.char_length("text"), 6)
     return t.documents.select("doc_id", "lang", score.alias("score")).join(t.labels, "doc_id")
 
@@ -422,7 +426,7 @@ def e1(t: Tables):
         FROM s LEFT JOIN h USING (lang)) GROUP BY lang""",
 )
 def e2(t: Tables):
-    df = scored(t).withColumn("s", -F.col("score"))
+    df = written(scored(t).withColumn("s", -F.col("score")), "scores")
     out = fairness.equal_opportunity(df, "lang", "quality", "s", 0.43, ["doc_id"])
     return _rounded_audit(out).withColumn("threshold", F.round("threshold", 6))
 
