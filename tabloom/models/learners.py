@@ -48,11 +48,11 @@ def logistic(df: DataFrame, label: str, c: float = 1.0, max_iter: int = 1000) ->
 
 def tree_regressor(label: str, depth: int | None = 5, **options) -> DecisionTreeRegressor:
     """A depth of None grows to Spark's limit of 30."""
-    return DecisionTreeRegressor(labelCol=label, maxDepth=30 if depth is None else depth, **options)
+    return DecisionTreeRegressor(labelCol=label, maxDepth=30 if depth is None else depth, seed=2026, **options)
 
 
 def tree_classifier(label: str, depth: int | None = 5, **options) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(labelCol=label, maxDepth=30 if depth is None else depth, **options)
+    return DecisionTreeClassifier(labelCol=label, maxDepth=30 if depth is None else depth, seed=2026, **options)
 
 
 def forest_regressor(

@@ -63,6 +63,12 @@ def _numeric_order(df: DataFrame, column: str) -> Column:
     return c.cast("double")
 
 
+def _cell(by: Sequence[str], *parts: str) -> Column:
+    """One key for (group, bucket). Structs compare missing fields as equal, so a missing
+    group is a group, and window and join share one partitioning."""
+    return F.struct(*by, *parts)
+
+
 def cumulate(
     df: DataFrame,
     value: str,
@@ -93,13 +99,11 @@ def cumulate(
             *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
         )
     summed = summed.select("*", order)
-    placed = put_in_buckets(summed, "__o", cuts, "__bucket")
-    inside = (
-        Window.partitionBy(*by, "__bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    placed = put_in_buckets(summed, "__o", cuts, "__bucket").withColumn("__cell", _cell(by, "__bucket"))
+    inside = Window.partitionBy("__cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     rows = placed.select(
         *by,
-        "__bucket",
+        "__cell",
         value,
         *weights,
         *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(f"__in_{w}") for w in weights],
@@ -108,14 +112,13 @@ def cumulate(
     earlier = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by)
     offsets = sums.select(
-        *by,
-        "__bucket",
+        _cell(by, "__bucket").alias("__cell"),
         *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(f"__off_{w}") for w in weights],
         *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per bucket: at most MAX_BUCKETS + 1
-    joined = join_null_safe(rows, offsets, [*by, "__bucket"])
+    joined = rows.join(offsets, "__cell")
     return joined.select(
         *by,
         value,
@@ -306,14 +309,17 @@ def row_positions(
     else:
         placed = placed.withColumn("__sub", F.lit(0))
     cells = [*by, "__bucket", "__sub"]
-    inside = Window.partitionBy(*cells).orderBy(order, tie)
+    inside = Window.partitionBy("__cell").orderBy(order, tie)
     sums = placed.groupBy(*cells).agg(F.count(F.lit(1)).alias("__n"))
     earlier = (
         Window.partitionBy(*by)
         .orderBy("__bucket", "__sub")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = sums.select(*cells, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
-    ranked = placed.withColumn("__in", F.row_number().over(inside))
-    joined = join_null_safe(ranked, offsets, cells)
+    off = F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off")
+    offsets = sums.select(_cell(by, "__bucket", "__sub").alias("__cell"), off)
+    ranked = placed.withColumn("__cell", _cell(by, "__bucket", "__sub")).withColumn(
+        "__in", F.row_number().over(inside)
+    )
+    joined = ranked.join(offsets, "__cell")
     return joined.select(*df.columns, (F.col("__in") + F.col("__off")).alias(name))

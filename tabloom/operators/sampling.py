@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, uniform
-from .joins import attach_group_stats, join_null_safe
+from .joins import attach_group_stats, broadcast_if_small, join_null_safe
 from .ordered import SMALL_ROWS
 
 def digits_for(rows: int, per_bucket: int = 4096) -> int:
@@ -59,10 +59,12 @@ def rank_by_hash(
         place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
         return hashed.select(*df.columns, place.cast("long").alias(name))
     hashed = _hashed(df, key, salt, digits)
-    offsets = _bucket_offsets(hashed, by).select(*by, "__p", "__before")
-    inside = Window.partitionBy(*by, "__p").orderBy("__h")
-    ranked = hashed.withColumn("__in", F.row_number().over(inside))
-    joined = join_null_safe(ranked, offsets, [*by, "__p"])
+    # one struct key for (group, bucket), so that window and join share one partitioning
+    cell = F.struct(*by, "__p")
+    offsets = _bucket_offsets(hashed, by).select(cell.alias("__cell"), "__before")
+    inside = Window.partitionBy("__cell").orderBy("__h")
+    ranked = hashed.withColumn("__cell", cell).withColumn("__in", F.row_number().over(inside))
+    joined = ranked.join(offsets, "__cell")
     return joined.select(*df.columns, (F.col("__in") + F.col("__before")).alias(name))
 
 
@@ -101,6 +103,8 @@ def hash_cutoffs(
     wanted = F.least(size.cast("long"), F.col("__total"))
     edge = counted.where((F.col("__before") < wanted) & (wanted <= F.col("__before") + F.col("__n")))
     edge = edge.select(*by, "__p", (wanted - F.col("__before")).alias("__take"), "__total")
+    # one row per group: with few groups only the edge buckets' rows are shuffled
+    edge = broadcast_if_small(edge)[0] if by else F.broadcast(edge)
     rows = join_null_safe(hashed, edge, [*by, "__p"])
     place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
     cut = rows.withColumn("__r", place).where("__r = __take")

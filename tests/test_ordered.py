@@ -95,3 +95,23 @@ def test_running_mean(spark):
     got = relational.running_mean(df, "t", "v").toPandas().sort_values("t")["running_mean"]
     want = pd.Series([float(i * i) for i in range(1, 50)]).expanding().mean()
     np.testing.assert_allclose(got.to_numpy(float), want.to_numpy())
+
+
+def test_window_and_join_share_one_shuffle(spark, rows):
+    """With broadcasts off, the ranked rows are shuffled once: by cell, for the window and the join."""
+    from tabloom.operators.sampling import rank_by_hash
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(rows)
+        for ranked in (
+            ordered.row_positions(df, "v", "id", by=["g"], buckets=10),
+            rank_by_hash(df, "id", "s", by=["g"], digits=1),
+        ):
+            text = plan_text(ranked, "simple")
+            left = text[text.index("SortMergeJoin"):]
+            left = left[: left.index("Window")]  # from the join down to the rows' window
+            assert "Exchange" not in left
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

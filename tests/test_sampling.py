@@ -92,6 +92,7 @@ def test_attach_group_stats_beyond_the_hot_groups(spark, df, monkeypatch):
     from tabloom.operators import joins
 
     monkeypatch.setattr(joins, "HOT_KEYS", 2)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 3)
     stats = df.groupBy("g").agg(F.count("*").alias("n"))
     got = attach_group_stats(df, ["g"], stats, "n", spread=["k"])
     assert got.where("n is null").isEmpty() and got.count() == 4000
