@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,3 +54,13 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python workers import this package: once per context, through Spark's file server."""
+    context = spark.sparkContext
+    if not getattr(context, "_tabloom_shipped", False):
+        root = Path(__file__).parent
+        folder = tempfile.mkdtemp(prefix="tabloom-code-")
+        context.addPyFile(shutil.make_archive(f"{folder}/{root.name}", "zip", root.parent, root.name))
+        context._tabloom_shipped = True
