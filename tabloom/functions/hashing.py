@@ -46,33 +46,12 @@ def normal(keys: str | Column | Sequence[str | Column], salt: str) -> Column:
     return radius * F.cos(2.0 * F.pi() * uniform(keys, salt + "a"))
 
 
-def erlang(keys: str | Column | Sequence[str | Column], salt: str, shape: int, scale: float) -> Column:
-    """Gamma with a whole-number shape: minus the scale times a sum of log uniforms."""
-    total = F.lit(0.0)
-    for i in range(shape):
-        total = total + F.log(open_uniform(keys, f"{salt}{i}"))
-    return -scale * total
-
-
 def laplace(u: Column, scale: Column | float) -> Column:
     """Laplace noise by the inverse distribution, from an open uniform."""
     centred = u - F.lit(0.5)
     return -F.lit(scale) * F.signum(centred) * F.log(1.0 - 2.0 * F.abs(centred))
 
 
-def cumulative_shares(weights: Sequence[float]) -> list[float]:
-    total, running, out = float(sum(weights)), 0.0, []
-    for w in weights[:-1]:
-        running += w / total
-        out.append(running)
-    return out
-
-
-def drawn_index(u: Column, shares: Column) -> Column:
-    """0-based index drawn by cumulative shares: how many of them are <= u."""
-    return F.size(F.filter(shares, lambda s: s <= u))
-
-
 # Cumulative distribution of a Poisson(1) count, from its definition.
 def poisson_one_cdf(terms: int = 12) -> list[float]:
     import math

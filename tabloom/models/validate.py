@@ -63,13 +63,13 @@ class GroupMeanBaseline:
 
     def fit(self, df: DataFrame) -> GroupMeanBaseline:
         fitted = GroupMeanBaseline(self.target, self.by, self.output)
-        fitted.table = df.groupBy(*self.by).agg(F.count("*").alias("__n"), F.avg(self.target).alias(self.output))
+        fitted.table = df.groupBy(*self.by).agg(F.avg(self.target).alias(self.output))
         fitted.mean = df.agg(F.avg(self.target)).first()[0]
         return fitted
 
     def transform(self, df: DataFrame) -> DataFrame:
-        found = attach_group_stats(df, self.by, self.table, "__n")
-        return found.withColumn(self.output, F.coalesce(self.output, F.lit(self.mean))).drop("__n")
+        found = attach_group_stats(df, self.by, self.table)
+        return found.withColumn(self.output, F.coalesce(self.output, F.lit(self.mean)))
 
 
 def evaluate(learner: Learner, train: DataFrame, test: DataFrame, target: str, guess: str = "prediction") -> DataFrame:

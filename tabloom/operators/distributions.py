@@ -93,9 +93,12 @@ def _inside_fences(df: DataFrame, value: str, q: DataFrame, by: Sequence[str]) -
     if by:
         # counted per value and spread over the group's values: no task holds a big group
         rows = df.where(v.isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count("*").alias("__m"))
-        fenced = attach_group_stats(rows, by, q, "n", spread=["__v"])
+        fenced = attach_group_stats(rows, by, q)
     else:
-        limits = q.first().asDict()  # one row of limits
+        limits = q.first()  # one row of limits
+        if limits is None:
+            raise ValueError("no values to summarise")
+        limits = limits.asDict()
         rows = df.where(v.isNotNull()).select(v.alias("__v"), F.lit(1).alias("__m"))
         fenced = rows.select("*", *[F.lit(x).alias(c) for c, x in limits.items()])
     ok = (F.col("__v") >= F.col("low_fence")) & (F.col("__v") <= F.col("high_fence"))
@@ -115,6 +118,9 @@ TUKEY_FENCE_SIGMAS = 2.6979592
 def outlier_flags(df: DataFrame, value: str, whisker: float = 1.5, sigmas: float = 3.0) -> DataFrame:
     """Each row with flags: outside the quartile fences, beyond k deviations."""
     q = quantiles(df, value, QUARTILES).first()  # one row of limits
+    if q is None:  # no values, so none is outside
+        none = F.lit(None).cast("boolean")
+        return df.withColumn("outside_fences", none).withColumn("beyond_sigmas", none)
     mean, std = df.agg(F.avg(value), F.stddev_samp(value)).first()
     reach = whisker * (q["q3"] - q["q1"])
     v = F.col(value)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import attach_group_stats
-from .ordered import exact_quantiles
+from .ordered import covering, cumulate, exact_quantiles
 
 
 def audit(df: DataFrame, group: str, truth: str, chosen: Column) -> DataFrame:
@@ -30,33 +30,26 @@ def base_rate_threshold(df: DataFrame, score: str, truth: str) -> DataFrame:
 
     The quantile at 1 - base rate, read from the counted distinct scores.
     """
-    from .ordered import cumulate
-
     counted = cumulate(df, score)
     rate = df.agg(F.avg(F.col(truth).cast("double"))).scalar()
     place = (1.0 - rate) * (F.col("total_n") - 1)
-
-    def covering(rank: Column) -> Column:
-        hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(hit, F.col(score).cast("double")))
-
     ends = counted.agg(
-        covering(F.floor(place)).alias("lo"),
-        covering(F.ceil(place)).alias("hi"),
+        covering(score, F.floor(place)).alias("lo"),
+        covering(score, F.ceil(place)).alias("hi"),
         F.max(place - F.floor(place)).alias("part"),
     )
     return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("threshold"))
 
 
-def equal_opportunity(df: DataFrame, group: str, truth: str, score: str, target_tpr: float, spread) -> DataFrame:
+def equal_opportunity(df: DataFrame, group: str, truth: str, score: str, target_tpr: float) -> DataFrame:
     """Per-group thresholds that bring each group to one true positive rate, then the audit."""
     positives = df.where(F.col(truth) == 1)
     cuts = exact_quantiles(positives, score, {"threshold": 1 - target_tpr}, [group]).drop("n")
-    sizes = df.groupBy(group).agg(F.count("*").alias("__n"))
-    stats = sizes.join(cuts, sizes[group].eqNullSafe(cuts[group]), "left").select(sizes[group], "__n", "threshold")
-    looked = attach_group_stats(df, [group], stats, "__n", spread=spread)
+    groups = df.select(group).distinct()
+    stats = groups.join(cuts, groups[group].eqNullSafe(cuts[group]), "left").select(groups[group], "threshold")
+    looked = attach_group_stats(df, [group], stats)
     # a group without positives has no threshold and selects nobody
     chosen = F.coalesce(F.col(score) >= F.col("threshold"), F.lit(False))
     report = audit(looked.withColumn("__c", chosen), group, truth, F.col("__c"))
-    again = report.join(stats.drop("__n"), report[group].eqNullSafe(stats[group]), "left")
+    again = report.join(stats, report[group].eqNullSafe(stats[group]), "left")
     return again.select(report[group], "threshold", "rows", "selection_rate", "tpr", "fpr", "base_rate")

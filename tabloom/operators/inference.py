@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import smirnov, t_two_sided
+from ..session import written
 from .distributions import correlation_with
 from .joins import attach_group_stats
-from .ordered import cumulate, cut_points, exact_quantiles, put_in_buckets
+from .ordered import cumulate, cut_points, exact_quantiles, put_in_buckets, quantiles_of_counted
 
 Z95 = 1.96  # fixed value: the two-sided 95 % point used by the interval
 
@@ -35,18 +36,24 @@ def _arm(condition: Column, value: str) -> list[Column]:
     return [F.count(v), F.avg(v), F.var_samp(v)]
 
 
-def welch(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
-    """Unequal-variance t-test and Cohen's d of two arms, from one pass over the rows."""
+def welch(df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Unequal-variance t-test and Cohen's d of two arms (of each group), from one pass over the rows.
+
+    A group with fewer than two values in an arm, or the same value throughout an arm, has no p.
+    """
     names = ["n1", "mean1", "var1", "n2", "mean2", "var2"]
-    facts = df.agg(
+    facts = df.groupBy(*by).agg(
         *[c.alias(n) for c, n in zip(_arm(first, value) + _arm(second, value), names, strict=True)]
     )
+    if by:
+        facts = facts.where("var1 > 0 and var2 > 0")
     n1, n2 = F.col("n1").cast("double"), F.col("n2").cast("double")
     v1, v2 = F.col("var1"), F.col("var2")
     a, b = v1 / n1, v2 / n2
     gap = F.col("mean1") - F.col("mean2")
     pooled = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
     tested = facts.select(
+        *by,
         "n1",
         "n2",
         "mean1",
@@ -80,7 +87,7 @@ def adjust_p(
     table = placed.withColumn("low_in", F.min("raw").over(later_in)).join(bounds, "__b")
     adjusted = F.least(F.lit(1.0), F.col("low_in"), F.col("low_after"))
     table = table.select(p, "n", "m", adjusted.alias("p_adjusted"))
-    out = attach_group_stats(df.select(test, p), [p], table, "n", spread=[test])
+    out = attach_group_stats(df.select(test, p), [p], table)
     return out.select(
         test,
         p,
@@ -149,7 +156,10 @@ def psi_from_counts(counts: DataFrame, bins: int, by: Sequence[str] = ()) -> Dat
 
 def stability_index(df: DataFrame, value: str, base: Column, new: Column, bins: int = 10) -> DataFrame:
     """Population stability index of a new segment against a base segment."""
-    edges = base_edges(df.where(base), value, bins).first()[0]  # bins + 1 numbers
+    found = base_edges(df.where(base), value, bins).first()  # bins + 1 numbers
+    if found is None:
+        raise ValueError("the base segment is empty")
+    edges = found[0]
     number = bin_number(F.col(value), [F.lit(e) for e in edges], bins)
     counts = (
         df.where(base | new)
@@ -162,28 +172,38 @@ def stability_index(df: DataFrame, value: str, base: Column, new: Column, bins:
 def drift_report(df: DataFrame, columns: Sequence[str], base: Column, new: Column, bins: int = 10) -> DataFrame:
     """Means, KS and stability index of two segments, one row per column.
 
-    The columns are stacked into one long table, so each step is one job for all of them.
+    The columns are stacked into one long table, and each column's distinct values are counted and
+    ranked once for both segments: means, KS distance, bin edges and bin counts all come from that.
     """
     kind = F.when(base, "base").when(new, "new")
     long = df.select(kind.alias("__kind"), *[F.col(c).cast("double").alias(c) for c in columns])
     long = long.where("__kind is not null").unpivot("__kind", list(columns), "column_name", "__x")
-    is_base, is_new = F.col("__kind") == "base", F.col("__kind") == "new"
-    means = long.groupBy("column_name").agg(
-        F.avg(F.when(is_base, F.col("__x"))).alias("base_mean"),
-        F.avg(F.when(is_new, F.col("__x"))).alias("new_mean"),
+    is_base = F.col("__kind") == "base"
+    counts = {"n1": F.count_if(is_base), "n2": F.count_if(~is_base)}
+    counted = written(cumulate(long, "__x", counts, ["column_name"]), "counted")
+    f1 = (F.col("before_n1") + F.col("n1")) / F.col("total_n1")
+    f2 = (F.col("before_n2") + F.col("n2")) / F.col("total_n2")
+    facts = counted.groupBy("column_name").agg(
+        (F.sum(F.col("__x") * F.col("n1")) / F.sum("n1")).alias("base_mean"),
+        (F.sum(F.col("__x") * F.col("n2")) / F.sum("n2")).alias("new_mean"),
+        F.max(F.abs(f1 - f2)).alias("ks"),
+        F.max("total_n1").cast("double").alias("n1"),
+        F.max("total_n2").cast("double").alias("n2"),
     )
-    ks = ks_two_sample(long, "__x", is_base, is_new, ["column_name"]).select("column_name", "ks", "p")
-    found = base_edges(long.where(is_base), "__x", bins, ["column_name"]).collect()  # one row per column
+    facts = facts.withColumn("p", smirnov(F.col("ks"), F.col("n1"), F.col("n2"))).drop("n1", "n2")
+    probs = {f"e{i}": i / bins for i in range(bins + 1)}
+    edges = quantiles_of_counted(counted.where("n1 > 0"), "__x", probs, ["column_name"], "n1").collect()  # a row per column
     number = None
-    for row in found:
+    for row in edges:
+        ends = [row[e] for e in probs]
+        ends = [ends[0] - FLOOR, *ends[1:-1], ends[-1] + FLOOR]
         here = F.col("column_name") == row["column_name"]
-        placed = bin_number(F.col("__x"), [F.lit(e) for e in row["edges"]], bins)
+        placed = bin_number(F.col("__x"), [F.lit(e) for e in ends], bins)
         number = F.when(here, placed) if number is None else number.when(here, placed)
-    counts = long.groupBy("column_name", number.alias("bin")).agg(
-        F.count_if(is_base).alias("base"), F.count_if(is_new).alias("new")
-    )
-    psi = psi_from_counts(counts, bins, ["column_name"]).select("column_name", "psi")
-    return means.join(ks, "column_name").join(psi, "column_name")
+    number = F.lit(None).cast("int") if number is None else number
+    binned = counted.groupBy("column_name", number.alias("bin")).agg(F.sum("n1").alias("base"), F.sum("n2").alias("new"))
+    psi = psi_from_counts(binned, bins, ["column_name"]).select("column_name", "psi")
+    return facts.join(psi, "column_name")
 
 
 def tail_share(df: DataFrame, condition: Column, expected: float) -> DataFrame:
@@ -197,7 +217,10 @@ def tail_share(df: DataFrame, condition: Column, expected: float) -> DataFrame:
 
 def entropy_bits(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Shannon entropy of a key combination in bits, percent of unique rows, and the ceiling."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("k"))
+    return _entropy(df.groupBy(*keys).agg(F.count("*").alias("k")))
+
+
+def _entropy(sizes: DataFrame) -> DataFrame:
     # H = log2 N - sum(k log2 k) / N, so group sizes are all that is needed
     summed = sizes.agg(
         F.sum("k").alias("n"),
@@ -215,10 +238,20 @@ def entropy_bits(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def grouped_once(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Group sizes by the union of all key sets, written: smaller key sets are grouped from it.
+
+    The table is read once, and the finest grouping is what the others share.
+    """
+    every = list(dict.fromkeys(k for keys in key_sets.values() for k in keys))
+    return written(df.groupBy(*every).agg(F.count("*").alias("__k")), "sizes")
+
+
 def entropy_ladder(df: DataFrame, ladder: Mapping[str, Sequence[str]]) -> DataFrame:
     """Entropy of key sets of growing detail, one row per set."""
-    out = None
+    out, sizes = None, grouped_once(df, ladder)
     for i, (name, keys) in enumerate(ladder.items()):
-        row = entropy_bits(df, keys).select(F.lit(i).alias("step"), F.lit(name).alias("key_set"), "*")
+        row = _entropy(sizes.groupBy(*keys).agg(F.sum("__k").alias("k")))
+        row = row.select(F.lit(i).alias("step"), F.lit(name).alias("key_set"), "*")
         out = row if out is None else out.unionByName(row)
     return out

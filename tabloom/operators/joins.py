@@ -9,20 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
-HOT_KEYS = 1000  # the biggest groups that are looked up by broadcast
-BROADCAST_ROWS = 100_000  # narrow tables counted up to this size are broadcast whole
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Write a table that should be small, count it, and mark it for broadcast if it is.
-
-    Left to itself Spark plans a shuffle of the other side before it learns the size.
-    """
-    table = written(df, "lookup")
-    small = table.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
-    return (F.broadcast(table) if small else table), small
-
-
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
@@ -91,36 +77,14 @@ def common_rows(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     return left.join(right.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def attach_group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    stats: DataFrame,
-    size: str,
-    spread: Sequence[str] | None = None,
-    ways: int = 64,
-) -> DataFrame:
+def attach_group_stats(df: DataFrame, keys: Sequence[str], stats: DataFrame) -> DataFrame:
     """Give each row the statistics of its group, whatever the group sizes.
 
-    `stats` has one row per group; `size` names its row count. Few groups are looked up by
-    broadcast. If there are many, the HOT_KEYS biggest (so at most HOT_KEYS rows) are still
-    looked up by broadcast, and their rows are scattered over `ways` dead keys in the shuffle
-    join that serves the small groups, so no task ever holds a big group. A missing key
-    counts as a group.
+    `stats` has one row per group. It is worked out once and written, so Spark knows its size when
+    it plans the lookup: a small table is broadcast, and with a larger one both sides are plain
+    shuffles, of which Spark splits the partitions that hold a big group. A missing key counts as a
+    group.
     """
     values = [c for c in stats.columns if c not in keys]
-    # a sketch tells, in one pass and without a shuffle, whether it pays to count the groups
-    guess = df.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0]
-    if guess <= 1.2 * BROADCAST_ROWS:
-        stats, small = broadcast_if_small(stats)
-        if small:
-            joined = join_null_safe(df, stats, keys, "left")
-            return joined.select(*df.columns, *values)
-    biggest = stats.orderBy(F.desc(size), *keys).limit(HOT_KEYS)
-    hot = biggest.select(*keys, F.struct(*values).alias("__hot"))
-    cold = stats.select(*keys, F.lit(-1).alias("__way"), F.struct(*values).alias("__cold"))
-    marked = join_null_safe(df, F.broadcast(hot), keys, "left")
-    scatter = F.pmod(F.xxhash64(*(spread or df.columns)), F.lit(ways)).cast("int")
-    way = F.when(F.col("__hot").isNotNull(), scatter).otherwise(F.lit(-1))
-    joined = join_null_safe(marked.withColumn("__way", way), cold, [*keys, "__way"], "left")
-    found = F.coalesce("__hot", "__cold")
-    return joined.select(*df.columns, *[found.getField(v).alias(v) for v in values])
+    joined = join_null_safe(df, written(stats, "groups"), keys, "left")
+    return joined.select(*df.columns, *values)

@@ -3,64 +3,69 @@
 A window without a partition key would pull the whole table into one task, and a
 window per group would pull a big group into one. Here the value range is cut into
 buckets, windows run inside (group, bucket), and the small table of bucket totals
-supplies what lies before each bucket. A table counted as small enough for one task
-takes the plain window or Spark's own percentile instead.
+supplies what lies before each bucket. There is one route for all sizes: only the
+number of buckets follows the data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .joins import join_null_safe
+ROWS_PER_BUCKET = 4_000_000
+SAMPLE = 20_000  # rows that a first sample holds
+PER_BUCKET = 10  # sampled rows per bucket at least
 
-MAX_BUCKETS = 2000
-SMALL_ROWS = 1_000_000  # up to this many rows one task may sort
-BIG_ROWS = 100_000_000  # beyond this many rows a full shuffle costs more than reading again
 
+def _sample(df: DataFrame, column: str, n: int) -> tuple[list, float]:
+    """(values, rows): n rows drawn at random from those with a value, and about how many there are."""
+    drawn = df.select(F.col(column).alias("v"), F.rand(17).alias("u")).where("v is not null")
+    found = drawn.orderBy("u").limit(n).collect()  # each task keeps n rows
+    rows = len(found) if len(found) < n else n / found[-1]["u"]
+    return [r["v"] for r in found], rows
 
-def bucket_count(df: DataFrame) -> int:
-    return max(2, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
+def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[Any]:
+    """At most `buckets - 1` values of the column, in order, that cut it into even parts.
 
-def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
-    """Approximate quantiles of a column: at most `buckets - 1` numbers on the driver.
-
-    They steer balance only; the results below are exact for any cuts. Repeats are kept:
-    a repeated cut marks a value that fills a bucket alone. Without a bucket number, a
-    table of at most SMALL_ROWS rows gets no cuts.
+    They come from a random sample and steer balance only; the results below are exact for any
+    cuts. Repeats are kept: a repeated cut marks a value that fills a bucket alone. Without a
+    number, there are as many buckets as shuffle partitions, or one for every ROWS_PER_BUCKET rows
+    if that is more.
     """
+    n = max(SAMPLE, PER_BUCKET * (buckets or 0))
+    values, rows = _sample(df, column, n)
     if buckets is None:
-        if df.count() <= SMALL_ROWS:
-            return []
-        buckets = bucket_count(df)
-    probs = [i / buckets for i in range(1, buckets)]
-    found = df.select(F.col(column).cast("double").alias("v")).where("v is not null")
-    return sorted(found.approxQuantile("v", probs, 1.0 / (4 * buckets)))
-
-
-def put_in_buckets(df: DataFrame, column: str, cuts: Sequence[float], name: str) -> DataFrame:
-    """Number of the left-closed bucket [cut, next cut) that holds the value."""
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    cast = df.withColumn("__number", F.col(column).cast("double"))
-    if len(splits) < 3:
-        return cast.withColumn(name, F.lit(0)).drop("__number")
-    placed = Bucketizer(splits=splits, inputCol="__number", outputCol="__raw_bucket", handleInvalid="keep")
-    return placed.transform(cast).withColumn(name, F.col("__raw_bucket").cast("int")).drop("__number", "__raw_bucket")
-
-
-def _numeric_order(df: DataFrame, column: str) -> Column:
-    """The column as a number with the same order (dates and times as epoch)."""
-    kind = df.schema[column].dataType.typeName()
-    c = F.col(column)
-    if kind == "date":
-        return F.unix_date(c).cast("double")
-    if kind.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    return c.cast("double")
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(2, parts, round(rows / ROWS_PER_BUCKET))
+        if n < PER_BUCKET * buckets and rows > n:
+            values, _ = _sample(df, column, PER_BUCKET * buckets)
+    # sorted by Spark, whose order of texts and of NaN isn't Python's
+    kind = StructType([StructField("v", df.schema[column].dataType)])
+    table = df.sparkSession.createDataFrame([(v,) for v in values], kind)
+    ordered = [r["v"] for r in table.orderBy("v").collect()]
+    return [ordered[i * len(ordered) // buckets] for i in range(1, buckets)] if ordered else []
+
+
+def put_in_buckets(df: DataFrame, column: str, cuts: Sequence, name: str) -> DataFrame:
+    """Number of the left-closed bucket [cut, next cut) that holds the value: cuts at or below it.
+
+    The cuts, in order, are a constant array of the column's own type, searched by halving steps.
+    """
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
+    held = F.array(*[F.lit(c).cast(df.schema[column].dataType) for c in cuts])
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(len(cuts).bit_length()))])
+
+    def step(low: Column, by: Column) -> Column:
+        fits = (low + by <= len(cuts)) & (F.get(held, low + by - 1) <= F.col(column))
+        return F.when(fits, low + by).otherwise(low)
+
+    return df.withColumn(name, F.aggregate(steps, F.lit(0), step))
 
 
 def _cell(by: Sequence[str], *parts: str) -> Column:
@@ -80,26 +85,14 @@ def cumulate(
 
     `weights` are aggregate expressions, by default {'n': count(*)}. Each weight w gives
     columns w, before_w (strictly smaller values) and total_w (the whole group). Rows
-    with a missing value are left out.
+    with a missing value are left out. Any type with an order will do.
     """
     weights = dict(weights or {"n": F.count(F.lit(1))})
     by = list(by)
     known = df.where(F.col(value).isNotNull())
-    order = _numeric_order(df, value).alias("__o")
-    cuts = cut_points(known.select(order), "__o", buckets)
+    cuts = cut_points(known, value, buckets)
     summed = known.groupBy(*by, value).agg(*[w.alias(name) for name, w in weights.items()])
-    if not cuts:
-        before = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*by)
-        return summed.select(
-            *by,
-            value,
-            *weights,
-            *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"before_{w}") for w in weights],
-            *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
-        )
-    summed = summed.select("*", order)
-    placed = put_in_buckets(summed, "__o", cuts, "__bucket").withColumn("__cell", _cell(by, "__bucket"))
+    placed = put_in_buckets(summed, value, cuts, "__bucket").withColumn("__cell", _cell(by, "__bucket"))
     inside = Window.partitionBy("__cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     rows = placed.select(
         *by,
@@ -117,7 +110,7 @@ def cumulate(
         *[F.sum(w).over(whole).alias(f"total_{w}") for w in weights],
     )
     if not by:
-        offsets = F.broadcast(offsets)  # one row per bucket: at most MAX_BUCKETS + 1
+        offsets = F.broadcast(offsets)  # one row per bucket
     joined = rows.join(offsets, "__cell")
     return joined.select(
         *by,
@@ -128,134 +121,44 @@ def cumulate(
     )
 
 
-def _place(p: float, n: Column) -> Column:
+def place_of(p: float, n: Column) -> Column:
     """0-based place of a quantile among n ordered values."""
     return F.lit(float(p)) * (n - 1)
 
 
-def _blend(name: str, p: float, n: Column) -> Column:
-    lo, hi, place = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), _place(p, n)
-    return (lo + (hi - lo) * (place - F.floor(place))).alias(name)
-
-
-def _quantiles_by_rank(df: DataFrame, value: str, probs: Mapping[str, float], by: list[str], buckets: int) -> DataFrame:
-    """All distinct values counted and ranked: one shuffle of the distinct values."""
-    counted = cumulate(df, value, by=by, buckets=buckets)
+def covering(value: str, rank: Column, n: str = "n") -> Column:
+    """Aggregate over a cumulated table: the value that holds a 0-based rank."""
+    hit = (F.col(f"before_{n}") <= rank) & (rank < F.col(f"before_{n}") + F.col(n))
+    return F.max(F.when(hit, F.col(value).cast("double")))
 
-    def covering(rank: Column) -> Column:
-        hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
 
-    picks = [F.max("total_n").alias("__n")]
+def quantiles_of_counted(counted: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (), n: str = "n") -> DataFrame:
+    """Quantiles with linear interpolation (by, n, one column per prob) from a cumulated table."""
+    picks = [F.max(f"total_{n}").alias("__n")]
     for name, p in probs.items():
-        place = _place(p, F.col("total_n"))
-        picks += [covering(F.floor(place)).alias(f"__lo_{name}"), covering(F.ceil(place)).alias(f"__hi_{name}")]
+        place = place_of(p, F.col(f"total_{n}"))
+        picks += [covering(value, F.floor(place), n).alias(f"__lo_{name}"), covering(value, F.ceil(place), n).alias(f"__hi_{name}")]
     found = counted.groupBy(*by).agg(*picks)
-    n = F.col("__n")
-    return found.select(*by, n.alias("n"), *[_blend(k, p, n) for k, p in probs.items()])
+    total = F.col("__n")
 
+    def blend(name: str, p: float) -> Column:
+        lo, hi, place = F.col(f"__lo_{name}"), F.col(f"__hi_{name}"), place_of(p, total)
+        part = place - F.floor(place)
+        return F.when(part == 0, lo).otherwise(lo + (hi - lo) * part).alias(name)
 
-def _quantiles_by_bracket(
-    df: DataFrame, value: str, probs: Mapping[str, float], by: list[str], accuracy: int, buckets: int
-) -> DataFrame | None:
-    """Sketch first, then rank only the rows near each quantile.
-
-    Spark's bounded-error sketch gives a bracket around every quantile. Rows below a
-    bracket are only counted; the few rows inside are ranked. Every rank is checked to
-    fall in its bracket. None if one doesn't, or if there are too many groups to hold
-    their brackets in a broadcast.
-    """
-    spark, margin = df.sparkSession, 2.0 / accuracy
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
-    ends = [max(p - margin, 0.0) for p in probs.values()] + [min(p + margin, 1.0) for p in probs.values()]
-    sketch = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.percentile_approx("__v", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("__e"),
-    )
-    brackets = sketch.limit(MAX_GROUPS + 1).collect()  # a bounded number of small rows
-    if len(brackets) > MAX_GROUPS:
-        return None
-    table = F.broadcast(spark.createDataFrame(brackets, sketch.schema))
-    if by:
-        looked = join_null_safe(rows, table, by)
-    else:
-        n, e = brackets[0] if brackets else (0, None)
-        if not n:
-            return None
-        looked = rows.select("*", F.lit(n).alias("__n"), F.array(*[F.lit(x) for x in e]).alias("__e"))
-    k = len(probs)
-    low, high = [F.col("__e")[i] for i in range(k)], [F.col("__e")[k + i] for i in range(k)]
-    below = looked.groupBy(*by).agg(
-        F.array(*[F.count_if(F.col("__v") < lo) for lo in low]).alias("__below"), F.max("__n").alias("__n")
-    )
-    near = F.array(*[
-        F.when((F.col("__v") >= lo) & (F.col("__v") <= hi), F.lit(i)) for i, (lo, hi) in enumerate(zip(low, high, strict=True))
-    ])
-    inside = looked.select(*by, "__v", F.explode(F.array_compact(near)).alias("__q"))
-    ranked = cumulate(inside, "__v", by=[*by, "__q"], buckets=buckets)
-    if by:
-        ranked = join_null_safe(ranked, F.broadcast(below), by)  # as many rows as brackets
-    else:
-        counts = below.first()
-        ranked = ranked.select(
-            "*", F.array(*[F.lit(c) for c in counts["__below"]]).alias("__below"), F.lit(n).alias("__n")
-        )
-    before = F.col("before_n") + F.element_at("__below", F.col("__q") + 1)
-
-    def covering(i: int, rank: Column) -> Column:
-        hit = (F.col("__q") == i) & (before <= rank) & (rank < before + F.col("n"))
-        return F.max(F.when(hit, F.col("__v")))
-
-    picks = [F.max("__n").alias("__n")]
-    for i, (name, p) in enumerate(probs.items()):
-        place = _place(p, F.col("__n"))
-        picks += [covering(i, F.floor(place)).alias(f"__lo_{name}"), covering(i, F.ceil(place)).alias(f"__hi_{name}")]
-    n_col = F.col("__n")
-    found = ranked.groupBy(*by).agg(*picks)
-    found = found.select(*by, n_col.alias("n"), *[_blend(name, p, n_col) for name, p in probs.items()])
-    result = found.collect()  # at most MAX_GROUPS rows
-    if len(result) < len(brackets) or any(r[name] is None for r in result for name in probs):
-        return None
-    return spark.createDataFrame(result, found.schema)
-
-
-MAX_GROUPS = 1000  # groups whose brackets are broadcast
+    return found.where("__n > 0").select(*by, total.alias("n"), *[blend(k, p) for k, p in probs.items()])
 
 
 def exact_quantiles(
-    df: DataFrame,
-    value: str,
-    probs: Mapping[str, float],
-    by: Sequence[str] = (),
-    buckets: int | None = None,
-    method: str = "auto",
-    accuracy: int = 1000,
+    df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:
-    """Quantiles with linear interpolation, per group, exact at any size.
+    """Quantiles with linear interpolation, per group, exact at any size: (by, n, one column per prob).
 
-    'auto' counts the rows. Up to SMALL_ROWS it takes Spark's percentile, which keeps a
-    group's distinct values in one task's memory; up to BIG_ROWS it ranks all values;
-    beyond, it reads the rows more often but shuffles only those in a bracket around each
-    quantile, and falls back to ranks where brackets can't be held or miss.
-    Returns (by, n, one column per prob).
+    All distinct values are counted and ranked: one shuffle of the distinct values.
     """
     by = list(by)
-    if method == "auto":
-        rows = df.count() if buckets is None else SMALL_ROWS + 1
-        method = "percentile" if rows <= SMALL_ROWS else "ranks" if rows <= BIG_ROWS else "brackets"
-    if method == "percentile":
-        v = F.col(value).cast("double")
-        found = df.where(v.isNotNull()).groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile(v, F.array(*[F.lit(float(p)) for p in probs.values()])).alias("__q"),
-        )
-        return found.select(*by, "n", *[F.col("__q")[i].alias(k) for i, k in enumerate(probs)])
-    buckets = buckets or bucket_count(df)
-    if method == "brackets":
-        found = _quantiles_by_bracket(df, value, probs, by, accuracy, buckets)
-        if found is not None:
-            return found
-    return _quantiles_by_rank(df, value, probs, by, buckets)
+    rows = df.select(*by, F.col(value).cast("double").alias("__value"))
+    return quantiles_of_counted(cumulate(rows, "__value", by=by, buckets=buckets), "__value", probs, by)
 
 
 def quantiles(
@@ -285,29 +188,23 @@ def row_positions(
     by: Sequence[str] = (),
     buckets: int | None = None,
 ) -> DataFrame:
-    """Every row's 1-based place in the order of (order, tie), per group.
+    """Every row's 1-based place in the order of (order, tie), per group; missing values come first.
 
-    (order, tie) must name a row, both numeric or temporal. A value of `order` that
-    fills buckets alone is cut again by `tie`, so even one value holding a third of
-    the table is spread over many tasks.
+    (order, tie) must name a row; both may have any type with an order. A value of `order` that
+    fills buckets alone is cut again by `tie`, with cuts from that value's own rows, so even one
+    value holding a third of the table is spread over many tasks.
     """
     by = list(by)
-    keyed = df.withColumn("__o", _numeric_order(df, order)).withColumn("__t", _numeric_order(df, tie))
-    cuts = cut_points(keyed, "__o", buckets)
-    if not cuts:
-        place = F.row_number().over(Window.partitionBy(*by).orderBy(order, tie))
-        return df.withColumn(name, place)
-    buckets = buckets or bucket_count(df)
-    hot = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
-    placed = put_in_buckets(keyed, "__o", cuts, "__bucket")
+    cuts = cut_points(df, order, buckets)
+    hot = [a for a, b in zip(cuts, cuts[1:], strict=False) if a == b or (a != a and b != b)]
+    placed = put_in_buckets(df, order, cuts, "__bucket").withColumn("__sub", F.lit(0))
     if hot:
-        tie_cuts = cut_points(keyed, "__t", buckets)
-        placed = put_in_buckets(placed, "__t", tie_cuts, "__sub")
+        kind = df.schema[order].dataType
+        is_hot = F.coalesce(F.col(order).isin([F.lit(h).cast(kind) for h in {repr(h): h for h in hot}.values()]), F.lit(False))
+        tie_cuts = cut_points(df.where(is_hot), tie, len(cuts) + 1)
+        placed = put_in_buckets(placed, tie, tie_cuts, "__sub")
         # a hot value opens its left-closed bucket, so its rows come before the others
-        sub = F.when(F.col("__o").isin(hot), F.col("__sub")).otherwise(F.lit(buckets + 1))
-        placed = placed.withColumn("__sub", sub)
-    else:
-        placed = placed.withColumn("__sub", F.lit(0))
+        placed = placed.withColumn("__sub", F.when(is_hot, F.col("__sub")).otherwise(F.lit(len(tie_cuts) + 1)))
     cells = [*by, "__bucket", "__sub"]
     inside = Window.partitionBy("__cell").orderBy(order, tie)
     sums = placed.groupBy(*cells).agg(F.count(F.lit(1)).alias("__n"))

@@ -12,15 +12,16 @@ from pyspark.sql.types import DoubleType
 
 from ..functions.hashing import laplace, open_uniform, uniform
 from ..functions.scalars import floor_bin
+from .inference import grouped_once
 from .joins import attach_group_stats
 from .sampling import resample
 
 
 def reidentification_risk(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
     """Percent of rows alone in their group, and the smallest group, per key set."""
-    out = None
+    out, grouped = None, grouped_once(df, key_sets)
     for name, keys in key_sets.items():
-        sizes = df.groupBy(*keys).agg(F.count("*").alias("k"))
+        sizes = grouped.groupBy(*keys).agg(F.sum("__k").alias("k"))
         row = sizes.agg(
             F.lit(name).alias("key_set"),
             F.sum("k").alias("rows"),
@@ -45,10 +46,10 @@ def k_anonymity(df: DataFrame, keys: Sequence[str], k: int = 5) -> DataFrame:
     )
 
 
-def suppress_small_groups(df: DataFrame, keys: Sequence[str], k: int, spread: Sequence[str]) -> DataFrame:
+def suppress_small_groups(df: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
     """Only the rows whose group has at least k rows: the release itself."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("__k"))
-    return attach_group_stats(df, keys, sizes, "__k", spread=spread).where(F.col("__k") >= k).drop("__k")
+    return attach_group_stats(df, keys, sizes).where(F.col("__k") >= k).drop("__k")
 
 
 def l_diversity(df: DataFrame, keys: Sequence[str], sensitive: str, minimum: int = 2) -> DataFrame:
@@ -113,15 +114,20 @@ def geometric_counts(df: DataFrame, by: Sequence[str], epsilon: float, test_salt
 def noise_error_curve(
     df: DataFrame, by: Sequence[str], epsilons: Sequence[float], repeats: int, salt: str, sensitivity: float = 1.0
 ) -> DataFrame:
-    """Mean absolute error of a noisy group count for each epsilon, over repeats."""
-    groups = df.groupBy(*by).agg(F.count("*").alias("rows"))
+    """What noise does to a table's group counts: for each epsilon, over repeats of the release,
+    the mean absolute and the mean relative error of the published counts (rounded, not below 0)."""
+    groups = df.groupBy(*by).agg(F.count("*").alias("true"))
     grid = F.explode(F.array(*[F.lit(float(e)) for e in epsilons])).alias("epsilon")
-    draws = groups.select(*by, grid).select(
-        *by, "epsilon", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
+    draws = groups.select(*by, "true", grid).select(
+        *by, "true", "epsilon", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
     )
     u = open_uniform([*by, "epsilon", "repeat"], salt)
-    error = F.abs(laplace(u, 1.0) * F.lit(float(sensitivity)) / F.col("epsilon"))
-    return draws.groupBy("epsilon").agg(F.count("*").alias("draws"), F.avg(error).alias("mean_abs_error"))
+    noise = laplace(u, 1.0) * F.lit(float(sensitivity)) / F.col("epsilon")
+    published = F.greatest(F.round(F.col("true") + noise), F.lit(0.0))
+    error = F.abs(published - F.col("true"))
+    return draws.groupBy("epsilon").agg(
+        F.count("*").alias("draws"), F.avg(error).alias("mean_abs_error"), F.avg(error / F.col("true")).alias("mean_rel_error")
+    )
 
 
 def randomised_response(df: DataFrame, key, truth: Column, salt: str) -> DataFrame:

@@ -107,12 +107,12 @@ def with_reasons(df: DataFrame, contract: Contract) -> DataFrame:
     return df.withColumn("reasons", F.array_compact(F.array(*named)))
 
 
-def quarantine(df: DataFrame, contract: Contract, spread: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their reasons); repeated keys are a reason too."""
-    marked = with_reasons(df, contract)
+def split_marked(marked: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with their reasons) of rows marked with the checks they break;
+    a key that repeats anywhere in the table is a reason too."""
     if contract.unique:
-        sizes = df.groupBy(*contract.unique).agg(F.count("*").alias("__n"))
-        marked = attach_group_stats(marked, contract.unique, sizes, "__n", spread=spread)
+        sizes = marked.groupBy(*contract.unique).agg(F.count("*").alias("__n"))
+        marked = attach_group_stats(marked, contract.unique, sizes)
         repeated = F.when(F.col("__n") > 1, F.array(F.lit(contract.key_check)))
         none = F.array().cast("array<string>")
         marked = marked.withColumn("reasons", F.concat("reasons", F.coalesce(repeated, none))).drop("__n")
@@ -120,6 +120,28 @@ def quarantine(df: DataFrame, contract: Contract, spread: Sequence[str]) -> tupl
     return marked.where(ok).drop("reasons"), marked.where(~ok)
 
 
+def quarantine(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected rows with their reasons); repeated keys are a reason too."""
+    return split_marked(with_reasons(df, contract), contract)
+
+
+def coerce(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """Cast the contract's typed columns: (table, report of (column_name, misfits)).
+
+    A misfit is a value that its type can't hold; it becomes missing, so a column that isn't
+    nullable then breaks the contract.
+    """
+    missing = [c for c in contract.types if c not in df.columns]
+    if missing:
+        raise ContractError("; ".join(f"missing column {c}" for c in missing))
+    if not contract.types:
+        return df, df.sparkSession.createDataFrame([], "column_name string, misfits long")
+    cast = {c: F.col(c).try_cast(kind) for c, kind in contract.types.items()}
+    lost = df.agg(*[F.count_if(F.col(c).isNotNull() & new.isNull()).alias(c) for c, new in cast.items()])
+    report = lost.unpivot([], list(cast), "column_name", "misfits")
+    return df.withColumns(cast), report
+
+
 def receipt_check(df: DataFrame, rows: int, columns: int, nulls: int, distinct: tuple[str, int]) -> DataFrame:
     """Shape, missing values and distinct count against what was promised; raises with the values."""
     if len(df.columns) != columns:

@@ -7,20 +7,18 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .joins import attach_group_stats
-from .ordered import cumulate, quantiles, row_positions
-
-LONG_LIST = 500  # a longer IN-list becomes a semi-join
+from .ordered import cumulate, quantiles, quantiles_of_counted, row_positions
 
 
 # ---- filters -------------------------------------------------------------------
 def keep_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """Rows whose value is listed. Short lists are pushed to the scan, long ones semi-joined."""
-    if len(values) <= LONG_LIST:
-        return df.where(F.col(column).isin(list(values)))
-    kind = df.schema[column].dataType.simpleString()
-    listed = df.sparkSession.createDataFrame([(v,) for v in values], f"`{column}` {kind}")
-    return df.join(listed.distinct(), column, "left_semi")
+    """Rows whose value is listed; Spark pushes the list, or its ends, to the scan.
+
+    A list that is a table of its own is a job for `joins.common_rows`.
+    """
+    return df.where(F.col(column).isin(list(values)))
 
 
 def fill_from_lookup(
@@ -31,6 +29,11 @@ def fill_from_lookup(
 
 
 # ---- aggregates ------------------------------------------------------------------
+def group(df: DataFrame, by: Sequence[str], drop_null_keys: bool = False):
+    """`groupBy` in which rows with a missing key are a group of their own, or are left out."""
+    return (df.dropna(subset=list(by)) if drop_null_keys and by else df).groupBy(*by)
+
+
 def summary_by_group(
     df: DataFrame,
     by: Sequence[str],
@@ -148,19 +151,24 @@ def means_in_order(df: DataFrame, by: str, values: Sequence[str], order: Sequenc
 
 
 def summary(df: DataFrame, value: str) -> DataFrame:
-    """n, mean, median, sample and population deviation, interquartile range."""
-    plain = df.agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std_sample"),
-        F.stddev_pop(value).alias("std_population"),
-    )
-    q = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).first()  # one row of numbers
-    median, iqr = (q["median"], q["q3"] - q["q1"]) if q and q["n"] else (None, None)
-    return plain.select(
-        "n", "mean", F.lit(median).cast("double").alias("median"), "std_sample", "std_population",
-        F.lit(iqr).cast("double").alias("iqr"),
+    """n, mean, median, sample and population deviation, interquartile range.
+
+    All from one table of counted distinct values; an empty table has n = 0 and no statistics.
+    """
+    rows = df.select(F.col(value).cast("double").alias("__v"))
+    counted = written(cumulate(rows, "__v"), "counted")
+    n, v, w = F.sum("n"), F.col("__v"), F.col("n")
+    mean = counted.agg((F.sum(v * w) / n).alias("m"))
+    squares = F.sum(w * F.pow(v - mean.scalar(), 2))
+    plain = counted.agg(
+        F.coalesce(n, F.lit(0)).alias("n"),
+        (F.sum(v * w) / n).alias("mean"),
+        F.sqrt(F.try_divide(squares, n - 1)).alias("std_sample"),
+        F.sqrt(squares / n).alias("std_population"),
     )
+    q = quantiles_of_counted(counted, "__v", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    iqr = q.select((F.col("q3") - F.col("q1")).alias("iqr")).scalar()
+    return plain.select("n", "mean", q.select("median").scalar().alias("median"), "std_sample", "std_population", iqr.alias("iqr"))
 
 
 def relative_gap(df: DataFrame, group: str, value: str, base: str, other: str) -> DataFrame:
@@ -204,9 +212,9 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     The first row per key is an aggregate (combined before the shuffle) looked up by
     each row, instead of a window that would hold a big key in one task.
     """
-    first = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(F.struct(*order)).alias("__first"))
-    looked = attach_group_stats(df, keys, first, "__n", spread=order)
-    return looked.withColumn("is_duplicate", F.struct(*order) != F.col("__first")).drop("__n", "__first")
+    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__first"))
+    looked = attach_group_stats(df, keys, first)
+    return looked.withColumn("is_duplicate", F.struct(*order) != F.col("__first")).drop("__first")
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:
@@ -222,17 +230,17 @@ def melt(
 
 
 # ---- windows ------------------------------------------------------------------------------
-def above_group_median(df: DataFrame, value: str, by: Sequence[str], spread: Sequence[str]) -> DataFrame:
+def above_group_median(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     """Each row with its group's median and whether it lies above it."""
-    middle = quantiles(df, value, {"group_median": 0.5}, by).withColumnRenamed("n", "__n")
-    looked = attach_group_stats(df, by, middle, "__n", spread=spread)
-    return looked.withColumn("above", F.col(value) > F.col("group_median")).drop("__n")
+    middle = quantiles(df, value, {"group_median": 0.5}, by).drop("n")
+    looked = attach_group_stats(df, by, middle)
+    return looked.withColumn("above", F.col(value) > F.col("group_median"))
 
 
-def group_size(df: DataFrame, by: Sequence[str], spread: Sequence[str], name: str = "k") -> DataFrame:
+def group_size(df: DataFrame, by: Sequence[str], name: str = "k") -> DataFrame:
     """Size of each row's group."""
     sizes = df.groupBy(*by).agg(F.count("*").alias(name))
-    return attach_group_stats(df, by, sizes, name, spread=spread)
+    return attach_group_stats(df, by, sizes)
 
 
 def daily_series(df: DataFrame, ts: str, unit: str = "day", **aggregates: Column) -> DataFrame:
@@ -291,24 +299,22 @@ def running_mean(df: DataFrame, order: str, value: str) -> DataFrame:
     return summed.select(order, seen.alias("seen"), F.try_divide(total, seen).alias("running_mean"))
 
 
-def centre(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), spread: Sequence[str] = ()) -> DataFrame:
+def centre(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Subtract the column mean, over the table or per group."""
     means = [F.avg(c).alias(f"__m_{c}") for c in columns]
     if by:
-        stats = df.groupBy(*by).agg(F.count("*").alias("__n"), *means)
-        looked = attach_group_stats(df, by, stats, "__n", spread=list(spread) or None)
+        looked = attach_group_stats(df, by, df.groupBy(*by).agg(*means))
     else:
         looked = df.withColumn("__s", df.agg(F.struct(*means)).scalar())
         looked = looked.select(*df.columns, "__s.*")
     return looked.withColumns({c: F.col(c) - F.col(f"__m_{c}") for c in columns}).select(*df.columns)
 
 
-def scale_unit(df: DataFrame, column: str, by: Sequence[str] = (), spread: Sequence[str] = ()) -> DataFrame:
+def scale_unit(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Min-max scale to [0, 1]; a constant column becomes 0; an empty table is an error."""
     ends = [F.min(column).alias("__lo"), F.max(column).alias("__hi")]
     if by:
-        stats = df.groupBy(*by).agg(F.count("*").alias("__n"), *ends)
-        looked = attach_group_stats(df, by, stats, "__n", spread=list(spread) or None)
+        looked = attach_group_stats(df, by, df.groupBy(*by).agg(*ends))
     else:
         if df.isEmpty():
             raise ValueError("can't scale an empty table")

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import digest, poisson_one_weight
+from ..functions.hashing import digest, poisson_one_weight, uniform
+from ..session import written
 from .joins import join_null_safe
-from .ordered import SMALL_ROWS
-from .sampling import digits_for, hash_cutoffs
+from .sampling import digits_for, hash_cutoffs, rank_by_hash
 
 Statistic = Callable[[Column, Column], Column]
 
@@ -20,11 +20,10 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
 
 
-def _spread_small(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Rows are about to be multiplied: a small table, often one file split, is first spread over all cores."""
-    if rows > SMALL_ROWS:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Slim rows that are about to be multiplied, spread over all cores whatever their files were."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
 
 
 def bootstrap_replicates(
@@ -32,12 +31,12 @@ def bootstrap_replicates(
 ) -> DataFrame:
     """(replicate, estimate): each row enters a replicate Poisson(1) times.
 
-    Four replicates read their weight off one digest. Rows are combined per replicate
+    A replicate that no row enters has no estimate. Four replicates read their weight off one digest. Rows are combined per replicate
     in each task, so the shuffle carries one row per task and replicate.
     """
     keys = [key] if isinstance(key, str) else list(key)
     known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__x"))
-    known = _spread_small(known, keys, known.count())
+    known = _spread(known, keys)
     blocks = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))).alias("__block")
     rows = known.select("__x", blocks, *keys)
     hexed = rows.select("__x", "__block", digest(key, F.concat_ws("-", F.lit(salt), "__block")).alias("__h"))
@@ -53,6 +52,24 @@ def bootstrap_replicates(
     return weighted.groupBy("replicate").agg(statistic(F.col("__x"), F.col("__w")).alias("estimate"))
 
 
+def exact_bootstrap_replicates(df: DataFrame, key, value: str, replicates: int, salt: str) -> DataFrame:
+    """(replicate, estimate): means of replicates of exactly as many draws as there are rows.
+
+    Rows are numbered once by hash rank; draw d of replicate r takes the row numbered
+    floor(u(d, r) * n). Draws are counted per row before the values are joined, so a value moves
+    once for all draws of its row in a replicate.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    known = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__x"))
+    numbered = written(rank_by_hash(known, keys, f"{salt}-index", "__i").select((F.col("__i") - 1).alias("__i"), "__x"), "numbered")
+    n = numbered.count()
+    reps = F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate")
+    draws = _spread(numbered.select(F.col("__i").alias("__d")), ["__d"]).select("__d", reps)
+    place = F.floor(uniform(["__d", "replicate"], salt) * n).cast("long")
+    drawn = draws.select("replicate", place.alias("__i")).groupBy("replicate", "__i").agg(F.count(F.lit(1)).alias("__w"))
+    return drawn.join(numbered, "__i").groupBy("replicate").agg(weighted_mean(F.col("__x"), F.col("__w")).alias("estimate"))
+
+
 def bootstrap_interval(
     df: DataFrame,
     key,
@@ -61,10 +78,14 @@ def bootstrap_interval(
     salt: str,
     level: float = 0.95,
     statistic: Statistic = weighted_mean,
+    exact_size: bool = False,
 ) -> DataFrame:
-    """Percentile bootstrap interval (replicates, low, high)."""
+    """Percentile bootstrap interval (replicates, low, high); `exact_size` draws n of n for the mean."""
     tail = (1 - level) / 2
-    estimates = bootstrap_replicates(df, key, value, replicates, salt, statistic)
+    if exact_size:
+        estimates = exact_bootstrap_replicates(df, key, value, replicates, salt)
+    else:
+        estimates = bootstrap_replicates(df, key, value, replicates, salt, statistic)
     # one row per replicate, so Spark's own percentile is safe
     return estimates.agg(
         F.count("*").alias("replicates"),
@@ -96,8 +117,8 @@ def permutation_test(
     def gap(flag: Column) -> Column:
         return statistic(F.col("__x"), flag) - statistic(F.col("__x"), 1 - flag)
 
+    rows = written(_spread(rows, keys), "rows")
     total = rows.count()
-    rows = _spread_small(rows, keys, total)
     facts = rows.agg(
         F.sum("__first").alias("n1"), F.count("*").alias("n"), gap(F.col("__first")).alias("observed")
     )

@@ -2,7 +2,6 @@
 
 The hash order of a group is spread evenly, so its first hex digits are ready-made
 buckets: ranks and cut-offs come from counts per bucket, and no task sorts a whole group.
-Tables counted as small enough for one task are ranked by a plain window.
 `key` must name a row.
 """
 
@@ -15,12 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, uniform
-from .joins import attach_group_stats, broadcast_if_small, join_null_safe
-from .ordered import SMALL_ROWS
+from ..session import written
+from .joins import attach_group_stats, join_null_safe
 
-def digits_for(rows: int, per_bucket: int = 4096) -> int:
-    """Hex digits that leave about `per_bucket` rows in a bucket of a group of known size."""
-    return max(1, min(5, math.ceil(math.log(max(rows / per_bucket, 1.0), 16))))
+
+def digits_for(rows: int, per_bucket: int = 1 << 18) -> int:
+    """Hex digits that leave at most about `per_bucket` rows in a bucket of a group of known size."""
+    return max(1, math.ceil(math.log(max(rows / per_bucket, 1.0), 16)))
 
 
 def _hashed(df: DataFrame, key, salt, digits: int) -> DataFrame:
@@ -41,11 +41,8 @@ def _bucket_offsets(hashed: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _chosen_digits(df: DataFrame, digits: int | None) -> int:
-    """0 for a small table (no buckets), else enough digits for the table's size."""
-    if digits is not None:
-        return digits
-    rows = df.count()
-    return 0 if rows <= SMALL_ROWS else digits_for(rows)
+    """Digits for the table's size, unless they are given."""
+    return digits_for(df.count()) if digits is None else digits
 
 
 def rank_by_hash(
@@ -53,12 +50,7 @@ def rank_by_hash(
 ) -> DataFrame:
     """Every row's 1-based place in the hash order of its group: a reproducible shuffle."""
     by = list(by)
-    digits = _chosen_digits(df, digits)
-    if digits == 0:
-        hashed = df.withColumn("__h", digest(key, salt))
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
-        return hashed.select(*df.columns, place.cast("long").alias(name))
-    hashed = _hashed(df, key, salt, digits)
+    hashed = _hashed(df, key, salt, _chosen_digits(df, digits))
     # one struct key for (group, bucket), so that window and join share one partitioning
     cell = F.struct(*by, "__p")
     offsets = _bucket_offsets(hashed, by).select(cell.alias("__cell"), "__before")
@@ -83,28 +75,15 @@ def hash_cutoffs(
     holds the cut-off is ranked, a small part of the group. Groups of size 0 have no row.
     """
     by = list(by)
-    digits = _chosen_digits(df, digits)
-    if digits == 0:
-        group = Window.partitionBy(*by)
-        ranked = df.select(*by, digest(key, salt).alias("__h")).select(
-            *by,
-            "__h",
-            F.row_number().over(group.orderBy("__h")).alias("__r"),
-            F.count(F.lit(1)).over(group).alias("__total"),
-        )
-        if sizes is not None:
-            ranked = join_null_safe(ranked, sizes, by)
-        cut = ranked.where(F.col("__r") == F.least(size.cast("long"), F.col("__total")))
-        return cut.select(*by, F.col("__h").alias("cutoff"), F.col("__total").alias("rows"))
-    hashed = _hashed(df, key, salt, digits).select(*by, "__h", "__p")
+    hashed = _hashed(df, key, salt, _chosen_digits(df, digits)).select(*by, "__h", "__p")
     counted = _bucket_offsets(hashed, by)
     if sizes is not None:
         counted = join_null_safe(counted, sizes, by)
     wanted = F.least(size.cast("long"), F.col("__total"))
     edge = counted.where((F.col("__before") < wanted) & (wanted <= F.col("__before") + F.col("__n")))
     edge = edge.select(*by, "__p", (wanted - F.col("__before")).alias("__take"), "__total")
-    # one row per group: with few groups only the edge buckets' rows are shuffled
-    edge = broadcast_if_small(edge)[0] if by else F.broadcast(edge)
+    # one row per group, written so that Spark knows its size: if it is small only the edge buckets' rows are shuffled
+    edge = written(edge, "edges") if by else F.broadcast(edge)
     rows = join_null_safe(hashed, edge, [*by, "__p"])
     place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
     cut = rows.withColumn("__r", place).where("__r = __take")
@@ -120,20 +99,11 @@ def sample_exact(df: DataFrame, key, n: int, salt: str, digits: int | None = Non
 def sample_per_group(
     df: DataFrame, key, n: int, salt: str, by: Sequence[str], digits: int | None = None
 ) -> DataFrame:
-    """Exactly n rows of each group (all rows of a smaller group).
-
-    A cut-off per group turns the sample into a filter; a small table is ranked instead.
-    """
+    """Exactly n rows of each group (all rows of a smaller group): a cut-off per group makes it a filter."""
     by = list(by)
-    digits = _chosen_digits(df, digits)
-    if digits == 0:
-        place = F.row_number().over(Window.partitionBy(*by).orderBy("__h"))
-        ranked = df.withColumn("__h", digest(key, salt)).withColumn("__r", place)
-        return ranked.where(F.col("__r") <= n).drop("__h", "__r")
     cuts = hash_cutoffs(df, key, salt, F.lit(n), by=by, digits=digits)
-    cuts = cuts.withColumnsRenamed({"cutoff": "__cutoff", "rows": "__rows"})
-    marked = attach_group_stats(df, by, cuts, "__rows", spread=_names(key) or None)
-    return marked.where(digest(key, salt) <= F.col("__cutoff")).drop("__cutoff", "__rows")
+    marked = attach_group_stats(df, by, cuts.select(*by, F.col("cutoff").alias("__cutoff")))
+    return marked.where(digest(key, salt) <= F.col("__cutoff")).drop("__cutoff")
 
 
 def sample_share(df: DataFrame, key, share: float, salt: str) -> DataFrame:
@@ -152,14 +122,14 @@ def resample(
         (F.col("__i") - 1).alias("__i"), *columns
     )
     total = df.agg(F.count("*").alias("n")).scalar()
-    draws = rank_by_hash(df.select(*_names(key)), key, salt + "-draw", draw_id).select(
+    draws = rank_by_hash(df.select(*keys_of(key)), key, salt + "-draw", draw_id).select(
         (F.col(draw_id) - 1).alias(draw_id)
     )
     chosen = draws.withColumn("__i", F.floor(uniform(draw_id, salt) * total).cast("long"))
     return chosen.join(numbered, "__i").select(draw_id, *columns)
 
 
-def _names(key) -> list[str]:
+def keys_of(key) -> list[str]:
     return [key] if isinstance(key, str) else [k for k in key if isinstance(k, str)]
 
 
@@ -201,10 +171,9 @@ def split_train_test(
 def _split_by_sizes(df, key, salt, by, sizes, column, mark, digits=None) -> DataFrame:
     # a stratum of size 0 has no cut-off, and its rows are looked up in vain
     cuts = hash_cutoffs(df, key, salt, F.col(column), sizes.select(*by, column), by, digits)
-    cuts = cuts.withColumnsRenamed({"cutoff": "__cutoff", "rows": "__rows"})
-    marked = attach_group_stats(df, by, cuts, "__rows", spread=_names(key) or None)
+    marked = attach_group_stats(df, by, cuts.select(*by, F.col("cutoff").alias("__cutoff")))
     inside = F.coalesce(digest(key, salt) <= F.col("__cutoff"), F.lit(False))
-    return marked.withColumn(mark, inside).drop("__rows", "__cutoff")
+    return marked.withColumn(mark, inside).drop("__cutoff")
 
 
 def split_counts(

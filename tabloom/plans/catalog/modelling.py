@@ -13,7 +13,6 @@ from ...models import explain, learners, linear, metrics, prepare, validate
 from ...operators import fairness, privacy, sampling
 from ...session import written
 from ..registry import Tables, md5_sql, query, uniform_sql
-from .privacy import profiles
 from .statistics import SCORED_SQL, scored
 
 # ---- splits -----------------------------------------------------------------------------------------
@@ -171,12 +170,25 @@ def m7(t: Tables):
     return coded.groupBy("p_type").agg(F.count("*").alias("n"), F.max(ones).cast("int").alias("ones"))
 
 
-@query("m8_preprocessing_with_names")
+def _coded_sql(column: str, start: str) -> str:
+    """One-hot entries of a column: most frequent value first, equal counts by value."""
+    return f"""SELECT ({start} + row_number() OVER (ORDER BY count(*) DESC, {column}) - 1)::INTEGER AS place,
+        'o_{column}_' || {column} AS feature, count(*) / (SELECT count(*) FROM part)::DOUBLE AS mean FROM part GROUP BY {column}"""
+
+
+@query(
+    "m8_preprocessing_with_names",
+    f"""WITH c AS ({_coded_sql('p_type', '2')} UNION ALL {_coded_sql('p_brand', '2 + (SELECT count(DISTINCT p_type) FROM part)')})
+        SELECT place, feature, round(mean, 6) AS mean, round(sqrt(mean * (1 - mean)), 6) AS std FROM c
+        UNION ALL SELECT 0, 'z_p_size', 0.0, 1.0 UNION ALL SELECT 1, 'z_p_retailprice', 0.0, 1.0""",
+)
 def m8(t: Tables):
     ready = prepare.columns_to_features(["p_size", "p_retailprice"], ["p_type", "p_brand"]).fit(t.part).transform(t.part)
     values = ready.select(F.posexplode(vector_to_array("features")).alias("place", "value"))
     names = t.spark.createDataFrame(list(enumerate(prepare.feature_names(ready))), "place int, feature string")
-    sums = values.groupBy("place").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    sums = values.groupBy("place").agg(
+        (F.round(F.avg("value"), 6) + 0.0).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std")
+    )
     return names.join(sums, "place")
 
 
@@ -185,7 +197,7 @@ def m9(t: Tables):
     train, test = revenue_rows(t)
     learner = Pipeline(stages=[
         prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]),
-        learners.forest_regressor("net", trees=5, depth=6),
+        learners.forest_regressor("net", depth=6),
     ])
     return validate.evaluate(learner, train, test, "net")
 
@@ -247,7 +259,7 @@ def m14(t: Tables):
 @query("m15_logistic_multinomial")
 def m15(t: Tables):
     train, test = language_rows(t)
-    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.logistic(train, "label", max_iter=100)])
+    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.logistic(train, "label")])
     return _classified(learner.fit(train), test)
 
 
@@ -260,7 +272,7 @@ def m16(t: Tables):
     ready = prepare.columns_to_features(NUMBERS, scaled=False)
     rows = {
         f"depth {d}": validate.evaluate(Pipeline(stages=[ready, learners.tree_regressor("net", d)]), train, test, "net")
-        for d in (5, 10)
+        for d in (5, None)
     }
     return validate.ladder(rows)
 
@@ -268,7 +280,7 @@ def m16(t: Tables):
 @query("m17_random_forest_classifier")
 def m17(t: Tables):
     train, test = language_rows(t)
-    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", trees=30, depth=8)])
+    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", depth=8)])
     return _classified(learner.fit(train), test)
 
 
@@ -276,7 +288,7 @@ def m17(t: Tables):
 def m17b(t: Tables):
     train, test = revenue_rows(t)
     learner = Pipeline(stages=[
-        prepare.columns_to_features(NUMBERS, scaled=False), learners.forest_regressor("net", trees=10, min_leaf=5, depth=8)
+        prepare.columns_to_features(NUMBERS, scaled=False), learners.forest_regressor("net", min_leaf=5, depth=8)
     ])
     return validate.evaluate(learner, train, test, "net")
 
@@ -311,7 +323,7 @@ def m19(t: Tables):
 def m20(t: Tables):
     train, test = language_rows(t)
     ready = prepare.columns_to_features(LABELS).fit(train)
-    curve = learners.perceptron_curve(ready.transform(train), "label", [len(LABELS), 32, 16, 4], (10, 20, 40))
+    curve = learners.perceptron_curve(ready.transform(train), "label", [len(LABELS), 32, 16, 4], (100, 400, 800))
     scored_test = ready.transform(test)
     return validate.ladder({f"{upto} iterations": _classified(m, scored_test) for upto, m in curve})
 
@@ -423,7 +435,7 @@ def m27(t: Tables):
 @query("m28_permutation_importance")
 def m28(t: Tables):
     train, test = language_rows(t)
-    model = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", trees=10, depth=6)]).fit(train)
+    model = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", depth=6)]).fit(train)
     return explain.permutation_importance(model, test, "doc_id", LABELS, explain.wrong("label"), repeats=10)
 
 
@@ -434,7 +446,7 @@ RULE = linear.LinearModel(["p_size", "p_partkey"], 890.0, np.array([0.5, 0.1]))
 @query(
     "m28b_permutation_importance_of_a_rule",
     f"""WITH c AS (SELECT part.*, r FROM part, (SELECT unnest(range(1, 11)) AS r)),
-        a AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('-', CAST(p_partkey AS VARCHAR), 'own', CAST(r AS VARCHAR)))) AS place FROM c),
+        a AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('-', CAST(p_partkey AS VARCHAR), 'own'))) AS place FROM c),
         b AS (SELECT r, p_size AS d_size, p_partkey AS d_key, row_number() OVER (PARTITION BY r ORDER BY
               md5(concat_ws('-', CAST(p_partkey AS VARCHAR), 'perm', CAST(r AS VARCHAR)))) AS place FROM c),
         l AS (SELECT f, r, avg(abs(p_retailprice - (890 + 0.5 * CASE WHEN f = 'p_size' THEN d_size ELSE p_size END
@@ -453,7 +465,7 @@ def m28b(t: Tables):
 def m29(t: Tables):
     train, _ = revenue_rows(t)
     ready = prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]).fit(train).transform(train)
-    model = learners.forest_regressor("net", trees=5, depth=6).fit(ready)
+    model = learners.forest_regressor("net", depth=6).fit(ready)
     entries = explain.impurity_importance(model, ready)
     sums = explain.importance_by_source(entries)
     return sums.orderBy(F.desc("importance")).limit(6)
@@ -512,9 +524,9 @@ def m32(t: Tables):
     ready = prepare.columns_to_features(LABELS)
     rows = {
         "majority": _classified(validate.MajorityBaseline("label").fit(train), test),
-        "logistic": _classified(Pipeline(stages=[ready, learners.logistic(train, "label", max_iter=50)]).fit(train), test),
+        "logistic": _classified(Pipeline(stages=[ready, learners.logistic(train, "label")]).fit(train), test),
         "tree": _classified(Pipeline(stages=[ready, learners.tree_classifier("label", 5)]).fit(train), test),
-        "forest": _classified(Pipeline(stages=[ready, learners.forest_classifier("label", trees=20, depth=6)]).fit(train), test),
+        "forest": _classified(Pipeline(stages=[ready, learners.forest_classifier("label", depth=6)]).fit(train), test),
     }
     return validate.ladder(rows)
 
@@ -533,34 +545,33 @@ def m33(t: Tables):
 
 # ---- privacy audits that need models ------------------------------------------------------------------------------
 
-PEOPLE_NUMBERS = ["edad", "cp", "energia_media", "minutos_dia", "is_f"]
-
-
-def people_rows(t: Tables) -> DataFrame:
-    return written(profiles(t).withColumn("is_f", (F.col("sexo") == "F").cast("int")), "people")
+def quality_rows(t: Tables) -> DataFrame:
+    """Labelled documents with their character shares, written once and read by every pass."""
+    labels = t.labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
+    return written(text_features(t).join(labels, "doc_id").select("doc_id", "quality", *LABELS), "quality")
 
 
 def _chance(model, df: DataFrame) -> DataFrame:
     p = vector_to_array("probability")
-    return model.transform(df).withColumn("p_one", p[1]).withColumn("p_true", F.when(F.col("premium") == 1, p[1]).otherwise(p[0]))
+    return model.transform(df).withColumn("p_one", p[1]).withColumn("p_true", F.when(F.col("quality") == 1, p[1]).otherwise(p[0]))
 
 
 @query("v8_membership_audit")
 def v8(t: Tables):
-    df = people_rows(t)
+    df = quality_rows(t)
     n = df.count()
-    parts = written(sampling.split_counts(df, "id", n // 5, n // 2, "42", ["premium"]), "parts")
+    parts = written(sampling.split_counts(df, "doc_id", n // 5, n // 2, "42", ["quality"]), "parts")
     train, test = parts.where("part = 'train'"), parts.where("part = 'test'")
-    ready = prepare.columns_to_features(PEOPLE_NUMBERS, scaled=False)
+    ready = prepare.columns_to_features(LABELS, scaled=False)
     settings = {
-        "overfitted": learners.boosting_classifier("premium", 2, rounds=10, rate=0.3, depth=10, min_leaf=1),
-        "regularised": learners.boosting_classifier("premium", 2, rounds=5, depth=2, min_leaf=20),
+        "overfitted": learners.forest_classifier("quality", depth=30, bootstrap=False),
+        "regularised": learners.forest_classifier("quality", trees=100, depth=3, min_leaf=max(1, n // 50)),
     }
     rows = {}
     for name, learner in settings.items():
         both = _chance(Pipeline(stages=[ready, learner]).fit(train), train.unionByName(test))
         both = both.withColumn("member", (F.col("part") == "train").cast("int"))
-        hit = (F.col("prediction") == F.col("premium")).cast("double")
+        hit = (F.col("prediction") == F.col("quality")).cast("double")
         gap = both.agg((F.avg(F.when(F.col("member") == 1, hit)) - F.avg(F.when(F.col("member") == 0, hit))).alias("gap"))
         rows[name] = gap.withColumn("attack_auc", metrics.auc(both, "member", "p_true").scalar())
     return validate.ladder(rows)
@@ -568,19 +579,32 @@ def v8(t: Tables):
 
 @query("v10_synthetic_utility")
 def v10(t: Tables):
-    df = people_rows(t)
-    parts = sampling.split_train_test(df, "id", 0.3, "2026")
+    df = quality_rows(t)
+    parts = sampling.split_train_test(df, "doc_id", 0.3, "2026")
     train, test = parts.where(~F.col("is_test")), parts.where("is_test")
-    made = privacy.synthesise_independent(df, "id", [[c] for c in [*PEOPLE_NUMBERS, "premium"]], "syn")
+    made = privacy.synthesise_independent(df, "doc_id", [[c] for c in [*LABELS, "quality"]], "syn")
     learner = Pipeline(stages=[
-        prepare.columns_to_features(PEOPLE_NUMBERS, scaled=False), learners.boosting_classifier("premium", 2, rounds=10, depth=3)
+        prepare.columns_to_features(LABELS, scaled=False), learners.forest_classifier("quality", trees=100, depth=5)
     ])
     rows = {}
     for name, source in {"real": train, "synthetic": written(made, "synthetic")}.items():
-        rows[name] = metrics.auc(_chance(learner.fit(source), test), "premium", "p_one")
+        rows[name] = metrics.auc(_chance(learner.fit(source), test), "quality", "p_one")
     return validate.ladder(rows)
 
 
+@query(
+    "v8b_attack_curve_of_a_rule",
+    f"""WITH {SCORED_SQL}, m AS (SELECT {uniform_sql('member', 'doc_id')} < 0.3 AS member, round(abs(quality - score), 6) AS s FROM scored),
+        r AS (SELECT member::INTEGER AS y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS k FROM m)
+        SELECT round((sum(k) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0) / (sum(y) * sum(1 - y)), 8)::DOUBLE AS attack_auc FROM r""",
+)
+def v8b(t: Tables):
+    """The attack's score worked out from written scores: how well a fixed rule's error tells members."""
+    df = written(scored(t), "scores").withColumn("member", (uniform("doc_id", "member") < 0.3).cast("int"))
+    df = df.withColumn("s", F.round(F.abs(F.col("quality") - F.col("score")), 6))
+    return metrics.auc(df, "member", "s").select(F.round("auc", 8).alias("attack_auc"))
+
+
 @query("x3_duck_typed_learners")
 def x3(t: Tables):
     train, test = revenue_rows(t)
@@ -590,3 +614,134 @@ def x3(t: Tables):
         "least squares": metrics.regression_scores(linear.least_squares(train, NUMBERS, "net").transform(test), "net", "prediction"),
     }
     return validate.ladder(rows)
+
+
+# ---- closed forms: one feature, so that the check is plain SQL ---------------------------------------------------
+
+KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+LINE_SQL = f"""r AS (SELECT l_extendedprice AS x, l_discount, l_quantity, l_extendedprice * (1 - l_discount) * (1 + l_tax) / 1000 AS y,
+    {uniform_sql('2026', *KEYS)} < 0.2 AS is_test, floor({uniform_sql('cv', *KEYS)} * 5) AS f FROM lineitem),
+    t AS (SELECT * FROM r WHERE NOT is_test), e AS (SELECT * FROM r WHERE is_test)"""
+
+
+def _scores_sql(guess: str, source: str = "e") -> str:
+    return f"""SELECT count(*) AS rows, round(avg(abs(y - ({guess}))), 6) AS mae,
+        round(1 - avg(pow(y - ({guess}), 2)) / var_pop(y), 6) + 0.0 AS r2 FROM {source}"""
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if c not in ("mae", "r2")], F.round("mae", 6).alias("mae"), (F.round("r2", 6) + 0.0).alias("r2"))
+
+
+@query(
+    "m4b_cross_validated_line",
+    f"""WITH {LINE_SQL}, k AS (SELECT unnest(range(5)) AS k),
+        m AS (SELECT k, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM t, k WHERE f <> k GROUP BY k),
+        s AS (SELECT k, avg(abs(y - (a + b * x))) AS mae FROM t JOIN m ON f = k GROUP BY k)
+        SELECT (SELECT count(*) FROM t) AS rows, round(avg(mae), 6) AS mae, round(stddev_pop(mae), 6) AS std FROM s""",
+)
+def m4b(t: Tables):
+    train, _ = revenue_rows(t)
+    folded = written(train.withColumn("fold", F.floor(uniform(list(KEYS), "cv") * 5).cast("int")), "folds")
+    learner = Pipeline(stages=[prepare.columns_to_features(["l_extendedprice"]), learners.linear("net")])
+    mean, std = validate.cross_validate(learner, folded, "fold", 5, RegressionEvaluator(labelCol="net", metricName="mae"))
+    return train.agg(F.count("*").alias("rows"), F.round(F.lit(mean), 6).alias("mae"), F.round(F.lit(std), 6).alias("std"))
+
+
+@query(
+    "m11b_gradient_descent_line",
+    f"""WITH {LINE_SQL}, c AS (SELECT covar_pop(y, x) / stddev_pop(x) AS c, var_pop(y) AS yy, avg(y) AS m FROM t)
+        SELECT i::INTEGER AS step, round(yy - c * c + (c * c + m * m) * pow(0.4, 2 * i), 6) AS loss
+        FROM c, (SELECT unnest(range(100)) AS i)""",
+)
+def m11b(t: Tables):
+    train, _ = revenue_rows(t)
+    return linear.gradient_descent(train, ["l_extendedprice"], "net")[1].withColumn("loss", F.round("loss", 6))
+
+
+@query(
+    "m12b_polynomial_of_degree_one",
+    f"WITH {LINE_SQL}, m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM t) " + _scores_sql("a + b * x", "e, m"),
+)
+def m12b(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.polynomial(["l_extendedprice"], 1), learners.linear("net")])
+    return _rounded(validate.evaluate(learner, train, test, "net"))
+
+
+@query(
+    "m13b_ridge_line",
+    f"""WITH {LINE_SQL}, m AS (SELECT covar_pop(y, x) * count(*) / (var_pop(x) * count(*) + 10) AS b, avg(x) AS mx, avg(y) AS my FROM t) """
+    + _scores_sql("my + b * (x - mx)", "e, m"),
+)
+def m13b(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(["l_extendedprice"], scaled=False), learners.ridge(train, "net", 10.0)])
+    return _rounded(validate.evaluate(learner, train, test, "net"))
+
+
+@query(
+    "m14b_lasso_line",
+    f"""WITH {LINE_SQL}, c AS (SELECT covar_pop(y, x) / stddev_pop(x) AS c, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my FROM t),
+        m AS (SELECT sign(c) * greatest(abs(c) - 0.8, 0) AS b, mx, sx, my FROM c) """
+    + _scores_sql("my + b * (x - mx) / sx", "e, m").replace(", 6)", ", 4)"),
+)
+def m14b(t: Tables):
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(["l_extendedprice"]), learners.lasso("net", 0.8)])
+    out = validate.evaluate(learner, train, test, "net")
+    return out.select("rows", F.round("mae", 4).alias("mae"), (F.round("r2", 4) + 0.0).alias("r2"))
+
+
+@query(
+    "m16b_stump",
+    f"""WITH {LINE_SQL}, d AS (SELECT DISTINCT l_discount AS v FROM t),
+        s AS (SELECT v, sum(CASE WHEN l_discount <= v THEN y END) AS ls, count(CASE WHEN l_discount <= v THEN 1 END) AS ln,
+              sum(CASE WHEN l_discount > v THEN y END) AS rs, count(CASE WHEN l_discount > v THEN 1 END) AS rn FROM t, d GROUP BY v),
+        m AS (SELECT v, ls / ln AS l, rs / rn AS r FROM s WHERE rn > 0 ORDER BY ls * ls / ln + rs * rs / rn DESC LIMIT 1) """
+    + _scores_sql("CASE WHEN l_discount <= v THEN l ELSE r END", "e, m"),
+)
+def m16b(t: Tables):
+    """A tree of depth 1 on a column of few values, where all split candidates are exact."""
+    train, test = revenue_rows(t)
+    learner = Pipeline(stages=[prepare.columns_to_features(["l_discount"], scaled=False), learners.tree_regressor("net", 1)])
+    return _rounded(validate.evaluate(learner, train, test, "net"))
+
+
+@query(
+    "x2_fit_and_transform",
+    f"""WITH {LINE_SQL}, m AS (SELECT avg(x) AS a, stddev_pop(x) AS s, avg(l_quantity) AS b, stddev_pop(l_quantity) AS q FROM t)
+        SELECT count(*) AS rows, round(avg((x - a) / s), 6) + 0.0 AS z_price, round(stddev_pop((x - a) / s), 6) AS std_price,
+               round(avg((l_quantity - b) / q), 6) + 0.0 AS z_quantity FROM e, m""",
+)
+def x2(t: Tables):
+    """A fitted stage carries what it learned on one table to another."""
+    train, test = revenue_rows(t)
+    scaler = prepare.PopulationScaler(inputCols=["l_extendedprice", "l_quantity"], outputCols=["z_p", "z_q"])
+    scaled = scaler.fit(train).transform(test)
+    return scaled.agg(
+        F.count("*").alias("rows"),
+        (F.round(F.avg("z_p"), 6) + 0.0).alias("z_price"),
+        F.round(F.stddev_pop("z_p"), 6).alias("std_price"),
+        (F.round(F.avg("z_q"), 6) + 0.0).alias("z_quantity"),
+    )
+
+
+@query(
+    "x3b_duck_typed_baselines",
+    f"""WITH {LINE_SQL}, g AS (SELECT l_quantity, avg(y) AS m FROM t GROUP BY l_quantity),
+        p AS (SELECT e.*, coalesce(m, (SELECT avg(y) FROM t)) AS q, (SELECT avg(y) FROM t) AS a FROM e LEFT JOIN g USING (l_quantity)),
+        l AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS i FROM t)
+        SELECT 0 AS rank, 'mean' AS model, * FROM ({_scores_sql("a", "p")}) UNION ALL
+        SELECT 1, 'group mean', * FROM ({_scores_sql("q", "p")}) UNION ALL
+        SELECT 2, 'least squares', * FROM ({_scores_sql("i + b * x", "p, l")})""",
+)
+def x3b(t: Tables):
+    train, test = revenue_rows(t)
+    line = linear.least_squares(train, ["l_extendedprice"], "net").transform(test)
+    rows = {
+        "mean": validate.evaluate(validate.MeanBaseline("net"), train, test, "net"),
+        "group mean": validate.evaluate(validate.GroupMeanBaseline("net", ["l_quantity"]), train, test, "net"),
+        "least squares": metrics.regression_scores(line, "net", "prediction"),
+    }
+    return _rounded(validate.ladder(rows))

@@ -47,13 +47,26 @@ def q2(t: Tables):
        SELECT a + b + c AS reasons, count(*) AS n FROM b GROUP BY reasons""",
 )
 def q3(t: Tables):
-    valid, rejected = q.quarantine(
-        t.lineitem, LINE_CONTRACT, ["l_partkey", "l_suppkey", "l_shipdate"]
-    )
+    valid, rejected = q.quarantine(t.lineitem, LINE_CONTRACT)
     kinds = rejected.select(F.size("reasons").alias("reasons")).unionByName(valid.select(F.lit(0).alias("reasons")))
     return kinds.groupBy("reasons").agg(F.count("*").alias("n"))
 
 
+@query(
+    "q2b_contract_coercion",
+    """WITH c AS (SELECT TRY_CAST(replace(c_name, 'Customer#', '') AS INTEGER) AS a, CASE WHEN c_custkey % 7 = 0 THEN 'n/a'
+              ELSE CAST(c_acctbal AS VARCHAR) END AS b FROM customer)
+       SELECT 'code' AS column_name, count(*) FILTER (WHERE a IS NULL) AS misfits FROM c
+       UNION ALL SELECT 'balance', count(*) FILTER (WHERE TRY_CAST(b AS DOUBLE) IS NULL) FROM c""",
+)
+def q2b(t: Tables):
+    texts = t.customer.select(
+        F.replace("c_name", F.lit("Customer#"), F.lit("")).alias("code"),
+        F.when(F.col("c_custkey") % 7 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string")).alias("balance"),
+    )
+    return q.coerce(texts, q.Contract([], types={"code": "int", "balance": "double"}))[1]
+
+
 @query(
     "q3b_fail_fast_contract",
     """SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus""",

@@ -332,7 +332,7 @@ def f13(t: Tables):
 )
 def f13b(t: Tables):
     df = t.events.select("event_id", "user_id", "value")
-    out = scale_unit(df, "value", by=["user_id"], spread=["event_id"])
+    out = scale_unit(df, "value", by=["user_id"])
     return out.select("event_id", F.round("value", 6).alias("value"))
 
 

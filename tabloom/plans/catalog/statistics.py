@@ -159,7 +159,7 @@ def t2(t: Tables):
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "low", "high")})
 
 
-REPLICATES = 200
+REPLICATES = 10_000
 
 
 def _poisson_sql(u: str) -> str:
@@ -174,15 +174,28 @@ def _poisson_sql(u: str) -> str:
 
 @query(
     "t3_bootstrap_interval",
-    f"""WITH w AS (SELECT value, b * 4 + p AS r, CAST('0x' || substr(md5(concat_ws('-', CAST(event_id AS VARCHAR), 'boot',
+    f"""WITH w AS (SELECT s_acctbal, b * 4 + p AS r, CAST('0x' || substr(md5(concat_ws('-', CAST(s_suppkey AS VARCHAR), 'boot',
               CAST(b AS VARCHAR))), CAST(1 + 8 * p AS INTEGER), 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u
-              FROM events, (SELECT unnest(range({REPLICATES // 4})) AS b), (SELECT unnest(range(4)) AS p)),
-        x AS (SELECT r, value, {_poisson_sql('u')} AS k FROM w),
-        e AS (SELECT r, sum(k * value) / sum(k) AS m FROM x GROUP BY r)
+              FROM supplier, (SELECT unnest(range({REPLICATES // 4})) AS b), (SELECT unnest(range(4)) AS p)),
+        x AS (SELECT r, s_acctbal, {_poisson_sql('u')} AS k FROM w),
+        e AS (SELECT r, sum(k * s_acctbal) / sum(k) AS m FROM x WHERE k > 0 GROUP BY r)
         SELECT count(*) AS replicates, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM e""",
 )
 def t3(t: Tables):
-    out = resampling.bootstrap_interval(t.events, "event_id", "value", REPLICATES, "boot")
+    out = resampling.bootstrap_interval(t.supplier, "s_suppkey", "s_acctbal", REPLICATES, "boot")
+    return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
+
+
+@query(
+    "t3b_exact_size_bootstrap",
+    f"""WITH i AS (SELECT row_number() OVER (ORDER BY {md5_sql('ex-index', 's_suppkey')}) - 1 AS i, s_acctbal AS x FROM supplier),
+        d AS (SELECT r, CAST(floor({uniform_sql('ex', 'i.i', 'r')} * (SELECT count(*) FROM i)) AS BIGINT) AS j
+              FROM i, (SELECT unnest(range(1000)) AS r)),
+        e AS (SELECT r, avg(x) AS m FROM d JOIN i ON i.i = j GROUP BY r)
+        SELECT count(*) AS replicates, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM e""",
+)
+def t3b(t: Tables):
+    out = resampling.bootstrap_interval(t.supplier, "s_suppkey", "s_acctbal", 1000, "ex", exact_size=True)
     return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
@@ -237,44 +250,64 @@ def t5(t: Tables):
     return out.select(F.round("cohen_d", 6).alias("cohen_d"))
 
 
+PERMUTED_SQL = f"""WITH a AS (SELECT s_suppkey, s_acctbal AS x, (s_nationkey < 12)::INTEGER AS f FROM supplier),
+        o AS (SELECT sum(f) AS n1, {{0}} - {{1}} AS seen FROM a),
+        p AS (SELECT r, x, (row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('-', CAST(s_suppkey AS VARCHAR), '{{4}}',
+              CAST(r AS VARCHAR)))) <= (SELECT n1 FROM o))::INTEGER AS f FROM a, (SELECT unnest(range(1, {REPLICATES + 1})) AS r)),
+        g AS (SELECT r, {{0}} - {{1}} AS gap FROM p GROUP BY r),
+        c AS (SELECT count(*) AS replicates, count(*) FILTER (WHERE gap <= seen + 1e-14 * abs(seen)) AS lower,
+              count(*) FILTER (WHERE gap >= seen - 1e-14 * abs(seen)) AS upper FROM g, o)"""
+
+
 @query(
     "t6_permutation_test",
-    f"""WITH a AS (SELECT event_id, value AS x, (event_type = 'click')::INTEGER AS f FROM events
-                   WHERE event_type IN ('click', 'view')),
-        o AS (SELECT sum(f) AS n1, sum(x * f) / sum(f) - sum(x * (1 - f)) / sum(1 - f) AS seen FROM a),
-        p AS (SELECT r, x, row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('-', CAST(event_id AS VARCHAR), 'perm',
-              CAST(r AS VARCHAR)))) AS k FROM a, (SELECT unnest(range(1, {REPLICATES + 1})) AS r)),
-        g AS (SELECT r, avg(x) FILTER (WHERE k <= n1) - avg(x) FILTER (WHERE k > n1) AS gap FROM p, o GROUP BY r),
-        c AS (SELECT count(*) AS replicates, count(*) FILTER (WHERE gap <= seen + 1e-14 * abs(seen)) AS lower,
-              count(*) FILTER (WHERE gap >= seen - 1e-14 * abs(seen)) AS upper FROM g, o)
-        SELECT round(seen, 6) AS observed, replicates, lower, upper,
+    PERMUTED_SQL.format("sum(x * f) / sum(f)", "sum(x * (1 - f)) / sum(1 - f)", "", "", "perm")
+    + """ SELECT round(seen, 6) AS observed, replicates, lower, upper,
                round(least(1.0, 2 * (least(lower, upper) + 1) / (replicates + 1)::DOUBLE), 6) AS p FROM c, o""",
 )
 def t6(t: Tables):
-    two = t.events.where(F.col("event_type").isin("click", "view"))
-    out = resampling.permutation_test(two, "event_id", "value", F.col("event_type") == "click", REPLICATES, "perm")
+    out = resampling.permutation_test(t.supplier, "s_suppkey", "s_acctbal", F.col("s_nationkey") < 12, REPLICATES, "perm")
     return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
 
 
-def _tests(t: Tables):
-    """One p-like number per customer: the hash uniform, squeezed for every tenth one."""
-    u = uniform("c_custkey", "pv")
-    squeezed = F.when(F.col("c_custkey") % 10 == 0, u / 10000).otherwise(u)
-    return t.customer.select("c_custkey", squeezed.alias("p"))
+def rich_share(value, weight):
+    """A statistic of the user's own: the weighted share of balances above 5000."""
+    return F.sum((value > 5000).cast("int") * weight) / F.sum(weight)
+
+
+@query(
+    "x1_user_statistic_in_a_test",
+    PERMUTED_SQL.format("sum((x > 5000)::INTEGER * f) / sum(f)", "sum((x > 5000)::INTEGER * (1 - f)) / sum(1 - f)", "", "", "own")
+    + """ SELECT round(seen, 6) AS observed, replicates, lower, upper,
+               round(least(1.0, 2 * (least(lower, upper) + 1) / (replicates + 1)::DOUBLE), 6) AS p FROM c, o""",
+)
+def x1(t: Tables):
+    out = resampling.permutation_test(
+        t.supplier, "s_suppkey", "s_acctbal", F.col("s_nationkey") < 12, REPLICATES, "own", statistic=rich_share
+    )
+    return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
 
 
 @query(
     "t7_multiple_testing",
-    f"""WITH t AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN {uniform_sql('pv', 'c_custkey')} / 10000
-              ELSE {uniform_sql('pv', 'c_custkey')} END AS p FROM customer),
-        r AS (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p, c_custkey) AS k FROM t),
-        a AS (SELECT c_custkey, p, m, least(1.0, min(p * m / k) OVER (ORDER BY p DESC, c_custkey DESC)) AS adj FROM r)
-        SELECT c_custkey, round(p, 8) AS p, round(adj, 8) AS p_adjusted, adj < 0.05 AS bh_significant,
+    f"""WITH g AS (SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'R')::DOUBLE AS n1, avg(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS m1,
+              var_samp(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS v1, count(*) FILTER (WHERE l_returnflag <> 'R')::DOUBLE AS n2,
+              avg(l_extendedprice) FILTER (WHERE l_returnflag <> 'R') AS m2, var_samp(l_extendedprice) FILTER (WHERE l_returnflag <> 'R') AS v2
+              FROM lineitem GROUP BY l_suppkey),
+        w AS (SELECT l_suppkey, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t, pow(v1 / n1 + v2 / n2, 2) /
+              (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS df FROM g WHERE v1 > 0 AND v2 > 0),
+        p AS (SELECT l_suppkey, {_t_tail_sql('t', 'df')} AS p FROM w),
+        r AS (SELECT *, count(*) OVER () AS m, row_number() OVER (ORDER BY p, l_suppkey) AS k FROM p),
+        a AS (SELECT l_suppkey, p, m, least(1.0, min(p * m / k) OVER (ORDER BY p DESC, l_suppkey DESC)) AS adj FROM r)
+        SELECT l_suppkey, round(p, 6) AS p, round(adj, 6) AS p_adjusted, adj < 0.05 AS bh_significant,
                p < 0.05 / m AS bonferroni_significant FROM a""",
 )
 def t7(t: Tables):
-    out = inference.adjust_p(_tests(t), "c_custkey", "p")
-    return out.withColumns({"p": F.round("p", 8), "p_adjusted": F.round("p_adjusted", 8)})
+    """One Welch test per supplier: prices of returned lines against the others."""
+    returned = F.col("l_returnflag") == "R"
+    tests = inference.welch(t.lineitem, "l_extendedprice", returned, ~returned, by=["l_suppkey"]).where("p is not null")
+    out = inference.adjust_p(tests.select("l_suppkey", "p"), "l_suppkey", "p")
+    return out.withColumns({"p": F.round("p", 6), "p_adjusted": F.round("p_adjusted", 6)})
 
 
 @query(
@@ -427,7 +460,7 @@ def e1(t: Tables):
 )
 def e2(t: Tables):
     df = written(scored(t).withColumn("s", -F.col("score")), "scores")
-    out = fairness.equal_opportunity(df, "lang", "quality", "s", 0.43, ["doc_id"])
+    out = fairness.equal_opportunity(df, "lang", "quality", "s", 0.43)
     return _rounded_audit(out).withColumn("threshold", F.round("threshold", 6))
 
 

@@ -8,17 +8,32 @@ from ...streaming import runs
 from ..registry import Tables, query
 
 
-def event_files(t: Tables) -> str:
-    """The events out of order: shuffled by hash into several files."""
-    path = scratch_path(t.spark, "event-files")
-    t.events.repartition(6, F.md5(F.col("event_id").cast("string"))).write.parquet(path)
-    return path
+GROUP_DAYS = 6
+LATENESS = "4 days"  # rows come up to two days late, so none is lost, and state older than this goes
+
 
+def event_files(t: Tables, twice: bool = False) -> str:
+    """The events as they arrive, up to two days after they happened, in groups of some days.
 
-def stream(t: Tables):
-    return runs.open_stream(t.spark, event_files(t), t.events.schema, files_per_batch=2)
+    With `twice`, one in ten is delivered a second time a day later. Groups are written one after
+    the other, because a file stream reads files in the order of their times.
+    """
+    path = scratch_path(t.spark, "event-files")
+    delay = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    events = t.events.withColumn("__delay", delay)
+    if twice:
+        again = events.where(F.pmod(F.xxhash64("event_id", F.lit("twice")), F.lit(10)) == 0)
+        events = events.unionByName(again.withColumn("__delay", F.col("__delay") + 1))
+    first, last = t.events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    arrival = F.date_diff(F.to_date("ts"), F.lit(first)) + F.col("__delay")
+    for group in range(((last - first).days + 3) // GROUP_DAYS + 1):
+        part = events.where(F.floor(arrival / GROUP_DAYS) == group).drop("__delay")
+        part.write.mode("append").parquet(path)
+    return path
 
 
+def stream(t: Tables, twice: bool = False):
+    return runs.open_stream(t.spark, event_files(t, twice), t.events.schema, files_per_batch=4)
 
 
 @query(
@@ -27,7 +42,7 @@ def stream(t: Tables):
               round(avg(value), 6) AS mean FROM events GROUP BY ALL""",
 )
 def r1(t: Tables):
-    out = runs.windowed_run(stream(t), "ts", "40 days", "1 day", n=F.count("*"), mean=F.round(F.avg("value"), 6))
+    out = runs.windowed_run(stream(t), "ts", LATENESS, "1 day", n=F.count("*"), mean=F.round(F.avg("value"), 6))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
@@ -37,26 +52,28 @@ def r1(t: Tables):
        (SELECT value, date_trunc('day', ts) - to_days(CAST(unnest(range(7)) AS INTEGER)) AS s FROM events) GROUP BY s""",
 )
 def r1b(t: Tables):
-    out = runs.windowed_run(stream(t), "ts", "40 days", "7 days", "1 day", n=F.count("*"), mean=F.round(F.avg("value"), 6))
+    out = runs.windowed_run(stream(t), "ts", LATENESS, "7 days", "1 day", n=F.count("*"), mean=F.round(F.avg("value"), 6))
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 
 @query(
     "r2_contract_per_micro_batch",
-    """SELECT CASE WHEN value > 60 AND event_type NOT IN ('click', 'view', 'error') THEN 2
-                   WHEN value > 60 OR event_type NOT IN ('click', 'view', 'error') THEN 1 ELSE 0 END AS reasons,
-              count(*) AS n FROM events GROUP BY reasons""",
+    """WITH k AS (SELECT value, event_type, count(*) OVER (PARTITION BY user_id, event_type, date_trunc('hour', ts)) AS n FROM events)
+       SELECT (value > 60)::INTEGER + (event_type NOT IN ('click', 'view', 'error'))::INTEGER + (n > 1)::INTEGER AS reasons,
+              count(*) AS n FROM k GROUP BY reasons""",
 )
 def r2(t: Tables):
-    contract = Contract([Rule("value", high=60), Rule("event_type", allowed=["click", "view", "error"])])
-    good, bad = runs.contract_run(stream(t), contract)
+    rules = [Rule("value", high=60), Rule("event_type", allowed=["click", "view", "error"])]
+    hourly = stream(t).withColumn("hour", F.date_trunc("hour", "ts"))
+    good, bad = runs.contract_run(hourly, Contract(rules, unique=["user_id", "event_type", "hour"]))
     kinds = bad.select(F.size("reasons").alias("reasons")).unionByName(good.select(F.lit(0).alias("reasons")))
     return kinds.groupBy("reasons").agg(F.count("*").alias("n"))
 
 
-@query("r3_streaming_dedupe", "SELECT DISTINCT user_id, event_type FROM events")
+@query("r3_streaming_dedupe", "SELECT event_id, user_id, event_type FROM events")
 def r3(t: Tables):
-    return runs.dedupe_run(stream(t), ["user_id", "event_type"], "ts", "40 days").select("user_id", "event_type")
+    """Deliveries repeat within the lateness, so each event comes out once."""
+    return runs.dedupe_run(stream(t, twice=True), ["event_id"], "ts", LATENESS).select("event_id", "user_id", "event_type")
 
 
 def _window_psi_sql() -> str:
@@ -78,6 +95,6 @@ def _window_psi_sql() -> str:
 @query("r4_windowed_stability_index", _window_psi_sql())
 def r4(t: Tables):
     base = t.events.where(F.col("event_type") == "click")
-    out = runs.drift_run(stream(t), base, "value", "ts", "40 days", "1 day")
+    out = runs.drift_run(stream(t), base, "value", "ts", LATENESS, "1 day")
     out = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
     return out.withColumn("psi", F.round("psi", 6))

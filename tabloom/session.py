@@ -45,8 +45,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tabloom/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in a folder of this application.
+
+    The file system removes that folder when the driver's JVM ends.
+    """
+    context = spark.sparkContext
+    root = f"{shared_folder(spark)}/tabloom/{context.applicationId}"
+    if getattr(context, "_tabloom_scratch", None) != root:
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        context._tabloom_scratch = root
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str = "table") -> DataFrame:

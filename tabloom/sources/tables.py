@@ -38,17 +38,26 @@ def nan_as_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df.withColumns({c: nan_to_null(c) for c in wanted})
 
 
+NANOS = "spark.sql.legacy.parquet.nanosAsLong"  # else a file with nanoseconds can't be read
+
+
 def scan_with_drift(
     spark: SparkSession, paths: Sequence[str], casts: Mapping[str, str]
 ) -> DataFrame:
     """Union of datasets whose schemas differ: cast the drifting columns of each, then union.
 
-    Columns that some datasets lack are filled with NULL.
+    Columns that some datasets lack are filled with NULL. A column that some file holds in whole
+    numbers and `casts` wants as a timestamp is nanoseconds since 1970, cut to microseconds.
     """
+    before = spark.conf.get(NANOS, "false")
+    spark.conf.set(NANOS, "true")  # read when the relation is resolved
+    try:
+        parts = [scan(spark, path) for path in paths]
+    finally:
+        spark.conf.set(NANOS, before)
     out = None
-    for path in paths:
-        part = scan(spark, path)
-        present = {c: F.col(c).cast(t) for c, t in casts.items() if c in part.columns}
+    for part in parts:
+        present = {c: _recast(part, c, t) for c, t in casts.items() if c in part.columns}
         part = part.withColumns(present)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
@@ -56,27 +65,27 @@ def scan_with_drift(
     return out
 
 
+def _recast(df: DataFrame, column: str, kind: str) -> Column:
+    if kind.startswith("timestamp") and df.schema[column].dataType.typeName() == "long":
+        micros = F.timestamp_micros(F.floor(F.col(column) / F.lit(1000)).cast("long"))
+        # a stored instant has no zone: what is wanted is its UTC wall clock
+        return F.to_utc_timestamp(micros, F.lit("UTC")).cast(kind)
+    return F.col(column).cast(kind)
+
+
 def scan_tagged(spark: SparkSession, path: str, name: str, pattern: str) -> DataFrame:
     """Scan files below a folder and tag each row with a piece of its file's path."""
     df = spark.read.option("recursiveFileLookup", True).parquet(path)
     return df.select("*", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).alias(name))
 
 
-def write_partitioned(
-    df: DataFrame, path: str, by: str, files_per_value: int = 1, spread: Column | None = None
-) -> None:
+def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     """Hive-style dataset, one folder per value.
 
-    Rows are shuffled by (value, spread) so that a folder gets `files_per_value` files
-    and a value that holds much of the table is written by several tasks, not one.
+    Rows are rebalanced by value: Spark splits a value that is too large for one task over as many
+    tasks as its size asks for, and puts small values together.
     """
-    if files_per_value > 1:
-        key = spread if spread is not None else F.xxhash64(*df.columns)
-        df = df.repartition(F.col(by), F.pmod(key, F.lit(files_per_value)))
-    else:
-        # AQE splits this rebalanced shuffle where one value is oversized
-        df = df.hint("rebalance", by)
-    df.write.mode("overwrite").partitionBy(by).parquet(path)
+    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
 
 
 def write_filtered(df: DataFrame, condition: Column, path: str) -> DataFrame:

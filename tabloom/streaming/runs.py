@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from ..operators.inference import base_edges, bin_number, psi_from_counts
-from ..operators.quality import Contract, with_reasons
+from ..operators.quality import Contract, split_marked, with_reasons
 from ..session import scratch_path
 
 
@@ -80,21 +80,22 @@ def windowed_run(stream: DataFrame, ts: str, lateness: str, length: str, slide:
 
 
 def contract_run(stream: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """Check each micro-batch against the row rules; returns (valid rows, quarantined rows)."""
+    """Check a stream against a contract; returns (valid rows, quarantined rows with reasons).
+
+    Each micro-batch is marked with the row checks it breaks and written. Whether a key repeats is
+    only known over all batches, so keys are counted over what was written, and the result is that
+    of `quarantine` on the whole table.
+    """
     contract.check_schema(stream)
     spark = stream.sparkSession
-    good, bad = scratch_path(spark, "valid"), scratch_path(spark, "quarantine")
+    path = scratch_path(spark, "marked")
 
     def write(batch: DataFrame, number: int) -> None:
-        marked = with_reasons(batch, contract).persist()
-        ok = F.size("reasons") == 0
-        marked.where(ok).drop("reasons").write.mode("overwrite").parquet(f"{good}/batch={number}")
-        marked.where(~ok).write.mode("overwrite").parquet(f"{bad}/batch={number}")
-        marked.unpersist()
+        with_reasons(batch, contract).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     _run(stream, "append", write, "contract")
-    rejected = StructType(stream.schema.fields).add("reasons", ArrayType(StringType()))
-    return spark.read.schema(stream.schema).parquet(good), spark.read.schema(rejected).parquet(bad)
+    marked = StructType(stream.schema.fields).add("reasons", ArrayType(StringType()))
+    return split_marked(spark.read.schema(marked).parquet(path), contract)
 
 
 def dedupe_run(stream: DataFrame, keys: Sequence[str], ts: str, lateness: str) -> DataFrame:

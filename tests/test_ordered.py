@@ -31,12 +31,12 @@ def test_cumulate_equals_plain_sums(spark, rows):
     pd.testing.assert_frame_equal(plain.sort_values(["g", "v"]).reset_index(drop=True)[got.columns], got, check_dtype=False)
 
 
-@pytest.mark.parametrize("method", ["percentile", "ranks", "brackets"])
+@pytest.mark.parametrize("buckets", [None, 2, 50])
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_quantile_methods_agree_with_numpy(spark, rows, method, by):
+def test_quantiles_agree_with_numpy(spark, rows, buckets, by):
     df = spark.createDataFrame(rows)
     probs = {"p0": 0.0, "p1": 0.01, "p25": 0.25, "p50": 0.5, "p977": 0.977, "p100": 1.0}
-    got = ordered.exact_quantiles(df, "v", probs, by, method=method, accuracy=200).toPandas()
+    got = ordered.exact_quantiles(df, "v", probs, by, buckets).toPandas()
     groups = rows.groupby("g")["v"] if by else [(None, rows["v"])]
     for key, values in groups:
         line = got[got["g"] == key] if by else got
@@ -47,16 +47,47 @@ def test_quantile_methods_agree_with_numpy(spark, rows, method, by):
 
 def test_quantiles_with_missing_key_and_value(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, None), ("b", None)], "g string, v double")
-    for method in ("percentile", "ranks", "brackets"):
-        got = {r["g"]: (r["n"], r["m"]) for r in ordered.exact_quantiles(df, "v", {"m": 0.5}, ["g"], method=method).collect()}
-        assert got == {"a": (2, 2.0), None: (1, 5.0)}
-
-
-def test_brackets_give_way_to_ranks_when_groups_are_many(spark, monkeypatch, rows):
-    monkeypatch.setattr(ordered, "MAX_GROUPS", 2)
-    df = spark.createDataFrame(rows)
-    got = ordered.exact_quantiles(df, "v", {"m": 0.5}, ["g"], method="brackets").toPandas().set_index("g")["m"]
-    assert got.to_dict() == rows.groupby("g")["v"].median().to_dict()
+    got = {r["g"]: (r["n"], r["m"]) for r in ordered.exact_quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    assert got == {"a": (2, 2.0), None: (1, 5.0)}
+    assert ordered.exact_quantiles(df.limit(0), "v", {"m": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [None, 3, 40])
+def test_text_orders(spark, rows, buckets):
+    """Texts as order, under a hot value also as tie, with missing values first."""
+    texts = rows.assign(t=["Z" if v == 7.0 else None if i % 50 == 0 else f"é{v}" for i, v in zip(rows["id"], rows["v"], strict=True)], k=[f"k{i:05d}" for i in rows["id"]])
+    df = spark.createDataFrame(texts[["t", "k"]])
+    want = sorted(zip(texts["t"], texts["k"], strict=True), key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+    got = ordered.row_positions(df, "t", "k", buckets=buckets).orderBy("position").collect()
+    assert [(r["t"], r["k"]) for r in got] == want
+    assert [r["position"] for r in got] == list(range(1, len(want) + 1))
+    counted = ordered.cumulate(df, "t", buckets=buckets).orderBy("t").collect()
+    assert sum(r["n"] for r in counted) == texts["t"].notna().sum()
+    assert [r["before_n"] for r in counted] == [sum(x["n"] for x in counted[:i]) for i in range(len(counted))]
+
+
+@pytest.mark.parametrize("buckets", [None, 4, 30])
+def test_infinite_and_nan_values(spark, buckets):
+    values = [float("inf")] * 400 + [float("-inf")] * 300 + [float("nan")] * 200 + [float(i % 37) for i in range(500)] + [None] * 50
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double").repartition(5)
+    found = ordered.cumulate(df, "v", buckets=buckets).collect()
+    assert sum(r["n"] for r in found) == 1400
+    at = {repr(r["v"]): (r["before_n"], r["n"]) for r in found}
+    assert at["-inf"] == (0, 300) and at["inf"] == (800, 400) and at["nan"] == (1200, 200)
+    places = {r["id"]: r["position"] for r in ordered.row_positions(df, "v", "id", buckets=buckets).collect()}
+    assert sorted(places.values()) == list(range(1, 1451))
+    assert places[0] == 50 + 801 and places[400] == 51 and places[700] == 1251
+
+
+def test_the_number_of_buckets_follows_the_rows(spark, monkeypatch):
+    df = spark.range(30_000).withColumn("v", F.col("id") % 5000)
+    assert len(ordered.cut_points(df, "v")) == 7
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 100)
+    monkeypatch.setattr(ordered, "SAMPLE", 1000)
+    cuts = ordered.cut_points(df, "v")
+    assert 250 <= len(cuts) <= 350
+    got = ordered.exact_quantiles(df, "v", {"m": 0.5, "q": 0.9}).first()
+    assert (got["n"], got["m"], got["q"]) == (30_000, 2499.5, pytest.approx(4499.1))
 
 
 @pytest.mark.parametrize("by", [[], ["g"]])

@@ -20,7 +20,7 @@ def test_report_counts_every_check(df):
 
 
 def test_quarantine_gives_reasons(df):
-    good, bad = q.quarantine(df, CONTRACT, ["tempo"])
+    good, bad = q.quarantine(df, CONTRACT)
     assert sorted(r["id"] for r in good.collect()) == [1, 2]
     reasons = {(r["id"], r["tempo"]): set(r["reasons"]) for r in bad.collect()}
     assert reasons[(4, 9999.0)] == {"in_range(tempo, 0, 250)", "isin(genre)"}
@@ -28,7 +28,7 @@ def test_quarantine_gives_reasons(df):
 
 
 def test_enforce(df):
-    good, _ = q.quarantine(df, CONTRACT, ["tempo"])
+    good, _ = q.quarantine(df, CONTRACT)
     assert q.enforce(good, CONTRACT).count() == 2
     with pytest.raises(q.ContractError, match="in_range"):
         q.enforce(df, CONTRACT)
@@ -83,3 +83,28 @@ def test_first_row_per_key_is_limited_before_the_shuffle(spark):
 def test_union_index(spark):
     a, b = spark.createDataFrame([(1, 5.0), (2, 1.0)], "k int, v double"), spark.createDataFrame([(3, 3.0)], "k int, v double")
     assert sorted((r["k"], r["row_index"]) for r in union_indexed([a, b], "v", "k").collect()) == [(1, 2), (2, 0), (3, 1)]
+
+
+def test_coercion_reports_what_does_not_fit(spark):
+    df = spark.createDataFrame([("1", "2.5", "x"), ("a", None, "y"), ("3.7", "z", "w")], "a string, b string, c string")
+    out, report = q.coerce(df, q.Contract([], types={"a": "int", "b": "double"}))
+    assert {r["column_name"]: r["misfits"] for r in report.collect()} == {"a": 1, "b": 1}
+    assert dict(out.dtypes) == {"a": "int", "b": "double", "c": "string"}
+    with pytest.raises(q.ContractError, match="missing column"):
+        q.coerce(df, q.Contract([], types={"d": "int"}))
+
+
+def test_stream_contract_agrees_with_quarantine(spark):
+    from tabloom.session import scratch_path
+    from tabloom.streaming import runs
+
+    rows = [(1, 5.0), (1, 6.0), (2, 999.0), (3, 1.0), (4, 2.0), (2, 3.0)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    contract = q.Contract([q.Rule("v", 0, 100)], unique=["id"])
+    path = scratch_path(spark, "stream")
+    for part in (rows[:2], rows[2:4], rows[4:]):
+        spark.createDataFrame(part, df.schema).coalesce(1).write.mode("append").parquet(path)
+    good, bad = runs.contract_run(runs.open_stream(spark, path, df.schema, 1), contract)
+    want_good, want_bad = q.quarantine(df, contract)
+    assert same_rows(good, want_good) and same_rows(bad, want_bad)
+    assert sorted(r["id"] for r in good.collect()) == [3, 4]

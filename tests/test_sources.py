@@ -86,7 +86,7 @@ def test_generate_once(spark):
 def test_partition_pruning(spark):
     path = scratch_path(spark, "parts")
     df = spark.range(100).withColumn("g", F.col("id") % 3)
-    src.write_partitioned(df, path, "g", files_per_value=2, spread=F.col("id"))
+    src.write_partitioned(df, path, "g")
     one = spark.read.parquet(path).where("g = 1")
     assert any("g" in f for f in plan_report(one)["partition_filters"])
     assert one.count() == 33
@@ -102,3 +102,35 @@ def test_small_to_arrow_refuses_more(spark):
 def test_nan_as_missing(spark):
     df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "v double, i int")
     assert [r["v"] for r in src.nan_as_missing(df).orderBy("i").collect()] == [None, 2.0]
+
+
+def test_nanosecond_files(spark, tmp_path):
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for unit, days in (("ns", ["2024-01-02 03:04:05.123456789", "1969-12-31 23:59:59.999999999"]), ("us", ["2024-02-03 04:05:06.000007"])):
+        table = pa.table({"ts": pa.array(pd.to_datetime(days), pa.timestamp(unit)), "n": list(range(len(days)))})
+        (tmp_path / unit).mkdir()
+        pq.write_table(table, tmp_path / unit / "a.parquet", coerce_timestamps=None, version="2.6")
+    both = src.scan_with_drift(spark, [f"{tmp_path}/ns", f"{tmp_path}/us"], {"ts": "timestamp_ntz"})
+    found = sorted(str(r["ts"]) for r in both.collect())
+    assert found == ["1969-12-31 23:59:59.999999", "2024-01-02 03:04:05.123456", "2024-02-03 04:05:06.000007"]
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == "false"
+
+
+def test_scratch_goes_with_the_session(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from tabloom.session import build_session, written\n"
+        "s = build_session('x', 'local[1]', **{'spark.checkpoint.dir': '%s', 'spark.ui.enabled': 'false'})\n"
+        "assert written(s.range(5)).count() == 5\n"
+        "import glob; assert glob.glob('%s/tabloom/*/table-*')\n"
+        "s.stop()\n"
+    ) % (tmp_path, tmp_path)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120, capture_output=True)
+    assert not list((tmp_path / "tabloom").iterdir())
