@@ -7,8 +7,11 @@ and so are documents with fewer than `agree` shared coordinates. Agreement is th
 signatures, and pairs above the threshold are confirmed on the full shingle sets.
 
 Groups of copies are never expanded into pairs. Equal sets are one class. In a list, all are first
-compared with one pivot; what is linked by then is one component, and only pairs between different
-components are compared after that. So no link between components is lost.
+compared with one pivot, the document that shares most; what is linked by then is one component.
+After that only documents outside a list's main component meet the others, and most of these pairs
+are ruled out by what each document has and lacks of the pivot's set: an upper bound of their
+overlap, and the shingles beside the pivot's that two similar documents must share. Both are
+exact, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from .textbytes import U64, Words, mix, shingle_sets, slices
 
 COORDINATES = 64
 MISS = 1e-5  # chance that signatures of two documents just at the threshold agree too little
-PIVOT_ROUNDS = 2
+BROADCAST_IDS = 1_000_000  # ids of documents, counted, that are broadcast; more are joined by a shuffle
 
 
 def agreement(coordinates: int, percent: int, miss: float = MISS) -> int:
@@ -88,42 +91,40 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Do edges (a, b) with a > b make stars: has each a one b, and is no b an a?"""
+    ends = edges.select(F.col("a").alias("u"), F.lit(1).alias("child"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("b").alias("u"), F.lit(0).alias("child"), F.lit(1).alias("centre"))
+    )
+    roles = ends.groupBy("u").agg(F.sum("child").alias("child"), F.max("centre").alias("centre"))
+    return roles.where("child > 1 or (child = 1 and centre = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(doc, component): the smallest document reachable over links (a, b), for every linked document.
 
     Large-star and small-star steps in turn: each document points its neighbours at the smallest
-    one it knows. Neighbourhoods are never collected; the edges are written after each round, and
-    the number of rounds follows the logarithm of the longest chain.
+    one it knows, until the edges are stars. Neighbourhoods are never collected; the edges are
+    written after each step, and the number of rounds follows the logarithm of the longest chain.
     """
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if large:  # the neighbours above u; `least` is among all of them and u
-            both = both.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        else:  # the neighbours below u, and u itself
-            both = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        down = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        both = down.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))) if large else down
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         least = written(least, "least")
         found = both.join(least, "u")
-        if large:
+        if large:  # the neighbours above u
             moved = found.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        else:
+        else:  # the neighbours below u, and u itself
             own = least.select(F.col("u").alias("a"), F.col("m").alias("b"))
             moved = found.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(own)
-        return moved.where("a != b").distinct()
-
-    def state(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = written(links.where("a != b").select("a", "b").distinct(), "edges")
-    before = None
-    while True:
-        edges = written(star(written(star(edges, True), "large"), False), "small")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
-    # stars by now: each document points at the smallest one
+        return written(moved.where("a > b").distinct(), "edges")
+
+    ordered = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = written(ordered.distinct(), "edges")
+    while not _is_forest(edges):
+        edges = star(star(edges, True), False)
     centres = edges.select(F.col("b").alias("doc"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("doc"), F.col("b").alias("component")).unionByName(centres)
 
@@ -132,78 +133,113 @@ def _similar(shared: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * shared >= percent * (n + m - shared)
 
 
+def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
+    """The table for one end of a pair: `doc` as `name`, and the columns with its name added."""
+    return table.select(F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+
 class _Index:
     """Prefix postings of class representatives, and the sets that confirm their links."""
 
     def __init__(self, docs: DataFrame, reps: DataFrame, words: int, percent: int, coordinates: int):
-        self.percent, self.agree = percent, agreement(coordinates, percent)
-        entry = F.posexplode("sig").alias("k", "v")
-        tokens = reps.select("doc", "n", entry)
+        self.docs, self.reps, self.words, self.percent = docs, reps, words, percent
+        self.agree = agreement(coordinates, percent)
+        tokens = reps.select("doc", F.posexplode("sig").alias("k", "v"))
         lists = tokens.groupBy("k", "v").agg(F.count(F.lit(1)).alias("df"))
         lists = written(lists.where("df > 1"), "lists")
-        met = tokens.join(lists, ["k", "v"]).groupBy("doc", "n")
-        own = met.agg(F.array_sort(F.collect_list(F.struct("df", "k", "v"))).alias("own"))  # one per coordinate at most
-        self.held = written(own.where(F.size("own") >= self.agree), "held")
-        prefix = F.explode(F.slice("own", F.lit(1), F.size("own") - self.agree + 1)).alias("t")
-        self.postings = written(self.held.select("doc", "n", prefix).select("doc", "n", "t.k", "t.v"), "postings")
-        wanted = written(self.held.select(F.col("doc").alias("doc_id")), "wanted")
-        self.sets = written(sets(docs.join(wanted, "doc_id", "left_semi"), words), "sets")
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Of candidate pairs (a, b), the links: enough agreement, then the exact test on whole sets."""
+        met = tokens.join(lists, ["k", "v"]).select(
+            "doc", F.struct("df", (F.shiftleft(F.col("k").cast("long"), 32) + F.col("v")).alias("t")).alias("own")
+        )
+        own = met.groupBy("doc").agg(F.array_sort(F.collect_list("own")).alias("own"))  # one per coordinate at most
+        held = own.where(F.size("own") >= self.agree).select(
+            "doc",
+            F.transform(F.slice("own", F.lit(1), F.size("own") - self.agree + 1), lambda o: o["t"]).alias("prefix"),
+            F.aggregate("own", F.lit(0.0), lambda x, o: x + F.log(o["df"].cast("double"))).alias("centre"),
+        )
+        self.held = written(held, "held")
+
+    def overlaps(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, n_a, n_b, shared, beside_a, beside_b) of candidate pairs whose signatures agree enough.
+
+        `shared` is exact, from the whole sets. `beside_a` are the shingles of a that b lacks, in
+        the order of their hashes, as many as a similar document's prefix can reach; so for b.
+        """
         pairs = written(pairs.distinct(), "pairs")
-        agreeing = F.size(F.array_intersect("own_a", "own_b")) >= self.agree
-
-        def side(table: DataFrame, name: str, column: str) -> DataFrame:
-            return table.select(F.col(table.columns[0]).alias(name), F.col(column).alias(f"{column}_{name}"))
-
-        counted = pairs.join(side(self.held, "a", "own"), "a").join(side(self.held, "b", "own"), "b")
-        close = written(counted.where(agreeing).select("a", "b"), "close")
-        whole = close.join(side(self.sets, "a", "shingles"), "a").join(side(self.sets, "b", "shingles"), "b")
-        shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-        same = _similar(shared, F.size("shingles_a"), F.size("shingles_b"), self.percent)
-        return written(whole.where(same).select("a", "b").distinct(), "links")
-
-    def _close_size(self, a: str, b: str) -> Column:
-        return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
-
-    def pivot_pairs(self, postings: DataFrame, seed: int) -> DataFrame:
-        """Every document of a list with the list's pivot, unless they are one component already."""
-        row = F.struct(F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp"))
-        pivots = postings.groupBy("k", "v").agg(F.min_by(row, F.xxhash64("doc", F.lit(seed))).alias("p"))
-        pivots = written(pivots.select("k", "v", "p.*"), "pivots")
-        met = postings.join(pivots, ["k", "v"]).where("comp != pivot_comp").where(self._close_size("n", "pivot_n"))
-        return met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
-
-    def all_pairs(self, postings: DataFrame) -> DataFrame:
-        """Every pair of a list between two of its components."""
-        comps = written(postings.select("k", "v", "comp").distinct(), "comps")
-        one, two = comps.withColumnRenamed("comp", "c"), comps.withColumnRenamed("comp", "d")
-        crossing = written(one.join(two, ["k", "v"]).where("c < d"), "crossing")
-        left = postings.select("k", "v", F.col("comp").alias("c"), F.col("doc").alias("a"), F.col("n").alias("na"))
-        right = postings.select("k", "v", F.col("comp").alias("d"), F.col("doc").alias("b"), F.col("n").alias("nb"))
-        met = crossing.join(left, ["k", "v", "c"]).join(right, ["k", "v", "d"]).where(self._close_size("na", "nb"))
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-    def open_postings(self, comps: DataFrame | None) -> DataFrame:
-        """The postings with their components, without lists that lie in one component."""
-        rows = self.postings.withColumn("comp", F.col("doc"))
-        if comps is not None:
-            rows = self.postings.join(comps, "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
-            rows = rows.drop("component")
-        open_ = rows.groupBy("k", "v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        open_ = written(open_.select("k", "v"), "open")
-        return written(rows.join(open_, ["k", "v"], "left_semi"), "open_postings")
+        same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
+        signed = pairs.join(_side(self.reps, "a", "sig"), "a").join(_side(self.reps, "b", "sig"), "b")
+        close = written(signed.where(same >= self.agree).select("a", "b"), "close")
+        ids = written(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        full = sets(self.docs.join(wanted, "doc_id", "left_semi"), self.words).withColumnRenamed("doc_id", "doc")
+        full = written(full, "sets")
+        whole = close.join(_side(full, "a", "shingles"), "a").join(_side(full, "b", "shingles"), "b")
+        a, b = F.col("shingles_a"), F.col("shingles_b")
+
+        def beside(x: Column, y: Column) -> Column:
+            reach = F.size(x) - F.ceil(F.size(x) * F.lit(self.percent) / 100) + 1
+            return F.slice(F.array_except(x, y), F.lit(1), reach.cast("int"))
+
+        found = whole.select(
+            "a", "b", F.size(a).alias("n_a"), F.size(b).alias("n_b"), F.size(F.array_intersect(a, b)).alias("shared"),
+            beside(a, b).alias("beside_a"), beside(b, a).alias("beside_b"),
+        )
+        return written(found, "overlaps")
+
+    def links(self, overlaps: DataFrame) -> DataFrame:
+        same = _similar(F.col("shared"), F.col("n_a"), F.col("n_b"), self.percent)
+        return overlaps.where(same).select("a", "b").distinct()
+
+    def pivots(self) -> tuple[DataFrame, DataFrame]:
+        """(postings, lists): (doc, n, t) of the prefixes, and (t, pivot) of lists of several documents."""
+        sized = self.held.join(self.reps.select("doc", "n"), "doc")
+        postings = written(sized.select("doc", "n", "centre", F.explode("prefix").alias("t")), "postings")
+        lists = postings.groupBy("t").agg(F.max_by("doc", F.struct("centre", "doc")).alias("pivot"), F.count(F.lit(1)).alias("m"))
+        return postings, written(lists.where("m > 1").select("t", "pivot"), "pivots")
+
+    def pairs_beside(self, postings: DataFrame, lists: DataFrame, comps: DataFrame, overlaps: DataFrame) -> DataFrame:
+        """Pairs (a, b) between components that share a list and aren't ruled out by its pivot."""
+        known = overlaps.select(
+            F.col("a").alias("pivot"), F.col("b").alias("doc"), "shared", F.col("beside_b").alias("beside")
+        ).unionByName(overlaps.select(F.col("b").alias("pivot"), F.col("a").alias("doc"), "shared", F.col("beside_a").alias("beside")))
+        rows = postings.join(comps, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "centre")
+        sizes = rows.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("m"))
+        main = sizes.groupBy("t").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
+        open_ = written(lists.join(main.where("comps > 1"), "t").select("t", "pivot", "main"), "open")
+        rows = written(rows.join(open_, "t"), "open_rows").join(known, ["pivot", "doc"], "left")
+        rows = rows.join(self.held.select("doc", "prefix"), "doc")
+        at_pivot = F.col("doc") == F.col("pivot")
+        rows = rows.withColumn("shared", F.when(at_pivot, F.col("n")).otherwise(F.col("shared")))
+        rows = written(rows.withColumn("beside", F.when(at_pivot, F.array().cast("array<long>")).otherwise(F.col("beside"))), "rows")
+        names = ["doc", "n", "comp", "shared", "beside", "prefix"]
+        x = rows.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in names])
+        y = rows.select("t", "main", *[F.col(c).alias(f"{c}_y") for c in names])
+        n, m = F.col("n_x"), F.col("n_y")
+        need = F.ceil(self.percent * (n + m) / (100 + self.percent))  # the overlap that a link needs
+        most = F.least("shared_x", "shared_y") + F.least(n - F.col("shared_x"), m - F.col("shared_y"))
+        # a prefix of n - need + 1 shingles, those that the pivot lacks first: does it reach the pivot's?
+        reach_x = n - F.col("shared_x") < n - need + 1
+        reach_y = m - F.col("shared_y") < m - need + 1
+        met = x.join(y, "t").where(
+            (F.col("comp_x") != F.col("comp_y"))
+            & ((F.col("comp_y") == F.col("main")) | (F.col("doc_x") < F.col("doc_y")))
+            & (100 * F.least(n, m) >= self.percent * F.greatest(n, m))
+            & F.coalesce(most >= need, F.lit(True))
+            & F.coalesce((reach_x & reach_y) | F.arrays_overlap("beside_x", "beside_y"), F.lit(True))
+            # a pair that shares several lists is made by the first of them
+            & (F.element_at(F.array_intersect("prefix_x", "prefix_y"), 1) == F.col("t"))
+        )
+        return met.select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"))
 
     def linked(self) -> DataFrame:
         """(doc, component) of all documents with a link."""
-        comps, links = None, None
-        for seed in range(PIVOT_ROUNDS):
-            more = self.confirm(self.pivot_pairs(self.open_postings(comps), seed))
-            links = more if links is None else links.unionByName(more)
-            comps = written(components(links), "components")
-        last = self.confirm(self.all_pairs(self.open_postings(comps)))
-        return written(components(links.unionByName(last)), "components")
+        postings, lists = self.pivots()
+        met = postings.join(lists, "t").where("doc != pivot")
+        first = self.overlaps(met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")))
+        comps = written(components(self.links(first)), "components")
+        second = self.overlaps(self.pairs_beside(postings, lists, comps, first))
+        # what is linked already stands for its links
+        held = comps.select(F.col("doc").alias("a"), F.col("component").alias("b"))
+        return written(components(held.unionByName(self.links(second))), "components")
 
 
 def near_duplicates(
@@ -215,9 +251,9 @@ def near_duplicates(
     all of them as one; a missing or empty text, or one of white space, has an empty set and links
     with nothing. Documents link if their sets share `percent` % of their union; component_id is
     the smallest doc_id reachable, and it is the one kept. Rows without an id link with nothing:
-    their component_id is NULL and they are kept. Rows that repeat an id are one document, linked
-    if one of them is, and share their fate. Other columns aren't looked at; an empty table gives
-    an empty one.
+    their component_id is NULL and they are kept. Rows that repeat id and text share their fate; an
+    id that names several texts has the links of all of them. Other columns aren't looked at; an
+    empty table gives an empty one.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -241,5 +277,6 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
     """The rows of `docs` that stay: of each component the document with the smallest id."""
-    gone = near_duplicates(docs, **settings).where("not kept").select("doc_id").distinct()
-    return docs.join(written(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    rows = near_duplicates(docs, **settings).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    gone = written(rows.where("not kept").select("doc_id"), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
