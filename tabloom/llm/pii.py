@@ -112,23 +112,41 @@ def _fill(form: str, digits: str) -> str:
     return "".join(next(left) if c.isdigit() else c for c in form)
 
 
+def _runs(found: str, valid: Callable[[str], str | None]) -> str | None:
+    """Replace a single group of the match that is valid, else the longest run of groups that is:
+    what stands beside a number may look like more of it."""
+    groups = [m.span() for m in re.finditer(r"\w+", found)]
+    for size in [1, *range(len(groups), 1, -1)]:
+        for i in range(len(groups) - size + 1):
+            start, end = groups[i][0], groups[i + size - 1][1]
+            if (new := valid(found[start:end])) is not None:
+                return found[:start] + new + found[end:]
+    return None
+
+
 def _card(found: str, permute: Permute) -> str | None:
-    digits = re.sub(r"\D", "", found)
-    payload, n = digits[:-1], len(digits)
-    if not 13 <= n <= 19 or digits[0] not in "3456" or luhn_digit(payload) != digits[-1]:
-        return None
-    new = payload[0] + str(permute(f"card:{n}:{payload[0]}", 10 ** (n - 2), int(payload[1:]))).zfill(n - 2)
-    return _fill(found, new + luhn_digit(new))
+    def one(text: str) -> str | None:
+        digits = re.sub(r"\D", "", text)
+        payload, n = digits[:-1], len(digits)
+        if not 13 <= n <= 19 or digits[0] not in "3456" or luhn_digit(payload) != digits[-1]:
+            return None
+        new = payload[0] + str(permute(f"card:{n}:{payload[0]}", 10 ** (n - 2), int(payload[1:]))).zfill(n - 2)
+        return _fill(text, new + luhn_digit(new))
+
+    return _runs(found, one)
 
 
 def _iban(found: str, permute: Permute) -> str | None:
-    plain = found.replace(" ", "")
-    country, check, account = plain[:2], plain[2:4], plain[4:]
-    if not 11 <= len(account) <= 30 or iban_digits(country, account) != check:
-        return None
-    new = _by_class(account, f"iban:{country}", permute)
-    new = iter(country + iban_digits(country, new) + new)
-    return "".join(c if c == " " else next(new) for c in found)
+    def one(text: str) -> str | None:
+        plain = text.replace(" ", "")
+        country, check, account = plain[:2], plain[2:4], plain[4:]
+        if not 11 <= len(account) <= 30 or not country.isalpha() or iban_digits(country, account) != check:
+            return None
+        new = _by_class(account, f"iban:{country}", permute)
+        new = iter(country + iban_digits(country, new) + new)
+        return "".join(c if c == " " else next(new) for c in text)
+
+    return _runs(found, one)
 
 
 def _phone(found: str, permute: Permute) -> str | None:
@@ -206,7 +224,8 @@ KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
     ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}([./-])\d{1,2}\1\d{4})(?![\w/-]|\.\d)", _date),
     ("address", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _address),
     ("social", r"(?<![\w-])\d{3}([- ])\d{2}\1\d{4}(?![\w-])", _social),
-    ("phone", r"(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])", _phone),
+    ("phone", r"(?<!\w)\+1(?:\d{10}|[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4})(?!\d)|(?<![\w+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])", _phone),
+    ("phone", r"(?<!\w)\+[2-9]\d{0,2}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)", _phone),
     ("card", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
 ]
 MAYBE = re.compile(r"\d|@|password|passwd|token|secret|api_?key", re.IGNORECASE)
@@ -238,8 +257,7 @@ class Pseudonyms:
             for m in pattern.finditer(text):
                 if (new := self._made(name, m[0], make)) is not None:
                     found.append((m.start(), m.end(), name, new))
-        order = {name: i for i, (name, _, _) in enumerate(KINDS)}
-        found.sort(key=lambda f: (f[0], order[f[2]]))
+        found.sort(key=lambda f: f[0])  # stable, so of values at one place the earlier kind comes first
         out, spans, at = [], [], 0
         for start, end, name, new in found:
             if start < at:

@@ -76,6 +76,17 @@ def test_dates_keep_their_order_of_parts(made):
     assert len(seen) == len(days)
 
 
+@pytest.mark.parametrize(
+    "text", ["4111 1111 1111 1111 2024", "12 4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00 UND WEITER", "+1 (269) 555-3296 42 4524132264652876"]
+)
+def test_numbers_beside_a_value(made, text):
+    out = new(made, text)
+    for value in ("4111 1111 1111 1111", "3704 0044 0532 0130 00", "555-3296", "4524132264652876"):
+        assert value not in out
+    for beside in (" 2024", "12 ", " UND WEITER", " 42 "):
+        assert (beside in out) == (beside in text)
+
+
 def test_ibans_stay_valid(made):
     out = new(made, "DE89370400440532013000")
     assert out[:2] == "DE" and pii.iban_digits("DE", out[4:]) == out[2:4]
