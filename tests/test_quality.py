@@ -88,7 +88,7 @@ def test_union_index(spark):
 def test_coercion_reports_what_does_not_fit(spark):
     df = spark.createDataFrame([("1", "2.5", "x"), ("a", None, "y"), ("3.7", "z", "w")], "a string, b string, c string")
     out, report = q.coerce(df, q.Contract([], types={"a": "int", "b": "double"}))
-    assert {r["column_name"]: r["misfits"] for r in report.collect()} == {"a": 1, "b": 1}
+    assert {r["column_name"]: r["misfits"] for r in report.collect()} == {"a": 2, "b": 1}
     assert dict(out.dtypes) == {"a": "int", "b": "double", "c": "string"}
     with pytest.raises(q.ContractError, match="missing column"):
         q.coerce(df, q.Contract([], types={"d": "int"}))

@@ -101,7 +101,7 @@ def test_a_big_group_is_split_in_the_lookup(spark, df):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
-    before = {k: spark.conf.get(k) for k in settings}
+    before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
@@ -114,7 +114,7 @@ def test_a_big_group_is_split_in_the_lookup(spark, df):
         assert plan_text(got, "simple").count("Exchange") == 2 + 1  # one for each side, and the test's own
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_join_semantics(spark):

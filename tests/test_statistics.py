@@ -159,7 +159,7 @@ def test_groups_without_positives(spark):
     df = spark.createDataFrame([("a", 0, 0.9), ("a", 0, 0.1), ("b", 1, 0.8), ("b", 0, 0.2)], "g string, y int, s double")
     rows = {r["g"]: r for r in fairness.audit(df, "g", "y", F.col("s") > 0.5).collect()}
     assert rows["a"]["tpr"] == 0.0 and rows["a"]["fpr"] == 0.5 and rows["b"]["tpr"] == 1.0
-    cut = {r["g"]: r for r in fairness.equal_opportunity(df, "g", "y", "s", 0.43, ["s"]).collect()}
+    cut = {r["g"]: r for r in fairness.equal_opportunity(df, "g", "y", "s", 0.43).collect()}
     assert cut["a"]["selection_rate"] == 0.0 and cut["b"]["tpr"] == 1.0
 
 
@@ -178,9 +178,10 @@ def test_randomised_response_is_unbiased(spark):
 
 
 def test_noise_scale(spark):
-    df = spark.range(20).withColumn("g", F.col("id"))
+    df = spark.range(20_000).withColumn("g", F.col("id") % 20)
     rows = {r["epsilon"]: r["mean_abs_error"] for r in privacy.noise_error_curve(df, ["g"], [0.5, 1.0], 300, "e").collect()}
-    assert rows[1.0] == pytest.approx(1.0, abs=0.06) and rows[0.5] == pytest.approx(2.0, abs=0.12)
+    for epsilon, error in rows.items():  # of Laplace noise rounded to whole numbers
+        assert error == pytest.approx(1 / (2 * math.sinh(epsilon / 2)), rel=0.06)
 
 
 def test_secure_noise_differs_between_releases(spark):
