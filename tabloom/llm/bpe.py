@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -18,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 from tokenizers import Tokenizer
 
 from ..session import ship_package
@@ -29,8 +31,9 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 # white space that str.split() doesn't agree on: it also cuts at these four
 ODD = regex.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-PIECE = 1 << 20  # characters of a text that are cut at a time
-MOST_CACHED = 600_000  # pieces that a worker keeps
+LATIN = "\u012f"  # up to here letters and their lower case are the same in all Unicode versions
+PIECE = 1 << 18  # characters of a text that are cut at a time, and pieces that are held
+MOST_CACHED = 250_000  # pieces that a worker keeps
 NONE = np.iinfo(np.int64).max
 
 
@@ -42,6 +45,15 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in own else chr(next(free)) for b in range(256)]
 
 
+def token_list(file: dict) -> list[str]:
+    """The token of each id of a tokenizer file."""
+    ids = file["model"]["vocab"] | {t["content"]: t["id"] for t in file["added_tokens"]}
+    tokens = [""] * (max(ids.values()) + 1)
+    for token, i in ids.items():
+        tokens[i] = token
+    return tokens
+
+
 class Vocabulary:
     """Tokens, merges and special tokens of a tokenizer file, indexed for the encoder."""
 
@@ -52,19 +64,26 @@ class Vocabulary:
             raise ValueError("a BPE tokenizer with word ends is needed")
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        size = max([*self.ids.values(), *self.special.values()]) + 1
-        self.tokens = [""] * size
-        for token, i in chain(self.ids.items(), self.special.items()):
-            self.tokens[i] = token
-        self.longest = max(map(len, self.ids))
+        self.tokens = token_list(file)
+        size = len(self.tokens)
+        self._index_tokens()
         self.always = {t: np.array([i], np.int32).tobytes() for t, i in self.special.items()}
-        self.chars = {b: c for b, c in enumerate(byte_chars())}
+        chars = byte_chars()
+        self.latin = {c: "".join(chars[b] for b in chr(c).encode()) for c in range(ord(LATIN) + 1)}
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
         self._index_merges([tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]], size)
         self.rules = Tokenizer.from_str(content)
         self.cache: dict[str, bytes] = {}
         self.failed = 0
 
+    def _index_tokens(self) -> None:
+        """Tokens that end a word and others, and how long the others get after their first three characters."""
+        self.final = {t[: -len(END)]: i for t, i in self.ids.items() if t.endswith(END)}
+        self.inner = {t: i for t, i in self.ids.items() if not t.endswith(END)}
+        self.reach: dict[str, int] = {}
+        for t in self.inner:
+            self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
+
     def _index_merges(self, merges: list[tuple[str, str]], size: int) -> None:
         self.size = size
         self.rank = np.full(size, -1, np.int64)  # of the merge that makes a token; -1: none, a single byte
@@ -117,33 +136,39 @@ class Vocabulary:
 
     def propose(self, word: str) -> list[int]:
         """Greedy longest match from the left; the last token carries the word's end."""
-        found, i, n, ids = [], 0, len(word), self.ids
+        found, final, inner = [], self.final, self.inner
         while True:
-            if n - i <= self.longest and (last := ids.get(word[i:] + END)) is not None:
+            if (last := final.get(word)) is not None:
                 found.append(last)
                 return found
-            for j in range(min(n - 1, i + self.longest), i, -1):
-                if (token := ids.get(word[i:j])) is not None:
+            for j in range(min(len(word) - 1, self.reach.get(word[:3], 2)), 0, -1):
+                if (token := inner.get(word[:j])) is not None:
                     found.append(token)
-                    i = j
+                    word = word[j:]
                     break
             else:
-                raise ValueError(f"no token for {word[i : i + 10]!r}")
+                raise ValueError(f"no token for {word[:10]!r}")
 
     def merged(self, word: str) -> list[int]:
         """The word's encoding merge by merge, the lowest rank first and the left one among equals."""
-        tokens = [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + END]]
+        inner, none = self.inner, (NONE, -1)
+        tokens = [inner[c] for c in word[:-1]]
+        tokens.append(self.final[word[-1]])
         if len(tokens) > 40:
             return self._merged_long(tokens)
         merge = self.merge
-        while len(tokens) > 1:
-            best, at = None, 0
-            for i, pair in enumerate(zip(tokens, tokens[1:], strict=False)):
-                if (m := merge.get(pair)) is not None and (best is None or m < best):
-                    best, at = m, i
-            if best is None:
+        ranked = [merge.get(p, none) for p in zip(tokens, tokens[1:], strict=False)]
+        while ranked:
+            best = min(ranked)
+            if best is none:
                 break
-            tokens[at : at + 2] = [best[1]]
+            i = ranked.index(best)
+            tokens[i : i + 2] = [best[1]]
+            del ranked[i]
+            if i:
+                ranked[i - 1] = merge.get((tokens[i - 1], tokens[i]), none)
+            if i < len(ranked):
+                ranked[i] = merge.get((tokens[i], tokens[i + 1]), none)
         return tokens
 
     def _merged_long(self, tokens: list[int]) -> list[int]:
@@ -185,13 +210,14 @@ class Vocabulary:
     def words_of(self, piece: str) -> list[str]:
         """The words of a piece in byte characters.
 
-        Beyond ASCII the file's own normaliser and pre-tokenizer cut the piece, because which
-        characters are letters, and how they are lower-cased, differs between Unicode versions.
+        Beyond the Latin letters the file's own normaliser and pre-tokenizer cut the piece, because
+        which characters are letters, and how they are lower-cased, differs between Unicode versions.
         """
-        if piece.isascii():
-            found = WORDS.findall(piece.lower())
-            return found if piece.isprintable() else ["".join(map(self.chars.__getitem__, w.encode())) for w in found]
-        return [w for w, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(piece))]
+        if max(piece) > LATIN or not (piece.isascii() or unicodedata.is_normalized("NFC", piece)):
+            return [w for w, _ in self.rules.pre_tokenizer.pre_tokenize_str(self.rules.normalizer.normalize_str(piece))]
+        low = piece.lower()
+        found = [low] if low.isalpha() else WORDS.findall(low)
+        return found if piece.isascii() and piece.isprintable() else [w.translate(self.latin) for w in found]
 
     def learn(self, pieces: set[str]) -> None:
         """Encode pieces of text without white space and keep their ids."""
@@ -199,9 +225,12 @@ class Vocabulary:
             return
         table = {piece: self.words_of(piece) for piece in pieces}
         order = list(dict.fromkeys(chain.from_iterable(table.values())))
-        encoded = dict(zip(order, self.encode_words(order), strict=True))
+        encoded = self.encode_words(order)
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))]) * 4
+        ids = np.fromiter(chain.from_iterable(encoded), np.int32).tobytes()
+        as_bytes = {w: ids[a:b] for w, a, b in zip(order, ends[:-1].tolist(), ends[1:].tolist(), strict=True)}
         for piece, found in table.items():
-            self.cache[piece] = np.array([i for w in found for i in encoded[w]], np.int32).tobytes()
+            self.cache[piece] = as_bytes[found[0]] if len(found) == 1 else b"".join(map(as_bytes.__getitem__, found))
 
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of whole texts; the pieces that are new to this worker are encoded together."""
@@ -285,7 +314,7 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 2 << 20):
                 texts = batch.column(batch.schema.get_field_index("text"))
                 ids = vocabulary.encode_texts([t or "" for t in texts.to_pylist()])
                 ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
@@ -298,21 +327,12 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
-    """All columns but `ids`, and `decoded`: the tokens joined by one space; missing ids give none."""
-    encoded = encoded.drop("decoded")
-    keep = [c for c in encoded.columns if c != "ids"]
-    shared = _Shared(encoded.sparkSession, vocabulary_path)
-    schema = StructType([*[encoded.schema[c] for c in keep]]).add("decoded", StringType())
+    """All columns but `ids`, and `decoded`: the tokens joined by one space; missing ids give none.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _vocabulary(shared).tokens
-        for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                ids = batch.column(batch.schema.get_field_index("ids"))
-                texts = [" ".join(map(tokens.__getitem__, i.values.to_numpy().tolist())) if i.is_valid else None for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [*[batch.column(c) for c in keep], pa.array(texts, pa.string())], [*keep, "decoded"]
-                )
-
-    return encoded.select(*keep, "ids").mapInArrow(run, schema)
+    A lookup in a constant array of the tokens, which no line end is part of.
+    """
+    with open(vocabulary_path, encoding="utf-8") as f:
+        tokens = token_list(json.load(f))
+    table = F.split(F.lit("\n".join(tokens)), "\n")
+    decoded = F.array_join(F.transform("ids", lambda i: F.get(table, i)), " ")
+    return encoded.select(*[c for c in encoded.columns if c not in ("ids", "decoded")], decoded.alias("decoded"))
