@@ -39,11 +39,12 @@ def histogram(df: DataFrame, value: str, bins: int, low: float | None = None, hi
     )
 
 
-def density_curve(df: DataFrame, value: str, points: int = 200, per_bandwidth: int | None = 10) -> DataFrame:
+def density_curve(df: DataFrame, value: str, points: int = 200, per_bandwidth: int | None = None) -> DataFrame:
     """Gaussian density on an even grid, Scott bandwidth: (point, x, density).
 
-    Rows are first counted in bins a tenth of the bandwidth wide, so the grid meets the
-    bins and not the rows; `per_bandwidth=None` counts distinct values instead (exact).
+    Exact over the counted distinct values. With `per_bandwidth` (10, say) rows are first counted in
+    bins that many times narrower than the bandwidth, so the grid meets bins and not values: close
+    to exact, and cheap however many values there are.
     """
     v = F.col(value).cast("double")
     n, s, low, high = df.agg(F.count(v), F.stddev_samp(v), F.min(v), F.max(v)).first()

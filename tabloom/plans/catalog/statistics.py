@@ -29,6 +29,20 @@ def d1(t: Tables):
 
 @query(
     "d2_density_curve",
+    """WITH f AS (SELECT count(*)::DOUBLE AS n, stddev_samp(o_totalprice) * pow(count(*)::DOUBLE, -0.2) AS h,
+              min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders),
+       g AS (SELECT i AS point, lo + i * ((hi - lo) / 199.0) AS x FROM f, (SELECT unnest(range(200)) AS i))
+       SELECT CAST(point AS INTEGER) AS point, round(x, 4) AS x,
+              round(sum(exp(-0.5 * pow((x - o_totalprice) / h, 2))) / (n * h * sqrt(2 * pi())) * 1000000, 6) AS density_e6
+       FROM g, orders, f GROUP BY point, x, n, h""",
+)
+def d2(t: Tables):
+    out = dist.density_curve(t.orders, "o_totalprice", 200)
+    return out.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
+
+
+@query(
+    "d2b_binned_density_curve",
     """WITH f AS (SELECT count(*)::DOUBLE AS n, stddev_samp(l_extendedprice) * pow(count(*)::DOUBLE, -0.2) AS h,
               min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
        b AS (SELECT (floor((l_extendedprice - lo) / (h / 10.0)) + 0.5) * (h / 10.0) + lo AS c, count(*) AS m
@@ -38,8 +52,8 @@ def d1(t: Tables):
               round(sum(m * exp(-0.5 * pow((x - c) / h, 2))) / (n * h * sqrt(2 * pi())) * 1000000, 6) AS density_e6
        FROM g, b, f GROUP BY point, x, n, h""",
 )
-def d2(t: Tables):
-    out = dist.density_curve(t.lineitem, "l_extendedprice", 200)
+def d2b(t: Tables):
+    out = dist.density_curve(t.lineitem, "l_extendedprice", 200, per_bandwidth=10)
     return out.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
 
 
