@@ -8,10 +8,9 @@ signatures, and pairs above the threshold are confirmed on the full shingle sets
 
 Groups of copies are never expanded into pairs. Equal sets are one class. In a list, all are first
 compared with one pivot, the document that shares most; what is linked by then is one component.
-After that only documents outside a list's main component meet the others, and most of these pairs
-are ruled out by what each document has and lacks of the pivot's set: an upper bound of their
-overlap, and the shingles beside the pivot's that two similar documents must share. Both are
-exact, so no link between components is lost.
+After that only documents outside a list's main component meet the others, and there the overlap
+of two documents is known from what each has beside the pivot's set and what it lacks of it. All
+this is exact, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -29,6 +28,7 @@ from ..session import ship_package, written
 from .textbytes import U64, Words, mix, shingle_sets, slices
 
 COORDINATES = 64
+NEAR = 50  # percent of similarity to a pivot from which on the differences are kept
 MISS = 1e-5  # chance that signatures of two documents just at the threshold agree too little
 BROADCAST_IDS = 1_000_000  # ids of documents, counted, that are broadcast; more are joined by a shuffle
 
@@ -142,7 +142,7 @@ class _Index:
     """Prefix postings of class representatives, and the sets that confirm their links."""
 
     def __init__(self, docs: DataFrame, reps: DataFrame, words: int, percent: int, coordinates: int):
-        self.docs, self.reps, self.words, self.percent = docs, reps, words, percent
+        self.docs, self.reps, self.words, self.percent, self.coordinates = docs, reps, words, percent, coordinates
         self.agree = agreement(coordinates, percent)
         tokens = reps.select("doc", F.posexplode("sig").alias("k", "v"))
         lists = tokens.groupBy("k", "v").agg(F.count(F.lit(1)).alias("df"))
@@ -158,32 +158,26 @@ class _Index:
         )
         self.held = written(held, "held")
 
-    def overlaps(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, n_a, n_b, shared, beside_a, beside_b) of candidate pairs whose signatures agree enough.
+    def overlaps(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """(a, b, n_a, n_b, shared, only_a, only_b) of pairs whose signatures agree as those of `percent` do.
 
-        `shared` is exact, from the whole sets. `beside_a` are the shingles of a that b lacks, in
-        the order of their hashes, as many as a similar document's prefix can reach; so for b.
+        `shared` is exact, from the whole sets; `only_a` are the shingles of a that b lacks.
         """
         pairs = written(pairs.distinct(), "pairs")
         same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
         signed = pairs.join(_side(self.reps, "a", "sig"), "a").join(_side(self.reps, "b", "sig"), "b")
-        close = written(signed.where(same >= self.agree).select("a", "b"), "close")
+        close = written(signed.where(same >= agreement(self.coordinates, percent)).select("a", "b"), "close")
         ids = written(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         full = sets(self.docs.join(wanted, "doc_id", "left_semi"), self.words).withColumnRenamed("doc_id", "doc")
         full = written(full, "sets")
         whole = close.join(_side(full, "a", "shingles"), "a").join(_side(full, "b", "shingles"), "b")
         a, b = F.col("shingles_a"), F.col("shingles_b")
-
-        def beside(x: Column, y: Column) -> Column:
-            reach = F.size(x) - F.ceil(F.size(x) * F.lit(self.percent) / 100) + 1
-            return F.slice(F.array_except(x, y), F.lit(1), reach.cast("int"))
-
         found = whole.select(
-            "a", "b", F.size(a).alias("n_a"), F.size(b).alias("n_b"), F.size(F.array_intersect(a, b)).alias("shared"),
-            beside(a, b).alias("beside_a"), beside(b, a).alias("beside_b"),
+            "a", "b", F.size(a).alias("n_a"), F.size(b).alias("n_b"), F.array_except(a, b).alias("only_a"), F.array_except(b, a).alias("only_b")
         )
-        return written(found, "overlaps")
+        found = found.withColumn("shared", F.col("n_a") - F.size("only_a"))
+        return written(found.where(_similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)), "overlaps")
 
     def links(self, overlaps: DataFrame) -> DataFrame:
         same = _similar(F.col("shared"), F.col("n_a"), F.col("n_b"), self.percent)
@@ -197,36 +191,45 @@ class _Index:
         return postings, written(lists.where("m > 1").select("t", "pivot"), "pivots")
 
     def pairs_beside(self, postings: DataFrame, lists: DataFrame, comps: DataFrame, overlaps: DataFrame) -> DataFrame:
-        """Pairs (a, b) between components that share a list and aren't ruled out by its pivot."""
-        known = overlaps.select(
-            F.col("a").alias("pivot"), F.col("b").alias("doc"), "shared", F.col("beside_b").alias("beside")
-        ).unionByName(overlaps.select(F.col("b").alias("pivot"), F.col("a").alias("doc"), "shared", F.col("beside_a").alias("beside")))
+        """Pairs (a, b) between components that share a list and that its pivot doesn't show to be unlike."""
+
+        def seen_from(pivot: str, doc: str) -> DataFrame:
+            return overlaps.select(
+                F.col(pivot).alias("pivot"), F.col(doc).alias("doc"), F.col(f"n_{pivot}").alias("pivot_n"),
+                F.col(f"only_{doc}").alias("beside"), F.col(f"only_{pivot}").alias("lacking"),
+            )
+
         rows = postings.join(comps, "doc", "left").withColumn("comp", F.coalesce("component", "doc")).drop("component", "centre")
         sizes = rows.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("m"))
         main = sizes.groupBy("t").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
         open_ = written(lists.join(main.where("comps > 1"), "t").select("t", "pivot", "main"), "open")
-        rows = written(rows.join(open_, "t"), "open_rows").join(known, ["pivot", "doc"], "left")
-        rows = rows.join(self.held.select("doc", "prefix"), "doc")
-        at_pivot = F.col("doc") == F.col("pivot")
-        rows = rows.withColumn("shared", F.when(at_pivot, F.col("n")).otherwise(F.col("shared")))
-        rows = written(rows.withColumn("beside", F.when(at_pivot, F.array().cast("array<long>")).otherwise(F.col("beside"))), "rows")
-        names = ["doc", "n", "comp", "shared", "beside", "prefix"]
-        x = rows.where("comp != main").select("t", *[F.col(c).alias(f"{c}_x") for c in names])
+        rows = written(rows.join(open_, "t"), "open_rows")
+        known = seen_from("a", "b").unionByName(seen_from("b", "a"))
+        rows = rows.join(known, ["pivot", "doc"], "left").join(self.held.select("doc", "prefix"), "doc")
+        none, at_pivot = F.array().cast("array<long>"), F.col("doc") == F.col("pivot")
+        for name, own in (("pivot_n", F.col("n")), ("beside", none), ("lacking", none)):
+            rows = rows.withColumn(name, F.when(at_pivot, own).otherwise(F.col(name)))
+        rows = written(rows, "rows")
+        names = ["doc", "n", "comp", "beside", "lacking", "prefix"]
+        x = rows.where("comp != main").select("t", "pivot_n", *[F.col(c).alias(f"{c}_x") for c in names])
         y = rows.select("t", "main", *[F.col(c).alias(f"{c}_y") for c in names])
         n, m = F.col("n_x"), F.col("n_y")
         need = F.ceil(self.percent * (n + m) / (100 + self.percent))  # the overlap that a link needs
-        most = F.least("shared_x", "shared_y") + F.least(n - F.col("shared_x"), m - F.col("shared_y"))
-        # a prefix of n - need + 1 shingles, those that the pivot lacks first: does it reach the pivot's?
-        reach_x = n - F.col("shared_x") < n - need + 1
-        reach_y = m - F.col("shared_y") < m - need + 1
+        lost = F.greatest(F.size("lacking_x"), F.size("lacking_y"))
+        most = F.col("pivot_n") - lost + F.least(F.size("beside_x"), F.size("beside_y"))
+        # of the pivot's set both have what neither lacks; beside it, what stands in both differences
+        both_lack = F.size(F.array_intersect("lacking_x", "lacking_y"))
+        in_pivot = F.col("pivot_n") - F.size("lacking_x") - F.size("lacking_y") + both_lack
+        shared = in_pivot + F.size(F.array_intersect("beside_x", "beside_y"))
+        unknown = F.col("beside_x").isNull() | F.col("beside_y").isNull()
         met = x.join(y, "t").where(
             (F.col("comp_x") != F.col("comp_y"))
             & ((F.col("comp_y") == F.col("main")) | (F.col("doc_x") < F.col("doc_y")))
             & (100 * F.least(n, m) >= self.percent * F.greatest(n, m))
-            & F.coalesce(most >= need, F.lit(True))
-            & F.coalesce((reach_x & reach_y) | F.arrays_overlap("beside_x", "beside_y"), F.lit(True))
+            & (unknown | (most >= need))
             # a pair that shares several lists is made by the first of them
             & (F.element_at(F.array_intersect("prefix_x", "prefix_y"), 1) == F.col("t"))
+            & (unknown | (shared >= need))
         )
         return met.select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"))
 
@@ -234,9 +237,9 @@ class _Index:
         """(doc, component) of all documents with a link."""
         postings, lists = self.pivots()
         met = postings.join(lists, "t").where("doc != pivot")
-        first = self.overlaps(met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")))
+        first = self.overlaps(met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")), NEAR)
         comps = written(components(self.links(first)), "components")
-        second = self.overlaps(self.pairs_beside(postings, lists, comps, first))
+        second = self.overlaps(self.pairs_beside(postings, lists, comps, first), self.percent)
         # what is linked already stands for its links
         held = comps.select(F.col("doc").alias("a"), F.col("component").alias("b"))
         return written(components(held.unionByName(self.links(second))), "components")
