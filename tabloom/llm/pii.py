@@ -112,23 +112,28 @@ def _fill(form: str, digits: str) -> str:
     return "".join(next(left) if c.isdigit() else c for c in form)
 
 
-def _runs(found: str, valid: Callable[[str], str | None]) -> str | None:
-    """Replace a single group of the match that is valid, else the longest run of groups that is:
-    what stands beside a number may look like more of it."""
+Made = tuple[int, int, str]  # start and end of the value within the match, and its pseudonym
+
+
+def _runs(found: str, valid: Callable[[str], str | None]) -> Made | None:
+    """Start, end and pseudonym of a single group of the match that is valid, else of the longest
+    run of groups that is: what stands beside a number may look like more of it."""
     groups = [m.span() for m in re.finditer(r"\w+", found)]
     for size in [1, *range(len(groups), 1, -1)]:
         for i in range(len(groups) - size + 1):
             start, end = groups[i][0], groups[i + size - 1][1]
             if (new := valid(found[start:end])) is not None:
-                return found[:start] + new + found[end:]
+                return start, end, new
     return None
 
 
-def _card(found: str, permute: Permute) -> str | None:
+def _card(found: str, permute: Permute) -> Made | None:
     def one(text: str) -> str | None:
+        if len(text) < 13 or text[0] not in "3456":
+            return None
         digits = re.sub(r"\D", "", text)
         payload, n = digits[:-1], len(digits)
-        if not 13 <= n <= 19 or digits[0] not in "3456" or luhn_digit(payload) != digits[-1]:
+        if not 13 <= n <= 19 or luhn_digit(payload) != digits[-1]:
             return None
         new = payload[0] + str(permute(f"card:{n}:{payload[0]}", 10 ** (n - 2), int(payload[1:]))).zfill(n - 2)
         return _fill(text, new + luhn_digit(new))
@@ -136,7 +141,7 @@ def _card(found: str, permute: Permute) -> str | None:
     return _runs(found, one)
 
 
-def _iban(found: str, permute: Permute) -> str | None:
+def _iban(found: str, permute: Permute) -> Made | None:
     def one(text: str) -> str | None:
         plain = text.replace(" ", "")
         country, check, account = plain[:2], plain[2:4], plain[4:]
@@ -149,12 +154,17 @@ def _iban(found: str, permute: Permute) -> str | None:
     return _runs(found, one)
 
 
+def _abroad(found: str, permute: Permute) -> Made | None:
+    """The longest start of the match that has as many digits as a number may have."""
+    for end in reversed([m.end() for m in re.finditer(r"\d+", found)]):
+        digits = re.sub(r"\D", "", found[:end])
+        if 9 <= len(digits) <= 15:
+            return 0, end, _fill(found[:end], _by_class(digits, "phone", permute, keep=2))
+    return None
+
+
 def _phone(found: str, permute: Permute) -> str | None:
     digits = re.sub(r"\D", "", found)
-    if found.startswith("+") and not digits.startswith("1"):
-        if not 9 <= len(digits) <= 15:
-            return None
-        return _fill(found, _by_class(digits, "phone", permute, keep=2))
     lead, own = digits[:-10], digits[-10:]
     if lead not in ("", "1") or len(own) != 10 or own[0] in "01" or own[3] in "01":
         return None
@@ -214,9 +224,9 @@ def _secret(found: str, permute: Permute) -> str | None:
     return found[:at] + _by_class(found[at:], "secret", permute)
 
 
-# kind, pattern, and what turns a match into its pseudonym (None: it isn't valid, so it stays).
-# Earlier kinds come first where several match at one place.
-KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
+# kind, pattern, and what turns a match, or the part of it that is a value, into its pseudonym
+# (None: nothing in it is valid, so it stays). Earlier kinds come first where several match at one place.
+KINDS: list[tuple[str, str, Callable[[str, Permute], str | Made | None]]] = [
     ("mail", r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
     ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", _key),
     ("secret", r"\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"']{6,})", _secret),
@@ -225,9 +235,11 @@ KINDS: list[tuple[str, str, Callable[[str, Permute], str | None]]] = [
     ("address", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _address),
     ("social", r"(?<![\w-])\d{3}([- ])\d{2}\1\d{4}(?![\w-])", _social),
     ("phone", r"(?<!\w)\+1(?:\d{10}|[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4})(?!\d)|(?<![\w+-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])", _phone),
-    ("phone", r"(?<!\w)\+[2-9]\d{0,2}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)", _phone),
-    ("card", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
+    ("phone", r"(?<!\w)\+[2-9]\d{0,2}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)", _abroad),
+    ("card", r"(?<![\w.+])(?:(?<!-)|(?<=\d-))\d(?:[ -]?\d){12,18}(?![\w-])", _card),
+    ("card", r"(?<![\w.+])(?:(?<!-)|(?<=\d-))\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}|\d{6}\1\d{4,5})(?![\w-])", _card),
 ]
+ABROAD, ANY_CARD, GROUPED_CARD = range(len(KINDS) - 3, len(KINDS))
 MAYBE = re.compile(r"\d|@|password|passwd|token|secret|api_?key", re.IGNORECASE)
 
 
@@ -237,34 +249,73 @@ class Pseudonyms:
     def __init__(self, key: bytes):
         network = Feistel(key)
         self.permute: Permute = network.permute
-        self.cache: dict[tuple[str, str], str | None] = {}
+        self.cache: dict[tuple[str, str], Made | None] = {}
         self.kinds = [(name, re.compile(pattern, re.IGNORECASE if name == "secret" else 0), make) for name, pattern, make in KINDS]
 
-    def _made(self, name: str, found: str, make) -> str | None:
+    def _made(self, name: str, found: str, make) -> Made | None:
         at = (name, found)
         if at not in self.cache:
             if len(self.cache) > MOST_CACHED:
                 self.cache.clear()
-            self.cache[at] = make(found, self.permute)
+            made = make(found, self.permute)
+            self.cache[at] = (0, len(found), made) if isinstance(made, str) else made
         return self.cache[at]
 
+    def _next(self, kind: int, text: str, at: int, end: int) -> Made | None:
+        """The first value of a kind that lies in text[at:end].
+
+        A match may begin with another number, so behind one that holds no value the search goes on
+        at the match's next group, and what stands before the value within a match is searched too.
+        """
+        name, pattern, make = self.kinds[kind]
+        while m := pattern.search(text, at, end):
+            at = m.start()
+            if (made := self._made(name, m[0], make)) is not None:
+                start, stop, new = made
+                before = self._next(kind, text, at, at + start) if start else None
+                return before or (at + start, at + stop, new)
+            at += 1  # no pattern begins inside a group
+        return None
+
+    def _fitted(self, kind: int, value: Made, text: str, coming: dict[int, Made]) -> Made | None:
+        """The value, cut where a surer one begins inside it; None where nothing valid is left.
+
+        Foreign phones and digits of any grouping have the loosest patterns: such a phone ends
+        before a value that reaches beyond it, and such a card before a card in the usual groups.
+        """
+        if kind not in (ABROAD, ANY_CARD):
+            return value
+        for other, (start, end, _) in coming.items():
+            surer = end > value[1] if kind == ABROAD else other == GROUPED_CARD
+            if other != kind and surer and value[0] < start < value[1]:
+                cut = self._next(kind, text, value[0], start)
+                if cut is None or cut[0] != value[0]:
+                    return None
+                value = cut
+        return value
+
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:
         """The text with pseudonyms, and (start, end, kind) of each value in the original."""
         if not MAYBE.search(text):
             return text, []
-        found: list[tuple[int, int, str, str]] = []
-        for name, pattern, make in self.kinds:
-            for m in pattern.finditer(text):
-                if (new := self._made(name, m[0], make)) is not None:
-                    found.append((m.start(), m.end(), name, new))
-        found.sort(key=lambda f: f[0])  # stable, so of values at one place the earlier kind comes first
         out, spans, at = [], [], 0
-        for start, end, name, new in found:
-            if start < at:
-                continue  # inside a value that was replaced
-            out += [text[at:start], new]
-            spans.append((start, end, name))
-            at = end
+        coming = {k: v for k in range(len(self.kinds)) if (v := self._next(k, text, 0, len(text))) is not None}
+        while coming:
+            kind = min(coming, key=lambda k: (coming[k][0], k))
+            value = self._fitted(kind, coming[kind], text, coming)
+            if value is None:
+                stale, behind = [kind], coming[kind][0] + 1
+            else:
+                start, end, new = value
+                out += [text[at:start], new]
+                spans.append((start, end, self.kinds[kind][0]))
+                at = behind = end
+                stale = [k for k, v in coming.items() if v[0] < at]
+            for k in stale:  # what began inside the value is searched again behind it
+                if (found := self._next(k, text, behind, len(text))) is None:
+                    del coming[k]
+                else:
+                    coming[k] = found
         return "".join([*out, text[at:]]), spans
 
 

@@ -87,6 +87,28 @@ def test_numbers_beside_a_value(made, text):
         assert (beside in out) == (beside in text)
 
 
+CARD, DAY, ABROAD = "4111 1111 1111 1111", "2024-01-05", "+49 30 1234567"
+
+
+@pytest.mark.parametrize(
+    "text, values",
+    [(f"{DAY} {CARD}", [DAY, CARD]), (f"{DAY}-{CARD}", [CARD]), (f"2024 {CARD}", [CARD]), (f"order 1234567 {CARD}", [CARD]),
+     (f"order 3234569 {CARD}", [CARD]), (f"536-90-4399 {CARD}", ["536-90-4399", CARD]), (f"555-123-4567 {CARD}", [CARD]),
+     (f"415-555-0199 {CARD}", ["415-555-0199", CARD]), (f"{CARD} 14.03.2021", [CARD, "14.03.2021"]), (f"{CARD} {CARD}", [CARD, CARD]),
+     (f"DE89370400440532013000 {DAY}", ["DE89370400440532013000", DAY]), (f"{ABROAD} {DAY}", [ABROAD, DAY]), (f"{ABROAD} {CARD}", [ABROAD, CARD]),
+     ("BE68 5390 0754 7034 NO9386011117947", ["BE68 5390 0754 7034", "NO9386011117947"]),
+     ("AB12 CDEF GHIJ KLMN DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"])],
+)
+def test_every_value_of_a_row_of_numbers(made, text, values):
+    out, spans = made.replace(text)
+    assert [text[start:end] for start, end, _ in spans] == values
+    at = 0
+    for start, end, _ in spans:
+        assert out[at:start] == text[at:start] and out[start:end] == new(made, text[start:end]) != text[start:end]
+        at = end
+    assert len(out) == len(text) and out[at:] == text[at:]
+
+
 def test_ibans_stay_valid(made):
     out = new(made, "DE89370400440532013000")
     assert out[:2] == "DE" and pii.iban_digits("DE", out[4:]) == out[2:4]
