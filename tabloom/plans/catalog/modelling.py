@@ -134,11 +134,11 @@ def m4(t: Tables):
 @query("m5_grid_search")
 def m5(t: Tables):
     train, test = language_rows(t)
-    folded = written(sampling.assign_folds(train.drop("is_test"), "doc_id", 3, "grid", ["lang"]), "folds")
-    forest = learners.forest_classifier("label", trees=10, depth=5)
+    folded = written(sampling.assign_folds(train.drop("is_test"), "doc_id", 5, "grid", ["lang"]), "folds")
+    forest = learners.forest_classifier("label", trees=100)
     learner = Pipeline(stages=[prepare.columns_to_features(LABELS), forest])
-    grid = {forest.featureSubsetStrategy: ["0.3", "0.6"], forest.minInstancesPerNode: [1, 5]}
-    fitted = validate.search(learner, folded, grid, "fold", 3, metrics.MacroF1())
+    grid = {forest.featureSubsetStrategy: ["0.3", "0.6", "1.0"], forest.minInstancesPerNode: [1, 2, 5]}
+    fitted = validate.search(learner, folded, grid, "fold", 5, metrics.MacroF1())
     table = validate.search_table(fitted, train)
     return table.withColumn("test_f1", _classified(fitted.bestModel, test).select("macro_f1").scalar())
 
@@ -197,7 +197,7 @@ def m9(t: Tables):
     train, test = revenue_rows(t)
     learner = Pipeline(stages=[
         prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]),
-        learners.forest_regressor("net", depth=6),
+        learners.forest_regressor("net"),
     ])
     return validate.evaluate(learner, train, test, "net")
 
@@ -280,7 +280,7 @@ def m16(t: Tables):
 @query("m17_random_forest_classifier")
 def m17(t: Tables):
     train, test = language_rows(t)
-    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", depth=8)])
+    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label")])
     return _classified(learner.fit(train), test)
 
 
@@ -288,7 +288,7 @@ def m17(t: Tables):
 def m17b(t: Tables):
     train, test = revenue_rows(t)
     learner = Pipeline(stages=[
-        prepare.columns_to_features(NUMBERS, scaled=False), learners.forest_regressor("net", min_leaf=5, depth=8)
+        prepare.columns_to_features(NUMBERS, scaled=False), learners.forest_regressor("net", min_leaf=5)
     ])
     return validate.evaluate(learner, train, test, "net")
 
@@ -297,7 +297,7 @@ def m17b(t: Tables):
 def m18(t: Tables):
     train, test = language_rows(t)
     learner = Pipeline(stages=[
-        prepare.columns_to_features(LABELS), learners.boosting_classifier("label", 4, rounds=5, depth=3, min_leaf=2)
+        prepare.columns_to_features(LABELS), learners.boosting_classifier("label", 4)
     ])
     return _classified(learner.fit(train), test)
 
@@ -305,7 +305,7 @@ def m18(t: Tables):
 @query("m18b_boosting_regression")
 def m18b(t: Tables):
     train, test = revenue_rows(t)
-    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS, scaled=False), learners.boosting_regressor("net", rounds=10)])
+    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS, scaled=False), learners.boosting_regressor("net")])
     return validate.evaluate(learner, train, test, "net")
 
 
@@ -314,7 +314,7 @@ def m19(t: Tables):
     train, test = revenue_rows(t)
     learner = Pipeline(stages=[
         prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"], scaled=False, one_hot=False),
-        learners.boosting_regressor("net", rounds=5, maxBins=32),
+        learners.boosting_regressor("net", maxBins=32),
     ])
     return validate.evaluate(learner, train, test, "net")
 
@@ -435,7 +435,7 @@ def m27(t: Tables):
 @query("m28_permutation_importance")
 def m28(t: Tables):
     train, test = language_rows(t)
-    model = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label", depth=6)]).fit(train)
+    model = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label")]).fit(train)
     return explain.permutation_importance(model, test, "doc_id", LABELS, explain.wrong("label"), repeats=10)
 
 
@@ -465,7 +465,7 @@ def m28b(t: Tables):
 def m29(t: Tables):
     train, _ = revenue_rows(t)
     ready = prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]).fit(train).transform(train)
-    model = learners.forest_regressor("net", depth=6).fit(ready)
+    model = learners.forest_regressor("net").fit(ready)
     entries = explain.impurity_importance(model, ready)
     sums = explain.importance_by_source(entries)
     return sums.orderBy(F.desc("importance")).limit(6)
@@ -526,7 +526,7 @@ def m32(t: Tables):
         "majority": _classified(validate.MajorityBaseline("label").fit(train), test),
         "logistic": _classified(Pipeline(stages=[ready, learners.logistic(train, "label")]).fit(train), test),
         "tree": _classified(Pipeline(stages=[ready, learners.tree_classifier("label", 5)]).fit(train), test),
-        "forest": _classified(Pipeline(stages=[ready, learners.forest_classifier("label", depth=6)]).fit(train), test),
+        "forest": _classified(Pipeline(stages=[ready, learners.forest_classifier("label")]).fit(train), test),
     }
     return validate.ladder(rows)
 

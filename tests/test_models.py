@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tabloom.models import explain, learners, linear, metrics, prepare, validate
+from tabloom.plans.catalog import modelling
 
 
 @pytest.fixture(scope="module")
@@ -169,3 +170,47 @@ def test_many_class_boosting(df):
     learner = Pipeline(stages=[prepare.columns_to_features(X, scaled=False), learners.boosting_classifier("k3", 3, rounds=2, depth=3, min_leaf=2)])
     out = learner.fit(three).transform(three)
     assert metrics.classification_scores(out, "k3", "prediction").first()["accuracy"] > 0.8
+
+
+class Built(Exception):
+    """Raised in place of a fit."""
+
+
+@pytest.mark.parametrize(
+    "name, want",
+    [("m9", {"numTrees": 100, "maxDepth": 15}), ("m17", {"numTrees": 300, "maxDepth": 15}), ("m17b", {"numTrees": 100, "maxDepth": 15}),
+     ("m18", {"maxIter": 100, "maxDepth": 5, "minInstancesPerNode": 20}), ("m18b", {"maxIter": 100, "maxDepth": 5}),
+     ("m19", {"maxIter": 100, "maxDepth": 5}), ("m28", {"numTrees": 300, "maxDepth": 15}), ("m29", {"numTrees": 100, "maxDepth": 15}),
+     ("m32", {"numTrees": 300, "maxDepth": 15}), ("m5", {"numTrees": 100, "maxDepth": 15})],
+)
+def test_queries_fit_whole_models(spark, monkeypatch, name, want):
+    seen = {}
+
+    def noted(build):
+        def run(*args, **options):
+            learner = build(*args, **options)
+            one = learner.getClassifier() if hasattr(learner, "getClassifier") else learner
+            seen.update({p.name: v for p, v in one.extractParamMap().items()})
+            if name == "m5":
+                return learner
+            raise Built
+
+        return run
+
+    def searched(learner, df, grid, fold, folds, evaluator):
+        seen.update(folds=folds, **{p.name: values for p, values in grid.items()})
+        raise Built
+
+    rows = spark.createDataFrame([(i, str(i % 4), float(i)) for i in range(8)], "doc_id long, lang string, label double")
+    rows = rows.selectExpr("*", "label AS net", "false AS is_test", *[f"label AS {c}" for c in [*modelling.LABELS, *modelling.NUMBERS]],
+                           "lang AS l_returnflag", "lang AS l_linestatus")
+    for source in ("language_rows", "revenue_rows"):
+        monkeypatch.setattr(modelling, source, lambda t: (rows, rows))
+    for build in ("forest_classifier", "forest_regressor", "boosting_classifier", "boosting_regressor"):
+        monkeypatch.setattr(modelling.learners, build, noted(getattr(modelling.learners, build)))
+    monkeypatch.setattr(modelling.validate, "search", searched)
+    if name == "m5":
+        want = want | {"folds": 5, "featureSubsetStrategy": ["0.3", "0.6", "1.0"], "minInstancesPerNode": [1, 2, 5]}
+    with pytest.raises(Built):
+        getattr(modelling, name)(None)
+    assert {k: seen[k] for k in want} == want
