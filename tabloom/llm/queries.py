@@ -14,7 +14,7 @@ from . import bpe, exact, mixing, neardup, pii, quality, sharding, topk, urls, w
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 KEY = b"a key for tests: a real one comes from a key store"
-SHARDS = 16
+SHARDS, GROWN = 16, 17
 RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -134,11 +134,14 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     sizes = written(sharding.slot_bytes(docs), "slots")
     maps = scratch_path(spark, "slot-map")
-    sharding.save_map(spark, maps, 1, sharding.first_map(sizes, SHARDS))
-    placed = sharding.assign(docs, sharding.load_map(spark, maps))
+    first = sharding.first_map(sizes, SHARDS)
+    sharding.save_map(spark, maps, 1, first)
+    sharding.save_map(spark, maps, 2, sharding.edit_map(first, sizes, GROWN))
+    placed = sharding.assign(docs, sharding.load_map(spark, maps, 1), edited=sharding.load_map(spark, maps))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "version",
+        "edited_version", "edited_shard", "edited_slot",
     )
 
 

@@ -95,14 +95,15 @@ def load_map(spark, path: str, version: int | None = None) -> DataFrame:
     return every.where(F.col("version") == version)
 
 
-def assign(docs: DataFrame, slot_map: DataFrame, n_slots: int = SLOTS) -> DataFrame:
+def assign(docs: DataFrame, slot_map: DataFrame, n_slots: int = SLOTS, edited: DataFrame | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot, version, shard, slot) of every document.
 
     slot is the record's place in its shard, gapless from 0: the rows of the shard's earlier
     virtual slots, plus its place by (doc_id, size, checksum) in its own. A missing text counts as
     empty, a missing id sorts first, repeated rows take places of their own, and an empty table
     gives an empty one. Only ids, sizes and checksums are shuffled, by virtual slot. The map has
-    `n_slots` rows, so it is broadcast.
+    `n_slots` rows, so it is broadcast. With a second map, `edited`, the place of every document
+    under it comes from the same pass, as edited_version, edited_shard and edited_slot.
     """
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
@@ -111,16 +112,22 @@ def assign(docs: DataFrame, slot_map: DataFrame, n_slots: int = SLOTS) -> DataFr
         F.crc32(body.cast("binary")).alias("text_crc32"),
         virtual_slot(n_slots).alias("virtual_slot"),
     )
-    counts = slot_bytes(docs, n_slots).join(slot_map, "virtual_slot")
-    # as many rows as slots
-    before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "virtual_slot", "version", "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__before")
-    )
+    maps = {"": slot_map} if edited is None else {"": slot_map, "edited_": edited}
+    offsets = slot_bytes(docs, n_slots).select("virtual_slot", "rows")
+    for name, table in maps.items():
+        shard, version = F.col("shard").alias(f"{name}shard"), F.col("version").alias(f"{name}version")
+        # as many rows as slots
+        before = Window.partitionBy(f"{name}shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = offsets.join(table.select("virtual_slot", shard, version), "virtual_slot")
+        offsets = offsets.withColumn(f"__{name}before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
     inside = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "size", "text_crc32"))
-    placed = rows.withColumn("__in", inside).join(F.broadcast(offsets), "virtual_slot")
-    place = (F.col("__before") + F.col("__in") - 1).cast("long")
-    return placed.select("doc_id", "size", "text_crc32", "virtual_slot", "version", "shard", place.alias("slot"))
+    placed = rows.withColumn("__in", inside).join(F.broadcast(offsets.drop("rows")), "virtual_slot")
+    places = [
+        c
+        for name in maps
+        for c in (f"{name}version", f"{name}shard", (F.col(f"__{name}before") + F.col("__in") - 1).cast("long").alias(f"{name}slot"))
+    ]
+    return placed.select("doc_id", "size", "text_crc32", "virtual_slot", *places)
 
 
 def write_shards(docs: DataFrame, slot_map: DataFrame, path: str, n_slots: int = SLOTS) -> None:

@@ -12,7 +12,7 @@ from cases import near_components
 from check_queries import rows_of
 from tokenizers import Tokenizer
 
-from tabloom.llm import mixing, queries
+from tabloom.llm import mixing, queries, sharding
 from tabloom.plans.registry import TABLES
 
 
@@ -70,6 +70,22 @@ def test_shards(spark, folder, texts):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
 
 
+def test_shards_after_an_edit_of_the_map(spark, folder, texts):
+    rows = queries.op5(spark, folder).collect()
+    assert {(r["version"], r["edited_version"]) for r in rows} == {(1, 2)} and len(rows) == len(texts)
+    weight, first, places = Counter(), {}, {}
+    for r in rows:
+        weight[r["virtual_slot"]] += r["size"]
+        assert first.setdefault(r["virtual_slot"], r["shard"]) == r["shard"]
+        places.setdefault(r["edited_shard"], []).append(r["edited_slot"])
+    sizes = spark.createDataFrame(list(weight.items()), "virtual_slot int, bytes long")
+    want = sharding.edit_map([first.get(k, 0) for k in range(sharding.SLOTS)], sizes, 17)
+    assert all(r["edited_shard"] == want[r["virtual_slot"]] for r in rows) and set(places) == set(range(17))
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    moved = sum(r["size"] for r in rows if r["edited_shard"] != r["shard"])
+    assert 0 < moved < sum(weight.values()) / 4  # dealing all slots anew moves nearly everything
+
+
 def test_pseudonyms(spark, folder, texts):
     rows = queries.op1(spark, folder).collect()
     assert len(rows) == len(texts)
