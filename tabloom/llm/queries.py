@@ -190,6 +190,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return warc.parsed(warc.read_archive(spark, path))
 
 
+@query("op9_records")
+def op9_records(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archive")
+    warc.write_archive(table(spark, folder, "pages"), path)
+    return warc.rebuilt(warc.read_archive(spark, path))
+
+
 def _rule_sql() -> str:
     rows = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
     return f"""

@@ -123,6 +123,28 @@ def parsed(archive: DataFrame) -> DataFrame:
     )
 
 
+def rebuilt(archive: DataFrame) -> DataFrame:
+    """(page_id, record_bytes, record_sha256, content_length, lengths_agree) of every record put together.
+
+    The lengths agree if the record's Content-Length counts the bytes between its header and the
+    line ends that close it, and the Content-Length of the page's own header those of the payload.
+    """
+    page_id = F.regexp_extract(header_field("WARC-Record-ID"), r"<urn:page:(-?\d+)>", 1).cast("long")
+    header = F.col("header").cast("string")
+    head = F.octet_length(F.substring_index(header, END, 1)) + len(END)
+    block = F.octet_length("record") - head - len(END)
+    stated = header_field("Content-Length").cast("long")
+    http = F.regexp_extract(header, r"(?s)\r\n\r\nHTTP/.*\r\nContent-Length: (\d+)\r\n\r\n$", 1)
+    agree = stated.eqNullSafe(block) & http.eqNullSafe(F.octet_length("payload").cast("string"))
+    return archive.select("header", "payload", record_bytes().alias("record")).select(
+        page_id.alias("page_id"),
+        F.octet_length("record").cast("long").alias("record_bytes"),
+        F.sha2("record", 256).alias("record_sha256"),
+        stated.alias("content_length"),
+        agree.alias("lengths_agree"),
+    )
+
+
 def export(archive: DataFrame, path: str) -> None:
     """Write the records as WARC text files: each record ends in the two line ends that part them."""
     whole = F.concat("header", F.when(header_field("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload")))

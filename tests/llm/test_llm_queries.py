@@ -12,7 +12,7 @@ from cases import near_components
 from check_queries import rows_of
 from tokenizers import Tokenizer
 
-from tabloom.llm import mixing, queries, sharding
+from tabloom.llm import mixing, queries, sharding, warc
 from tabloom.plans.registry import TABLES
 
 
@@ -86,6 +86,35 @@ def test_shards_after_an_edit_of_the_map(spark, folder, texts):
     assert 0 < moved < sum(weight.values()) / 4  # dealing all slots anew moves nearly everything
 
 
+def test_rebuilt_records(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    kinds = {r["page_id"]: r for r in queries.op9(spark, folder).collect()}
+    rows = queries.op9_records(spark, folder).collect()
+    assert len(rows) == len(pages) == len({r["page_id"] for r in rows})
+    got = {r["page_id"]: r for r in rows}
+    for page in pages:
+        body, kind, r = (page["html"] or "").encode(), kinds[page["page_id"]], got[page["page_id"]]
+        http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: %d\r\n\r\n" % len(body)
+        block = http + (b"" if kind["record_type"] == "revisit" else body)
+        lines = ["WARC/1.0", f"WARC-Type: {kind['record_type']}", f"WARC-Record-ID: <urn:page:{page['page_id']}>", "WARC-Date: 2024-01-01T00:00:00Z"]
+        lines += [f"WARC-Target-URI: {page['url']}"] if page["url"] is not None else []
+        lines += [f"WARC-Payload-Digest: sha1:{hashlib.sha1(body).hexdigest()}"]
+        if kind["record_type"] == "revisit":
+            lines += [f"WARC-Refers-To: <urn:page:{kind['refers_to']}>", f"WARC-Profile: {warc.PROFILE}"]
+        lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+        record = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        assert r["lengths_agree"] and r["content_length"] == len(block)
+        assert (r["record_bytes"], r["record_sha256"]) == (len(record), hashlib.sha256(record).hexdigest())
+
+
+def test_a_wrong_length_is_found(spark):
+    head = "WARC/1.0\r\nWARC-Type: {}\r\nWARC-Target-URI: é\r\nContent-Length: {}\r\n\r\nHTTP/1.1 200 OK\r\nContent-Length: {}\r\n\r\n"
+    cases = [("response", 41, 3, True), ("response", 42, 3, False), ("response", 41, 4, False), ("revisit", 38, 3, True), ("revisit", 41, 3, False)]
+    for kind, own, inner, want in cases:
+        archive = spark.createDataFrame([(head.format(kind, own, inner).encode(), b"abc")], "header binary, payload binary")
+        assert warc.rebuilt(archive).first()["lengths_agree"] == want
+
+
 def test_pseudonyms(spark, folder, texts):
     rows = queries.op1(spark, folder).collect()
     assert len(rows) == len(texts)
