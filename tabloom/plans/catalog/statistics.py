@@ -213,6 +213,33 @@ def t3b(t: Tables):
     return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
+@query(
+    "t3c_bootstrap_interval_of_events",
+    f"""WITH w AS (SELECT value, b * 4 + p AS r, CAST('0x' || substr(md5(concat_ws('-', CAST(event_id AS VARCHAR), 'boot',
+              CAST(b AS VARCHAR))), CAST(1 + 8 * p AS INTEGER), 8) AS BIGINT) / CAST(4294967296 AS DOUBLE) AS u
+              FROM events, (SELECT unnest(range({REPLICATES // 4})) AS b), (SELECT unnest(range(4)) AS p)),
+        x AS (SELECT r, value, {_poisson_sql('u')} AS k FROM w),
+        e AS (SELECT r, sum(k * value) / sum(k) AS m FROM x WHERE k > 0 GROUP BY r)
+        SELECT count(*) AS replicates, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM e""",
+)
+def t3c(t: Tables):
+    out = resampling.bootstrap_interval(t.events, "event_id", "value", REPLICATES, "boot")
+    return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
+
+
+@query(
+    "t3d_exact_size_bootstrap_10000",
+    f"""WITH i AS (SELECT row_number() OVER (ORDER BY {md5_sql('ex-index', 's_suppkey')}) - 1 AS i, s_acctbal AS x FROM supplier),
+        d AS (SELECT r, CAST(floor({uniform_sql('ex', 'i.i', 'r')} * (SELECT count(*) FROM i)) AS BIGINT) AS j
+              FROM i, (SELECT unnest(range({REPLICATES})) AS r)),
+        e AS (SELECT r, avg(x) AS m FROM d JOIN i ON i.i = j GROUP BY r)
+        SELECT count(*) AS replicates, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM e""",
+)
+def t3d(t: Tables):
+    out = resampling.bootstrap_interval(t.supplier, "s_suppkey", "s_acctbal", REPLICATES, "ex", exact_size=True)
+    return out.withColumns({c: F.round(c, 6) for c in ("low", "high")})
+
+
 WELCH_SQL = """WITH f AS (SELECT count(*) FILTER (WHERE event_type = 'click')::DOUBLE AS n1,
     avg(value) FILTER (WHERE event_type = 'click') AS m1, var_samp(value) FILTER (WHERE event_type = 'click') AS v1,
     count(*) FILTER (WHERE event_type = 'view')::DOUBLE AS n2, avg(value) FILTER (WHERE event_type = 'view') AS m2,
@@ -284,6 +311,27 @@ def t6(t: Tables):
     return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
 
 
+OF_EVENTS = {"FROM supplier": "FROM events", "s_suppkey": "event_id", "s_acctbal": "value", "s_nationkey < 12": "event_type = 'click'"}
+
+
+def _of_events(sql: str) -> str:
+    """The same check over the events: clicks against the rest."""
+    for old, new in OF_EVENTS.items():
+        sql = sql.replace(old, new)
+    return sql
+
+
+@query(
+    "t6b_permutation_test_of_events",
+    _of_events(PERMUTED_SQL.format("sum(x * f) / sum(f)", "sum(x * (1 - f)) / sum(1 - f)", "", "", "perm"))
+    + """ SELECT round(seen, 6) AS observed, replicates, lower, upper,
+               round(least(1.0, 2 * (least(lower, upper) + 1) / (replicates + 1)::DOUBLE), 6) AS p FROM c, o""",
+)
+def t6b(t: Tables):
+    out = resampling.permutation_test(t.events, "event_id", "value", F.col("event_type") == "click", REPLICATES, "perm")
+    return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
+
+
 def rich_share(value, weight):
     """A statistic of the user's own: the weighted share of balances above 5000."""
     return F.sum((value > 5000).cast("int") * weight) / F.sum(weight)
