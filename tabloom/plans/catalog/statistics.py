@@ -57,6 +57,20 @@ def d2b(t: Tables):
     return out.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
 
 
+@query(
+    "d2c_density_curve_of_lines",
+    """WITH f AS (SELECT count(*)::DOUBLE AS n, stddev_samp(l_extendedprice) * pow(count(*)::DOUBLE, -0.2) AS h,
+              min(l_extendedprice) AS lo, max(l_extendedprice) AS hi FROM lineitem),
+       g AS (SELECT i AS point, lo + i * ((hi - lo) / 199.0) AS x FROM f, (SELECT unnest(range(200)) AS i))
+       SELECT CAST(point AS INTEGER) AS point, round(x, 4) AS x,
+              round(sum(exp(-0.5 * pow((x - l_extendedprice) / h, 2))) / (n * h * sqrt(2 * pi())) * 1000000, 6) AS density_e6
+       FROM g, lineitem, f GROUP BY point, x, n, h""",
+)
+def d2c(t: Tables):
+    out = dist.density_curve(t.lineitem, "l_extendedprice", 200)
+    return out.select("point", F.round("x", 4).alias("x"), F.round(F.col("density") * 1e6, 6).alias("density_e6"))
+
+
 @query(
     "d3_ecdf",
     """SELECT DISTINCT event_type, value, round(cume_dist() OVER (PARTITION BY event_type ORDER BY value), 8) AS share
