@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, written
-from . import bpe, exact, mixing, neardup, pii, quality, sharding, topk, urls, warc
+from . import audit, bpe, exact, linededup, mixing, neardup, pii, quality, sharding, topk, trie, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -224,3 +224,115 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     judged = urls.judge(pages, urls.rule_table(spark, RULES))
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+
+CRC_STEP = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+TRIE_SQL = rf"""
+    WITH turns AS (
+        SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST,
+                             sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS own
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+    ), headed AS (
+        SELECT c.conv_id, c.own, b.own AS base,
+               xor(list_reduce(list_concat([4294967295],
+                       list_transform(range(1, len(CAST(c.conv_id AS VARCHAR)) + 1), lambda i: ord(CAST(c.conv_id AS VARCHAR)[i]))),
+                   lambda c, b: {CRC_STEP}), 4294967295) % 4 AS h
+        FROM turns c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 20
+    ), paths AS (
+        SELECT conv_id, list_concat(coalesce(base[1:h], []), own[h + 1:]) AS path FROM headed
+    ), prefixes AS (
+        SELECT conv_id, len(path) AS size, path, unnest(range(len(path) + 1)) AS depth FROM paths
+    ), nodes AS (
+        SELECT depth, path[1:depth] AS p, min(conv_id) AS conv_id, count(*) AS n_convs,
+               coalesce(len(regexp_extract_all(path[1:depth][depth].text, '[^\x20\x09-\x0D]+')), 0) AS words,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256
+        FROM prefixes GROUP BY depth, path[1:depth]
+    ), children AS (
+        SELECT p[1:depth - 1] AS up, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up
+    ), families AS (
+        SELECT n.*, u.conv_id AS parent_conv_id, coalesce(c.n, 0) AS n_children
+        FROM nodes n LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.p = n.p[1:n.depth - 1] LEFT JOIN children c ON c.up = n.p
+    ), above AS (
+        SELECT (n_children = 0)::INT AS leaf, (n_convs - 1) * words AS saved, p, unnest(range(depth + 1)) AS d FROM families
+    ), sums AS (
+        SELECT p[1:d] AS p, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY p[1:d]
+    )
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM families JOIN sums USING (p)
+    """
+
+
+@query("op11_conversation_trie", TRIE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    paths = trie.rebuilt_paths(trie.turn_lists(table(spark, folder, "conversations")), block=20, shared=4)
+    return trie.nodes(paths)
+
+
+@query(
+    "op12_line_dedup",
+    r"""
+    WITH lines AS (
+        SELECT doc_id, place, line,
+               translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS place
+              FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+    ), keyed AS (
+        SELECT doc_id, place, line, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS gone FROM lines
+    )
+    SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM keyed GROUP BY doc_id
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    index = linededup.LineIndex(spark, scratch_path(spark, "lines"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for part in (0, 1):  # all documents, in two steps: the second asks the filters that the first has made
+        index.insert(docs.where(half == part))
+    clean = index.dedup(docs)
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _audit_sql() -> str:
+    steps = ", ".join(f"('{s['filter_order']}', {s['step']}, {s['before']}, {s['bit']})" for s in audit.orders("ABCDE"))
+    return rf"""
+    WITH steps(filter_order, step, before, bit) AS (VALUES {steps}),
+    texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+               doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS repeats
+        FROM documents
+    ), labelled AS (
+        SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+    ), masks AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+               + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+               + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(repeats, false)::INT AS mask
+        FROM texts LEFT JOIN labelled USING (doc_id)
+    ), counts AS (
+        SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask
+    ), found AS (
+        SELECT part, filter_order, step, bit,
+               sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN mask & bit > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+               sum(CASE WHEN mask & bit > 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM counts, steps GROUP BY part, filter_order, step, bit
+    )
+    SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+           unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+    FROM found
+    """
+
+
+@query("op13_filter_audit", _audit_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"), audit.standard_filters())
