@@ -77,7 +77,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_digests(encoded: DataFrame) -> DataFrame:
-    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     hashed = encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), "ids"
     )

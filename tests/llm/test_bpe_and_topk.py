@@ -40,15 +40,23 @@ def test_words_against_the_library(library, vocabulary, folder, spark):
 
 def test_verification_finds_every_wrong_proposal(vocabulary):
     r = random.Random(2)
-    words = ["".join(r.choice("abeinorst") for _ in range(r.randint(1, 12))) for _ in range(5000)]
-    for word, ids in zip(words, vocabulary.encode_words(words), strict=True):
-        assert ids == vocabulary.merged(word) == vocabulary._merged_long([vocabulary.ids[c] for c in word[:-1]] + [vocabulary.ids[word[-1] + "</w>"]])
+    words = ["".join(r.choice("abeinorst") for _ in range(r.randint(1, 12))) for _ in range(5000)] + ["a" * 64, "ab" * 32, "ab" * 40]
+    one_by_one = [vocabulary._merged_long([*(vocabulary.ids[c] for c in w[:-1]), vocabulary.ids[w[-1] + "</w>"]]) for w in words]
+    assert vocabulary.encode_words(words) == vocabulary.merged(words) == one_by_one
+
+
+def test_memory_keeps_what_was_met_lately():
+    memory = bpe.Memory(8, {"always": b"x"})
+    for k in range(20):
+        assert memory.unknown({f"k{k}", "hot", "always"}) <= {f"k{k}", "hot"}
+        memory.young.update({f"k{k}": b"", "hot": b""})
+        assert memory.unknown({"hot", f"k{k}"}) == set() and len(memory.young) + len(memory.old) <= 12
 
 
 def test_long_texts_are_cut_at_white_space(vocabulary, monkeypatch, library):
     monkeypatch.setattr(bpe, "PIECE", 50)
     text = " ".join(f"word{i}" for i in range(300)) + " " * 200 + "x" * 300 + "\x1cend"
-    assert [x for part in bpe.pieces_of(text) for x in part] == bpe.SPACE.split(text)
+    assert [x for part in bpe.chunks_of(text) for x in bpe.pieces_of(part)] == bpe.SPACE.split(text)
     assert vocabulary.encode_texts([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
