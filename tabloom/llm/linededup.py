@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import ship_package
+from ..session import ship_package, written
 from .cuckoo import CuckooFilter
 from .textbytes import slices
 
@@ -246,7 +246,8 @@ class LineIndex:
         A key's lines stay in the smallest id that holds it, in all its rows; rows without an id come
         last, and keep a line that only they hold.
         """
-        shared = self.counts().where("refs > 1 and first is not null").select(*KEY, "first")
+        # written, so that it comes to the join by a shuffle of its own, and Spark can split a common key
+        shared = written(self.counts().where("refs > 1 and first is not null").select(*KEY, "first"), "shared")
         rows = self.live_postings().join(shared, KEY).where("doc_id is null or doc_id > first")
         return rows.groupBy("doc_id", "tag").agg(F.collect_set(F.struct(*KEY)).alias("gone"))
 
