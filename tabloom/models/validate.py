@@ -112,3 +112,17 @@ def ladder(rows: Mapping[str, DataFrame]) -> DataFrame:
         row = scores.select(F.lit(i).alias("rank"), F.lit(name).alias("model"), "*")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+class Prepared:
+    """A learner behind a preparation, both fitted on the same rows."""
+
+    def __init__(self, preparation, learner: Learner):
+        self.preparation, self.learner = preparation, learner
+
+    def fit(self, df: DataFrame) -> Prepared:
+        ready = self.preparation.fit(df)
+        return Prepared(ready, self.learner.fit(ready.transform(df)))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.learner.transform(self.preparation.transform(df))

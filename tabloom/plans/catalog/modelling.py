@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.hashing import uniform
-from ...models import explain, learners, linear, metrics, prepare, validate
+from ...models import ensembles, explain, learners, linear, metrics, prepare, validate
 from ...operators import fairness, privacy, sampling
 from ...session import written
 from ..registry import Tables, md5_sql, query, uniform_sql
@@ -195,11 +195,8 @@ def m8(t: Tables):
 @query("m9_preprocessing_and_model")
 def m9(t: Tables):
     train, test = revenue_rows(t)
-    learner = Pipeline(stages=[
-        prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]),
-        learners.forest_regressor("net"),
-    ])
-    return validate.evaluate(learner, train, test, "net")
+    ready = prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"])
+    return validate.evaluate(validate.Prepared(ready, ensembles.Forest("net", vector="features")), train, test, "net")
 
 
 # ---- linear models ----------------------------------------------------------------------------------------
@@ -269,9 +266,8 @@ def m15(t: Tables):
 @query("m16_decision_tree")
 def m16(t: Tables):
     train, test = revenue_rows(t)
-    ready = prepare.columns_to_features(NUMBERS, scaled=False)
     rows = {
-        f"depth {d}": validate.evaluate(Pipeline(stages=[ready, learners.tree_regressor("net", d)]), train, test, "net")
+        f"depth {d}": validate.evaluate(ensembles.Forest("net", NUMBERS, trees=1, bootstrap=False, max_depth=d), train, test, "net")
         for d in (5, None)
     }
     return validate.ladder(rows)
@@ -280,42 +276,72 @@ def m16(t: Tables):
 @query("m17_random_forest_classifier")
 def m17(t: Tables):
     train, test = language_rows(t)
-    learner = Pipeline(stages=[prepare.columns_to_features(LABELS), learners.forest_classifier("label")])
-    return _classified(learner.fit(train), test)
+    return _classified(ensembles.Forest("label", LABELS, classes=4, trees=300, per_split="sqrt").fit(train), test)
 
 
 @query("m17b_random_forest_regressor")
 def m17b(t: Tables):
     train, test = revenue_rows(t)
-    learner = Pipeline(stages=[
-        prepare.columns_to_features(NUMBERS, scaled=False), learners.forest_regressor("net", min_leaf=5)
-    ])
-    return validate.evaluate(learner, train, test, "net")
+    return validate.evaluate(ensembles.Forest("net", NUMBERS, min_leaf=5), train, test, "net")
+
+
+# classes by name, one stump each: with one gradient and hessian per class, the best cut is plain SQL
+STUMP_SQL = """
+    WITH d AS (SELECT {label} AS k, {columns} FROM {table} WHERE {label} IS NOT NULL),
+    c AS (SELECT k, (row_number() OVER (ORDER BY k) - 1)::INTEGER AS class, count(*) / (SELECT count(*) FROM d)::DOUBLE AS p FROM d GROUP BY k),
+    v AS ({values}),
+    s AS (SELECT feature, class, c.k, p, v, sum((v.k = c.k)::INTEGER - p) AS g, count(*) * p * (1 - p) AS h, count(*) AS n
+          FROM v, c GROUP BY ALL),
+    r AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl, sum(g) OVER a AS gt, sum(h) OVER a AS ht, sum(n) OVER a AS nt,
+          lead(v) OVER (PARTITION BY feature, class ORDER BY v) AS above FROM s
+          WINDOW w AS (PARTITION BY feature, class ORDER BY v), a AS (PARTITION BY feature, class)),
+    x AS (SELECT *, gl * gl / hl + (gt - gl) * (gt - gl) / (ht - hl) - gt * gt / ht AS gain FROM r
+          WHERE above IS NOT NULL AND nl >= 20 AND nt - nl >= 20),
+    b AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY gain DESC) AS place FROM x)
+    SELECT class, feature, round((v + above) / 2, 6) AS cut, round(gain, 6) AS gain, round(ln(p), 6) AS start,
+           round(0.1 * gl / hl, 6) AS left_value, round(0.1 * (gt - gl) / (ht - hl), 6) AS right_value
+    FROM b WHERE place = 1"""
+
+
+def _stump_sql(table: str, label: str, columns: list[str]) -> str:
+    values = " UNION ALL ".join(f"SELECT k, '{c}' AS feature, {c}::DOUBLE AS v FROM d WHERE {c} IS NOT NULL" for c in columns)
+    return STUMP_SQL.format(table=table, label=label, columns=", ".join(columns), values=values)
+
+
+STUMP_COLUMNS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query("m18c_first_round_of_boosting", _stump_sql("lineitem", "l_returnflag", STUMP_COLUMNS))
+def m18c(t: Tables):
+    """The first round of softmax boosting with one split per tree: each class's feature, cut, gain and values."""
+    df = StringIndexer(inputCol="l_returnflag", outputCol="label", stringOrderType="alphabetAsc").fit(t.lineitem).transform(t.lineitem)
+    model = ensembles.Boosting("label", STUMP_COLUMNS, loss="softmax", classes=3, rounds=1, max_leaves=2).fit(df)
+    rows = []
+    for k, tree in enumerate(model.rounds[0]):
+        f = int(tree.feature[0])
+        values = [float(model.binner.cuts[f][tree.cut[0]]), float(tree.gain[0]), model.start[k], *map(float, tree.value[1:, 0])]
+        rows.append((k, STUMP_COLUMNS[f], *[round(v, 6) for v in values]))
+    return t.spark.createDataFrame(
+        rows, "class int, feature string, cut double, gain double, start double, left_value double, right_value double"
+    )
 
 
 @query("m18_boosting_many_classes")
 def m18(t: Tables):
     train, test = language_rows(t)
-    learner = Pipeline(stages=[
-        prepare.columns_to_features(LABELS), learners.boosting_classifier("label", 4)
-    ])
-    return _classified(learner.fit(train), test)
+    return _classified(ensembles.Boosting("label", LABELS, loss="softmax", classes=4).fit(train), test)
 
 
 @query("m18b_boosting_regression")
 def m18b(t: Tables):
     train, test = revenue_rows(t)
-    learner = Pipeline(stages=[prepare.columns_to_features(NUMBERS, scaled=False), learners.boosting_regressor("net")])
-    return validate.evaluate(learner, train, test, "net")
+    return validate.evaluate(ensembles.Boosting("net", NUMBERS), train, test, "net")
 
 
 @query("m19_boosting_on_categories")
 def m19(t: Tables):
     train, test = revenue_rows(t)
-    learner = Pipeline(stages=[
-        prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"], scaled=False, one_hot=False),
-        learners.boosting_regressor("net", maxBins=32),
-    ])
+    learner = ensembles.Boosting("net", NUMBERS, ["l_returnflag", "l_linestatus"])
     return validate.evaluate(learner, train, test, "net")
 
 
@@ -465,8 +491,7 @@ def m28b(t: Tables):
 def m29(t: Tables):
     train, _ = revenue_rows(t)
     ready = prepare.columns_to_features(NUMBERS, ["l_returnflag", "l_linestatus"]).fit(train).transform(train)
-    model = learners.forest_regressor("net").fit(ready)
-    entries = explain.impurity_importance(model, ready)
+    entries = explain.impurity_importance(ensembles.Forest("net", vector="features").fit(ready), ready)
     sums = explain.importance_by_source(entries)
     return sums.orderBy(F.desc("importance")).limit(6)
 
