@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.tails import smirnov, t_two_sided
-from ..session import written
+from ..functions.tails import exact_smirnov, smirnov, t_two_sided
+from ..session import ship_package, written
 from .distributions import correlation_with
 from .joins import attach_group_stats
 from .ordered import cumulate, cut_points, exact_quantiles, put_in_buckets, quantiles_of_counted
@@ -74,7 +74,7 @@ def adjust_p(
     running minimum is taken inside buckets plus the minimum of the buckets after.
     """
     cuts = cut_points(df.select(p), p, buckets)
-    counted = cumulate(df.select(test, p), p, buckets=buckets)
+    counted = cumulate(df.select(test, p), p, cuts=cuts)
     raw = counted.select(
         p, "n", F.col("total_n").alias("m"),
         (F.col(p) * F.col("total_n") / (F.col("before_n") + F.col("n"))).alias("raw"),
@@ -106,21 +106,33 @@ def screen_features(df: DataFrame, features: Sequence[str], target: str, alpha:
 
 
 def ks_two_sample(
-    df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = ()
+    df: DataFrame, value: str, first: Column, second: Column, by: Sequence[str] = (), exact_rows: int = 10_000
 ) -> DataFrame:
-    """Largest distance between two empirical distributions, with its asymptotic p."""
+    """Largest distance between two empirical distributions, with its p.
+
+    The p is exact where neither sample has more than `exact_rows` rows (0: nowhere), else asymptotic.
+    The exact law is that of samples without ties, as usual.
+    """
     counted = cumulate(
         df.where(first | second),
         value,
         {"n1": F.count_if(first), "n2": F.count_if(second)},
         by,
     )
-    f1 = (F.col("before_n1") + F.col("n1")) / F.col("total_n1")
-    f2 = (F.col("before_n2") + F.col("n2")) / F.col("total_n2")
+    # a group without rows on one side has no distance
+    f1 = F.try_divide(F.col("before_n1") + F.col("n1"), F.col("total_n1"))
+    f2 = F.try_divide(F.col("before_n2") + F.col("n2"), F.col("total_n2"))
     d = counted.groupBy(*by).agg(
         F.max("total_n1").alias("n1"), F.max("total_n2").alias("n2"), F.max(F.abs(f1 - f2)).alias("ks")
     )
-    return d.withColumn("p", smirnov(F.col("ks"), F.col("n1").cast("double"), F.col("n2").cast("double")))
+    far, n1, n2 = F.col("ks"), *[F.when(F.col(n) > 0, F.col(n)).cast("double") for n in ("n1", "n2")]
+    p = smirnov(far, n1, n2)
+    if exact_rows:
+        ship_package(df.sparkSession)
+        small = F.greatest("n1", "n2") <= exact_rows
+        # a test that isn't small is handed over empty, so that no time goes into it
+        p = F.when(small, exact_smirnov(F.when(small, far), n1, n2)).otherwise(p)
+    return d.withColumn("p", p)
 
 
 FLOOR = 1e-6  # fixed value: least share of a bin, and how far the end bins are widened

@@ -9,23 +9,28 @@ number of buckets follows the data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StructField, StructType
 
 ROWS_PER_BUCKET = 4_000_000
 SAMPLE = 20_000  # rows that a first sample holds
 PER_BUCKET = 10  # sampled rows per bucket at least
+MOST_LITERALS = 256  # cuts that are written into a plan
 
 
 def _sample(df: DataFrame, column: str, n: int) -> tuple[list, float]:
-    """(values, rows): n rows drawn at random from those with a value, and about how many there are."""
+    """(values, rows): n rows drawn at random from those with a value, and about how many there are.
+
+    One job draws them and puts the values in Spark's order, whose order of texts and of NaN isn't Python's.
+    """
     drawn = df.select(F.col(column).alias("v"), F.rand(17).alias("u")).where("v is not null")
-    found = drawn.orderBy("u").limit(n).collect()  # each task keeps n rows
-    rows = len(found) if len(found) < n else n / found[-1]["u"]
+    found = drawn.orderBy("u").limit(n).orderBy("v").collect()  # each task keeps n rows
+    rows = len(found) if len(found) < n else n / max(r["u"] for r in found)
     return [r["v"] for r in found], rows
 
 
@@ -38,34 +43,51 @@ def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[A
     if that is more.
     """
     n = max(SAMPLE, PER_BUCKET * (buckets or 0))
-    values, rows = _sample(df, column, n)
+    ordered, rows = _sample(df, column, n)
     if buckets is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = max(2, parts, round(rows / ROWS_PER_BUCKET))
         if n < PER_BUCKET * buckets and rows > n:
-            values, _ = _sample(df, column, PER_BUCKET * buckets)
-    # sorted by Spark, whose order of texts and of NaN isn't Python's
-    kind = StructType([StructField("v", df.schema[column].dataType)])
-    table = df.sparkSession.createDataFrame([(v,) for v in values], kind)
-    ordered = [r["v"] for r in table.orderBy("v").collect()]
+            ordered, _ = _sample(df, column, PER_BUCKET * buckets)
     return [ordered[i * len(ordered) // buckets] for i in range(1, buckets)] if ordered else []
 
 
 def put_in_buckets(df: DataFrame, column: str, cuts: Sequence, name: str) -> DataFrame:
     """Number of the left-closed bucket [cut, next cut) that holds the value: cuts at or below it.
 
-    The cuts, in order, are a constant array of the column's own type, searched by halving steps.
+    Up to MOST_LITERALS cuts are a constant array of the column's own type, searched by halving steps.
+    More are cut into runs: the first cuts of the runs are the constant, and a run is looked up as
+    a row of a table that is as small as the cuts, so planning doesn't slow down with them.
     """
     if not cuts:
         return df.withColumn(name, F.lit(0))
-    held = F.array(*[F.lit(c).cast(df.schema[column].dataType) for c in cuts])
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(len(cuts).bit_length()))])
+    kind, value = df.schema[column].dataType, F.col(column)
+    if len(cuts) <= MOST_LITERALS:
+        return df.withColumn(name, _at_or_below(_constant(cuts, kind), len(cuts), value))
+    width = math.ceil(math.sqrt(len(cuts)))
+    runs = [(k, list(cuts[k * width : (k + 1) * width])) for k in range(math.ceil(len(cuts) / width))]
+    schema = StructType([StructField("__run", IntegerType()), StructField("__cuts", ArrayType(kind))])
+    table = df.sparkSession.createDataFrame(runs, schema)
+    run = _at_or_below(_constant([r[0] for _, r in runs], kind), len(runs), value) - 1
+    found = df.withColumn("__run", run).join(F.broadcast(table), "__run", "left")
+    inside = F.col("__run") * width + _at_or_below(F.col("__cuts"), width, value, F.size("__cuts"))
+    return found.withColumn(name, F.when(F.col("__run") < 0, 0).otherwise(inside)).drop("__run", "__cuts")
+
+
+def _constant(values: Sequence, kind: DataType) -> Column:
+    return F.array(*[F.lit(v).cast(kind) for v in values])
+
+
+def _at_or_below(held: Column, most: int, value: Column, size: Column | None = None) -> Column:
+    """How many of an ordered array's values, at most `most`, lie at or below a value."""
+    size = F.lit(most) if size is None else size
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(most.bit_length()))])
 
     def step(low: Column, by: Column) -> Column:
-        fits = (low + by <= len(cuts)) & (F.get(held, low + by - 1) <= F.col(column))
+        fits = (low + by <= size) & (F.get(held, low + by - 1) <= value)
         return F.when(fits, low + by).otherwise(low)
 
-    return df.withColumn(name, F.aggregate(steps, F.lit(0), step))
+    return F.aggregate(steps, F.lit(0), step)
 
 
 def _cell(by: Sequence[str], *parts: str) -> Column:
@@ -80,17 +102,19 @@ def cumulate(
     weights: Mapping[str, Column] | None = None,
     by: Sequence[str] = (),
     buckets: int | None = None,
+    cuts: Sequence | None = None,
 ) -> DataFrame:
     """One row per (group, value): its weights, and the sums over all smaller values.
 
     `weights` are aggregate expressions, by default {'n': count(*)}. Each weight w gives
     columns w, before_w (strictly smaller values) and total_w (the whole group). Rows
-    with a missing value are left out. Any type with an order will do.
+    with a missing value are left out. Any type with an order will do. Cuts that are known already
+    can be handed in.
     """
     weights = dict(weights or {"n": F.count(F.lit(1))})
     by = list(by)
     known = df.where(F.col(value).isNotNull())
-    cuts = cut_points(known, value, buckets)
+    cuts = cut_points(known, value, buckets) if cuts is None else cuts
     summed = known.groupBy(*by, value).agg(*[w.alias(name) for name, w in weights.items()])
     placed = put_in_buckets(summed, value, cuts, "__bucket").withColumn("__cell", _cell(by, "__bucket"))
     inside = Window.partitionBy("__cell").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, uniform
 from ..functions.scalars import band, decimal_comma, missing_or, parse_number, recode
+from ..session import written
 from .joins import attach_group_stats
 from .relational import keep_first
 
@@ -208,6 +210,57 @@ def step_report(steps: Mapping[str, DataFrame], contract: Contract, value: str)
     return out
 
 
+def observed_clean(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    recodes: Mapping[str, Mapping],
+    value: str,
+    low: float,
+    high: float,
+    sentinel: float,
+    contract: Contract,
+) -> tuple[DataFrame, DataFrame]:
+    """`clean`, written, and its step report (as `step_report` of "typed" and "cleaned") from the same single scan.
+
+    Rows, missing values and broken checks are observed while rows pass on their way to the written
+    table. One aggregate keeps the first row of each key and counts the key's rows. A stage that
+    runs again after a lost executor observes its rows again; the counts from before the shuffle are
+    therefore compared with the key sizes, and taken by a pass of their own if they don't agree.
+    """
+    if set(contract.unique) - set(keys) or (contract.unique and set(contract.unique) != set(keys)):
+        raise ValueError("the contract's key must be the key that is cleaned by")
+    contract.check_schema(df)
+
+    def facts() -> list[Column]:
+        broken = [F.count_if(bad) for bad in contract.checks().values()]
+        return [
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(value).isNull()).alias("missing"),
+            sum(broken, F.lit(0)).cast("long").alias("violations"),
+        ]
+
+    typed, sizes, cleaned = (Observation(f"{name}-{uuid.uuid4().hex}") for name in ("typed", "sizes", "cleaned"))
+    repaired = df.observe(typed, *facts()).withColumns({c: recode(c, m) for c, m in recodes.items()})
+    row, place = F.struct(*df.columns), F.struct(*order)
+    first = repaired.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min_by(row, place).alias("__row"))
+    several = F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0))
+    first = first.observe(sizes, F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"), several.alias("repeated"))
+    possible = missing_or(value, F.col(value).between(low, high) & (F.col(value) != sentinel))
+    kept = first.select("__row.*").where(possible).select(*df.columns).observe(cleaned, *facts())
+    out = written(kept, "cleaned")
+    before, after, found = typed.get, cleaned.get, sizes.get
+    if before["rows"] != found["rows"]:
+        before = df.agg(*facts()).first().asDict()
+    repeated = found["repeated"] if contract.unique else 0
+    rows = [
+        (0, "typed", before["rows"], before["missing"], before["violations"] + repeated),
+        (1, "cleaned", after["rows"], after["missing"], after["violations"]),
+    ]
+    schema = "step_no int, step string, rows long, missing long, violations long"
+    return out, df.sparkSession.createDataFrame(rows, schema)
+
+
 # How many rows get each defect.
 DEFECTS = {"comma": 30, "negative": 15, "sentinel": 10, "duplicate": 25, "typo": 20}
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, poisson_one_weight, uniform
 from ..session import written
+from .aggregators import Aggregator, aggregate_by
 from .joins import join_null_safe
 from .sampling import digits_for, hash_cutoffs, rank_by_hash
 
@@ -101,28 +102,36 @@ def permutation_test(
     first: Column,
     replicates: int,
     salt: str,
-    statistic: Statistic = weighted_mean,
+    statistic: Statistic | Aggregator = weighted_mean,
 ) -> DataFrame:
     """Two-sided permutation test of a difference between two arms.
 
     In each replicate the rows with the n1 smallest digests form the first arm, so its
     size is exact; the digest that bounds them comes from counts per digest prefix.
-    p is twice the smaller one-sided p, each counting the observed split.
+    p is twice the smaller one-sided p, each counting the observed split. The statistic is an
+    aggregate Column of a value and a weight, or an Aggregator with a mergeable state.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rows = df.where(F.col(value).isNotNull()).select(
         *keys, F.col(value).alias("__x"), first.cast("int").alias("__first")
     )
 
-    def gap(flag: Column) -> Column:
-        return statistic(F.col("__x"), flag) - statistic(F.col("__x"), 1 - flag)
-
     rows = written(_spread(rows, keys), "rows")
     total = rows.count()
-    facts = rows.agg(
-        F.sum("__first").alias("n1"), F.count("*").alias("n"), gap(F.col("__first")).alias("observed")
-    )
-    n1 = facts.select("n1").scalar()
+    by_column = callable(statistic)
+
+    def gaps_of(arms: DataFrame) -> DataFrame:
+        """(replicate, gap) of rows with replicate, __x and __f, which is 1 in the first arm."""
+        if by_column:
+            gap = statistic(F.col("__x"), F.col("__f")) - statistic(F.col("__x"), 1 - F.col("__f"))
+            return arms.groupBy("replicate").agg(gap.alias("gap"))
+        found = aggregate_by(arms.withColumn("__w", F.lit(1)), ["replicate", "__f"], "__x", "__w", statistic, "s")
+        one, two = (F.max(F.when(F.col("__f") == k, F.col("s"))) for k in (1, 0))
+        return found.groupBy("replicate").agg((one - two).alias("gap"))
+
+    observed = gaps_of(rows.select(F.lit(0).alias("replicate"), "__x", F.col("__first").alias("__f")))
+    seen = observed.select("gap").scalar()
+    n1 = rows.agg(F.sum("__first").alias("n1")).scalar()
     copies = rows.select(
         *keys, "__x", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
     )
@@ -130,8 +139,7 @@ def permutation_test(
     cuts = hash_cutoffs(copies, keys, salted, n1, by=["replicate"], digits=digits_for(total)).drop("rows")
     arms = join_null_safe(copies, F.broadcast(cuts), ["replicate"])  # one row per replicate
     flag = (digest(keys, salted) <= F.col("cutoff")).cast("int")
-    gaps = arms.select("replicate", "__x", flag.alias("__f")).groupBy("replicate").agg(gap(F.col("__f")).alias("gap"))
-    seen = facts.select("observed").scalar()
+    gaps = gaps_of(arms.select("replicate", "__x", flag.alias("__f")))
     slack = 1e-14 * F.abs(seen)
     counts = gaps.agg(
         F.count("*").alias("replicates"),

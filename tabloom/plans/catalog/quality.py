@@ -124,9 +124,7 @@ def q5(t: Tables):
     return cleaned(t).select("c_custkey", "c_acctbal", "c_mktsegment")
 
 
-@query(
-    "q6_step_report",
-    f"""WITH {DIRTY_SQL},
+STEPS_SQL = f"""WITH {DIRTY_SQL},
         steps AS (SELECT 0 AS step_no, 'typed' AS step, * FROM typed UNION ALL SELECT 1, 'cleaned', * FROM cleaned),
         keys AS (SELECT step_no, sum(n)::BIGINT AS dup FROM (SELECT step_no, count(*) AS n FROM steps
                  GROUP BY step_no, c_custkey) WHERE n > 1 GROUP BY step_no)
@@ -134,13 +132,25 @@ def q5(t: Tables):
           (sum(CASE WHEN c_acctbal < 0 OR c_acctbal > 9998 THEN 1 ELSE 0 END) + sum(CASE WHEN c_mktsegment NOT IN
           ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY') THEN 1 ELSE 0 END)
           + coalesce(max(dup), 0))::BIGINT AS violations
-        FROM steps s LEFT JOIN keys k ON s.step_no = k.step_no GROUP BY s.step_no, step""",
-)
+        FROM steps s LEFT JOIN keys k ON s.step_no = k.step_no GROUP BY s.step_no, step"""
+
+
+@query("q6_step_report", STEPS_SQL)
 def q6(t: Tables):
     typed = q.repair_numbers(dirty(t), "c_acctbal")
     return q.step_report({"typed": typed, "cleaned": cleaned(t)}, CUSTOMER_CONTRACT, "c_acctbal")
 
 
+@query("q6b_observed_steps", STEPS_SQL)
+def q6b(t: Tables):
+    """The same report from one scan, observed while the cleaned table is written."""
+    typed = q.repair_numbers(dirty(t), "c_acctbal")
+    _, report = q.observed_clean(
+        typed, ["c_custkey"], ["copy"], {"c_mktsegment": {"MACHNERY": "MACHINERY"}}, "c_acctbal", 0.0, 10000.0, 9999.0, CUSTOMER_CONTRACT
+    )
+    return report
+
+
 @query("q7_defect_injection", f"WITH {DIRTY_SQL} SELECT c_custkey, c_acctbal, c_mktsegment, copy FROM dirty")
 def q7(t: Tables):
     return dirty(t).select("c_custkey", "c_acctbal", "c_mktsegment", "copy")

@@ -2,11 +2,12 @@
 
 import string
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.hashing import uniform
 from ...operators import distributions as dist
-from ...operators import fairness, inference, resampling
+from ...operators import aggregators, fairness, inference, resampling
 from ...session import written
 from ..registry import Tables, md5_sql, query, uniform_sql
 
@@ -364,6 +365,33 @@ def x1(t: Tables):
     return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
 
 
+def _ordered_sql(statistic: str, salt: str) -> str:
+    """PERMUTED_SQL for a statistic of a sorted list."""
+    return PERMUTED_SQL.format(
+        f"{statistic.format('list(x ORDER BY x) FILTER (f = 1)')}", f"{statistic.format('list(x ORDER BY x) FILTER (f = 0)')}", "", "", salt
+    ) + """ SELECT round(seen, 6) AS observed, replicates, lower, upper,
+               round(least(1.0, 2 * (least(lower, upper) + 1) / (replicates + 1)::DOUBLE), 6) AS p FROM c, o"""
+
+
+def _user_test(t: Tables, aggregator, salt: str) -> DataFrame:
+    poor = F.col("s_nationkey") < 12
+    out = resampling.permutation_test(t.supplier, "s_suppkey", "s_acctbal", poor, REPLICATES, salt, statistic=aggregator)
+    return out.withColumns({"observed": F.round("observed", 6), "p": F.round("p", 6)})
+
+
+@query("x1b_median_in_a_test", _ordered_sql("list_aggregate({}, 'quantile_cont', 0.5)", "median"))
+def x1b(t: Tables):
+    return _user_test(t, aggregators.median(), "median")
+
+
+TRIMMED = "list_avg({0}[1 + floor(0.1 * len({0}))::BIGINT : len({0}) - floor(0.1 * len({0}))::BIGINT])"
+
+
+@query("x1c_trimmed_mean_in_a_test", _ordered_sql(TRIMMED, "trimmed"))
+def x1c(t: Tables):
+    return _user_test(t, aggregators.trimmed_mean(0.1), "trimmed")
+
+
 @query(
     "t7_multiple_testing",
     f"""WITH g AS (SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'R')::DOUBLE AS n1, avg(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS m1,
@@ -443,8 +471,31 @@ def t9(t: Tables):
                 FROM (SELECT unnest(range(1, 101)) AS k)), 0), 1), 8) AS p FROM l""",
 )
 def t9b(t: Tables):
-    out = inference.ks_two_sample(t.lineitem, "l_extendedprice", F.col("l_returnflag") == "A", F.col("l_returnflag") == "R")
-    return out.select(F.round("p", 8).alias("p"))
+    sides = F.col("l_returnflag") == "A", F.col("l_returnflag") == "R"
+    return inference.ks_two_sample(t.lineitem, "l_extendedprice", *sides, exact_rows=0).select(F.round("p", 8).alias("p"))
+
+
+@query(
+    "t9c_exact_kolmogorov_smirnov",
+    """WITH a AS (SELECT s_acctbal AS v, s_nationkey % 5 AS region, (s_nationkey < 12)::INTEGER AS f FROM supplier WHERE s_acctbal IS NOT NULL),
+        c AS (SELECT region, v, sum(f) AS c1, sum(1 - f) AS c2 FROM a GROUP BY region, v),
+        n AS (SELECT region, sum(c1)::BIGINT AS n1, sum(c2)::BIGINT AS n2 FROM c GROUP BY region),
+        w AS (SELECT region, n1, n2, abs(sum(c1) OVER o * n2 - sum(c2) OVER o * n1) AS far FROM c JOIN n USING (region)
+              WINDOW o AS (PARTITION BY region ORDER BY v)),
+        d AS (SELECT region, n1, n2, max(far)::DOUBLE AS far FROM w WHERE n1 > 0 AND n2 > 0 GROUP BY region, n1, n2),
+        q AS (SELECT region, n1, n2, far, list_reduce(
+                list_concat([list_transform(range(n1 + 1), lambda i: 0::DOUBLE)], list_transform(range(1, n1 + n2 + 1), lambda s: [s::DOUBLE])),
+                lambda h, e: list_transform(range(n1 + 1), lambda i:
+                    CASE WHEN e[1] - i < 0 OR e[1] - i > n2 THEN 0::DOUBLE WHEN abs(i * n2 - (e[1] - i) * n1) >= far THEN 1::DOUBLE
+                         ELSE (CASE WHEN i > 0 THEN h[i] * i ELSE 0 END + h[i + 1] * (e[1] - i)) / e[1] END)) AS h FROM d)
+        SELECT region, n1, n2, round(far / (n1 * n2), 8) AS ks, round(h[n1 + 1], 8) AS p FROM q""",
+)
+def t9c(t: Tables):
+    """One exact test per group of nations: balances of some nations against the others."""
+    df = t.supplier.withColumn("region", F.col("s_nationkey") % 5)
+    some = F.col("s_nationkey") < 12
+    out = inference.ks_two_sample(df, "s_acctbal", some, ~some, ["region"]).where("ks is not null")
+    return out.select("region", "n1", "n2", F.round("ks", 8).alias("ks"), F.round("p", 8).alias("p"))
 
 
 def _psi_sql(table: str, value: str, base: str, new: str, bins: int = 10) -> str:

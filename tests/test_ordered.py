@@ -146,3 +146,31 @@ def test_window_and_join_share_one_shuffle(spark, rows):
             assert "Exchange" not in left
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ten_thousand_buckets_are_planned_quickly(spark):
+    """Many cuts aren't written into the plan, and the answer is that of a plain search."""
+    import time
+
+    rng = np.random.default_rng(6)
+    values = [None, float("nan"), -np.inf, np.inf, *rng.normal(size=3000).tolist()]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    cuts = sorted(rng.normal(size=9999).round(3).tolist())
+    start = time.time()
+    placed = ordered.put_in_buckets(df, "v", cuts, "b")
+    text = plan_text(placed, "simple")
+    assert time.time() - start < 10 and len(text) < 100_000
+    got = {repr(r["v"]): r["b"] for r in placed.collect()}
+    for v in values[2:]:
+        assert got[repr(v)] == np.searchsorted(cuts, v, "right")
+    assert got["nan"] == len(cuts) and len(placed.where("v is not null").collect()) == 3003
+    whole = ordered.cumulate(df, "v", cuts=cuts).where("v < 0").agg(F.max("before_n")).first()[0]
+    assert whole == sum(v is not None and v < 0 for v in values) - 1
+
+
+def test_texts_in_many_buckets(spark):
+    words = [f"{a}{b}{c}" for a in "aÄz" for b in "xyü" for c in range(200)]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    cuts = sorted(words, key=lambda w: w.encode())[::4]
+    got = {r["w"]: r["b"] for r in ordered.put_in_buckets(df, "w", cuts, "b").collect()}
+    assert all(got[w] == sum(c.encode() <= w.encode() for c in cuts) for w in words[::7])

@@ -108,3 +108,29 @@ def test_stream_contract_agrees_with_quarantine(spark):
     want_good, want_bad = q.quarantine(df, contract)
     assert same_rows(good, want_good) and same_rows(bad, want_bad)
     assert sorted(r["id"] for r in good.collect()) == [3, 4]
+
+
+def test_observed_steps_take_one_scan(spark):
+    """The report equals that of separate passes, and every input row is read once."""
+    rows = [(k % 40, k, "MACHNERY" if k % 7 == 0 else "MACHINERY", None if k % 11 == 0 else float(k * 3 - 20)) for k in range(200)]
+    base = spark.createDataFrame(rows, "key long, copy long, segment string, value double").repartition(4)
+    contract = q.Contract([q.Rule("value", 0.0, 500.0, nullable=True), q.Rule("segment", allowed=["MACHINERY"])], unique=["key"])
+    settings = (["key"], ["copy"], {"segment": {"MACHNERY": "MACHINERY"}}, "value", 0.0, 100.0, 43.0)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    source = base.mapInPandas(counted, base.schema)
+    out, report = q.observed_clean(source, *settings, contract)
+    assert read.value == 200
+    want = q.clean(base, *settings)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    steps = q.step_report({"typed": base, "cleaned": want}, contract, "value")
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, steps.collect()))
+    empty, zeros = q.observed_clean(base.limit(0), *settings, contract)
+    assert empty.count() == 0 and [tuple(r)[2:] for r in zeros.collect()] == [(0, 0, 0)] * 2
+    with pytest.raises(ValueError):
+        q.observed_clean(base, *settings, q.Contract([], unique=["copy"]))

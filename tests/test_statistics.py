@@ -188,3 +188,64 @@ def test_secure_noise_differs_between_releases(spark):
     df = spark.range(50).withColumn("g", F.col("id") % 5)
     out = [sorted(r["noisy"] for r in privacy.noisy_counts(df, ["g"], F.lit(1), 1.0).collect()) for _ in range(2)]
     assert out[0] != out[1]
+
+
+def test_exact_smirnov_equals_the_enumeration_of_all_splits(spark):
+    from itertools import combinations
+
+    from tabloom.functions.tails import exact_smirnov
+
+    cases, want = [], {}
+    for n1, n2 in ((1, 1), (2, 5), (3, 4), (5, 5), (7, 7), (7, 4)):
+        far = []
+        for first in combinations(range(n1 + n2), n1):
+            i = j = most = 0
+            for k in range(n1 + n2):
+                i, j = (i + 1, j) if k in first else (i, j + 1)
+                most = max(most, abs(i * n2 - j * n1))
+            far.append(most)
+        for d in sorted(set(far)):
+            cases.append((n1, n2, d / (n1 * n2)))
+            want[cases[-1]] = sum(x >= d for x in far) / len(far)
+    df = spark.createDataFrame(cases, "n1 long, n2 long, d double")
+    for r in df.withColumn("p", exact_smirnov(F.col("d"), F.col("n1"), F.col("n2"))).collect():
+        assert r["p"] == pytest.approx(want[r["n1"], r["n2"], r["d"]])
+
+
+def test_ks_takes_the_exact_law_for_small_samples_only(spark):
+    rows = [("a", float(i), i % 3 == 0) for i in range(40)] + [("b", 1.0, True)]
+    df = spark.createDataFrame(rows, "g string, v double, f boolean")
+    from tabloom.operators.inference import ks_two_sample
+
+    run = lambda n: {r["g"]: r for r in ks_two_sample(df, "v", F.col("f"), ~F.col("f"), ["g"], exact_rows=n).collect()}
+    exact, small, none = run(10_000), run(25), run(0)
+    assert exact["a"]["p"] != small["a"]["p"] == none["a"]["p"]  # 26 rows are more than 25
+    assert exact["b"]["ks"] is None and exact["b"]["p"] is None
+    assert 0 < exact["a"]["p"] <= 1 and exact["a"]["ks"] == none["a"]["ks"]
+
+
+def test_aggregators_whatever_the_partitions(spark):
+    import numpy as np
+
+    from tabloom.operators import aggregators as agg
+
+    rng = np.random.default_rng(9)
+    x, g, w = rng.normal(size=900).round(2), rng.integers(0, 3, 900), rng.integers(0, 4, 900)
+    df = spark.createDataFrame([(int(a), float(b), int(c)) for a, b, c in zip(g, x, w)] + [(0, None, 1), (1, 2.0, None)], "g int, x double, w int")
+    spread = lambda v, w: float((w @ (v * v)) / w.sum() - (w @ v / w.sum()) ** 2)
+    cases = {
+        "median": (agg.median(), np.median),
+        "trimmed": (agg.trimmed_mean(0.2), lambda v: np.sort(v)[int(0.2 * len(v)) : len(v) - int(0.2 * len(v))].mean()),
+        "variance": (agg.Moments(lambda n, mean, var: var), np.var),
+        "spread": (agg.CountedValues(spread), np.var),
+    }
+    for parts in (1, 7):
+        for name, (aggregator, plain) in cases.items():
+            got = {r["g"]: r["s"] for r in agg.aggregate_by(df.repartition(parts), ["g"], "x", "w", aggregator, "s").collect()}
+            for k in range(3):
+                assert got[k] == pytest.approx(plain(np.repeat(x[g == k], w[g == k]))), (name, parts)
+    binned = agg.aggregate_by(df, ["g"], "x", "w", agg.Binned(lambda v, w: agg.weighted_quantile(v, w, 0.5), -5, 5), "s")
+    exact = agg.aggregate_by(df, ["g"], "x", "w", agg.median(), "s")
+    for a, b in zip(binned.orderBy("g").collect(), exact.orderBy("g").collect(), strict=True):
+        assert a["s"] == pytest.approx(b["s"], abs=10 / 4096 + 0.006)
+    assert agg.aggregate_by(df.limit(0), ["g"], "x", "w", agg.median(), "s").count() == 0
