@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions.hashing import uniform
-from ...models import ensembles, explain, learners, linear, metrics, prepare, validate
+from ...models import ensembles, explain, learners, linear, metrics, nets, prepare, validate
 from ...operators import fairness, privacy, sampling
 from ...session import written
 from ..registry import Tables, md5_sql, query, uniform_sql
@@ -290,8 +290,8 @@ STUMP_SQL = """
     WITH d AS (SELECT {label} AS k, {columns} FROM {table} WHERE {label} IS NOT NULL),
     c AS (SELECT k, (row_number() OVER (ORDER BY k) - 1)::INTEGER AS class, count(*) / (SELECT count(*) FROM d)::DOUBLE AS p FROM d GROUP BY k),
     v AS ({values}),
-    s AS (SELECT feature, class, c.k, p, v, sum((v.k = c.k)::INTEGER - p) AS g, count(*) * p * (1 - p) AS h, count(*) AS n
-          FROM v, c GROUP BY ALL),
+    f AS (SELECT feature, class, p, v, sum((v.k = c.k)::INTEGER) AS hits, count(*) AS n FROM v, c GROUP BY feature, class, p, v),
+    s AS (SELECT *, hits - n * p AS g, n * p * (1 - p) AS h FROM f),
     r AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl, sum(g) OVER a AS gt, sum(h) OVER a AS ht, sum(n) OVER a AS nt,
           lead(v) OVER (PARTITION BY feature, class ORDER BY v) AS above FROM s
           WINDOW w AS (PARTITION BY feature, class ORDER BY v), a AS (PARTITION BY feature, class)),
@@ -347,11 +347,11 @@ def m19(t: Tables):
 
 @query("m20_feed_forward_net_curve")
 def m20(t: Tables):
+    """Accuracy on the test rows after every epoch."""
     train, test = language_rows(t)
     ready = prepare.columns_to_features(LABELS).fit(train)
-    curve = learners.perceptron_curve(ready.transform(train), "label", [len(LABELS), 32, 16, 4], (100, 400, 800))
-    scored_test = ready.transform(test)
-    return validate.ladder({f"{upto} iterations": _classified(m, scored_test) for upto, m in curve})
+    net = nets.Net("label", "features", "doc_id", classes=4, hidden=(32, 16), epochs=100, batch=256, rate=0.01)
+    return net.fit(ready.transform(train)).accuracies(ready.transform(test), "label")
 
 
 # ---- baselines -------------------------------------------------------------------------------------------------

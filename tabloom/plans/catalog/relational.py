@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ...operators import joins, sampling
+from ...operators import joins, sampling, sketches
 from ...operators import relational as rel
+from ...session import written
 from ..registry import Tables, md5_sql, query, uniform_sql
 
 # ---- joins ------------------------------------------------------------------------------
@@ -270,6 +271,65 @@ def a9(t: Tables):
     )
 
 
+# The sketch queries answer whether an estimate from merged slices lies within its stated error of the exact answer.
+
+
+def line_sketches(t: Tables):
+    """A sketch per month and return flag, stored."""
+    month = F.date_trunc("month", "l_shipdate").alias("month")
+    lines = t.lineitem.select("*", month)
+    keys = {"parts": ["l_partkey"], "suppliers": ["l_suppkey"]}
+    return written(sketches.sketch_table(lines, ["month", "l_returnflag"], ["l_extendedprice"], keys), "line-sketches")
+
+
+@query(
+    "a1b_quantiles_from_merged_sketches",
+    "SELECT l_returnflag, count(l_extendedprice) AS n, true AS median_fits, true AS top_fits FROM lineitem GROUP BY l_returnflag",
+)
+def a1b(t: Tables):
+    found = sketches.merged_quantiles(line_sketches(t), "l_extendedprice", {"median": 0.5, "top": 0.99}, ["l_returnflag"])
+    both = t.lineitem.join(F.broadcast(written(found, "merged")), "l_returnflag")  # a row per return flag
+    x, slack = F.col("l_extendedprice"), sketches.rank_error()
+
+    def fits(name: str, p: float):
+        below, up_to = F.avg((x < F.col(name)).cast("int")), F.avg((x <= F.col(name)).cast("int"))
+        return ((below <= p + slack) & (up_to >= p - slack)).alias(f"{name}_fits")
+
+    return both.groupBy("l_returnflag", "n").agg(fits("median", 0.5), fits("top", 0.99))
+
+
+@query(
+    "a9b_distinct_counts_from_merged_sketches",
+    "SELECT DISTINCT l_returnflag, true AS parts_fit, true AS suppliers_fit FROM lineitem",
+)
+def a9b(t: Tables):
+    found = sketches.merged_distinct(line_sketches(t), ["parts", "suppliers"], ["l_returnflag"])
+    exact = a9(t).withColumnsRenamed({"parts": "exact_parts", "suppliers": "exact_suppliers"})
+
+    def fits(name: str):
+        return F.abs(F.col(name) - F.col(f"exact_{name}")) <= sketches.distinct_error() * F.col(f"exact_{name}")
+
+    return found.join(exact, "l_returnflag").select(
+        "l_returnflag", fits("parts").alias("parts_fit"), fits("suppliers").alias("suppliers_fit")
+    )
+
+
+@query("j4b_unmatched_keys_from_sketches", "SELECT true AS left_fits, true AS unmatched_fits")
+def j4b(t: Tables):
+    """Parts that were returned and never delivered otherwise, from the sketches of either side."""
+    stored = line_sketches(t)
+    returned = F.col("l_returnflag") == "R"
+    found = sketches.unmatched_keys(stored.where(returned), stored.where(~returned), "parts")
+    keys = t.lineitem.groupBy("l_partkey").agg(F.max(returned).alias("a"), F.max(~returned).alias("b"))
+    exact = keys.agg(F.count_if("a").alias("l"), F.count_if(F.col("a") & ~F.col("b")).alias("u"), F.count("*").alias("union"))
+    slack = sketches.theta_error() * F.col("union")
+    both = found.join(F.broadcast(exact))  # one row each
+    return both.select(
+        (F.abs(F.col("left_keys") - F.col("l")) <= slack).alias("left_fits"),
+        (F.abs(F.col("unmatched") - F.col("u")) <= slack).alias("unmatched_fits"),
+    )
+
+
 @query(
     "a10_null_count",
     """SELECT count(*) AS rows, sum(CASE WHEN n_name IS NULL THEN 1 ELSE 0 END)::BIGINT AS nulls

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ...operators.quality import Contract, Rule
 from ...session import scratch_path
-from ...streaming import runs
+from ...streaming import runs, state
 from ..registry import Tables, query
 
 
@@ -12,10 +12,11 @@ GROUP_DAYS = 6
 LATENESS = "4 days"  # rows come up to two days late, so none is lost, and state older than this goes
 
 
-def event_files(t: Tables, twice: bool = False) -> str:
+def event_files(t: Tables, twice: bool = False, close: bool = False) -> str:
     """The events as they arrive, up to two days after they happened, in groups of some days.
 
-    With `twice`, one in ten is delivered a second time a day later. Groups are written one after
+    With `twice`, one in ten is delivered a second time a day later. With `close`, a mark of user -1
+    follows long after the last one, which lets the watermark pass all events. Groups are written one after
     the other, because a file stream reads files in the order of their times.
     """
     path = scratch_path(t.spark, "event-files")
@@ -29,11 +30,15 @@ def event_files(t: Tables, twice: bool = False) -> str:
     for group in range(((last - first).days + 3) // GROUP_DAYS + 1):
         part = events.where(F.floor(arrival / GROUP_DAYS) == group).drop("__delay")
         part.write.mode("append").parquet(path)
+    if close:
+        last = t.events.agg(F.max("ts").alias("ts")).withColumns({"user_id": F.lit(-1).cast("long"), "event_id": F.lit(-1).cast("long")})
+        mark = last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS"))
+        t.events.limit(0).unionByName(mark, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
-def stream(t: Tables, twice: bool = False):
-    return runs.open_stream(t.spark, event_files(t, twice), t.events.schema, files_per_batch=4)
+def stream(t: Tables, twice: bool = False, close: bool = False):
+    return runs.open_stream(t.spark, event_files(t, twice, close), t.events.schema, files_per_batch=4)
 
 
 @query(
@@ -98,3 +103,14 @@ def r4(t: Tables):
     out = runs.drift_run(stream(t), base, "value", "ts", LATENESS, "1 day")
     out = out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
     return out.withColumn("psi", F.round("psi", 6))
+
+
+@query(
+    "r5_trailing_means_on_a_stream",
+    """SELECT user_id, event_id, CASE WHEN count(*) OVER w = 5 THEN round(avg(value) OVER w, 6) END AS mean FROM events
+       WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+)
+def r5(t: Tables):
+    means = state.trailing_means(stream(t, close=True), "user_id", "ts", "event_id", "value", 5, LATENESS)
+    _, rows = runs.run_to_table(means, "append", "trailing")
+    return rows.where("user_id >= 0").select("user_id", "event_id", F.round("mean", 6).alias("mean"))

@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -178,10 +180,12 @@ class Built(Exception):
 
 @pytest.mark.parametrize(
     "name, want",
-    [("m9", {"numTrees": 100, "maxDepth": 15}), ("m17", {"numTrees": 300, "maxDepth": 15}), ("m17b", {"numTrees": 100, "maxDepth": 15}),
-     ("m18", {"maxIter": 100, "maxDepth": 5, "minInstancesPerNode": 20}), ("m18b", {"maxIter": 100, "maxDepth": 5}),
-     ("m19", {"maxIter": 100, "maxDepth": 5}), ("m28", {"numTrees": 300, "maxDepth": 15}), ("m29", {"numTrees": 100, "maxDepth": 15}),
-     ("m32", {"numTrees": 300, "maxDepth": 15}), ("m5", {"numTrees": 100, "maxDepth": 15})],
+    [("m9", {"trees": 100, "max_depth": None}), ("m17", {"trees": 300, "max_depth": None, "classes": 4}),
+     ("m17b", {"trees": 100, "max_depth": None}), ("m29", {"trees": 100, "max_depth": None}), ("m16", {"trees": 1, "bootstrap": False}),
+     ("m18", {"rounds": 100, "max_leaves": 31, "min_leaf": 20, "loss": "softmax", "classes": 4}),
+     ("m18b", {"rounds": 100, "max_leaves": 31, "min_leaf": 20}), ("m19", {"rounds": 100, "max_leaves": 31, "max_bins": 255}),
+     ("m20", {"epochs": 100, "batch": 256, "hidden": (32, 16), "rate": 0.01}),
+     ("m28", {"numTrees": 300, "maxDepth": 15}), ("m32", {"numTrees": 300, "maxDepth": 15}), ("m5", {"numTrees": 100, "maxDepth": 15})],
 )
 def test_queries_fit_whole_models(spark, monkeypatch, name, want):
     seen = {}
@@ -209,6 +213,18 @@ def test_queries_fit_whole_models(spark, monkeypatch, name, want):
     for build in ("forest_classifier", "forest_regressor", "boosting_classifier", "boosting_regressor"):
         monkeypatch.setattr(modelling.learners, build, noted(getattr(modelling.learners, build)))
     monkeypatch.setattr(modelling.validate, "search", searched)
+
+    def settings_of(build):
+        def run(*args, **options):
+            bound = inspect.signature(build).bind(*args, **options)
+            bound.apply_defaults()
+            seen.update(bound.arguments)
+            raise Built
+
+        return run
+
+    for module, build in ((modelling.ensembles, "Forest"), (modelling.ensembles, "Boosting"), (modelling.nets, "Net")):
+        monkeypatch.setattr(module, build, settings_of(getattr(module, build)))
     if name == "m5":
         want = want | {"folds": 5, "featureSubsetStrategy": ["0.3", "0.6", "1.0"], "minInstancesPerNode": [1, 2, 5]}
     with pytest.raises(Built):
