@@ -9,8 +9,9 @@ signatures, and pairs above the threshold are confirmed on the full shingle sets
 Groups of copies are never expanded into pairs. Equal sets are one class. In a list, all are first
 compared with one pivot, the document that shares most; what is linked by then is one component.
 After that only documents outside a list's main component meet the others, and there the overlap
-of two documents is known from what each has beside the pivot's set and what it lacks of it. All
-this is exact, so no link between components is lost.
+of two documents is known from what each has beside the pivot's set and what it lacks of it. How
+much of it they must share is known for each of them, so they are joined over the rarest of
+these shingles, and not over the list. All this is exact, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -138,6 +139,25 @@ def _side(table: DataFrame, name: str, *columns: str) -> DataFrame:
     return table.select(F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
 
+FACTS = ["doc", "n", "comp", "pivot_n", "needs", "extra", "lost", "extra_bits", "lost_bits"]
+BITS = 8  # 64-bit words of a bitmap that stands for a set
+
+
+def _bits(column: str) -> Column:
+    """A bitmap of a set of hashes: each turns one bit on."""
+    one = "shiftleft(1L, cast(pmod(shiftright(w, 8), 64) as int))"
+    words = [f"aggregate({column}, 0L, (a, w) -> a | if(pmod(w, {BITS}) = {k}, {one}, 0L))" for k in range(BITS)]
+    return F.when(F.col(column).isNotNull(), F.expr(f"array({', '.join(words)})"))
+
+
+def _common_at_most(name: str) -> Column:
+    """An upper bound of what two sets share, from sizes and bitmaps: where the bits differ, the sets differ."""
+    apart = F.aggregate(
+        F.zip_with(f"{name}_bits_x", f"{name}_bits_y", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c
+    )
+    return F.least(f"{name}_x", f"{name}_y", F.floor((F.col(f"{name}_x") + F.col(f"{name}_y") - apart) / 2))
+
+
 class _Index:
     """Prefix postings of class representatives, and the sets that confirm their links."""
 
@@ -190,8 +210,13 @@ class _Index:
         lists = postings.groupBy("t").agg(F.max_by("doc", F.struct("centre", "doc")).alias("pivot"), F.count(F.lit(1)).alias("m"))
         return postings, written(lists.where("m > 1").select("t", "pivot"), "pivots")
 
-    def pairs_beside(self, postings: DataFrame, lists: DataFrame, comps: DataFrame, overlaps: DataFrame) -> DataFrame:
-        """Pairs (a, b) between components that share a list and that its pivot doesn't show to be unlike."""
+    def rows_beside(self, postings: DataFrame, lists: DataFrame, comps: DataFrame, overlaps: DataFrame) -> DataFrame:
+        """The members of lists that hold several components, and what is known of each from the list's pivot.
+
+        (t, pivot, main, doc, n, comp, prefix, pivot_n, beside, lacking, needs): `needs` is the least number of
+        shingles beside the pivot's that the document shares with whatever it links to: a link takes
+        `percent` of its set, and of the pivot's set it has but what it doesn't lack.
+        """
 
         def seen_from(pivot: str, doc: str) -> DataFrame:
             return overlaps.select(
@@ -209,29 +234,81 @@ class _Index:
         none, at_pivot = F.array().cast("array<long>"), F.col("doc") == F.col("pivot")
         for name, own in (("pivot_n", F.col("n")), ("beside", none), ("lacking", none)):
             rows = rows.withColumn(name, F.when(at_pivot, own).otherwise(F.col(name)))
-        rows = written(rows, "rows")
-        names = ["doc", "n", "comp", "beside", "lacking", "prefix"]
-        x = rows.where("comp != main").select("t", "pivot_n", *[F.col(c).alias(f"{c}_x") for c in names])
-        y = rows.select("t", "main", *[F.col(c).alias(f"{c}_y") for c in names])
+        needs = F.ceil(self.percent * F.col("n") / 100) - (F.col("pivot_n") - F.size("lacking"))
+        facts = {"needs": needs.cast("long"), "extra": F.size("beside"), "lost": F.size("lacking")}
+        facts |= {"extra_bits": _bits("beside"), "lost_bits": _bits("lacking")}
+        return written(rows.withColumns(facts), "rows")
+
+    def candidates(self, rows: DataFrame) -> DataFrame:
+        """(pivot, x, y): pairs of documents of different components that may link, before their sets are looked at.
+
+        If x or y needs a shingle beside the pivot's, they share one among the first
+        `size - needs + 1` of either, in the order of how many documents have it beside this pivot;
+        so unlike documents around a common template meet only over rare shingles. Pairs without such a
+        need, or with a member that is too far from the pivot for its differences to be known, meet
+        in the list.
+        """
+        seen = rows.where("beside is not null").select("pivot", *FACTS, "beside").dropDuplicates(["pivot", "doc"])
+        words = written(seen.select("pivot", "doc", F.explode("beside").alias("w")), "beside")
+        often = written(words.groupBy("pivot", "w").agg(F.count(F.lit(1)).alias("df")), "often")
+        ranked = words.join(often, ["pivot", "w"]).groupBy("pivot", "doc")
+        ranked = ranked.agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("ws"))
+        ranked = ranked.join(seen.drop("beside"), ["pivot", "doc"]).where("size(ws) >= needs")
+        first = F.slice("ws", F.lit(1), (F.size("ws") - F.greatest("needs", F.lit(1)) + 1).cast("int"))
+        first = ranked.select("pivot", *FACTS, F.explode(first).alias("f")).where("f.df > 1")
+        first = written(first.select("pivot", *FACTS, F.col("f.w").alias("w")), "first")
+        sizes = first.groupBy("pivot", "w", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("pivot", "w")
+        mains = sizes.agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"))
+        mains = written(mains.where("comps > 1").drop("comps"), "mains")
+        first = written(first.join(mains, ["pivot", "w"]), "first")
+        found = self._met(first, first, ["pivot", "w"])
+        far, near = rows.where("beside is null"), rows.where("beside is not null")
+        loose = near.where("needs <= 0")
+        for one, two in ((loose, loose), (far, rows), (near, far)):
+            found = found.unionByName(self._met(one, two, ["t", "pivot"]))
+        return found.select("pivot", F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+    def _met(self, one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
+        """Pairs (x, y) that share the keys, differ in component, and aren't shown to be unlike by sizes and bits.
+
+        The largest component of a group, `main`, meets the others but not itself.
+        """
+        in_list = "t" in keys
+        held = [*FACTS, *(["prefix"] if in_list else [])]
+        x = one.where("comp != main").select(*keys, "main", *[F.col(c).alias(f"{c}_x") for c in held])
+        y = two.select(*keys, *[F.col(c).alias(f"{c}_y") for c in held])
+        n, m = F.col("n_x"), F.col("n_y")
+        need = F.ceil(self.percent * (n + m) / (100 + self.percent))  # the overlap that a link needs
+        # of the pivot's set both have what neither lacks; what both lack, and have beside it, is bounded by the bits
+        in_pivot = F.col("pivot_n_x") - F.col("lost_x") - F.col("lost_y") + _common_at_most("lost")
+        like = F.coalesce(in_pivot + _common_at_most("extra") >= need, F.lit(True))
+        sizes = 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
+        met = (F.col("comp_x") != F.col("comp_y")) & sizes & like
+        if one is two:  # else both orders are met
+            met = met & ((F.col("comp_y") == F.col("main")) | (F.col("doc_x") < F.col("doc_y")))
+        if in_list:  # a pair that shares several lists is made by the first of them
+            met = met & (F.element_at(F.array_intersect("prefix_x", "prefix_y"), 1) == F.col("t"))
+        else:
+            met = met & ((F.col("needs_x") > 0) | (F.col("needs_y") > 0))
+        return x.join(y, keys).where(met).select("pivot", F.col("doc_x").alias("x"), F.col("doc_y").alias("y"))
+
+    def pairs_beside(self, rows: DataFrame) -> DataFrame:
+        """Pairs (a, b) between components that share a list and that its pivot doesn't show to be unlike."""
+        met = written(self.candidates(rows).distinct(), "met")
+        facts = rows.dropDuplicates(["pivot", "doc"]).select("pivot", "doc", "n", "pivot_n", "beside", "lacking")
+
+        def side(name: str) -> DataFrame:
+            return facts.select("pivot", F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "pivot_n", "beside", "lacking")])
+
+        both = met.join(side("x"), ["pivot", "x"]).join(side("y"), ["pivot", "y"])
         n, m = F.col("n_x"), F.col("n_y")
         need = F.ceil(self.percent * (n + m) / (100 + self.percent))  # the overlap that a link needs
-        lost = F.greatest(F.size("lacking_x"), F.size("lacking_y"))
-        most = F.col("pivot_n") - lost + F.least(F.size("beside_x"), F.size("beside_y"))
         # of the pivot's set both have what neither lacks; beside it, what stands in both differences
         both_lack = F.size(F.array_intersect("lacking_x", "lacking_y"))
-        in_pivot = F.col("pivot_n") - F.size("lacking_x") - F.size("lacking_y") + both_lack
+        in_pivot = F.col("pivot_n_x") - F.size("lacking_x") - F.size("lacking_y") + both_lack
         shared = in_pivot + F.size(F.array_intersect("beside_x", "beside_y"))
         unknown = F.col("beside_x").isNull() | F.col("beside_y").isNull()
-        met = x.join(y, "t").where(
-            (F.col("comp_x") != F.col("comp_y"))
-            & ((F.col("comp_y") == F.col("main")) | (F.col("doc_x") < F.col("doc_y")))
-            & (100 * F.least(n, m) >= self.percent * F.greatest(n, m))
-            & (unknown | (most >= need))
-            # a pair that shares several lists is made by the first of them
-            & (F.element_at(F.array_intersect("prefix_x", "prefix_y"), 1) == F.col("t"))
-            & (unknown | (shared >= need))
-        )
-        return met.select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b"))
+        return both.where(unknown | (shared >= need)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
     def linked(self) -> DataFrame:
         """(doc, component) of all documents with a link."""
@@ -239,7 +316,8 @@ class _Index:
         met = postings.join(lists, "t").where("doc != pivot")
         first = self.overlaps(met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")), NEAR)
         comps = written(components(self.links(first)), "components")
-        second = self.overlaps(self.pairs_beside(postings, lists, comps, first), self.percent)
+        rows = self.rows_beside(postings, lists, comps, first)
+        second = self.overlaps(self.pairs_beside(rows), self.percent)
         # what is linked already stands for its links
         held = comps.select(F.col("doc").alias("a"), F.col("component").alias("b"))
         return written(components(held.unionByName(self.links(second))), "components")

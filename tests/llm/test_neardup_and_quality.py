@@ -4,6 +4,7 @@ import zlib
 import pyarrow as pa
 import pytest
 from cases import documents, near_components, shingles, words
+from pyspark.sql import functions as F
 
 from tabloom.llm import neardup, quality
 from tabloom.llm.textbytes import Words, shingle_sets
@@ -95,6 +96,46 @@ def test_pairs_between_components_are_found(spark, monkeypatch):
     assert found == want and len(calls) == 2
 
 
+def template(n, shared=150, own=50, seed=5):
+    """Documents that are three quarters one template, and a few near copies of some of them."""
+    r = random.Random(seed)
+    words_ = [f"t{k}" for k in range(shared)]
+    every = int(9 * n**0.5)  # so that a pair of words stands in about as many documents whatever their number
+    tails = [[f"w{r.randrange(every)}" for _ in range(own)] for _ in range(n)]
+    texts = {k: words_ + t for k, t in enumerate(tails)}
+    for k in range(0, n, 50):
+        texts[n + k] = texts[k][:-3] + ["other", "last", "words"]
+    return {k: " ".join(t) for k, t in texts.items()}
+
+
+def formed(spark, monkeypatch, texts):
+    """(pairs that were formed before any set was looked at, component of each document)."""
+    counts, real = [], neardup._Index.candidates
+
+    def counted(self, rows):
+        out = neardup.written(real(self, rows), "counted")
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(neardup._Index, "candidates", counted)
+    monkeypatch.setattr(neardup, "_common_at_most", lambda name: F.lit(10**9))  # count what the bits would rule out, too
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(8)
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, words=2).collect()}
+    monkeypatch.undo()
+    return sum(counts), found
+
+
+def test_documents_around_one_template_do_not_all_meet(spark, monkeypatch):
+    few, many = template(500), template(2000)
+    (a, found), (b, _) = (formed(spark, monkeypatch, t) for t in (few, many))
+    want = near_components(few, 2)[0]
+    assert found == want
+    docs = spark.createDataFrame(list(few.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, words=2).collect()} == want
+    # not the square (125 000 and 2 million): four times the documents, about four times the pairs
+    assert 0 < a < 20 * len(few) and b < 6 * a
+
+
 def test_awkward_documents(spark):
     docs = documents(spark)
     rows = neardup.near_duplicates(docs, words=2).collect()
