@@ -1,4 +1,11 @@
-"""A corpus pipeline of five stages, each an operator over all rows that the one before kept."""
+"""A corpus pipeline of five stages, each an operator over all rows that the one before kept.
+
+Awkward rows go through all stages as their operators state it: a missing or empty text is scored as
+such, is a copy of other empty texts, is near to nothing, has no words to mix, so that only whole
+copies of it are taken, and has no tokens. Rows without an id are kept apart by their text; of
+repeated rows one stays. Very long texts are taken whole, extra columns are carried along to the
+stage before the last, and an empty table passes through as an empty one.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +16,10 @@ from tabloom.session import written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from the labelled ones that aren't held out."""
+    """Documents that the classifier accepts; it learns from the labelled ones that aren't held out.
+
+    Without labels of both kinds every score is 0.5, and all documents are accepted.
+    """
     ranker = quality.fit(docs, queries.table(spark, sf_dir, "labels"))
     return quality.classify(docs, ranker).where("predicted = 1").select(*docs.columns)
 

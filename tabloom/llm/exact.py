@@ -107,8 +107,10 @@ def decide(docs: DataFrame, **settings) -> DataFrame:
 def dedup(docs: DataFrame, **settings) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per row of `docs`.
 
-    A missing text is empty, so it equals other empty texts. Extra columns aren't looked at; an
-    empty table gives an empty one.
+    A missing text is empty, so it equals other empty texts. A very long text is many blocks, whose
+    names are paired in as many rounds as their number has binary digits. Rows that repeat id and
+    text are one document with copies, of which one stays. Extra columns aren't looked at; an empty
+    table gives an empty one.
     """
     step = 4096
     rows = decide(docs, **settings)

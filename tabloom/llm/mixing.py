@@ -64,7 +64,9 @@ def plan_mix(
     A document is taken floor(rate) times, and once more where the hash of its id and text falls
     below the fraction, so reruns agree in any partitioning. Missing texts are empty (size 0);
     documents without a source are a source of their own. Rows that repeat id and text share their
-    fate. Columns called like the new ones are replaced; an empty table stays empty.
+    fate. A very long text counts with all its words, so a source of few unequal documents may
+    end further from its target: copies are drawn independently, and the expected deviation is the
+    root of the sum of size^2 * f * (1 - f), f the fraction of the source's rate. Columns called like the new ones are replaced; an empty table stays empty.
     """
     new = ["size", "source_size", "target", "rate", "copies"]
     docs = docs.drop(*new)

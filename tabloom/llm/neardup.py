@@ -333,7 +333,8 @@ def near_duplicates(
     with nothing. Documents link if their sets share `percent` % of their union; component_id is
     the smallest doc_id reachable, and it is the one kept. Rows without an id link with nothing:
     their component_id is NULL and they are kept. Rows that repeat id and text share their fate; an
-    id that names several texts has the links of all of them. Other columns aren't looked at; an
+    id that names several texts has the links of all of them. A very long text is taken whole: its set
+    is held by one task, a few bytes per shingle. Other columns aren't looked at; an
     empty table gives an empty one.
     """
     ship_package(docs.sparkSession)

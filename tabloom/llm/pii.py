@@ -2,8 +2,17 @@
 
 A value that is found is validated, read as a number within its format, permuted by a keyed
 Feistel network over just the numbers of that format, and written back in the form it had. Equal
-values get equal pseudonyms in every document, also where they are written differently, and the
-key turns them back.
+values get equal pseudonyms in every document, and the key turns them back. Equal are also cards,
+account numbers and phones with other separators, account numbers and mail names in other cases,
+and dates with their parts in another order.
+
+What is read: mail addresses (the name is replaced); AKIA/ASIA access keys; named passwords, tokens,
+secrets and API keys; IBANs, plain or in groups; dates with a four-digit year and numbers, as
+2024-01-05, 5.1.2024, 5/1/2024 or 5-1-2024; IPv4 addresses; social security numbers with separators;
+North American phones with + or separators, other phones with +; cards of 13 to 19 digits, plain or
+separated by spaces or hyphens. Not read: dates with month names or two-digit years, social security
+numbers and North American phones without a sign between the groups or with blanks only, cards
+separated by dots, IPv6 addresses, names and postal addresses.
 """
 
 from __future__ import annotations
@@ -12,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from datetime import date
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -106,6 +116,11 @@ def _by_class(text: str, kind: str, permute: Permute, keep: int = 0) -> str:
     return "".join(chars)
 
 
+def _cased(form: str, text: str) -> str:
+    """The text with capitals where the form has them."""
+    return "".join(c.upper() if f.isupper() else c for f, c in zip(form, text, strict=True))
+
+
 def _fill(form: str, digits: str) -> str:
     """Put digits into the places that hold digits."""
     left = iter(digits)
@@ -143,13 +158,14 @@ def _card(found: str, permute: Permute) -> Made | None:
 
 def _iban(found: str, permute: Permute) -> Made | None:
     def one(text: str) -> str | None:
-        plain = text.replace(" ", "")
+        plain = text.replace(" ", "").upper()
         country, check, account = plain[:2], plain[2:4], plain[4:]
         if not 11 <= len(account) <= 30 or not country.isalpha() or iban_digits(country, account) != check:
             return None
         new = _by_class(account, f"iban:{country}", permute)
         new = iter(country + iban_digits(country, new) + new)
-        return "".join(c if c == " " else next(new) for c in text)
+        written = "".join(c if c == " " else next(new) for c in text)
+        return written.lower() if text == text.lower() else written
 
     return _runs(found, one)
 
@@ -212,7 +228,7 @@ def _date(found: str, permute: Permute) -> str | None:
 
 def _mail(found: str, permute: Permute) -> str | None:
     local, domain = found.rsplit("@", 1)
-    return f"{_by_class(local, 'mail', permute)}@{domain}"
+    return f"{_cased(local, _by_class(local.lower(), 'mail', permute))}@{domain}"
 
 
 def _key(found: str, permute: Permute) -> str | None:
@@ -230,7 +246,7 @@ KINDS: list[tuple[str, str, Callable[[str, Permute], str | Made | None]]] = [
     ("mail", r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
     ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b", _key),
     ("secret", r"\b(?:password|passwd|token|secret|api_?key)\s*[=:]\s*(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"']{6,})", _secret),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}\b", _iban),
+    ("iban", r"\b(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}|[a-z]{2}\d{2}(?: ?[a-z0-9]){11,30})\b", _iban),
     ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}([./-])\d{1,2}\1\d{4})(?![\w/-]|\.\d)", _date),
     ("address", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", _address),
     ("social", r"(?<![\w-])\d{3}([- ])\d{2}\1\d{4}(?![\w-])", _social),
@@ -244,11 +260,13 @@ MAYBE = re.compile(r"\d|@|password|passwd|token|secret|api_?key", re.IGNORECASE)
 
 
 class Pseudonyms:
-    """Replaces the values of texts; one per Python worker, with the pseudonyms it made lately."""
+    """Replaces the values of texts; one per Python worker, with the pseudonyms it made lately.
 
-    def __init__(self, key: bytes):
-        network = Feistel(key)
-        self.permute: Permute = network.permute
+    With `back`, pseudonyms are turned back into the values they stand for.
+    """
+
+    def __init__(self, key: bytes, back: bool = False):
+        self.permute: Permute = partial(Feistel(key).permute, back=back)
         self.cache: dict[tuple[str, str], Made | None] = {}
         self.kinds = [(name, re.compile(pattern, re.IGNORECASE if name == "secret" else 0), make) for name, pattern, make in KINDS]
 

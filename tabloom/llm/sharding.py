@@ -104,6 +104,10 @@ def assign(docs: DataFrame, slot_map: DataFrame, n_slots: int = SLOTS, edited: D
     gives an empty one. Only ids, sizes and checksums are shuffled, by virtual slot. The map has
     `n_slots` rows, so it is broadcast. With a second map, `edited`, the place of every document
     under it comes from the same pass, as edited_version, edited_shard and edited_slot.
+
+    Slots are hashes of id and text, so that the bytes of shards come out even: equal texts with
+    different ids are not kept together, while rows that repeat both share a slot, which one task
+    numbers (20 bytes a row, not the texts). A very long text is read whole, for its length and checksum.
     """
     body = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(

@@ -108,7 +108,8 @@ def parsed(archive: DataFrame) -> DataFrame:
 
     Bytes and digest are those of the payload that was read back. A missing page is the empty
     payload, a missing id stays missing, repeated rows give a record each, and other columns of
-    the pages aren't stored. An empty table gives an empty archive.
+    the pages aren't stored. An empty table gives an empty archive. A very long page is one payload,
+    which one task holds.
     """
 
     def page(name: str) -> Column:

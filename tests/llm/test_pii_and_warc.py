@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 import random
+import re
 
 import pytest
 from cases import documents
@@ -87,6 +88,82 @@ def test_numbers_beside_a_value(made, text):
         assert (beside in out) == (beside in text)
 
 
+@pytest.mark.parametrize(
+    "a, b",
+    [("Anna.Lee@x.org", "anna.lee@x.org"), ("DE89370400440532013000", "de89 3704 0044 0532 0130 00"), ("2021-03-14", "14.03.2021"),
+     ("4111111111111111", "4111-1111-1111-1111"), ("+1 415 555 0199", "(415) 555-0199")],
+)
+def test_equal_values_in_other_forms_are_linked(made, a, b):
+    plain = lambda t: sorted(c for c in t.lower() if c.isalnum())
+    x, y = new(made, a), new(made, b)
+    one, two = plain(x), plain(y)
+    assert x != a and y != b and (one == two or one == sorted([*two, "1"]))
+
+
+def test_the_key_turns_every_value_back(spark, made):
+    """Over all texts: what stands for a value, alone, is turned back into the value."""
+    back, n = pii.Pseudonyms(KEY, back=True), 0
+    for folder in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect():
+            text = r["text"] or ""
+            out, spans = made.replace(text)
+            at = shift = 0
+            for start, end, kind in spans:
+                alone, found = made.replace(text[start:end])
+                assert found == [(0, end - start, kind)]
+                assert back.replace(alone)[0] == text[start:end], kind
+                assert text[at:start] == out[at + shift : start + shift] and out[start + shift :].startswith(alone)
+                at, shift = end, shift + len(alone) - (end - start)
+                n += 1
+            assert out[at + shift :] == text[at:]
+    assert n > 100
+
+
+def independent_values(text):
+    """Values that stand alone between white space, found without the patterns."""
+    import ipaddress
+
+    for m in re.finditer(r"\S+", text):
+        word = m[0].strip(".,;:!?()[]\"'<>")
+        start = m.start() + m[0].index(word) if word else m.start()
+        digits = word.replace("-", "")
+        kind = None
+        if word.count("@") == 1 and word.isascii():
+            name, _, host = word.partition("@")
+            if name[:1].isalnum() and all(c.isalnum() or c in "._+-" for c in name) and re.fullmatch(r"([A-Za-z0-9-]+\.)+[A-Za-z]{2,}", host):
+                kind = "mail"
+        elif word.count(".") == 3 and word.replace(".", "").isascii() and word.replace(".", "").isdigit():
+            try:
+                ipaddress.IPv4Address(word)
+                kind = "address"
+            except ValueError:
+                pass
+        elif re.fullmatch(r"\d{4}-\d\d-\d\d", word):
+            try:
+                kind = "date" if 1900 <= datetime.date.fromisoformat(word).year <= 2099 else None
+            except ValueError:
+                pass
+        elif re.fullmatch(r"\d{3}-\d\d-\d{4}", word):
+            area, group, serial = map(int, word.split("-"))
+            kind = "social" if area not in (0, 666) and area < 900 and group and serial else None
+        elif digits.isascii() and digits.isdigit() and len(digits) == 16 and word[0] in "3456" and word[-1].isdigit():
+            total = sum(int(c) if i % 2 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(digits))
+            kind = "card" if total % 10 == 0 else None
+        if kind:
+            yield start, start + len(word), kind
+
+
+def test_an_independent_finder_finds_nothing_more(spark, made):
+    n = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect():
+        spans = made.replace(r["text"] or "")[1]
+        for start, end, kind in independent_values(r["text"] or ""):
+            held = [k for a, b, k in spans if a <= start and end <= b]
+            assert held, (kind, r["text"][max(0, start - 20) : end + 20])
+            n += 1
+    assert n > 30
+
+
 CARD, DAY, ABROAD = "4111 1111 1111 1111", "2024-01-05", "+49 30 1234567"
 
 
