@@ -22,6 +22,8 @@ from ..session import scratch_path, ship_package
 
 # fixed values: Adam's published defaults
 BETA_1, BETA_2, TINY = 0.9, 0.999, 1e-8
+ONE_TASK = 20_000  # rows of a batch that one task handles alone
+ROWS_PER_FILE = 200_000
 LOSS, ROWS = -1, -2  # places of the loss and of the number of rows among the sums
 
 
@@ -97,8 +99,7 @@ class Net:
         self.epochs, self.batch, self.rate, self.deal_every, self.seed = epochs, batch, rate, deal_every, seed
 
     def fit(self, df: DataFrame) -> FittedNet:
-        spark = df.sparkSession
-        ship_package(spark)
+        ship_package(df.sparkSession)
         rows = df.where(F.col(self.label).isNotNull()).select(
             vector_to_array(self.vector).alias("x"), F.col(self.label).cast("int").alias("y"), digest(self.key, "deal").alias("id")
         )
@@ -111,10 +112,10 @@ class Net:
         curve, losses = [], []
         for epoch in range(self.epochs):
             if epoch % self.deal_every == 0:
-                folder = self._dealt(rows, batches, epoch)
+                dealt = self._dealt(rows, batches, epoch)
             loss, seen = 0.0, 0
             for k in np.random.default_rng([self.seed, epoch]).permutation(batches):
-                sums = gradient_sums(spark.read.schema("x array<double>, y int").parquet(f"{folder}/batch={k}"), shape, weights)
+                sums = gradient_sums(dealt[k], shape, weights)
                 if not sums.get(ROWS):
                     continue
                 n, steps = sums[ROWS], steps + 1
@@ -128,17 +129,18 @@ class Net:
             losses.append(loss / max(seen, 1))
         return FittedNet(shape, self.vector, curve, losses)
 
-    def _dealt(self, rows: DataFrame, batches: int, epoch: int) -> str:
-        """The folder where the rows lie by batch. Every batch has a folder, be it without rows."""
-        folder = scratch_path(rows.sparkSession, f"batches-{epoch}")
+    def _dealt(self, rows: DataFrame, batches: int, epoch: int) -> list[DataFrame]:
+        """The rows by batch, each in a folder of its own, be it without rows."""
+        spark = rows.sparkSession
+        folder = scratch_path(spark, f"batches-{epoch}")
         batch = F.pmod(F.xxhash64("id", F.lit(self.seed), F.lit(epoch)), F.lit(batches)).alias("batch")
-        empty = rows.sparkSession.range(batches).select(
+        empty = spark.range(batches).select(
             F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("int").alias("y"), F.col("id").alias("batch")
         )
-        dealt = rows.select("x", "y", batch).unionByName(empty)
-        # a batch may be large: its rows are spread over a few tasks
-        dealt.repartition("batch", F.col("y")).write.partitionBy("batch").parquet(folder)
-        return folder
+        whole = rows.select("x", "y", batch).unionByName(empty)
+        whole.repartition("batch").write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("batch").parquet(folder)
+        read = [spark.read.schema("x array<double>, y int").parquet(f"{folder}/batch={k}") for k in range(batches)]
+        return [d.coalesce(1) for d in read] if self.batch <= ONE_TASK else read  # a small batch needs no shuffle
 
 
 def gradient_sums(batch: DataFrame, shape: Shape, weights: np.ndarray) -> dict[int, float]:
