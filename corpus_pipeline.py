@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm import bpe, exact, mixing, neardup, quality, queries
+from tabloom.llm import exact, mixing, neardup, quality, queries
 from tabloom.session import written
 
 
@@ -41,7 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document of the mix."""
-    return queries.token_digests(bpe.encode(docs.select("doc_id", "text"), queries.vocabulary()))
+    return queries.token_digests(docs)
 
 
 STAGES = [

@@ -44,8 +44,8 @@ def _latin_words() -> re.Pattern:
 
 
 LATIN_WORDS = _latin_words()
-PIECE = 1 << 18  # characters of a text that are cut at a time, and pieces that are held
-MOST_CACHED = 250_000  # pieces, and as many words, that a worker keeps
+PIECE = 1 << 17  # characters of a text that are cut at a time, and pieces that are held
+MOST_CACHED = 200_000  # pieces, and as many words, that a worker keeps
 LONG = 64  # characters; longer words are merged with a queue
 BATCH = 1 << 16  # words that are encoded beside one another
 NONE = np.iinfo(np.int64).max
@@ -158,6 +158,7 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.tokens = token_list(file)
+        self.spellings = pa.array(self.tokens, pa.string())
         size = len(self.tokens)
         self._index_tokens()
         self.always = {t: np.array([i], np.int32).tobytes() for t, i in self.special.items()}
@@ -455,18 +456,22 @@ class _Shared:
         return self.broadcast.value
 
 
-def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
+def encode(docs: DataFrame, vocabulary_path: str, decoded: bool = False) -> DataFrame:
     """All columns but `text`, and `ids`: the token ids of each whole text, as array<int>.
 
+    With `decoded`, also the column decoded: what `decode` makes of the ids, by the same task.
+
     A missing or empty text, or one of white space only, has no ids. Each row is encoded on its
     own, so repeated rows and ties give equal ids; a column called ids is replaced. The file is
     read on the driver and broadcast: it is the vocabulary, so its size doesn't follow the data.
     Texts are taken about a million characters at a time.
     """
-    docs = docs.drop("ids")
+    docs = docs.drop("ids", *(["decoded"] if decoded else []))
     keep = [c for c in docs.columns if c != "text"]
     shared = _Shared(docs.sparkSession, vocabulary_path)
     schema = StructType([*[docs.schema[c] for c in keep]]).add("ids", ArrayType(IntegerType(), False))
+    if decoded:
+        schema = schema.add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(shared)
@@ -478,11 +483,21 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
                 kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
                 made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values).cast(kind)
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], made], [*keep, "ids"])
+                columns = [*[batch.column(c) for c in keep], made]
+                if decoded:
+                    columns.append(spelled(made, vocabulary.spellings))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
+def spelled(ids: pa.ListArray, table: pa.Array) -> pa.Array:
+    """The tokens of each list joined by one space; a missing list gives none."""
+    ends = pa.array(ids.offsets.to_numpy() - ids.offsets[0].as_py())
+    words = pa.ListArray.from_arrays(ends, table.take(ids.flatten()))
+    return pc.if_else(ids.is_valid(), pc.binary_join(words, " "), None)
+
+
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """All columns but `ids`, and `decoded`: the tokens joined by one space; missing ids give none.
 
@@ -498,10 +513,7 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
         table = pa.array(shared.value, pa.string())
         for whole in batches:
             for batch in _by_tokens(whole, len(keep)):
-                ids = batch.column(len(keep))
-                ends = pa.array(ids.offsets.to_numpy() - ids.offsets[0].as_py())
-                spelled = pa.ListArray.from_arrays(ends, table.take(ids.flatten()))
-                made = pc.if_else(ids.is_valid(), pc.binary_join(spelled, " "), None)
+                made = spelled(batch.column(len(keep)), table)
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], made], schema.names)
 
     return encoded.select(*keep, "ids").mapInArrow(run, schema)

@@ -73,16 +73,17 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_speculative_bpe")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    return token_digests(bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), vocabulary()))
+    return token_digests(table(spark, folder, "documents"))
 
 
-def token_digests(encoded: DataFrame) -> DataFrame:
+def token_digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts."""
+    coded = bpe.encode(docs.select("doc_id", "text"), vocabulary(), decoded=True)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    hashed = encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), "ids"
-    )
-    decoded = bpe.decode(hashed, vocabulary())
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 MIX_SQL = r"""

@@ -70,6 +70,10 @@ def test_awkward_documents(spark, library):
         want = library.encode(r["own"] or "", add_special_tokens=False).ids
         assert r["kept_ids"] == want and r["decoded"] == library.decode(want, skip_special_tokens=False)
     assert bpe.decode(bpe.encode(docs.limit(0), PATH), PATH).count() == 0
+    both = bpe.encode(docs.withColumn("decoded", F.lit("clash")), PATH, decoded=True)
+    alone = bpe.decode(bpe.encode(docs, PATH), PATH)
+    assert sorted(r["decoded"] for r in both.collect()) == sorted(r["decoded"] for r in alone.collect())
+    assert both.columns[-2:] == ["ids", "decoded"] and both.columns.count("decoded") == 1
 
 
 def brute(vectors, k, scale):
