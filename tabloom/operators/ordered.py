@@ -15,7 +15,19 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    IntegerType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 ROWS_PER_BUCKET = 4_000_000
 SAMPLE = 20_000  # rows that a first sample holds
@@ -24,14 +36,22 @@ MOST_LITERALS = 256  # cuts that are written into a plan
 
 
 def _sample(df: DataFrame, column: str, n: int) -> tuple[list, float]:
-    """(values, rows): n rows drawn at random from those with a value, and about how many there are.
-
-    One job draws them and puts the values in Spark's order, whose order of texts and of NaN isn't Python's.
-    """
+    """(values, rows): n rows drawn at random from those with a value, in order, and about how many there are."""
     drawn = df.select(F.col(column).alias("v"), F.rand(17).alias("u")).where("v is not null")
-    found = drawn.orderBy("u").limit(n).orderBy("v").collect()  # each task keeps n rows
-    rows = len(found) if len(found) < n else n / max(r["u"] for r in found)
-    return [r["v"] for r in found], rows
+    found = drawn.orderBy("u").limit(n).collect()  # each task keeps n rows
+    rows = len(found) if len(found) < n else n / found[-1]["u"]
+    return _in_order([r["v"] for r in found], df, column), rows
+
+
+def _in_order(values: list, df: DataFrame, column: str) -> list:
+    """The values in Spark's order: texts by their bytes, NaN last; types with parts are left to Spark."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, StringType):
+        return sorted(values, key=lambda v: v.encode())
+    if isinstance(kind, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+        return sorted(values, key=lambda v: (v != v, 0 if v != v else v))
+    table = df.sparkSession.createDataFrame([(v,) for v in values], StructType([StructField("v", kind)]))
+    return [r["v"] for r in table.orderBy("v").collect()]
 
 
 def cut_points(df: DataFrame, column: str, buckets: int | None = None) -> list[Any]:
