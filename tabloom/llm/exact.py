@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .names import fresh
 
 BLOCK_BYTES = 4096
 ROW = ["doc_id", "sha"]  # what tells documents apart: rows that repeat both are one document
@@ -133,18 +134,20 @@ def keep_one(docs: DataFrame, **settings) -> DataFrame:
     gone = written(rows.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(*ROW), "gone")
     repeated = written(rows.where(F.col("copies") > 1).select(*ROW), "repeated")
 
+    sha = fresh(docs, "__sha")
+
     def known(table: DataFrame) -> Column:
-        return F.col("doc_id").eqNullSafe(table["__id"]) & (F.col("__sha") == table["__s"])
+        return F.col("doc_id").eqNullSafe(table["__id"]) & (F.col(sha) == table["__s"])
 
     def renamed(table: DataFrame) -> DataFrame:
         return table.select(F.col("doc_id").alias("__id"), F.col("sha").alias("__s"))
 
     gone, repeated = renamed(gone), renamed(repeated)
-    stay = docs.withColumn("__sha", _sha()).join(gone, known(gone), "left_anti")
+    stay = docs.withColumn(sha, _sha()).join(gone, known(gone), "left_anti")
     if repeated.isEmpty():
         return stay.select(*docs.columns)
     once = stay.join(repeated, known(repeated), "left_anti").select(*docs.columns)
     row = F.struct(*docs.columns)
-    some = stay.join(repeated, known(repeated), "left_semi").groupBy("doc_id", "__sha")
+    some = stay.join(repeated, known(repeated), "left_semi").groupBy("doc_id", sha)
     picked = some.agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("__row")).select("__row.*")
     return once.unionByName(picked)

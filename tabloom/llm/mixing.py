@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
+from .names import fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -74,11 +75,12 @@ def plan_mix(
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     # one row per source; written, so that its size is known to the join below
     sources = written(cycled_weights(sums, weights), "sources")
-    targets = source_targets(sources, share, most).withColumnRenamed("source", "__source").drop("weight")
+    own = fresh(docs, "__source")
+    targets = source_targets(sources, share, most).withColumnRenamed("source", own).drop("weight")
     u = hash_uniform(salt, F.col("doc_id"), F.col("text"))
     whole = F.floor("rate")
     copies = whole + F.when(u < F.col("rate") - whole, 1).otherwise(0)
-    joined = docs.join(targets, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    joined = docs.join(targets, F.col("source").eqNullSafe(F.col(own))).drop(own)
     joined = joined.withColumn("size", word_count(F.col("text")))
     return joined.withColumn("copies", copies.cast("int")).select(*docs.columns, *new)
 
@@ -86,4 +88,4 @@ def plan_mix(
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """The mixed documents: the columns of `docs`, each row as often as the mix takes it."""
     planned = plan_mix(docs, **settings).where("copies > 0")
-    return planned.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return planned.withColumn(fresh(planned, "__copy"), F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
