@@ -57,10 +57,11 @@ def _rule_stacks(rules: DataFrame) -> DataFrame:
             "verdict",
         ).alias("rule"),
     )
-    lengths = keyed.select(F.length("key").alias("l")).distinct()
-    prefixes = keyed.join(lengths, F.col("l") <= F.length("key")).select(
-        "key", F.expr("substring(key, 1, l)").alias("prefix")
-    )
+    # one array, with as many lengths as the longest key has characters at most
+    lengths = keyed.agg(F.coalesce(F.collect_set(F.length("key")), F.array().cast("array<int>")).alias("ls")).scalar()
+    shorter = F.filter("ls", lambda n: n <= F.length("key"))
+    prefixes = keyed.select("key", lengths.alias("ls")).select("key", F.explode(shorter).alias("l"))
+    prefixes = prefixes.select("key", F.expr("substring(key, 1, l)").alias("prefix"))
     around = keyed.select(F.col("key").alias("prefix"), F.struct("key", "rule").alias("entry"))
     return prefixes.join(around, "prefix").groupBy("key").agg(F.array_sort(F.collect_list("entry")).alias("stack"))
 
