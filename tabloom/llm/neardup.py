@@ -274,7 +274,7 @@ class _Index:
         The largest component of a group, `main`, meets the others but not itself.
         """
         in_list = "t" in keys
-        held = [*FACTS, *(["prefix"] if in_list else [])]
+        held = [*FACTS, *(["prefix", "beside", "lacking"] if in_list else [])]
         x = one.where("comp != main").select(*keys, "main", *[F.col(c).alias(f"{c}_x") for c in held])
         y = two.select(*keys, *[F.col(c).alias(f"{c}_y") for c in held])
         n, m = F.col("n_x"), F.col("n_y")
@@ -288,6 +288,10 @@ class _Index:
             met = met & ((F.col("comp_y") == F.col("main")) | (F.col("doc_x") < F.col("doc_y")))
         if in_list:  # a pair that shares several lists is made by the first of them
             met = met & (F.element_at(F.array_intersect("prefix_x", "prefix_y"), 1) == F.col("t"))
+            # lists hold few rows by now, so their differences come along, and the overlap is known as it is
+            both_lack, both_have = (F.size(F.array_intersect(f"{c}_x", f"{c}_y")) for c in ("lacking", "beside"))
+            in_pivot = F.col("pivot_n_x") - F.col("lost_x") - F.col("lost_y") + both_lack
+            met = met & F.coalesce(in_pivot + both_have >= need, F.lit(True))
         else:
             met = met & ((F.col("needs_x") > 0) | (F.col("needs_y") > 0))
         return x.join(y, keys).where(met).select("pivot", F.col("doc_x").alias("x"), F.col("doc_y").alias("y"))
