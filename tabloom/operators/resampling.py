@@ -63,19 +63,24 @@ def _columns(held: list[pa.RecordBatch]) -> list:
 def _mean_replicates(known: DataFrame, keys: list[str], replicates: int, salt: str) -> DataFrame:
     """Weighted means of `__x`: each task adds up weights and weighted values of all replicates."""
     ship_package(known.sparkSession)
-    cuts = [np.uint32(c) for c in (math.ceil(p * TWO_32) for p in poisson_one_cdf()) if c < 2**32]
+    cuts = np.array([c for c in (math.ceil(p * TWO_32) for p in poisson_one_cdf()) if c < 2**32], np.uint32)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = (replicates + 3) // 4
         sums, counts = np.zeros((whole, 4)), np.zeros((whole, 4))
         for prefixes, x in _blocks(batches):
             for rows, columns, words in digests(prefixes, np.arange(whole)):
+                both = np.stack([np.ones(len(rows)), x[rows]])
                 for part, word in enumerate(words):
-                    weight = np.zeros(word.shape, np.uint8)
-                    for cut in cuts:
-                        weight += word >= cut
-                    counts[columns, part] += weight.sum(0, dtype=np.int64)
-                    sums[columns, part] += x[rows] @ weight.astype(float)
+                    weight, above = np.zeros(word.shape, np.uint8), np.empty(word.shape, bool)
+                    for cut in cuts[:5]:
+                        np.greater_equal(word, cut, out=above)
+                        np.add(weight, above.view(np.uint8), out=weight)
+                    if above.any():  # counts of 5 and more are rare
+                        weight[above] = np.searchsorted(cuts, word[above], "right")
+                    found = both @ weight.astype(float)
+                    counts[columns, part] += found[0]
+                    sums[columns, part] += found[1]
         at = np.flatnonzero(counts.ravel()[:replicates])
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *[pa.array(a.ravel()[at]) for a in (sums, counts)]], ["replicate", "s", "n"])
 
