@@ -13,15 +13,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
+from ..operators.ordered import exact_quantiles, row_positions
 from ..session import ship_package, written
 from .textbytes import U64, Words, mix, slices
 
-MAX_LABELLED = 20_000  # labelled documents that are read for the fit, chosen by the hash of their id
-MAX_PAIRS = 40_000  # preference pairs of the fit
+MIN_PAIRS = 40_000  # preference pairs of the fit; more if a side has more documents
+PAIRS_PER_TASK = 50_000
 FEATURES = [
     "upper", "symbols", "bars", "digits", "doubled", "stops", "high_bytes", "symbol_ends", "upper_words",
     "repeated_words", "distinct_words", "distinct_pairs", "log_words", "word_bytes", "long_words", "lines",
@@ -133,47 +134,50 @@ def is_held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """(quality, features) of labelled documents that aren't held out.
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(quality, features) of all labelled documents that aren't held out.
 
-    Missing labels don't count, nor do ids whose labels disagree. Of the others the
-    `max_labelled` with the smallest hash of their id are taken, so the table is bounded.
+    Missing labels don't count, nor do ids whose labels disagree.
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~is_held_out())
     agreed = known.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = hi")
-    chosen = agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).select("doc_id", F.col("lo").alias("quality"))
-    texts = docs.select("doc_id", "text").join(F.broadcast(written(chosen, "labels")), "doc_id")
+    chosen = written(agreed.select("doc_id", F.col("lo").alias("quality")), "labels")  # Spark knows its size then
+    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
     return written(with_features(texts).select("doc_id", "quality", F.col("__features").alias("f")), "training")
 
 
-def preference_pairs(rows: DataFrame, max_pairs: int = MAX_PAIRS) -> DataFrame:
+def preference_pairs(rows: DataFrame, min_pairs: int = MIN_PAIRS) -> DataFrame:
     """(f): features of a good document minus those of a bad one.
 
-    Each good document meets as many bad ones, drawn by hash; a bad one may be drawn often or never.
-    `rows` is bounded by the labels that are taken, as long as documents have ids of their own.
+    Both sides are put in the order of a hash. Each document of the larger side meets the one of its place
+    on the other side, which starts again at its end, so every document is in a pair; if these are fewer than
+    `min_pairs`, it meets others drawn by hash, too.
     """
-    order = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "f")
-    placed = rows.withColumn("place", F.row_number().over(order) - 1)
-    good, bad = placed.where("quality = 1"), placed.where("quality = 0")
-    n_good, n_bad = good.count(), bad.count()
-    if not n_good or not n_bad:
+    placed = row_positions(rows.withColumn("hash", F.xxhash64("doc_id")), "hash", "doc_id", "place", ["quality"])
+    placed = written(placed.select("quality", "f", (F.col("place") - 1).alias("place")), "placed")
+    counts = {r["quality"]: r["count"] for r in placed.groupBy("quality").count().collect()}
+    if len(counts) < 2:
         return rows.select("f").limit(0)
-    each = max(1, max_pairs // n_good)
-    dealt = good.select(F.col("f").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("i"), "place")
-    dealt = dealt.withColumn("other", F.pmod(F.xxhash64("place", "i"), F.lit(n_bad)))
-    met = dealt.join(bad.select(F.col("f").alias("b"), F.col("place").alias("other")), "other")
-    return met.select(F.zip_with("g", "b", lambda x, y: x - y).alias("f"))
+    large = max(counts, key=lambda k: (counts[k], k))
+    each, n = max(1, min_pairs // counts[large]), counts[1 - large]
+    dealt = placed.where(F.col("quality") == large).select(F.col("f").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(each - 1))).alias("i"), "place")
+    other = F.when(F.col("i") == 0, F.col("place") % n).otherwise(F.pmod(F.xxhash64("place", "i"), F.lit(n)))
+    met = dealt.withColumn("other", other).join(
+        placed.where(F.col("quality") != large).select(F.col("f").alias("b"), F.col("place").alias("other")), "other"
+    )
+    sign = 1.0 if large == 1 else -1.0
+    return met.select(F.zip_with("a", "b", lambda x, y: (x - y) * sign).alias("f"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pairs: int = MAX_PAIRS) -> Ranker:
-    """Learn the ranking and its threshold from labelled documents that aren't held out.
+def fit(docs: DataFrame, labels: DataFrame, min_pairs: int = MIN_PAIRS) -> Ranker:
+    """Learn the ranking and its threshold from all labelled documents that aren't held out.
 
     The threshold is the quantile of the labelled scores at the share of bad labels. Without labels
     of both kinds there is nothing to rank (an empty table, too): all weights are 0 and every score
     is 0.5. Documents whose labels differ, missing labels and ids aren't learned from. Missing and
     empty texts are learned from as they are scored. Equal documents on both sides differ by nothing.
     """
-    rows = training_rows(docs, labels, max_labelled)
+    rows = training_rows(docs, labels)
     size = len(FEATURES)
     total, bad, *moments = rows.agg(
         F.count(F.lit(1)),
@@ -184,7 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     if not bad or bad == total:
         return Ranker([0.0] * size, [1.0] * size, [0.0] * size, 0.0)
     mean, scale = moments[:size], [s or 1.0 for s in moments[size:]]
-    differences = written(preference_pairs(rows, max_pairs), "pairs").coalesce(8)
+    differences = written(preference_pairs(rows, min_pairs), "pairs")
+    differences = differences.coalesce(max(8, total // PAIRS_PER_TASK))
     scaled = F.transform("f", lambda x, i: x / F.get(F.array(*[F.lit(s) for s in scale]), i))
     # a preference counts in both directions, so that the loss has two classes and no intercept
     sign = F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("sign")
@@ -196,8 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     both.unpersist()
     ranker = Ranker(mean, scale, [float(w) for w in model.coefficients], 0.0)
     share = bad / total
-    cut = rows.agg(F.percentile(ranker.raw(F.col("f")), F.lit(share))).first()[0]  # `rows` is bounded
-    ranker.threshold = float(cut)
+    scores = rows.select(ranker.raw(F.col("f")).alias("raw"))
+    ranker.threshold = float(exact_quantiles(scores, "raw", {"cut": share}).first()["cut"])
     return ranker
 
 

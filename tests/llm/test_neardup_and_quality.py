@@ -192,3 +192,16 @@ def test_awkward_documents_and_labels(spark):
     assert quality.classify(docs.limit(0), ranker).count() == 0
     for none in (labels.limit(0), labels.where("quality = 1")):
         assert {r["score"] for r in quality.classify(docs, quality.fit(docs, none)).collect()} == {0.5}
+
+
+def test_every_labelled_document_is_read_and_paired(spark):
+    docs = spark.range(30_000).selectExpr("id as doc_id", "concat('w', id) as text")
+    labels = spark.range(30_000).selectExpr("id as doc_id", "cast(id % 3 = 0 as int) as quality")
+    rows = quality.training_rows(docs, labels.where(~quality.is_held_out()))
+    want = labels.where(~quality.is_held_out()).count()
+    assert rows.count() == want > 19_000
+    more = spark.range(24_000).selectExpr("id as doc_id", "cast(id % 4 = 0 as int) as quality", "array(cast(id as double)) as f")
+    met = quality.preference_pairs(more.unionByName(more.selectExpr("doc_id + 24000", "quality", "array(f[0] + 24000)").toDF(*more.columns)), 1)
+    assert met.count() == 36_000  # each of the larger side once
+    whole = sum(i if i % 4 == 0 else 0 for i in range(48_000)) * 3 - sum(i for i in range(48_000) if i % 4)
+    assert met.selectExpr("sum(f[0])").first()[0] == whole  # and each of the smaller side three times
