@@ -134,16 +134,22 @@ def is_held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, f): the features of every row, written. From here on no text is read or moved."""
+    return written(with_features(docs.select("doc_id", "text")).select("doc_id", F.col("__features").alias("f")), "measured")
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(quality, features) of all labelled documents that aren't held out.
+    """(doc_id, quality, features) of all labelled documents that aren't held out, from texts or what `measured` gives.
 
-    Missing labels don't count, nor do ids whose labels disagree.
+    Missing labels don't count, nor do ids whose labels disagree. Only ids, labels and features are shuffled.
     """
+    rows = measured(docs) if "text" in docs.columns else docs
     known = labels.where("quality in (0, 1) and doc_id is not null").where(~is_held_out())
     agreed = known.groupBy("doc_id").agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")).where("lo = hi")
-    chosen = written(agreed.select("doc_id", F.col("lo").alias("quality")), "labels")  # Spark knows its size then
-    texts = docs.select("doc_id", "text").join(chosen, "doc_id")
-    return written(with_features(texts).select("doc_id", "quality", F.col("__features").alias("f")), "training")
+    chosen = agreed.select("doc_id", F.col("lo").alias("quality")).hint("merge")  # one route for all sizes
+    learned = rows.where("doc_id is not null").where(~is_held_out()).join(chosen, "doc_id")
+    return written(learned.select("doc_id", "quality", "f"), "training")
 
 
 def preference_pairs(rows: DataFrame, min_pairs: int = MIN_PAIRS) -> DataFrame:
@@ -172,7 +178,7 @@ def preference_pairs(rows: DataFrame, min_pairs: int = MIN_PAIRS) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, min_pairs: int = MIN_PAIRS) -> Ranker:
     """Learn the ranking and its threshold from all labelled documents that aren't held out.
 
-    The threshold is the quantile of the labelled scores at the share of bad labels. Without labels
+    `docs` holds texts, or the features that `measured` found for them. The threshold is the quantile of the labelled scores at the share of bad labels. Without labels
     of both kinds there is nothing to rank (an empty table, too): all weights are 0 and every score
     is 0.5. Documents whose labels differ, missing labels and ids aren't learned from. Missing and
     empty texts are learned from as they are scored. Equal documents on both sides differ by nothing.
@@ -214,5 +220,14 @@ def classify(docs: DataFrame, ranker: Ranker) -> DataFrame:
     stays empty. A column called __features is taken for the operator's own: don't hand one in.
     """
     docs = docs.drop("score", "predicted")
-    scored = with_features(docs).withColumn("score", ranker.score(F.col("__features"))).drop("__features")
+    return _scored(with_features(docs), ranker, "__features")
+
+
+def classify_measured(rows: DataFrame, ranker: Ranker) -> DataFrame:
+    """(doc_id, score, predicted) from what `measured` gives: the scores of `classify`, without reading a text again."""
+    return _scored(rows, ranker, "f")
+
+
+def _scored(rows: DataFrame, ranker: Ranker, features: str) -> DataFrame:
+    scored = rows.withColumn("score", ranker.score(F.col(features))).drop(features)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -153,9 +153,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_pairwise_quality")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    ranker = quality.fit(docs, table(spark, folder, "labels"))
-    scored = quality.classify(docs, ranker)
+    rows = quality.measured(table(spark, folder, "documents"))
+    ranker = quality.fit(rows, table(spark, folder, "labels"))
+    scored = quality.classify_measured(rows, ranker)
     return scored.select("doc_id", quality.is_held_out().alias("held_out"), "score", "predicted")
 
 

@@ -205,3 +205,29 @@ def test_every_labelled_document_is_read_and_paired(spark):
     assert met.count() == 36_000  # each of the larger side once
     whole = sum(i if i % 4 == 0 else 0 for i in range(48_000)) * 3 - sum(i for i in range(48_000) if i % 4)
     assert met.selectExpr("sum(f[0])").first()[0] == whole  # and each of the smaller side three times
+
+
+def test_no_text_is_shuffled_and_measured_rows_give_the_same_scores(spark, monkeypatch):
+    docs = documents(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 11)], "doc_id long, quality int")
+    plans = []
+    keep = quality.written
+
+    def seen(df, label="table"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(quality, "written", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = quality.measured(docs)
+        ranker = quality.fit(docs, labels)
+        assert quality.fit(rows, labels) == ranker
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plans and not any("text" in line for p in plans for line in p.splitlines() if "Exchange" in line)
+    assert not any("Exchange" in p and "MapInArrow" in p for p in plans)
+    whole, short = quality.classify(docs, ranker), quality.classify_measured(rows, ranker)
+    columns = ["doc_id", "score", "predicted"]
+    assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, short.select(columns).collect()))
