@@ -1,8 +1,8 @@
-"""A feed-forward net trained by minibatches: the tasks add up gradients, the driver holds the weights.
+"""A feed-forward net trained by minibatches: shards of rows take their steps in tasks, the driver averages the weights.
 
-Rows are dealt to batches by the hash of their key and written by batch, so a step reads its own
-batch and nothing else. Each task sends the sum of its rows' gradients, one row per weight; Spark adds
-them up in the tasks and over the shuffle, and Adam moves the weights, which go out with the next step.
+Rows are dealt to shards of bounded size by the hash of their key and written, a shard in one row. An
+epoch is one job whatever the number of batches: each task takes Adam's steps over its shards from the
+weights of the epoch before, and weights and moments are averaged by rows.
 The weights after every epoch are kept, so one pass over a test table gives the whole curve.
 """
 
@@ -14,16 +14,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest
-from ..session import scratch_path, ship_package
+from ..session import ship_package, written
 
 # fixed values: Adam's published defaults
 BETA_1, BETA_2, TINY = 0.9, 0.999, 1e-8
-ONE_TASK = 20_000  # rows of a batch that one task handles alone
-ROWS_PER_FILE = 200_000
+SHARD_VALUES = 500_000  # features of all rows of a shard, about
+STATE = ["weights", "first", "second"]
 LOSS, ROWS = -1, -2  # places of the loss and of the number of rows among the sums
 
 
@@ -87,16 +87,19 @@ class Net:
     """ReLU layers and softmax, Adam on batches of about `batch` rows, for `epochs` passes.
 
     `vector` is a column of scaled features, `label` holds 0 .. classes - 1, and `key` names the
-    columns that tell rows apart; rows with equal keys go to the same batch. Batches are dealt anew
-    every `deal_every` epochs, and their order changes every epoch. Rows without a label are left out.
+    columns that tell rows apart. Rows are dealt to shards by the hash of their key. In an epoch each
+    shard goes through all its batches in one task, from the same weights; then weights and moments are
+    averaged, by rows. A table of one shard is trained batch after batch. Batches are dealt anew every
+    `deal_every` epochs, and their order changes every epoch. Rows without a label are left out.
     """
 
     def __init__(
         self, label: str, vector: str, key: str | Sequence[str], classes: int, hidden: Sequence[int] = (32, 16), epochs: int = 100,
-        batch: int = 256, rate: float = 0.01, deal_every: int = 10, seed: int = 2026,
+        batch: int = 256, rate: float = 0.01, deal_every: int = 10, seed: int = 2026, shard_values: int = SHARD_VALUES,
     ):
         self.label, self.vector, self.key, self.classes, self.hidden = label, vector, key, classes, tuple(hidden)
         self.epochs, self.batch, self.rate, self.deal_every, self.seed = epochs, batch, rate, deal_every, seed
+        self.shard_values = shard_values
 
     def fit(self, df: DataFrame) -> FittedNet:
         ship_package(df.sparkSession)
@@ -107,40 +110,77 @@ class Net:
         if not found["n"]:
             raise ValueError("there are no rows to learn from")
         shape = Shape((found["width"], *self.hidden, self.classes))
-        batches = max(1, -(-found["n"] // self.batch))
-        weights, first, second, steps = shape.start(self.seed), np.zeros(len(shape)), np.zeros(len(shape)), 0
+        shards = self._shards(rows, max(1, -(-found["n"] * found["width"] // self.shard_values)))
+        state, steps = [shape.start(self.seed), np.zeros(len(shape)), np.zeros(len(shape))], 0
         curve, losses = [], []
         for epoch in range(self.epochs):
-            if epoch % self.deal_every == 0:
-                dealt = self._dealt(rows, batches, epoch)
-            loss, seen = 0.0, 0
-            for k in np.random.default_rng([self.seed, epoch]).permutation(batches):
-                sums = gradient_sums(dealt[k], shape, weights)
-                if not sums.get(ROWS):
-                    continue
-                n, steps = sums[ROWS], steps + 1
-                grad = np.array([sums.get(i, 0.0) for i in range(len(shape))]) / n
-                first = BETA_1 * first + (1 - BETA_1) * grad
-                second = BETA_2 * second + (1 - BETA_2) * grad * grad
-                step = first / (1 - BETA_1**steps) / (np.sqrt(second / (1 - BETA_2**steps)) + TINY)
-                weights = weights - self.rate * step
-                loss, seen = loss + sums[LOSS], seen + n
-            curve.append(weights)
-            losses.append(loss / max(seen, 1))
+            parts = self._epoch(shards, shape, state, steps, epoch)
+            n = sum(p["n"] for p in parts)
+            state = [sum(np.array(p[c]) for p in parts) / n for c in STATE]
+            steps = max(p["steps"] for p in parts)
+            curve.append(state[0])
+            losses.append(sum(p["loss"] for p in parts) / n)
         return FittedNet(shape, self.vector, curve, losses)
 
-    def _dealt(self, rows: DataFrame, batches: int, epoch: int) -> list[DataFrame]:
-        """The rows by batch, each in a folder of its own, be it without rows."""
-        spark = rows.sparkSession
-        folder = scratch_path(spark, f"batches-{epoch}")
-        batch = F.pmod(F.xxhash64("id", F.lit(self.seed), F.lit(epoch)), F.lit(batches)).alias("batch")
-        empty = spark.range(batches).select(
-            F.lit(None).cast("array<double>").alias("x"), F.lit(None).cast("int").alias("y"), F.col("id").alias("batch")
-        )
-        whole = rows.select("x", "y", batch).unionByName(empty)
-        whole.repartition("batch").write.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy("batch").parquet(folder)
-        read = [spark.read.schema("x array<double>, y int").parquet(f"{folder}/batch={k}") for k in range(batches)]
-        return [d.coalesce(1) for d in read] if self.batch <= ONE_TASK else read  # a small batch needs no shuffle
+    def _shards(self, rows: DataFrame, shards: int) -> DataFrame:
+        """(shard, n, blob): the rows of a shard as one row, in the order of their hash, so that no task gets part of a shard."""
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = [b for b in batches if len(b)]
+            if not held:
+                return
+            whole = pa.concat_batches(held)
+            numbers = whole.column(3).to_numpy()
+            for k in np.unique(numbers):
+                part = whole.filter(pa.array(numbers == k))
+                n, x = len(part), _matrix(part, 0)
+                y, ids = part.column(1).to_numpy(), part.column(2).to_numpy(zero_copy_only=False).astype(str)
+                order = np.lexsort((*x.T, y, ids))  # rows with equal keys, too, lie in one order
+                blob = x[order].tobytes() + y[order].astype(np.int32).tobytes()
+                columns = [pa.array([int(k)], pa.int32()), pa.array([n], pa.int64()), pa.array([blob], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "n", "blob"])
+
+        shard = F.pmod(F.xxhash64("id", F.lit(self.seed)), F.lit(shards)).cast("int").alias("shard")
+        dealt = rows.select("x", "y", "id", shard).repartitionById(shards, "shard")
+        return written(dealt.mapInArrow(pack, "shard int, n long, blob binary"), "shards")
+
+    def _epoch(self, shards: DataFrame, shape: Shape, state: list[np.ndarray], steps: int, epoch: int) -> list[Row]:
+        """What each task's shards make of weights and moments, times their rows; loss, rows and the steps done."""
+        batch, rate, seed, deal = self.batch, self.rate, self.seed, epoch - epoch % self.deal_every
+
+        def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums, loss, rows, most = np.zeros((3, len(shape))), 0.0, 0, 0
+            for part in parts:
+                for k, n, blob in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                    x = np.frombuffer(blob, float, n * shape.sizes[0]).reshape(n, -1)
+                    y = np.frombuffer(blob, np.int32, n, x.nbytes)
+                    batches = -(-n // batch)
+                    dealt = np.array_split(np.random.default_rng([seed, deal, k]).permutation(n), batches)
+                    order = np.random.default_rng([seed, epoch, k, 1]).permutation(batches)
+                    made, done, lost = _descend(shape, [(x[dealt[i]], y[dealt[i]]) for i in order], state, steps, rate)
+                    sums, loss, rows, most = sums + n * np.stack(made), loss + lost, rows + n, max(most, done)
+            if rows:
+                columns = [*[pa.array([s], pa.list_(pa.float64())) for s in sums], pa.array([loss]), pa.array([rows]), pa.array([most])]
+                yield pa.RecordBatch.from_arrays(columns, [*STATE, "loss", "n", "steps"])
+
+        schema = ", ".join(f"{c} array<double>" for c in STATE) + ", loss double, n long, steps long"
+        return shards.mapInArrow(run, schema).collect()
+
+
+def _descend(
+    shape: Shape, batches: Sequence[tuple[np.ndarray, np.ndarray]], state: Sequence[np.ndarray], steps: int, rate: float
+) -> tuple[list[np.ndarray], int, float]:
+    """Adam's weights and moments after a step for each batch, the number of steps, and the sum of the loss."""
+    weights, first, second = state
+    loss = 0.0
+    for x, y in batches:
+        grad, lost = shape.gradient(weights, x, y)
+        grad, steps, loss = grad / len(y), steps + 1, loss + lost
+        first = BETA_1 * first + (1 - BETA_1) * grad
+        second = BETA_2 * second + (1 - BETA_2) * grad * grad
+        step = first / (1 - BETA_1**steps) / (np.sqrt(second / (1 - BETA_2**steps)) + TINY)
+        weights = weights - rate * step
+    return [weights, first, second], steps, loss
 
 
 def gradient_sums(batch: DataFrame, shape: Shape, weights: np.ndarray) -> dict[int, float]:

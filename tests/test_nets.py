@@ -66,3 +66,20 @@ def test_no_rows_and_rows_without_a_label(ready):
     some = ready.withColumn("k", F.when(F.col("id") < 50, F.col("k")))
     fitted = net(epochs=1, batch=4).fit(some)  # some batches may be empty
     assert fitted.transform(ready.limit(0)).count() == 0 and fitted.accuracies(ready.limit(0), "k").count() == 0
+
+
+def test_an_epoch_is_one_job_and_shards_learn_together(ready, spark, monkeypatch):
+    jobs = []
+    keep = nets.Net._epoch
+    monkeypatch.setattr(nets.Net, "_epoch", lambda self, *a: jobs.append(a[-1]) or keep(self, *a))
+    spark.sparkContext.setJobGroup("net", "net")
+    few = net(epochs=6, batch=20, shard_values=300).fit(ready)  # 30 batches in 4 shards
+    started = len(spark.sparkContext.statusTracker().getJobIdsForGroup("net"))
+    more = net(epochs=6, batch=5, shard_values=300).fit(ready)  # 120 batches
+    twice = len(spark.sparkContext.statusTracker().getJobIdsForGroup("net"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == [*range(6)] * 2 and twice == 2 * started < 2 * 30  # not a job or more per batch
+    assert few.losses[-1] < 0.7 * few.losses[0] and more.losses[-1] < few.losses[0]
+    again = net(epochs=6, batch=20, shard_values=300).fit(ready.repartition(5))
+    assert np.allclose(few.curve, again.curve)
+    assert few.accuracies(ready, "k").where("epoch = 6").first()["accuracy"] > 0.8
