@@ -230,3 +230,13 @@ def test_queries_fit_whole_models(spark, monkeypatch, name, want):
     with pytest.raises(Built):
         getattr(modelling, name)(None)
     assert {k: seen[k] for k in want} == want
+
+
+def test_cross_validation_caches_only_what_it_learns_from(spark, monkeypatch):
+    from tabloom.plans.catalog import modelling
+    from tabloom.plans.registry import Tables
+
+    seen = []
+    monkeypatch.setattr(modelling.validate, "cross_validate", lambda learner, df, *a: seen.append(df.columns) or (0.0, 0.0))
+    modelling.m4(Tables(spark, "/root/testdata/sf0.001"))
+    assert seen == [[*modelling.NUMBERS, "net", "fold"]]
