@@ -4,32 +4,37 @@ from pyspark.sql import functions as F
 
 from ...operators.quality import Contract, Rule
 from ...session import scratch_path
+from ...sources import tables
 from ...streaming import runs, state
 from ..registry import Tables, query
 
 
-GROUP_DAYS = 6
+BATCHES = 8
 LATENESS = "4 days"  # rows come up to two days late, so none is lost, and state older than this goes
 
 
 def event_files(t: Tables, twice: bool = False, close: bool = False) -> str:
-    """The events as they arrive, up to two days after they happened, in groups of some days.
+    """The events as they arrive, up to two days after they happened, in groups of two days.
 
-    With `twice`, one in ten is delivered a second time a day later. With `close`, a mark of user -1
-    follows long after the last one, which lets the watermark pass all events. Groups are written one after
-    the other, because a file stream reads files in the order of their times.
+    With `twice`, one in ten is delivered a second time a day later, and groups hold one day. With `close`, a mark
+    of user -1 follows long after the last one, which lets the watermark pass all events. Groups are written one
+    after the other, because a file stream reads files in the order of their times. A group's days and the delay
+    stay within the lateness, so no row is late however the files of a group fall into batches.
     """
-    path = scratch_path(t.spark, "event-files")
+    path, sorted_in = scratch_path(t.spark, "event-files"), scratch_path(t.spark, "event-groups")
     delay = F.pmod(F.xxhash64("event_id"), F.lit(3))
     events = t.events.withColumn("__delay", delay)
     if twice:
         again = events.where(F.pmod(F.xxhash64("event_id", F.lit("twice")), F.lit(10)) == 0)
         events = events.unionByName(again.withColumn("__delay", F.col("__delay") + 1))
+    days = 1 if twice else 2
     first, last = t.events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
     arrival = F.date_diff(F.to_date("ts"), F.lit(first)) + F.col("__delay")
-    for group in range(((last - first).days + 3) // GROUP_DAYS + 1):
-        part = events.where(F.floor(arrival / GROUP_DAYS) == group).drop("__delay")
-        part.write.mode("append").parquet(path)
+    # the table is dealt into its groups in one pass, and each group is read by itself
+    tables.write_partitioned(events.withColumn("arrival_group", F.floor(arrival / days).cast("int")).drop("__delay"), sorted_in, "arrival_group")
+    groups = t.spark.read.parquet(sorted_in)
+    for group in range(((last - first).days + 3) // days + 1):
+        groups.where(F.col("arrival_group") == group).drop("arrival_group").write.mode("append").parquet(path)
     if close:
         last = t.events.agg(F.max("ts").alias("ts")).withColumns({"user_id": F.lit(-1).cast("long"), "event_id": F.lit(-1).cast("long")})
         mark = last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS"))
@@ -38,7 +43,10 @@ def event_files(t: Tables, twice: bool = False, close: bool = False) -> str:
 
 
 def stream(t: Tables, twice: bool = False, close: bool = False):
-    return runs.open_stream(t.spark, event_files(t, twice, close), t.events.schema, files_per_batch=4)
+    """The events in about BATCHES micro-batches: larger tables have larger batches, not more of them."""
+    path = event_files(t, twice, close)
+    files = t.spark.read.format("binaryFile").load(path).select("length").count()
+    return runs.open_stream(t.spark, path, t.events.schema, files_per_batch=-(-files // BATCHES))
 
 
 @query(

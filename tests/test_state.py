@@ -2,11 +2,14 @@
 
 import datetime
 import random
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tabloom.plans.catalog import streams
+from tabloom.plans.registry import Tables
 from tabloom.streaming import runs, state
 
 SCHEMA = "u long, ts timestamp_ntz, id long, v double"
@@ -106,3 +109,12 @@ def test_rows_without_a_key_or_time_are_left_out(spark, tmp_path):
     write(spark, [(-1, MARK[1] + datetime.timedelta(days=1), -2, None)], path, 1)
     _, out = runs.run_to_table(means(spark, path), "append", "means")
     assert {r["id"] for r in out.where(F.col("u") >= 0).collect()} == {3}
+
+
+def test_batches_grow_with_the_table_and_not_in_number(spark, folder):
+    events = Tables(spark, folder).events.repartition(12)
+    t = SimpleNamespace(spark=spark, events=events)
+    _, rows = runs.run_to_table(streams.stream(t), "append", "rows")
+    assert rows.select("batch").distinct().count() <= streams.BATCHES
+    # however the files fall into batches, none of their rows is late
+    assert streams.r1(t).agg(F.sum("n")).first()[0] == events.count() == rows.count()
