@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ...functions.scalars import repair_mojibake
 from ...operators.quality import inject_defects
 from ...operators.relational import word_counts
-from ...session import scratch_path
+from ...session import scratch_path, written
 from ...sources import tables as src
 from ...sources import text
 from ...sources.sql import sql_over
@@ -156,7 +156,7 @@ SPLIT_SQL = (
                AS mojibake, count(*) AS repaired, count(*) AS latin1_ok FROM w""",
 )
 def s10(t: Tables):
-    words = word_counts(t.documents, "text")
+    words = written(word_counts(t.documents, "text"), "words")  # read five times below, counted once
     utf8, latin = scratch_path(t.spark, "utf8"), scratch_path(t.spark, "latin1")
     text.write_csv(words, utf8)
     # only words that the one-byte code can hold survive in it

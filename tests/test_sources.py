@@ -1,7 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators.relational import same_rows
+from tabloom.plans.catalog import sources as catalog
 from tabloom.plans.report import plan_report
 from tabloom.session import scratch_path, shared_folder
 from tabloom.sources import tables as src
@@ -134,3 +137,17 @@ def test_scratch_goes_with_the_session(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120, capture_output=True)
     assert not list((tmp_path / "tabloom").iterdir())
+
+
+def test_words_are_counted_once_for_all_checks_of_encodings(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def look(text):
+        seen.add(1)
+        return text
+
+    docs = spark.createDataFrame([(1, "ein café ça"), (2, "café über 日本")], "doc_id long, text string")
+    t = SimpleNamespace(spark=spark, documents=docs.select("doc_id", look.asNondeterministic()("text").alias("text")))
+    assert tuple(catalog.s10(t).select("words", "mojibake", "repaired", "latin1_ok").first()) == (5, 4, 5, 5)
+    assert seen.value == 2
