@@ -1,3 +1,5 @@
+import glob
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 from tabloom.operators.relational import same_rows
 from tabloom.plans.catalog import sources as catalog
 from tabloom.plans.report import plan_report
-from tabloom.session import scratch_path, shared_folder
+from tabloom.session import DROP_SHUFFLES, scratch_path, shared_folder, written
 from tabloom.sources import tables as src
 from tabloom.sources import text
 from tabloom.sources.sql import sql_over
@@ -151,3 +153,20 @@ def test_words_are_counted_once_for_all_checks_of_encodings(spark):
     t = SimpleNamespace(spark=spark, documents=docs.select("doc_id", look.asNondeterministic()("text").alias("text")))
     assert tuple(catalog.s10(t).select("words", "mojibake", "repaired", "latin1_ok").first()) == (5, 4, 5, 5)
     assert seen.value == 2
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {f for folder in folders for f in glob.glob(f"{folder}/**/shuffle_*.data", recursive=True)}
+
+    before = shuffles()
+    assert written(spark.range(1000).repartition(5).groupBy("id").count()).count() == 1000
+    left = shuffles() - before
+    end = time.time() + 20
+    while len(left) > 1 and time.time() < end:  # files go in the background; the count above has one of its own
+        time.sleep(0.2)
+        left = shuffles() - before
+    assert len(left) <= 1
+    assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
