@@ -170,3 +170,16 @@ def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
         left = shuffles() - before
     assert len(left) <= 1
     assert spark.conf.get(DROP_SHUFFLES, "false") == "false"
+
+
+def test_writes_beside_one_another_put_the_setting_back(spark):
+    from tabloom import session
+
+    before = spark.conf.get(session.DROP_SHUFFLES, "false")
+    first, second = session._dropping_shuffles(spark), session._dropping_shuffles(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(session.DROP_SHUFFLES) == "true"  # the second still writes
+    second.__exit__(None, None, None)
+    assert spark.conf.get(session.DROP_SHUFFLES) == before
