@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package, written
+from ..session import alone, dropped, ship_package, written
 from .textbytes import U64, Words, mix, shingle_sets, slices
 
 COORDINATES = 64
@@ -55,7 +55,7 @@ def signatures(docs: DataFrame, words: int, coordinates: int = COORDINATES) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _multipliers(coordinates)
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", 1 << 20):
                 text, shingle = shingle_sets(Words(batch.column(1)), words)
                 sizes = np.bincount(text, minlength=len(batch))
                 ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -83,7 +83,7 @@ def sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", 2 << 20):
+            for batch in slices(whole, "text", 1 << 20):
                 text, shingle = shingle_sets(Words(batch.column(1)), words)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(batch)))])
                 made = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(shingle.view(np.int64)))
@@ -177,16 +177,17 @@ class _Index:
             F.aggregate("own", F.lit(0.0), lambda x, o: x + F.log(o["df"].cast("double"))).alias("centre"),
         )
         self.held = written(held, "held")
+        dropped(lists)
 
     def overlaps(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """(a, b, n_a, n_b, shared, only_a, only_b) of pairs whose signatures agree as those of `percent` do.
+        """(a, b, n_a, n_b, shared, only_a, only_b) of written pairs whose signatures agree as those of `percent` do.
 
         `shared` is exact, from the whole sets; `only_a` are the shingles of a that b lacks.
         """
-        pairs = written(pairs.distinct(), "pairs")
         same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda x, y: x + y)
         signed = pairs.join(_side(self.reps, "a", "sig"), "a").join(_side(self.reps, "b", "sig"), "b")
         close = written(signed.where(same >= agreement(self.coordinates, percent)).select("a", "b"), "close")
+        dropped(pairs)
         ids = written(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
         wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
         full = sets(self.docs.join(wanted, "doc_id", "left_semi"), self.words).withColumnRenamed("doc_id", "doc")
@@ -197,7 +198,7 @@ class _Index:
             "a", "b", F.size(a).alias("n_a"), F.size(b).alias("n_b"), F.array_except(a, b).alias("only_a"), F.array_except(b, a).alias("only_b")
         )
         found = found.withColumn("shared", F.col("n_a") - F.size("only_a"))
-        return written(found.where(_similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)), "overlaps")
+        return found.where(_similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
 
     def links(self, overlaps: DataFrame) -> DataFrame:
         same = _similar(F.col("shared"), F.col("n_a"), F.col("n_b"), self.percent)
@@ -237,7 +238,7 @@ class _Index:
         needs = F.ceil(self.percent * F.col("n") / 100) - (F.col("pivot_n") - F.size("lacking"))
         facts = {"needs": needs.cast("long"), "extra": F.size("beside"), "lost": F.size("lacking")}
         facts |= {"extra_bits": _bits("beside"), "lost_bits": _bits("lacking")}
-        return written(rows.withColumns(facts), "rows")
+        return rows.withColumns(facts)
 
     def candidates(self, rows: DataFrame) -> DataFrame:
         """(pivot, x, y): pairs of documents of different components that may link, before their sets are looked at.
@@ -299,7 +300,9 @@ class _Index:
     def pairs_beside(self, rows: DataFrame) -> DataFrame:
         """Pairs (a, b) between components that share a list and that its pivot doesn't show to be unlike."""
         met = written(self.candidates(rows).distinct(), "met")
-        facts = rows.dropDuplicates(["pivot", "doc"]).select("pivot", "doc", "n", "pivot_n", "beside", "lacking")
+        asked = met.select("pivot", F.explode(F.array("x", "y")).alias("doc")).distinct()
+        facts = rows.select("pivot", "doc", "n", "pivot_n", "beside", "lacking").join(asked, ["pivot", "doc"], "left_semi")
+        facts = written(facts.dropDuplicates(["pivot", "doc"]), "facts")  # only of those that met
 
         def side(name: str) -> DataFrame:
             return facts.select("pivot", F.col("doc").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "pivot_n", "beside", "lacking")])
@@ -318,13 +321,19 @@ class _Index:
         """(doc, component) of all documents with a link."""
         postings, lists = self.pivots()
         met = postings.join(lists, "t").where("doc != pivot")
-        first = self.overlaps(met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")), NEAR)
-        comps = written(components(self.links(first)), "components")
-        rows = self.rows_beside(postings, lists, comps, first)
-        second = self.overlaps(self.pairs_beside(rows), self.percent)
+        met = written(met.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct(), "pairs")
+        first = alone(lambda: self.overlaps(met, NEAR), "overlaps")
+        sizes = ["a", "b", "n_a", "n_b", "shared"]
+        agreed = written(first.select(*sizes), "agreed")
+        comps = alone(lambda: components(self.links(agreed)), "components")
+        rows = alone(lambda: self.rows_beside(postings, lists, comps, first), "rows")
+        dropped(postings, lists, first, self.held)
+        pairs = alone(lambda: self.pairs_beside(rows).distinct(), "pairs")
+        dropped(rows)
+        second = alone(lambda: self.overlaps(pairs, self.percent).select(*sizes), "overlaps")
         # what is linked already stands for its links
         held = comps.select(F.col("doc").alias("a"), F.col("component").alias("b"))
-        return written(components(held.unionByName(self.links(second))), "components")
+        return components(held.unionByName(self.links(second)))
 
 
 def near_duplicates(
@@ -344,18 +353,22 @@ def near_duplicates(
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = written(signatures(docs, words, coordinates), "signatures")
+    sized = written(signed.select("doc_id", "n_shingles", "digest"), "sized")
     usable = signed.where("doc_id is not null and n_shingles > 0")
     classes = usable.groupBy("n_shingles", "digest").agg(
         F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("members"), F.first("sig").alias("sig")
     )
     classes = written(classes, "classes")
+    dropped(signed)
     reps = classes.select("doc", F.col("n_shingles").alias("n"), "sig")
-    linked = _Index(docs, reps, words, percent, coordinates).linked()
+    linked = alone(lambda: _Index(docs, reps, words, percent, coordinates).linked(), "components")
     named = classes.select("n_shingles", "digest", "doc", "members").join(linked, "doc", "left")
     moved = named.where("members > 1 or component is not null").select(
         "n_shingles", "digest", F.coalesce("component", "doc").alias("component")
     )
-    rows = signed.select("doc_id", "n_shingles", "digest").join(written(moved, "moved"), ["n_shingles", "digest"], "left")
+    moved = written(moved, "moved")
+    dropped(classes, linked)
+    rows = sized.join(moved, ["n_shingles", "digest"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

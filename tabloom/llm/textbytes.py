@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WINDOW = 1 << 20  # bytes handled at a time; a longer word makes its window longer
+WINDOW = 1 << 18  # bytes handled at a time; a longer word makes its window longer
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 IS_SPACE = np.zeros(256, bool)

@@ -231,3 +231,19 @@ def test_no_text_is_shuffled_and_measured_rows_give_the_same_scores(spark, monke
     whole, short = quality.classify(docs, ranker), quality.classify_measured(rows, ranker)
     columns = ["doc_id", "score", "predicted"]
     assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, short.select(columns).collect()))
+
+
+def test_tables_go_when_nothing_reads_them_any_more(spark):
+    import os
+
+    from tabloom import session
+
+    root = os.path.dirname(session.scratch_path(spark, "x").removeprefix("file:"))
+    before = set(os.listdir(root))
+    texts = corpus()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = neardup.near_duplicates(docs, words=2)
+    left = {f.split("-")[0] for f in set(os.listdir(root)) - before}
+    want, _ = near_components(texts, 2)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == want
+    assert left == {"sized", "moved"}  # what the result is read from
